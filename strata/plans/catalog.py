@@ -277,3 +277,375 @@ SELECT s.*, {AS_OF_SQL} AS snapshot_date, {_SEGMENT_CASE} AS user_segment FROM s
 def q_gold_user_snapshot(spark, sf_dir):
     f = fx(spark, sf_dir)
     return gold.user_snapshot(f.users(), f.posts(), f.comments(), f.likes(), as_of=AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# Data quality (Q-1..Q-3, A-14, V-1)
+# ---------------------------------------------------------------------------
+
+from ..functions.columns import EMAIL_PATTERN  # noqa: E402
+from ..operators import chunks, nlp, quality, shape  # noqa: E402
+from ..schemas import SILVER_POSTS_COLUMNS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import parquet as pq  # noqa: E402
+from ..sources import sinks  # noqa: E402
+from ..fixtures import (CHUNK_DAYS, CHUNK_ORIGIN, WINDOW_END, WINDOW_START,  # noqa: E402
+                        duck_keywords)
+from . import entities as E  # noqa: E402
+
+USER_COLUMNS = ["user_id", "username", "email", "password_hash", "full_name", "registration_date"]
+POST_COLUMNS = ["post_id", "user_id", "content", "created_at", "sentiment"]
+COMMENT_COLUMNS = ["comment_id", "post_id", "user_id", "content", "created_at", "sentiment"]
+LIKE_COLUMNS = ["like_id", "post_id", "user_id", "created_at"]
+# DuckDB literal of the e-mail pattern (escaped dot written as a class).
+EMAIL_SQL = "'" + EMAIL_PATTERN.replace(r"\.", "[.]") + "'"
+
+
+def _missing_sql(view: str, cols: list[str]) -> str:
+    counts = ", ".join(f"count_if({c} IS NULL) AS m{i}" for i, c in enumerate(cols))
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(m{i} AS BIGINT) AS missing_count, "
+        f"CASE WHEN total > 0 THEN m{i} / total ELSE 0.0 END AS missing_ratio FROM t"
+        for i, c in enumerate(cols))
+    return f",\nt AS (SELECT count(*) AS total, {counts} FROM {view})\n{rows}"
+
+
+@register("dq_missing", oracle=duckdb_views("users") + _missing_sql("users", USER_COLUMNS))
+def q_dq_missing(spark, sf_dir):
+    return quality.missing_report(fx(spark, sf_dir).users())
+
+
+@register("dq_duplicates", oracle=duckdb_views("posts_dup") + """,
+k AS (SELECT post_id, count(*) AS n FROM posts_dup GROUP BY post_id)
+SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys,
+       CAST(sum(n) - count(*) AS BIGINT) AS duplicate_count,
+       CASE WHEN sum(n) > 0 THEN (sum(n) - count(*)) / sum(n) ELSE 0.0 END AS duplicate_ratio
+FROM k""")
+def q_dq_duplicates(spark, sf_dir):
+    return quality.duplicate_report(fx(spark, sf_dir).posts_dup(), ["post_id"])
+
+
+def _dedup_sql(view: str, cols: list[str], keys: list[str], order: list[str]) -> str:
+    """First row per key by ``order`` then the other columns, NULLs first."""
+    rest = [c for c in cols if c not in keys]
+    seq = [c for c in order if c in rest] + [c for c in rest if c not in order]
+    order_by = ", ".join(f"{c} ASC NULLS FIRST" for c in seq)
+    return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY {', '.join(keys)} ORDER BY {order_by}) AS __rn FROM {view}) "
+            f"WHERE __rn = 1")
+
+
+@register("dedup", oracle=duckdb_views("posts_dup") + "\n"
+          + _dedup_sql("posts_dup", POST_COLUMNS, ["post_id"], ["created_at", "post_id"]))
+def q_dedup(spark, sf_dir):
+    return quality.dedup(fx(spark, sf_dir).posts_dup(), ["post_id"], ["created_at", "post_id"])
+
+
+@register("dq_email", oracle=duckdb_views("users") + f"""
+SELECT count_if(regexp_matches(email, {EMAIL_SQL})) AS valid_email_count,
+       count_if(NOT regexp_matches(email, {EMAIL_SQL})) AS invalid_email_count,
+       count_if(email IS NULL) AS null_email_count,
+       count(*) AS total_count,
+       CASE WHEN count(*) > 0 THEN count_if(NOT regexp_matches(email, {EMAIL_SQL})) / count(*)
+            ELSE 0.0 END AS invalid_email_ratio
+FROM users""")
+def q_dq_email(spark, sf_dir):
+    return quality.email_report(fx(spark, sf_dir).users())
+
+
+@register("drop_invalid_email", oracle=duckdb_views("users") + f"""
+SELECT * FROM users WHERE regexp_matches(email, {EMAIL_SQL})""")
+def q_drop_invalid_email(spark, sf_dir):
+    return quality.drop_invalid_email(fx(spark, sf_dir).users())
+
+
+@register("row_count_audit", oracle=duckdb_views("users", "posts", "comments", "likes") + """
+SELECT 'users' AS table_name, count(*) AS row_count FROM users
+UNION ALL SELECT 'posts', count(*) FROM posts
+UNION ALL SELECT 'comments', count(*) FROM comments
+UNION ALL SELECT 'likes', count(*) FROM likes""")
+def q_row_count_audit(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    return quality.row_count_audit({"users": f.users(), "posts": f.posts(),
+                                    "comments": f.comments(), "likes": f.likes()})
+
+
+@register("verify_gold", oracle=duckdb_views("users", "posts", "comments", "likes", "posts_kw",
+                                             "comments_kw") + """,
+days AS (SELECT DISTINCT CAST(created_at AS DATE) AS d FROM (
+           SELECT created_at FROM posts UNION ALL SELECT created_at FROM comments
+           UNION ALL SELECT created_at FROM likes)),
+kw AS (SELECT DISTINCT CAST(created_at AS DATE) AS d, unnest(keywords) AS k FROM posts_kw
+       UNION SELECT DISTINCT CAST(created_at AS DATE), unnest(keywords) FROM comments_kw)
+SELECT 'gold_daily_platform_summary' AS table_name, count(*) AS row_count,
+       count_if(d IS NULL) AS null_key_rows FROM days
+UNION ALL SELECT 'gold_post_performance', count(*), count_if(post_id IS NULL) FROM posts
+UNION ALL SELECT 'gold_user_snapshot', count(*), count_if(user_id IS NULL) FROM users
+UNION ALL SELECT 'gold_daily_content_trends', count(*), count_if(d IS NULL OR k IS NULL) FROM kw""")
+def q_verify_gold(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    posts, comments, likes, users = f.posts(), f.comments(), f.likes(), f.users()
+    return quality.table_checks({
+        "gold_daily_platform_summary": (gold.daily_summary(posts, comments, likes),
+                                        ["report_date"]),
+        "gold_post_performance": (gold.post_performance(posts, users, likes, comments),
+                                  ["post_id"]),
+        "gold_user_snapshot": (gold.user_snapshot(users, posts, comments, likes, as_of=AS_OF),
+                               ["user_id"]),
+        "gold_daily_content_trends": (gold.content_trends(f.posts_kw(), f.comments_kw()),
+                                      ["report_date", "topic_or_keyword"]),
+    })
+
+
+# ---------------------------------------------------------------------------
+# Schema shaping (C-1, P-6)
+# ---------------------------------------------------------------------------
+
+@register("align_to_schema", oracle=duckdb_views("posts") + """
+SELECT post_id, user_id, content, created_at, CAST(NULL AS VARCHAR[]) AS keywords,
+       CAST(sentiment AS DOUBLE) AS sentiment FROM posts""")
+def q_align_to_schema(spark, sf_dir):
+    from pyspark.sql import types as T
+    from ..schemas import KEYWORDS_FIELD, POSTS, SENTIMENT_FIELD
+    silver_posts = T.StructType(POSTS.fields + [KEYWORDS_FIELD, SENTIMENT_FIELD])
+    return shape.align_to_schema(fx(spark, sf_dir).posts(), silver_posts)
+
+
+@register("drop_null_key", oracle=duckdb_views("users") + """
+SELECT email, user_id, username FROM users WHERE email IS NOT NULL""")
+def q_drop_null_key(spark, sf_dir):
+    return shape.drop_null_key(fx(spark, sf_dir).users().select("email", "user_id", "username"))
+
+
+# ---------------------------------------------------------------------------
+# Bronze and silver entity jobs (B-1..B-4, T-1..T-4)
+# ---------------------------------------------------------------------------
+
+_WINDOW_SQL = f"created_at BETWEEN TIMESTAMP '{WINDOW_START}' AND TIMESTAMP '{WINDOW_END}'"
+
+
+@register("bronze_users", oracle=duckdb_views("users") + "\nSELECT * FROM users")
+def q_bronze_users(spark, sf_dir):
+    return E.bronze(fx(spark, sf_dir).users(), E.ENTITIES["users"], WINDOW_START, WINDOW_END)
+
+
+@register("bronze_posts", oracle=duckdb_views("posts") + f"\nSELECT * FROM posts WHERE {_WINDOW_SQL}")
+def q_bronze_posts(spark, sf_dir):
+    return E.bronze(fx(spark, sf_dir).posts(), E.ENTITIES["posts"], WINDOW_START, WINDOW_END)
+
+
+@register("bronze_comments",
+          oracle=duckdb_views("comments") + f"\nSELECT * FROM comments WHERE {_WINDOW_SQL}")
+def q_bronze_comments(spark, sf_dir):
+    return E.bronze(fx(spark, sf_dir).comments(), E.ENTITIES["comments"], WINDOW_START, WINDOW_END)
+
+
+@register("bronze_likes", oracle=duckdb_views("likes") + f"\nSELECT * FROM likes WHERE {_WINDOW_SQL}")
+def q_bronze_likes(spark, sf_dir):
+    return E.bronze(fx(spark, sf_dir).likes(), E.ENTITIES["likes"], WINDOW_START, WINDOW_END)
+
+
+@register("silver_users", oracle=duckdb_views("users") + ",\nd AS ("
+          + _dedup_sql("users", USER_COLUMNS, ["user_id"], []) + f""")
+SELECT * FROM d WHERE regexp_matches(email, {EMAIL_SQL})
+   OR (SELECT count_if(NOT regexp_matches(email, {EMAIL_SQL})) FROM d) = 0""")
+def q_silver_users(spark, sf_dir):
+    return E.silver(fx(spark, sf_dir).users(), E.ENTITIES["users"])
+
+
+@register("silver_posts", oracle=duckdb_views("posts_dup") + "\n"
+          + _dedup_sql("posts_dup", POST_COLUMNS, ["post_id"], ["created_at", "post_id"]))
+def q_silver_posts(spark, sf_dir):
+    return E.silver(fx(spark, sf_dir).posts_dup(), E.ENTITIES["posts"])
+
+
+@register("silver_comments", oracle=duckdb_views("comments") + "\n"
+          + _dedup_sql("comments", COMMENT_COLUMNS, ["comment_id"], ["created_at", "comment_id"]))
+def q_silver_comments(spark, sf_dir):
+    return E.silver(fx(spark, sf_dir).comments(), E.ENTITIES["comments"])
+
+
+@register("silver_likes", oracle=duckdb_views("likes") + "\n"
+          + _dedup_sql("likes", LIKE_COLUMNS, ["user_id"], ["created_at", "like_id"]))
+def q_silver_likes(spark, sf_dir):
+    return E.silver(fx(spark, sf_dir).likes(), E.ENTITIES["likes"])
+
+
+@register("silver_likes_by_id", oracle=duckdb_views("likes") + "\n"
+          + _dedup_sql("likes", LIKE_COLUMNS, ["like_id"], ["created_at", "like_id"]))
+def q_silver_likes_by_id(spark, sf_dir):
+    return E.silver(fx(spark, sf_dir).likes(), E.LIKES_BY_ID)
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks (S-2, S-3, S-4, S-9)
+# ---------------------------------------------------------------------------
+
+@register("src_parquet", oracle="""
+SELECT event_id, ts, user_id FROM events WHERE event_type = 'click'""")
+def q_src_parquet(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    events = T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+    df = pq.read_parquet(spark, f"{sf_dir.rstrip('/')}/events.parquet", events)
+    return df.where(F.col("event_type") == "click").select("event_id", "ts", "user_id")
+
+
+@register("src_date_window", oracle=duckdb_views("likes") + f"""
+SELECT * FROM likes WHERE created_at >= TIMESTAMP '{WINDOW_START}'
+                      AND created_at < TIMESTAMP '{WINDOW_END}' + INTERVAL 1 DAY""")
+def q_src_date_window(spark, sf_dir):
+    return shape.date_window(fx(spark, sf_dir).likes(), WINDOW_START, WINDOW_END, end_mode="day")
+
+
+@register("sink_parquet_sized", oracle=duckdb_views("posts") + "\nSELECT * FROM posts")
+def q_sink_parquet_sized(spark, sf_dir):
+    out = scratch_path(spark, "sink_parquet_sized")
+    sinks.write_sized(fx(spark, sf_dir).posts(), out)
+    return pq.read_parquet(spark, out)
+
+
+_CHUNK_O = f"TIMESTAMP '{CHUNK_ORIGIN}'"
+_CHUNK_N = f"((epoch_us(created_at) - epoch_us({_CHUNK_O})) // 86400000000 // {CHUNK_DAYS})"
+_CHUNK_LABEL = (f"CASE WHEN created_at < {_CHUNK_O} THEN 'initial' "
+                f"ELSE 'chunk_' || CAST({_CHUNK_N} AS VARCHAR) END")
+_CHUNK_FOLDER = (f"CASE WHEN created_at < {_CHUNK_O} THEN 'initial' ELSE strftime(DATE "
+                 f"'{CHUNK_ORIGIN}' + CAST({_CHUNK_N} * {CHUNK_DAYS} AS INTEGER), '%Y-%m-%d') END")
+
+
+@register("sink_chunked", oracle=duckdb_views("posts") + f"""
+SELECT {_CHUNK_FOLDER} AS chunk_start, count(*) AS records,
+       min(created_at) AS first_at, max(created_at) AS last_at
+FROM posts GROUP BY 1""")
+def q_sink_chunked(spark, sf_dir):
+    from pyspark.sql import functions as F
+    out = scratch_path(spark, "sink_chunked")
+    sinks.write_chunked(fx(spark, sf_dir).posts(), out, CHUNK_ORIGIN, CHUNK_DAYS)
+    back = sinks.read_chunked(spark, out)
+    return back.groupBy("chunk_start").agg(F.count(F.lit(1)).alias("records"),
+                                           F.min("created_at").alias("first_at"),
+                                           F.max("created_at").alias("last_at"))
+
+
+# ---------------------------------------------------------------------------
+# Time chunks (K-1..K-3)
+# ---------------------------------------------------------------------------
+
+@register("chunk_assign", oracle=duckdb_views("posts") + f"""
+SELECT post_id, created_at, {_CHUNK_LABEL} AS date_chunk FROM posts""")
+def q_chunk_assign(spark, sf_dir):
+    posts = fx(spark, sf_dir).posts().select("post_id", "created_at")
+    return chunks.assign_chunk(posts, CHUNK_ORIGIN, CHUNK_DAYS)
+
+
+@register("chunk_summary", oracle=duckdb_views("posts") + f"""
+SELECT {_CHUNK_LABEL} AS date_chunk, count(*) AS records,
+       min(created_at) AS first_at, max(created_at) AS last_at
+FROM posts GROUP BY 1""")
+def q_chunk_summary(spark, sf_dir):
+    return chunks.chunk_summary(fx(spark, sf_dir).posts(), CHUNK_ORIGIN, CHUNK_DAYS)
+
+
+@register("chunk_ranges", oracle=duckdb_views("posts") + f""",
+c AS (SELECT CASE WHEN created_at < {_CHUNK_O} THEN NULL ELSE {_CHUNK_N} END AS k
+      FROM posts WHERE created_at IS NOT NULL)
+SELECT CASE WHEN k IS NULL THEN 'initial' ELSE 'chunk_' || CAST(k AS VARCHAR) END AS date_chunk,
+       CASE WHEN k IS NOT NULL THEN DATE '{CHUNK_ORIGIN}' + CAST(k * {CHUNK_DAYS} AS INTEGER)
+            END AS start_date,
+       CASE WHEN k IS NULL THEN DATE '{CHUNK_ORIGIN}' - 1
+            ELSE DATE '{CHUNK_ORIGIN}' + CAST(k * {CHUNK_DAYS} + {CHUNK_DAYS} - 1 AS INTEGER)
+            END AS end_date,
+       count(*) AS records
+FROM c GROUP BY k""")
+def q_chunk_ranges(spark, sf_dir):
+    return chunks.chunk_ranges(fx(spark, sf_dir).posts(), CHUNK_ORIGIN, CHUNK_DAYS)
+
+
+# ---------------------------------------------------------------------------
+# Text (N-1..N-4)
+# ---------------------------------------------------------------------------
+
+_CLEAN_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(
+    lower(CASE WHEN content IS NULL OR lower(content) = 'nan' THEN '' ELSE content END),
+    'https?://\S+', '', 'g'), '[^\p{L}\p{N}\s]+', ' ', 'g'), '\s+', ' ', 'g'))"""
+
+
+@register("clean_text", oracle=duckdb_views("posts") + f"""
+SELECT post_id, {_CLEAN_SQL} AS text_clean FROM posts""")
+def q_clean_text(spark, sf_dir):
+    posts = fx(spark, sf_dir).posts().select("post_id", "content")
+    return nlp.clean_text(posts, "content").select("post_id", "text_clean")
+
+
+@register("keywords_posts", oracle=duckdb_views("posts") + f"""
+SELECT post_id, {duck_keywords('post_id')} AS keywords FROM posts""")
+def q_keywords_posts(spark, sf_dir):
+    return nlp.tag_keywords(fx(spark, sf_dir).posts().select("post_id"), "post_id")
+
+
+@register("keywords_comments", oracle=duckdb_views("comments") + f"""
+SELECT comment_id, {duck_keywords('comment_id')} AS keywords FROM comments""")
+def q_keywords_comments(spark, sf_dir):
+    return nlp.tag_keywords(fx(spark, sf_dir).comments().select("comment_id"), "comment_id")
+
+
+_MODELS: dict[tuple[int, str], object] = {}
+
+
+def sentiment_model(spark, sf_dir: str):
+    """Fit once per session and scale factor on documents x labels; the model
+    is saved to the shared folder and loaded back from there."""
+    from pyspark.ml import PipelineModel
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        f = fx(spark, sf_dir)
+        model = nlp.train_sentiment(f.table("documents"), f.table("labels"))
+        path = scratch_path(spark, "sentiment_model")
+        model.save(path)
+        _MODELS[key] = PipelineModel.load(path)
+    return _MODELS[key]
+
+
+@register("sentiment_posts")
+def q_sentiment_posts(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    return nlp.score_sentiment(nlp.clean_text(f.posts_kw(), "content"),
+                               sentiment_model(spark, sf_dir))
+
+
+@register("sentiment_comments")
+def q_sentiment_comments(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    return nlp.score_sentiment(nlp.clean_text(f.comments_kw(), "content"),
+                               sentiment_model(spark, sf_dir))
+
+
+@register("silver_scored_posts")
+def q_silver_scored_posts(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    posts_kw, comments_kw = nlp.keyword_job(f.posts(), f.comments())
+    return nlp.sentiment_job(posts_kw, comments_kw, sentiment_model(spark, sf_dir))[0]
+
+
+@register("silver_scored_comments")
+def q_silver_scored_comments(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    posts_kw, comments_kw = nlp.keyword_job(f.posts(), f.comments())
+    return nlp.sentiment_job(posts_kw, comments_kw, sentiment_model(spark, sf_dir))[1]
+
+
+# ---------------------------------------------------------------------------
+# Whole pipeline (R-2)
+# ---------------------------------------------------------------------------
+
+@register("pipeline_e2e")
+def q_pipeline_e2e(spark, sf_dir):
+    from .pipeline import run_pipeline
+    f = fx(spark, sf_dir)
+    sources = {"users": f.users(), "posts": f.posts().drop("sentiment"),
+               "comments": f.comments().drop("sentiment"), "likes": f.likes()}
+    return run_pipeline(spark, sources, scratch_path(spark, "pipeline"), WINDOW_START, WINDOW_END,
+                        as_of=AS_OF, model=sentiment_model(spark, sf_dir))

@@ -51,4 +51,7 @@ def keyword_group_col(key: Column | str,
                       groups: Sequence[Sequence[str]] = KEYWORD_GROUPS) -> Column:
     """The keyword array picked for a row by :func:`keyword_bucket`."""
     choices = F.array(*[F.array(*[F.lit(w) for w in g]) for g in groups])
-    return F.element_at(choices, keyword_bucket(key, len(groups)) + 1)
+    bucket = keyword_bucket(key, len(groups))
+    # explicit NULL guard: element_at on a literal array does not return NULL
+    # for a NULL index in every code path
+    return F.when(bucket.isNotNull(), F.element_at(choices, bucket + 1))

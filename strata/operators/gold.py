@@ -92,45 +92,52 @@ def daily_summary(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> Da
     * users: ``(day, user)`` with one presence flag per kind -> distinct
       users per kind and overall.
 
-    Both branches end at one row per day and are joined on the day (one row
-    per calendar day on each side). Compared
-    with seven ``countDistinct``s in one aggregate this avoids an 8x row
-    Expand before the first shuffle. Rows with a NULL day collapse into one
-    NULL-day row.
+    The two first-level results are unioned and reduced per day in one final
+    aggregate. Compared with seven ``countDistinct``s in one aggregate this
+    avoids an 8x row Expand before the first shuffle; a hot day is spread
+    over the shuffle by item and by user. Rows with a NULL day collapse into
+    one NULL-day row.
     """
     feed = activity_feed(posts, comments, likes)
+    flags = [f"is_{k}" for k in KINDS]
 
+    # items: one row per (day, kind, item) with its sentiment counts
     per_item = (feed.groupBy("report_date", "kind", "item_id")
                 .agg(F.count_if(_is("sentiment", POSITIVE)).alias("pos"),
-                     F.count_if(_is("sentiment", NEGATIVE)).alias("neg")))
-    per_kind = per_item.groupBy("report_date").agg(
-        *[F.count_if((F.col("kind") == k) & F.col("item_id").isNotNull()).alias(f"total_{k}s")
-          for k in KINDS],
-        *[F.sum(F.when(F.col("kind") == k, F.col("pos"))).alias(f"positive_{k}s_count")
-          for k in ("post", "comment")],
-        *[F.sum(F.when(F.col("kind") == k, F.col("neg"))).alias(f"negative_{k}s_count")
-          for k in ("post", "comment")],
-    )
-
+                     F.count_if(_is("sentiment", NEGATIVE)).alias("neg"))
+                .select("report_date", "kind", "item_id", "pos", "neg",
+                        *[F.lit(None).cast("boolean").alias(f) for f in flags],
+                        F.lit(None).cast("int").alias("user_id")))
+    # users: one row per (day, user) with a presence flag per kind
     per_user = (feed.where(F.col("user_id").isNotNull())
                 .groupBy("report_date", "user_id")
-                .agg(*[F.max(F.col("kind") == k).alias(f"is_{k}") for k in KINDS]))
-    users = per_user.groupBy("report_date").agg(
+                .agg(*[F.max(F.col("kind") == k).alias(f"is_{k}") for k in KINDS])
+                .select("report_date", F.lit(None).cast("string").alias("kind"),
+                        F.lit(None).cast("long").alias("item_id"),
+                        F.lit(None).cast("long").alias("pos"),
+                        F.lit(None).cast("long").alias("neg"), *flags, "user_id"))
+
+    # Both branches are unioned and reduced to one row per day in a single
+    # aggregate: no join, and NULL days group together.
+    is_kind = {k: (F.col("kind") == k) & F.col("item_id").isNotNull() for k in KINDS}
+    summary = per_item.unionByName(per_user).groupBy("report_date").agg(
+        F.count_if(is_kind["post"]).alias("total_posts"),
         F.count_if(F.col("is_post")).alias("active_posters"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "post", F.col("pos"))), F.lit(0)).alias(
+            "positive_posts_count"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "post", F.col("neg"))), F.lit(0)).alias(
+            "negative_posts_count"),
+        F.count_if(is_kind["comment"]).alias("total_comments"),
         F.count_if(F.col("is_comment")).alias("active_commenters"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "comment", F.col("pos"))), F.lit(0)).alias(
+            "positive_comments_count"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "comment", F.col("neg"))), F.lit(0)).alias(
+            "negative_comments_count"),
+        F.count_if(is_kind["like"]).alias("total_likes"),
         F.count_if(F.col("is_like")).alias("active_likers"),
-        F.count(F.lit(1)).alias("total_active_users"),
+        F.count(F.col("user_id")).alias("total_active_users"),
     )
-
-    # Every day of the user branch also has item rows, so a left join keeps
-    # all days; eqNullSafe pairs the two NULL-day rows.
-    joined = per_kind.join(users, per_kind["report_date"].eqNullSafe(users["report_date"]), "left")
-    day = per_kind["report_date"].alias("report_date")
-    counts = [c for c in GOLD_DAILY_SUMMARY_COLUMNS
-              if c not in ("report_date", "avg_comments_per_post", "avg_likes_per_post")]
-    src = {c: (users[c] if c in users.columns else per_kind[c]) for c in counts}
-    out = joined.select(day, *[F.coalesce(src[c], F.lit(0).cast("long")).alias(c) for c in counts])
-    return out.select(
+    return summary.select(
         *[F.col(c) for c in GOLD_DAILY_SUMMARY_COLUMNS[:11]],
         safe_ratio("total_comments", "total_posts").cast("double").alias("avg_comments_per_post"),
         safe_ratio("total_likes", "total_posts").cast("double").alias("avg_likes_per_post"),

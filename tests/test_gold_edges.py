@@ -1,0 +1,139 @@
+"""Edge cases of the gold reports on hand-made frames."""
+
+import datetime as dt
+
+from pyspark.sql import Row
+
+from strata.operators import gold
+
+D = dt.datetime
+
+
+def _posts(spark, rows):
+    return spark.createDataFrame(
+        rows, "post_id int, user_id int, content string, created_at timestamp, sentiment double")
+
+
+def _comments(spark, rows):
+    return spark.createDataFrame(
+        rows, "comment_id int, post_id int, user_id int, content string, created_at timestamp, "
+              "sentiment double")
+
+
+def _likes(spark, rows):
+    return spark.createDataFrame(rows, "like_id int, post_id int, user_id int, created_at timestamp")
+
+
+def _users(spark, rows):
+    return spark.createDataFrame(
+        rows, "user_id int, username string, email string, password_hash string, "
+              "full_name string, registration_date date")
+
+
+def test_daily_summary_counts_and_null_day(spark):
+    posts = _posts(spark, [(1, 10, "a", D(2024, 1, 1, 5), 1.0), (1, 10, "a", D(2024, 1, 1, 6), 0.0),
+                           (2, 11, "b", D(2024, 1, 1, 7), None), (3, 12, "c", None, 1.0)])
+    comments = _comments(spark, [(1, 1, 10, "x", D(2024, 1, 2), 1.0),
+                                 (2, 1, 13, "y", None, 0.0)])
+    likes = _likes(spark, [(1, 1, 14, D(2024, 1, 1, 9)), (2, 2, 10, D(2024, 1, 1, 10))])
+    out = {r["report_date"]: r for r in gold.daily_summary(posts, comments, likes).collect()}
+    d1 = out[dt.date(2024, 1, 1)]
+    assert (d1.total_posts, d1.active_posters, d1.positive_posts_count,
+            d1.negative_posts_count) == (2, 2, 1, 1)
+    assert (d1.total_likes, d1.active_likers, d1.total_active_users) == (2, 2, 3)
+    assert d1.avg_likes_per_post == 1.0 and d1.avg_comments_per_post == 0.0
+    d2 = out[dt.date(2024, 1, 2)]
+    assert (d2.total_posts, d2.total_comments, d2.avg_comments_per_post) == (0, 1, 0.0)
+    # undated rows of every table collapse into one NULL-day row
+    dn = out[None]
+    assert (dn.total_posts, dn.total_comments, dn.total_active_users) == (1, 1, 2)
+
+
+def test_daily_summary_empty(spark):
+    empty = gold.daily_summary(_posts(spark, []), _comments(spark, []), _likes(spark, []))
+    assert empty.count() == 0
+
+
+def test_post_performance_rounding_and_nulls(spark):
+    posts = _posts(spark, [(1, 10, "a", D(2024, 1, 1, 0, 0, 0), 1.0),
+                           (2, 10, "b", D(2024, 1, 1, 0, 0, 0), 0.0),
+                           (3, 99, "c", D(2024, 1, 1), None)])
+    # 90 s -> 1.5 min -> 2; 30 s before the post -> -0.5 min -> -1 (half away from zero)
+    likes = _likes(spark, [(1, 1, 5, D(2024, 1, 1, 0, 1, 30)), (2, 1, 6, D(2024, 1, 1, 0, 5)),
+                           (3, 2, 5, D(2023, 12, 31, 23, 59, 30))])
+    comments = _comments(spark, [(1, 2, 7, "z", D(2024, 1, 1, 0, 0, 29, 999999), 1.0)])
+    users = _users(spark, [(10, "ten", None, None, None, None)])
+    out = {r.post_id: r for r in gold.post_performance(posts, users, likes, comments).collect()}
+    assert out[1].time_to_first_like_minutes == 2.0 and out[1].total_likes == 2
+    assert out[2].time_to_first_like_minutes == -1.0
+    assert out[2].time_to_first_comment_minutes == 0.0  # microseconds are truncated
+    assert out[1].total_comments is None and out[3].total_likes is None
+    assert out[1].username == "ten" and out[3].username is None
+
+
+def test_content_trends_ties_and_empty_arrays(spark):
+    rows = [Row(post_id=1, created_at=D(2024, 1, 1), keywords=["b", "a"]),
+            Row(post_id=2, created_at=D(2024, 1, 1), keywords=[]),
+            Row(post_id=3, created_at=D(2024, 1, 1), keywords=None),
+            Row(post_id=4, created_at=D(2024, 1, 1), keywords=["c"])]
+    posts = spark.createDataFrame(rows, "post_id int, created_at timestamp, keywords array<string>")
+    comments = spark.createDataFrame(
+        [Row(comment_id=1, created_at=D(2024, 1, 1), keywords=["c"])],
+        "comment_id int, created_at timestamp, keywords array<string>")
+    out = gold.content_trends(posts, comments).orderBy("trending_rank").collect()
+    assert [(r.topic_or_keyword, r.total_mentions, r.trending_rank) for r in out] == [
+        ("c", 2, 1), ("a", 1, 2), ("b", 1, 3)]
+    assert out[0].mention_count_in_posts == 1 and out[0].mention_count_in_comments == 1
+    assert out[0].avg_sentiment_when_mentioned is None
+
+
+def test_user_snapshot_segments_and_nulls(spark):
+    as_of = dt.date(2024, 2, 1)
+    reg = as_of - dt.timedelta(days=200)
+    users = _users(spark, [
+        (1, "new", "e", "h", "n", as_of - dt.timedelta(days=30)),   # age 30 -> New User
+        (2, "old31", "e", "h", "n", as_of - dt.timedelta(days=31)),  # age 31, never active
+        (3, "churn", "e", "h", "n", reg),
+        (4, "risk", "e", "h", "n", reg),
+        (5, "edge90", "e", "h", "n", reg),
+        (6, "noreg", "e", "h", "n", None),                            # age NULL -> 0 -> New
+    ])
+    posts = _posts(spark, [
+        (100, 3, "p", D(2023, 11, 2, 23, 59), 1.0),   # before as_of - 90 -> Churned
+        (101, 4, "p", D(2023, 12, 1), 0.0),           # before as_of - 30 -> At Risk
+        (102, 5, "p", D(2023, 11, 3), 1.0),           # exactly as_of - 90 -> not Churned
+        (103, 4, "p", D(2023, 11, 1), None),
+    ])
+    comments = _comments(spark, [(1, 100, 4, "c", D(2023, 12, 1, 1), 1.0),
+                                 (2, 100, 5, "c", D(2023, 12, 1), 0.0)])
+    likes = _likes(spark, [(1, 100, 4, D(2023, 12, 1, 2)), (2, 101, 3, D(2023, 10, 1))])
+    snap = gold.user_snapshot(users, posts, comments, likes, as_of=as_of)
+    assert "password_hash" not in snap.columns
+    out = {r.user_id: r for r in snap.collect()}
+    assert out[1].user_segment == "New User" and out[1].account_age_days == 30
+    assert out[2].user_segment == "Casual User" and out[2].last_active_date is None
+    assert out[2].total_posts_per_user == 0 and out[2].positive_post_ratio == 0.0
+    assert out[3].user_segment == "Churned"
+    assert out[4].user_segment == "At Risk"
+    assert out[5].user_segment == "At Risk"
+    assert out[6].user_segment == "New User" and out[6].account_age_days == 0
+    # feedback of user 3: post 100 got 2 comments (1 positive) and 1 like
+    u3 = out[3]
+    assert (u3.total_comments_received, u3.total_likes_received, u3.total_feedback_count) == (2, 1, 1)
+    assert u3.positive_comment_received_ratio == 0.5 and u3.avg_likes_per_post == 1.0
+    # user 4: two posts, one liked (the other's NULL is skipped by the average)
+    u4 = out[4]
+    assert u4.total_posts_per_user == 2 and u4.positive_post_ratio == 0.0
+    assert u4.total_likes_received == 1 and u4.avg_likes_per_post == 1.0
+    assert u4.total_comments_given == 1 and u4.total_likes_given == 1
+    assert u4.last_active_date == D(2023, 12, 1, 2)
+    assert out[1].snapshot_date == as_of
+
+
+def test_last_30_days_boundary(spark):
+    as_of = dt.date(2024, 2, 1)
+    users = _users(spark, [(1, "u", "e", "h", "n", as_of - dt.timedelta(days=100))])
+    posts = _posts(spark, [(1, 1, "p", D(2024, 1, 2), None),          # exactly as_of - 30: in
+                           (2, 1, "p", D(2024, 1, 1, 23, 59), None)])  # out
+    snap = gold.user_snapshot(users, posts, _comments(spark, []), _likes(spark, []), as_of=as_of)
+    assert snap.first().posts_in_last_30_days == 1

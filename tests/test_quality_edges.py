@@ -1,0 +1,76 @@
+"""Edge cases of the data-quality operators."""
+
+from strata.operators import quality
+
+
+def _emails(spark, values):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, email string")
+
+
+def test_missing_report_exact_and_empty(spark):
+    df = spark.createDataFrame([(1, None, float("nan")), (None, "", 1.0)], "a int, b string, c double")
+    out = {r.column: (r.missing_count, r.missing_ratio) for r in quality.missing_report(df).collect()}
+    assert out == {"a": (1, 0.5), "b": (1, 0.5), "c": (0, 0.0)}   # NaN and '' are not missing
+    empty = quality.missing_report(df.limit(0)).collect()
+    assert {(r.column, r.missing_count, r.missing_ratio) for r in empty} == {
+        ("a", 0, 0.0), ("b", 0, 0.0), ("c", 0, 0.0)}
+
+
+def test_missing_report_sampled_is_seeded(spark):
+    df = spark.range(10000).selectExpr("CASE WHEN id % 2 = 0 THEN NULL ELSE id END AS x")
+    a = quality.missing_report(df, fraction=0.01).collect()
+    b = quality.missing_report(df, fraction=0.01).collect()
+    assert a == b and 0 < a[0].missing_count < 200
+
+
+def test_duplicate_report_null_keys_equal(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")],
+                               "k int, v string")
+    r = quality.duplicate_report(df, ["k"]).first()
+    assert (r.total_rows, r.distinct_keys, r.duplicate_count) == (5, 3, 2)
+    assert r.duplicate_ratio == 0.4
+    e = quality.duplicate_report(df.limit(0), ["k"]).first()
+    assert (e.total_rows, e.duplicate_count, e.duplicate_ratio) == (0, 0, 0.0)
+
+
+def test_dedup_deterministic_survivor(spark):
+    df = spark.createDataFrame(
+        [(1, 3, "late"), (1, 1, "early"), (1, 1, "early-b"), (2, None, "null-first"), (2, 0, "x"),
+         (None, 5, "n1"), (None, 4, "n2")], "k int, t int, v string")
+    out = {r.k: (r.t, r.v) for r in quality.dedup(df, ["k"], ["t"]).collect()}
+    assert out == {1: (1, "early"), 2: (None, "null-first"), None: (4, "n2")}
+    assert quality.dedup(df, ["k"], ["t"]).columns == ["k", "t", "v"]
+
+
+def test_email_report_and_trailing_newline(spark):
+    df = _emails(spark, ["a@b.co", "bad", None, "x.y+z@mail.example.org", "a@b.co\n", "a@b.c"])
+    r = quality.email_report(df).first()
+    # Java's $ accepts one trailing newline, so "a@b.co\n" is valid
+    assert (r.valid_email_count, r.invalid_email_count, r.null_email_count, r.total_count) == (
+        3, 2, 1, 6)
+    assert abs(r.invalid_email_ratio - 2 / 6) < 1e-12
+    e = quality.email_report(df.limit(0)).first()
+    assert (e.valid_email_count, e.invalid_email_count, e.invalid_email_ratio) == (0, 0, 0.0)
+
+
+def test_drop_invalid_email_modes(spark):
+    dirty = _emails(spark, ["a@b.co", "bad", None])
+    clean = _emails(spark, ["a@b.co", None])
+    assert quality.drop_invalid_email(dirty).count() == 1
+    assert quality.drop_invalid_email(dirty, keep_null_if_clean=True).count() == 1
+    assert quality.drop_invalid_email(clean).count() == 1
+    # no invalid address: the reference keeps the input whole, NULLs included
+    assert quality.drop_invalid_email(clean, keep_null_if_clean=True).count() == 2
+
+
+def test_table_checks_and_audit(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    r = quality.table_checks({"a": (a, ["k"])}).first()
+    assert (r.table_name, r.row_count, r.null_key_rows) == ("a", 2, 1)
+    audit = {x.table_name: x.row_count for x in quality.row_count_audit({"a": a, "b": a.limit(0)}).collect()}
+    assert audit == {"a": 2, "b": 0}
+
+
+def test_preview_is_ordered(spark):
+    df = spark.range(100).selectExpr("id", "id % 7 AS m")
+    assert [r.id for r in quality.preview(df, ["id"], ["id"], 3).collect()] == [0, 1, 2]

@@ -649,3 +649,25 @@ def q_pipeline_e2e(spark, sf_dir):
                "comments": f.comments().drop("sentiment"), "likes": f.likes()}
     return run_pipeline(spark, sources, scratch_path(spark, "pipeline"), WINDOW_START, WINDOW_END,
                         as_of=AS_OF, model=sentiment_model(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Incremental chunk load (Structured Streaming form of R-1)
+# ---------------------------------------------------------------------------
+
+@register("stream_chunk_ingest", oracle=duckdb_views("posts") + f"""
+SELECT {_CHUNK_FOLDER} AS chunk_start, count(*) AS records,
+       min(created_at) AS first_at, max(created_at) AS last_at
+FROM posts GROUP BY 1""")
+def q_stream_chunk_ingest(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..streaming.chunk_ingest import ingest_chunks, parquet_sink
+    posts = fx(spark, sf_dir).posts()
+    root = scratch_path(spark, "stream_chunk_ingest")
+    sinks.write_chunked(posts, f"{root}/chunks", CHUNK_ORIGIN, CHUNK_DAYS)
+    ingest_chunks(spark, f"{root}/chunks", posts.schema, parquet_sink(f"{root}/loaded"),
+                  f"{root}/checkpoint", max_files=4, drop_chunk_column=False)
+    loaded = pq.read_parquet(spark, f"{root}/loaded")
+    return loaded.groupBy("chunk_start").agg(F.count(F.lit(1)).alias("records"),
+                                             F.min("created_at").alias("first_at"),
+                                             F.max("created_at").alias("last_at"))

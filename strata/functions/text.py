@@ -19,6 +19,10 @@ KEYWORD_GROUPS: tuple[tuple[str, ...], ...] = (
 URL_PATTERN = r"https?://\S+"
 NON_WORD_RUN = r"[^\p{L}\p{N}\s]+"
 WHITESPACE_RUN = r"\s+"
+# Replacing NON_WORD_RUN by a space and then WHITESPACE_RUN by a space turns
+# every maximal run of characters that are not letters or digits into one
+# space; one pass with this pattern gives the same string.
+NON_ALNUM_RUN = r"[^\p{L}\p{N}]+"
 
 
 def clean_text_col(text: Column | str) -> Column:
@@ -30,10 +34,8 @@ def clean_text_col(text: Column | str) -> Column:
     """
     raw = (F.col(text) if isinstance(text, str) else text).cast("string")
     safe = F.when(raw.isNull() | (F.lower(raw) == F.lit("nan")), F.lit("")).otherwise(raw)
-    out = F.lower(safe)
-    out = F.regexp_replace(out, URL_PATTERN, "")
-    out = F.regexp_replace(out, NON_WORD_RUN, " ")
-    return F.trim(F.regexp_replace(out, WHITESPACE_RUN, " "))
+    out = F.regexp_replace(F.lower(safe), URL_PATTERN, "")
+    return F.trim(F.regexp_replace(out, NON_ALNUM_RUN, " "))
 
 
 def keyword_bucket(key: Column | str, n_buckets: int) -> Column:

@@ -8,7 +8,6 @@ write to storage every executor can see.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,18 +51,18 @@ def build_session(master: str | None = None, app_name: str = "strata",
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read and write.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only when that is unset (a
-    local test session) do we create a scratch folder and register it as the
-    checkpoint dir, so that later calls and ``DataFrame.checkpoint()`` agree.
+    It is the cluster's ``spark.checkpoint.dir`` (or a checkpoint dir set on
+    the context). Only when neither is set (a local test session) do we make a
+    scratch folder and register it with ``setCheckpointDir``, so that later
+    calls and ``DataFrame.checkpoint()`` agree. ``spark.checkpoint.dir`` itself
+    is a core setting and cannot be changed on a running session.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="strata-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -75,12 +74,3 @@ def join_uri(base: str, *parts: str) -> str:
     """Join a base URI (``s3a://b``, ``file:/x``, ``/x``) with path parts."""
     base = base.rstrip("/")
     return "/".join([base, *[p.strip("/") for p in parts if p]])
-
-
-def local_path(uri: str) -> str | None:
-    """The local file-system path of a ``file:`` or plain URI, else None."""
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    if "://" in uri:
-        return None
-    return os.path.abspath(uri)

@@ -75,3 +75,31 @@ def test_drop_helpers(spark):
 def test_layer_path():
     assert pq.layer_path("s3a://bkt/", "silver", "2025-01-01", "2025-01-31", "posts") == \
         "s3a://bkt/silver/2025-01-01_2025-01-31/posts"
+
+
+def test_shared_dir_without_configured_checkpoint(tmp_path, monkeypatch):
+    from strata import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = "file:" + d + "/abc"
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path / "ck"))
+    s = Session()
+    first = session.shared_dir(s)
+    assert first == f"file:{tmp_path}/ck/abc"
+    assert session.shared_dir(s) == first
+    assert session.scratch_path(s, "x").startswith(first + "/strata/x/")

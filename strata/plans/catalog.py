@@ -70,7 +70,7 @@ def q_daily_active_users(spark, sf_dir):
     return gold.daily_active_users(f.posts(), f.comments(), f.likes())
 
 
-GOLD_DAILY_SUMMARY_SQL = duckdb_views("posts", "comments", "likes") + "," + _DAILY_PARTS_SQL + """,
+GOLD_DAILY_SUMMARY_BODY = _DAILY_PARTS_SQL + """,
 j AS (SELECT coalesce(pd.report_date, cd.report_date) AS report_date,
              pd.total_posts, pd.active_posters, pd.positive_posts_count, pd.negative_posts_count,
              cd.total_comments, cd.active_commenters, cd.positive_comments_count,
@@ -93,6 +93,9 @@ SELECT k.*,
 FROM k LEFT JOIN au ON k.report_date = au.report_date"""
 
 
+GOLD_DAILY_SUMMARY_SQL = duckdb_views("posts", "comments", "likes") + "," + GOLD_DAILY_SUMMARY_BODY
+
+
 @register("gold_daily_summary", oracle=GOLD_DAILY_SUMMARY_SQL, headline=True)
 def q_gold_daily_summary(spark, sf_dir):
     f = fx(spark, sf_dir)
@@ -120,8 +123,7 @@ def q_first_engagement(spark, sf_dir):
     return gold.first_engagement(f.likes(), f.comments())
 
 
-GOLD_POST_PERFORMANCE_SQL = duckdb_views("users", "posts", "likes", "comments") + "," \
-    + _ENGAGEMENT_SQL + """
+GOLD_POST_PERFORMANCE_BODY = _ENGAGEMENT_SQL + """
 SELECT p.post_id, CAST(p.created_at AS DATE) AS created_date, p.content AS post_content,
        p.sentiment AS post_sentiment, p.user_id, u.username, lc.total_likes, cc.total_comments,
        round((floor(epoch(lc.first_like_time)) - floor(epoch(p.created_at))) / 60)
@@ -134,6 +136,10 @@ LEFT JOIN lc ON p.post_id = lc.post_id
 LEFT JOIN cc ON p.post_id = cc.post_id"""
 
 
+GOLD_POST_PERFORMANCE_SQL = (duckdb_views("users", "posts", "likes", "comments") + ","
+                             + GOLD_POST_PERFORMANCE_BODY)
+
+
 @register("gold_post_performance", oracle=GOLD_POST_PERFORMANCE_SQL, headline=True)
 def q_gold_post_performance(spark, sf_dir):
     f = fx(spark, sf_dir)
@@ -151,7 +157,7 @@ def q_explode_keywords(spark, sf_dir):
     return gold.explode_keywords(fx(spark, sf_dir).posts_kw(), "post_id")
 
 
-GOLD_CONTENT_TRENDS_SQL = duckdb_views("posts_kw", "comments_kw") + """,
+GOLD_CONTENT_TRENDS_BODY = """
 ep AS (SELECT CAST(created_at AS DATE) AS report_date, unnest(keywords) AS topic_or_keyword
        FROM posts_kw),
 ec AS (SELECT CAST(created_at AS DATE) AS report_date, unnest(keywords) AS topic_or_keyword
@@ -173,6 +179,9 @@ SELECT report_date, topic_or_keyword, mention_count_in_posts, mention_count_in_c
 FROM j"""
 
 
+GOLD_CONTENT_TRENDS_SQL = duckdb_views("posts_kw", "comments_kw") + "," + GOLD_CONTENT_TRENDS_BODY
+
+
 @register("gold_content_trends", oracle=GOLD_CONTENT_TRENDS_SQL, headline=True)
 def q_gold_content_trends(spark, sf_dir):
     f = fx(spark, sf_dir)
@@ -236,8 +245,7 @@ def q_user_segment(spark, sf_dir):
     return gold.user_segment(f.users(), f.posts(), f.comments(), f.likes(), as_of=AS_OF)
 
 
-GOLD_USER_SNAPSHOT_SQL = duckdb_views("users", "posts", "comments", "likes") + "," \
-    + _FEEDBACK_SQL + f""",
+GOLD_USER_SNAPSHOT_BODY = _FEEDBACK_SQL + f""",
 pa AS (SELECT user_id, count(*) AS total_posts_per_user,
               avg(CASE WHEN sentiment = 1 THEN 1 ELSE 0 END) AS positive_post_ratio,
               CAST(sum(CASE WHEN created_at >= {AS_OF_SQL} - 30 THEN 1 ELSE 0 END) AS BIGINT)
@@ -273,6 +281,10 @@ s AS (SELECT u.user_id, u.username, u.email, u.full_name, u.registration_date,
 SELECT s.*, {AS_OF_SQL} AS snapshot_date, {_SEGMENT_CASE} AS user_segment FROM s"""
 
 
+GOLD_USER_SNAPSHOT_SQL = (duckdb_views("users", "posts", "comments", "likes") + ","
+                          + GOLD_USER_SNAPSHOT_BODY)
+
+
 @register("gold_user_snapshot", oracle=GOLD_USER_SNAPSHOT_SQL, headline=True)
 def q_gold_user_snapshot(spark, sf_dir):
     f = fx(spark, sf_dir)

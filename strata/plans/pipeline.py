@@ -55,7 +55,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     for name in ("users", "posts", "comments", "likes"):
         src = read_parquet(spark, path("bronze", name), BRONZE[name])
         for report, rdf in E.silver_reports(src, entity_of[name]).items():
-            write_sized(rdf, path("reports", f"{name}_{report}"))
+            rdf.coalesce(1).write.mode("overwrite").parquet(path("reports", f"{name}_{report}"))
         write_sized(E.silver(src, entity_of[name]), path("silver", name))
 
     # keywords + cleaned text

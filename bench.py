@@ -6,9 +6,13 @@ Runs every headline query of the registry on ``$BENCH_SF_DIR`` (default
     {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each query is executed in full with the ``noop`` sink (every row produced,
-nothing collected to the driver). One untimed warm-up pass runs first (JVM
-warm-up, sentiment model fit); the reported time per query is the median of
-``$BENCH_REPEAT`` (default 3) timed runs.
+nothing collected to the driver; the sink queries also write and read back).
+One untimed warm-up pass runs first (JVM warm-up, sentiment model fit); the
+reported time per query is the median of ``$BENCH_REPEAT`` (default 3) timed
+runs. ``load_rows_per_sec`` writes the four entity tables as sized Parquet.
+
+Note: every test table is a single Parquet row group, so each scan is one
+task at any split size; CPU-heavy text queries run on one core here.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ HEADLINE = [
     "chunk_summary",
     "bronze_likes",
     "verify_gold",
+    "sink_parquet_sized",
+    "sink_chunked",
+    "stream_chunk_ingest",
 ]
 
 
@@ -64,6 +71,19 @@ def main() -> None:
     timings = {}
     for name in names:
         timings[name] = round(statistics.median(run(name) for _ in range(repeat)), 3)
+    # Load throughput (BASELINE's only measured number is a bulk load): the
+    # four entity tables written as sized Parquet, rows per second.
+    from strata.fixtures import Fixture
+    from strata.session import scratch_path
+    from strata.sources.sinks import write_sized
+    fx = Fixture(spark, sf_dir)
+    tables = {"users": fx.users(), "posts": fx.posts(), "comments": fx.comments(),
+              "likes": fx.likes()}
+    n_rows = sum(df.count() for df in tables.values())
+    t0 = time.perf_counter()
+    for name, df in tables.items():
+        write_sized(df, scratch_path(spark, f"bench_load_{name}"))
+    load_sec = time.perf_counter() - t0
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_sec",
@@ -72,6 +92,8 @@ def main() -> None:
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
+        "load_rows": n_rows,
+        "load_rows_per_sec": round(n_rows / load_sec, 1),
     }))
     spark.stop()
 

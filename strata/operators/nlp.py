@@ -72,6 +72,11 @@ def train_sentiment(documents: DataFrame, labels: DataFrame, label_col: str = "q
     return sentiment_pipeline(num_features).fit(training_set(documents, labels, label_col))
 
 
+def load_sentiment_model(path: str) -> PipelineModel:
+    """A saved sentiment pipeline (any Hadoop URI)."""
+    return PipelineModel.load(path)
+
+
 def score_sentiment(df: DataFrame, model: PipelineModel) -> DataFrame:
     """N-3: add ``sentiment`` (DOUBLE class) predicted from ``text_clean``.
 

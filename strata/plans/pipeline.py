@@ -1,92 +1,197 @@
-"""R-2: the whole medallion run for one window, on one session.
+"""R-2: the medallion run for one window, as step jobs and as a whole.
 
 bronze -> silver (+ quality reports) -> keywords -> sentiment -> gold -> verify
 
-Every step writes a new dataset under ``base`` and the next step reads it
-back. The written tables cut the lineage: a lost executor costs the
-recomputation of its step, not of the whole run, and no step overwrites the
-path it reads.
+Each step job takes the window ``(start, end)`` over one dataset layout
+(``{base}/{layer}/{start}_{end}/{table}``), reads its inputs from the layout
+and writes new datasets to it, like the reference's jobs; they can run as
+separate scheduler tasks or one after the other in :func:`run_pipeline`.
+Every step writes a new dataset name (``posts`` -> ``posts_keywords`` ->
+``posts_scored``) and never overwrites what it reads. The written tables cut
+the lineage: a lost executor costs the recomputation of its step only.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import DateLike
 from ..operators import gold, nlp, quality
 from ..schemas import BRONZE
+from ..sources import jdbc
 from ..sources.parquet import layer_path, read_parquet
 from ..sources.sinks import write_sized
 from . import entities as E
 
+ENTITY_NAMES = ("users", "posts", "comments", "likes")
 GOLD_TABLES = {
     "gold_daily_platform_summary": ("report_date",),
     "gold_post_performance": ("post_id",),
     "gold_user_snapshot": ("user_id",),
     "gold_daily_content_trends": ("report_date", "topic_or_keyword"),
 }
+# The columns each gold preview shows, its order and row count.
+GOLD_PREVIEWS = {
+    "gold_daily_platform_summary": (None, ("report_date",), 5),
+    "gold_user_snapshot": (("user_id", "username", "total_posts_per_user", "account_age_days",
+                            "user_segment"), ("user_id",), 5),
+    "gold_post_performance": (("post_id", "user_id", "post_sentiment", "total_likes",
+                               "total_comments"), ("post_id",), 5),
+    "gold_daily_content_trends": (("report_date", "topic_or_keyword", "total_mentions",
+                                   "trending_rank"), ("report_date", "trending_rank"), 10),
+}
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where one run window's datasets live."""
+    spark: SparkSession
+    base: str
+    start: str
+    end: str
+
+    def path(self, layer: str, table: str) -> str:
+        return layer_path(self.base, layer, self.start, self.end, table)
+
+    def read(self, layer: str, table: str, schema=None) -> DataFrame:
+        return read_parquet(self.spark, self.path(layer, table), schema)
+
+    def write(self, df: DataFrame, layer: str, table: str) -> None:
+        write_sized(df, self.path(layer, table))
+
+
+# -- bronze ------------------------------------------------------------------
+
+def bronze_job(lay: Layout, table: str, source: DataFrame, entity: E.Entity | None = None,
+               end_mode: str = "instant") -> None:
+    """B-n: write the run window of a source table to ``bronze/<table>``."""
+    entity = entity or E.ENTITIES[table]
+    lay.write(E.bronze(source, entity, lay.start, lay.end, end_mode), "bronze", table)
+
+
+def bronze_from_jdbc(lay: Layout, table: str, url: str, properties: dict[str, str],
+                     num_partitions: int = jdbc.DEFAULT_PARTITIONS) -> None:
+    """B-n over JDBC: partitioned scan on the table's id, window pushed down."""
+    entity = E.ENTITIES[table]
+    src = jdbc.read_table(lay.spark, url, table, entity.id_col, properties,
+                          num_partitions=num_partitions)
+    bronze_job(lay, table, src, entity)
+
+
+# -- silver ------------------------------------------------------------------
+
+def silver_job(lay: Layout, table: str, entity: E.Entity | None = None) -> None:
+    """T-n: reports to ``reports/<table>_<report>``, cleaned rows to ``silver/<table>``."""
+    entity = entity or E.ENTITIES[table]
+    src = lay.read("bronze", table, BRONZE[table])
+    for report, rdf in E.silver_reports(src, entity).items():
+        rdf.coalesce(1).write.mode("overwrite").parquet(lay.path("reports", f"{table}_{report}"))
+    lay.write(E.silver(src, entity), "silver", table)
+
+
+def keyword_step(lay: Layout) -> None:
+    """Keywords and cleaned text: ``silver/{posts,comments}_keywords``."""
+    posts, comments = nlp.keyword_job(lay.read("silver", "posts"), lay.read("silver", "comments"))
+    lay.write(posts, "silver", "posts_keywords")
+    lay.write(comments, "silver", "comments_keywords")
+
+
+def sentiment_step(lay: Layout, model: PipelineModel | str) -> None:
+    """Scores from a fitted model (or a saved model's path): ``silver/*_scored``."""
+    if isinstance(model, str):
+        model = nlp.load_sentiment_model(model)
+    posts, comments = nlp.sentiment_job(lay.read("silver", "posts_keywords"),
+                                        lay.read("silver", "comments_keywords"), model)
+    lay.write(posts, "silver", "posts_scored")
+    lay.write(comments, "silver", "comments_scored")
+
+
+# -- gold ----------------------------------------------------------------------
+
+def _silver(lay: Layout) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    return (lay.read("silver", "users"), lay.read("silver", "posts_scored"),
+            lay.read("silver", "comments_scored"), lay.read("silver", "likes"))
+
 
+def daily_summary_job(lay: Layout) -> None:
+    _, posts, comments, likes = _silver(lay)
+    lay.write(gold.daily_summary(posts, comments, likes), "gold", "gold_daily_platform_summary")
+
+
+def post_performance_job(lay: Layout) -> None:
+    users, posts, comments, likes = _silver(lay)
+    lay.write(gold.post_performance(posts, users, likes, comments), "gold",
+              "gold_post_performance")
+
+
+def user_snapshot_job(lay: Layout, as_of: DateLike = None) -> None:
+    users, posts, comments, likes = _silver(lay)
+    lay.write(gold.user_snapshot(users, posts, comments, likes, as_of=as_of), "gold",
+              "gold_user_snapshot")
+
+
+def content_trends_job(lay: Layout) -> None:
+    _, posts, comments, _ = _silver(lay)
+    lay.write(gold.content_trends(posts, comments), "gold", "gold_daily_content_trends")
+
+
+# -- verify --------------------------------------------------------------------
+
+def verify_layer(lay: Layout, layer: str, tables: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Row count and NULL-key rows of each table of a layer."""
+    return quality.table_checks({t: (lay.read(layer, t), keys) for t, keys in tables.items()})
+
+
+def verify_gold(lay: Layout) -> DataFrame:
+    """V-1: row count and NULL-key rows per gold table."""
+    return verify_layer(lay, "gold", GOLD_TABLES)
+
+
+def verify_silver(lay: Layout) -> DataFrame:
+    """Row count and NULL ids of the silver entity tables."""
+    return verify_layer(lay, "silver", {t: (E.ENTITIES[t].id_col,) for t in ENTITY_NAMES})
+
+
+def gold_previews(lay: Layout) -> dict[str, DataFrame]:
+    """V-1 previews: chosen columns, first rows by key (a deterministic ``show``)."""
+    out = {}
+    for table, (cols, order, n) in GOLD_PREVIEWS.items():
+        df = lay.read("gold", table)
+        out[table] = quality.preview(df, list(cols or df.columns), list(order), n)
+    return out
+
+
+# -- whole run -------------------------------------------------------------------
 
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], base: str, start: str,
-                 end: str, as_of: DateLike = None, model: PipelineModel | None = None,
+                 end: str, as_of: DateLike = None, model: PipelineModel | str | None = None,
                  training: tuple[DataFrame, DataFrame] | None = None,
                  likes: E.Entity = E.LIKES_BY_ID, end_mode: str = "instant") -> DataFrame:
-    """Run every layer; return the gold checks table (rows and NULL keys per table).
+    """Run every step; return the gold checks table (rows and NULL keys per table).
 
     ``sources`` maps ``users / posts / comments / likes`` to source frames
     (JDBC scans from :mod:`strata.sources.jdbc`, or Parquet). Sentiment uses
-    ``model`` if given, else fits one on ``training = (documents, labels)``.
+    ``model`` (fitted, or a saved model's path) if given, else fits one on
+    ``training = (documents, labels)`` and saves it under ``models/``.
     """
-    def path(layer: str, table: str) -> str:
-        return layer_path(base, layer, start, end, table)
-
-    def read(layer: str, table: str) -> DataFrame:
-        return read_parquet(spark, path(layer, table))
-
+    lay = Layout(spark, base, start, end)
     entity_of = dict(E.ENTITIES, likes=likes)
-
-    # bronze
-    for name in ("users", "posts", "comments", "likes"):
-        df = E.bronze(sources[name], entity_of[name], start, end, end_mode)
-        write_sized(df, path("bronze", name))
-
-    # silver, with its quality reports stored next to it
-    for name in ("users", "posts", "comments", "likes"):
-        src = read_parquet(spark, path("bronze", name), BRONZE[name])
-        for report, rdf in E.silver_reports(src, entity_of[name]).items():
-            rdf.coalesce(1).write.mode("overwrite").parquet(path("reports", f"{name}_{report}"))
-        write_sized(E.silver(src, entity_of[name]), path("silver", name))
-
-    # keywords + cleaned text
-    posts_kw, comments_kw = nlp.keyword_job(read("silver", "posts"), read("silver", "comments"))
-    write_sized(posts_kw, path("silver", "posts_keywords"))
-    write_sized(comments_kw, path("silver", "comments_keywords"))
-
-    # sentiment
+    for name in ENTITY_NAMES:
+        bronze_job(lay, name, sources[name], entity_of[name], end_mode)
+    for name in ENTITY_NAMES:
+        silver_job(lay, name, entity_of[name])
+    keyword_step(lay)
     if model is None:
         if training is None:
             raise ValueError("need a fitted model or (documents, labels) to fit one")
-        model = nlp.train_sentiment(*training)
-    posts_s, comments_s = nlp.sentiment_job(read("silver", "posts_keywords"),
-                                            read("silver", "comments_keywords"), model)
-    write_sized(posts_s, path("silver", "posts_scored"))
-    write_sized(comments_s, path("silver", "comments_scored"))
-
-    # gold
-    users = read("silver", "users")
-    posts = read("silver", "posts_scored")
-    comments = read("silver", "comments_scored")
-    likes_df = read("silver", "likes")
-    reports = {
-        "gold_daily_platform_summary": gold.daily_summary(posts, comments, likes_df),
-        "gold_post_performance": gold.post_performance(posts, users, likes_df, comments),
-        "gold_user_snapshot": gold.user_snapshot(users, posts, comments, likes_df, as_of=as_of),
-        "gold_daily_content_trends": gold.content_trends(posts, comments),
-    }
-    for name, df in reports.items():
-        write_sized(df, path("gold", name))
-
-    # verify
-    return quality.table_checks({name: (read("gold", name), keys)
-                                 for name, keys in GOLD_TABLES.items()})
+        model = lay.path("models", "sentiment_nb")
+        nlp.train_sentiment(*training).write().overwrite().save(model)
+    sentiment_step(lay, model)
+    daily_summary_job(lay)
+    post_performance_job(lay)
+    user_snapshot_job(lay, as_of)
+    content_trends_job(lay)
+    return verify_gold(lay)

@@ -2,7 +2,7 @@
 
 from strata.fixtures import AS_OF, Fixture
 from strata.operators import nlp
-from strata.plans.pipeline import GOLD_TABLES, run_pipeline
+from strata.plans.pipeline import GOLD_TABLES, Layout, gold_previews, run_pipeline, verify_silver
 from strata.sources.parquet import layer_path
 
 from conftest import SF_SMALL
@@ -32,3 +32,16 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert report.first().invalid_email_count > 0
     assert nlp.TEXT_CLEAN in spark.read.parquet(
         layer_path(base, "silver", "2024-01-01", "2024-01-31", "posts_keywords")).columns
+    lay = Layout(spark, base, "2024-01-01", "2024-01-31")
+    previews = gold_previews(lay)
+    assert [r.trending_rank for r in previews["gold_daily_content_trends"].collect()][:3] == [1, 2, 3]
+    assert previews["gold_user_snapshot"].count() == 5
+    silver = {r.table_name: (r.row_count, r.null_key_rows) for r in verify_silver(lay).collect()}
+    assert silver["likes"][0] == likes_window_rows(f) and all(v[1] == 0 for v in silver.values())
+
+
+def likes_window_rows(f):
+    from pyspark.sql import functions as F
+    likes = f.likes()
+    return likes.where((F.col("created_at") >= "2024-01-01")
+                       & (F.col("created_at") <= "2024-01-31")).count()

@@ -8,9 +8,18 @@ parameters are the fixture's (FIXTURES.md section 3).
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-
-from ..fixtures import AS_OF, Fixture, duckdb_views
-from ..operators import gold
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..fixtures import (AS_OF, CHUNK_DAYS, CHUNK_ORIGIN, WINDOW_END, WINDOW_START, Fixture,
+                        duck_keywords, duckdb_views)
+from ..functions.columns import EMAIL_PATTERN
+from ..operators import chunks, gold, nlp, quality, shape
+from ..schemas import KEYWORDS_FIELD, POSTS, SENTIMENT_FIELD
+from ..session import scratch_path
+from ..sources import parquet as pq
+from ..sources import sinks
+from . import entities as E
 from .registry import register
 
 AS_OF_SQL = f"DATE '{AS_OF}'"
@@ -295,15 +304,6 @@ def q_gold_user_snapshot(spark, sf_dir):
 # Data quality (Q-1..Q-3, A-14, V-1)
 # ---------------------------------------------------------------------------
 
-from ..functions.columns import EMAIL_PATTERN  # noqa: E402
-from ..operators import chunks, nlp, quality, shape  # noqa: E402
-from ..schemas import SILVER_POSTS_COLUMNS  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import parquet as pq  # noqa: E402
-from ..sources import sinks  # noqa: E402
-from ..fixtures import (CHUNK_DAYS, CHUNK_ORIGIN, WINDOW_END, WINDOW_START,  # noqa: E402
-                        duck_keywords)
-from . import entities as E  # noqa: E402
 
 USER_COLUMNS = ["user_id", "username", "email", "password_hash", "full_name", "registration_date"]
 POST_COLUMNS = ["post_id", "user_id", "content", "created_at", "sentiment"]
@@ -417,8 +417,6 @@ def q_verify_gold(spark, sf_dir):
 SELECT post_id, user_id, content, created_at, CAST(NULL AS VARCHAR[]) AS keywords,
        CAST(sentiment AS DOUBLE) AS sentiment FROM posts""")
 def q_align_to_schema(spark, sf_dir):
-    from pyspark.sql import types as T
-    from ..schemas import KEYWORDS_FIELD, POSTS, SENTIMENT_FIELD
     silver_posts = T.StructType(POSTS.fields + [KEYWORDS_FIELD, SENTIMENT_FIELD])
     return shape.align_to_schema(fx(spark, sf_dir).posts(), silver_posts)
 
@@ -496,8 +494,6 @@ def q_silver_likes_by_id(spark, sf_dir):
 @register("src_parquet", oracle="""
 SELECT event_id, ts, user_id FROM events WHERE event_type = 'click'""")
 def q_src_parquet(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
     events = T.StructType([
         T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
@@ -533,7 +529,6 @@ SELECT {_CHUNK_FOLDER} AS chunk_start, count(*) AS records,
        min(created_at) AS first_at, max(created_at) AS last_at
 FROM posts GROUP BY 1""")
 def q_sink_chunked(spark, sf_dir):
-    from pyspark.sql import functions as F
     out = scratch_path(spark, "sink_chunked")
     sinks.write_chunked(fx(spark, sf_dir).posts(), out, CHUNK_ORIGIN, CHUNK_DAYS)
     back = sinks.read_chunked(spark, out)
@@ -672,7 +667,6 @@ SELECT {_CHUNK_FOLDER} AS chunk_start, count(*) AS records,
        min(created_at) AS first_at, max(created_at) AS last_at
 FROM posts GROUP BY 1""")
 def q_stream_chunk_ingest(spark, sf_dir):
-    from pyspark.sql import functions as F
     from ..streaming.chunk_ingest import ingest_chunks, parquet_sink
     posts = fx(spark, sf_dir).posts()
     root = scratch_path(spark, "stream_chunk_ingest")

@@ -45,3 +45,20 @@ def likes_window_rows(f):
     likes = f.likes()
     return likes.where((F.col("created_at") >= "2024-01-01")
                        & (F.col("created_at") <= "2024-01-31")).count()
+
+
+def test_cli_steps(spark, tmp_path, capsys):
+    from strata.__main__ import main
+    f = Fixture(spark, SF_SMALL)
+    src = tmp_path / "src"
+    f.users().write.parquet(str(src / "users"))
+    f.likes().write.parquet(str(src / "likes"))
+    common = ["--base", str(tmp_path / "lake"), "--start", "2024-01-01", "--end", "2024-01-15"]
+    main(["bronze", "--source-dir", str(src), "--table", "users", "--table", "likes"] + common)
+    main(["silver", "--table", "users", "--table", "likes"] + common)
+    lay = Layout(spark, str(tmp_path / "lake"), "2024-01-01", "2024-01-15")
+    bronze_likes = lay.read("bronze", "likes")
+    assert bronze_likes.count() < f.likes().count()
+    # reference key: one like per user survives
+    assert lay.read("silver", "likes").count() == bronze_likes.select("user_id").distinct().count()
+    assert lay.read("reports", "users_email").first().invalid_email_count > 0

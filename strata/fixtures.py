@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import KEYWORD_GROUPS, keyword_group_col
+from .operators.joins import broadcast_if_bounded
 
 # Fixed values of the fixture mapping.
 AS_OF = _dt.date(2024, 2, 1)
@@ -90,11 +91,14 @@ class Fixture:
         commentable = self._post_modulus(3, 5)
         events = self.table("events").where(F.col("event_type").isin("purchase", "signup"))
         # conv_id must equal event_id % 20, which lies strictly between -20 and
-        # 20: the filter is implied by the join key and bounds the joined side.
-        first_turns = (self.table("conversations")
-                       .where((F.col("turn") == 1) & (F.col("conv_id") > -20)
-                              & (F.col("conv_id") < 20))
-                       .select("conv_id", "text"))
+        # 20: the filter is implied by the join key and leaves the first turns
+        # of at most 39 conversations. The join key has at most 39 values, so
+        # a shuffle join would crowd all events into 39 partitions; the side
+        # is broadcast once its size is checked.
+        first_turns = broadcast_if_bounded(
+            self.table("conversations")
+            .where((F.col("turn") == 1) & (F.col("conv_id") > -20) & (F.col("conv_id") < 20))
+            .select("conv_id", "text"))
         joined = events.join(first_turns,
                              first_turns["conv_id"] == events["event_id"] % 20, "left")
         return joined.select(

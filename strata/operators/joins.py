@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    For a join side that is small because of a selective filter the planner
+    cannot size (its static estimate is the unfiltered scan). The check is
+    one bounded job: it counts at most ``max_rows + 1`` rows. Beyond the
+    bound the join is left to the planner and AQE (sort-merge with skew
+    splitting).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

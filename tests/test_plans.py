@@ -26,10 +26,17 @@ def test_plan_has_no_slow_or_unbounded_nodes(spark, name):
 
 
 def test_gold_has_no_forced_broadcast(spark):
-    for name in ["gold_post_performance", "gold_user_snapshot", "gold_daily_summary"]:
-        df = QUERIES[name](spark, SF_SMALL)
-        logical = df._jdf.queryExecution().logical().toString()
-        assert "BROADCAST" not in logical.upper().replace("BROADCASTEXCHANGE", "")
+    from strata.operators import gold
+    posts = spark.createDataFrame([], "post_id int, user_id int, content string, "
+                                      "created_at timestamp, sentiment double")
+    comments = spark.createDataFrame([], "comment_id int, post_id int, user_id int, "
+                                         "created_at timestamp, sentiment double")
+    likes = spark.createDataFrame([], "like_id int, post_id int, user_id int, created_at timestamp")
+    users = spark.createDataFrame([], "user_id int, username string, registration_date date")
+    for df in [gold.post_performance(posts, users, likes, comments),
+               gold.user_snapshot(users, posts, comments, likes),
+               gold.daily_summary(posts, comments, likes)]:
+        assert "BROADCAST" not in df._jdf.queryExecution().logical().toString().upper()
 
 
 def test_scan_prunes_text_column(spark):
@@ -48,3 +55,27 @@ def test_user_aggregates_join_without_reshuffle(spark):
     # users is shuffled once on user_id; each per-user aggregate is shuffled
     # once (by its own aggregation) and joined as is
     assert plan.count("hashpartitioning(user_id") == 4
+
+
+def test_broadcast_if_bounded(spark):
+    from strata.operators.joins import broadcast_if_bounded
+    small = spark.range(10)
+    big = spark.range(1000)
+    hinted = spark.range(100).join(broadcast_if_bounded(small, 50), "id")
+    assert "BroadcastHashJoin" in _plan(hinted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = spark.range(100).join(broadcast_if_bounded(big, 50), "id")
+        assert "BroadcastHashJoin" not in _plan(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_fixture_lookup_join_is_broadcast_without_threshold(spark):
+    from strata.fixtures import Fixture
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(Fixture(spark, SF_SMALL).comments())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning((event_id" not in plan

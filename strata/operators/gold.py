@@ -295,6 +295,8 @@ def segment_col(as_of: DateLike = None) -> Column:
 def user_segment(users: DataFrame, posts: DataFrame, comments: DataFrame, likes: DataFrame,
                  as_of: DateLike = None) -> DataFrame:
     """The segment rule alone: ``user_id, account_age_days, last_active_date, user_segment``."""
+    if "registration_date" not in users.columns:
+        users = users.withColumn("registration_date", F.lit(None).cast("date"))
     age = F.coalesce(F.datediff(as_of_date(as_of), F.col("registration_date")), F.lit(0))
     return (users.select("user_id", "registration_date")
             .join(last_activity(posts, comments, likes), "user_id", "left")
@@ -336,6 +338,9 @@ def user_snapshot(users: DataFrame, posts: DataFrame, comments: DataFrame, likes
         F.count(F.lit(1)).alias("total_likes_given"),
         F.max("created_at").alias("_last_like"),
     )
+    if "registration_date" not in users.columns:
+        # DDL-shaped users carry no registration date: unknown, so age 0
+        users = users.withColumn("registration_date", F.lit(None).cast("date"))
     user_cols = [c for c in users.columns if c not in drop_columns]
     snap = (users.select(*user_cols)
             .join(by_posts, "user_id", "left")

@@ -492,14 +492,13 @@ def q_silver_likes_by_id(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 @register("src_parquet", oracle="""
-SELECT event_id, ts, user_id FROM events WHERE event_type = 'click'""")
+SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def q_src_parquet(spark, sf_dir):
     events = T.StructType([
         T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
-    df = pq.read_parquet(spark, f"{sf_dir.rstrip('/')}/events.parquet", events)
-    return df.where(F.col("event_type") == "click").select("event_id", "ts", "user_id")
+    return pq.read_parquet(spark, f"{sf_dir.rstrip('/')}/events.parquet", events)
 
 
 @register("src_date_window", oracle=duckdb_views("likes") + f"""

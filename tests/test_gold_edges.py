@@ -137,3 +137,13 @@ def test_last_30_days_boundary(spark):
                            (2, 1, "p", D(2024, 1, 1, 23, 59), None)])  # out
     snap = gold.user_snapshot(users, posts, _comments(spark, []), _likes(spark, []), as_of=as_of)
     assert snap.first().posts_in_last_30_days == 1
+
+
+def test_user_snapshot_without_registration_column(spark):
+    users = spark.createDataFrame([(1, "a", "e", "h", "n")],
+                                  "user_id int, username string, email string, "
+                                  "password_hash string, full_name string")
+    snap = gold.user_snapshot(users, _posts(spark, []), _comments(spark, []), _likes(spark, []),
+                              as_of=dt.date(2024, 2, 1))
+    r = snap.first()
+    assert r.account_age_days == 0 and r.user_segment == "New User" and r.registration_date is None

@@ -15,12 +15,15 @@ Nothing here starts a database; pass the URL of one you run.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.shape import date_window
 
 DEFAULT_PARTITIONS = 8
+log = logging.getLogger(__name__)
 
 
 def key_bounds(spark: SparkSession, url: str, table: str, column: str,
@@ -52,6 +55,8 @@ def read_table(spark: SparkSession, url: str, table: str, column: str,
         df = spark.read.jdbc(url=url, table=table, column=column, lowerBound=int(lower_bound),
                              upperBound=int(upper_bound) + 1, numPartitions=num_partitions,
                              properties=properties)
+    if start and end and time_column not in df.columns:
+        log.warning("table %s has no %s column; reading it whole", table, time_column)
     return date_window(df, start, end, column=time_column, end_mode=end_mode)
 
 

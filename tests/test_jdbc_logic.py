@@ -88,3 +88,11 @@ def test_write_table_options():
     assert g.log["mode"] == "overwrite"
     assert g.log["options"] == {"batchsize": 1000, "createTableColumnTypes": "content CLOB",
                                 "truncate": "true", "cascadeTruncate": "true"}
+
+
+def test_read_table_warns_without_time_column(spark, caplog):
+    users = spark.createDataFrame([(1,)], "user_id int")
+    with caplog.at_level("WARNING"):
+        jdbc.read_table(_Session(spark, users, []), "jdbc:x", "users", "user_id", {},
+                        start="2024-01-01", end="2024-01-31", lower_bound=1, upper_bound=9)
+    assert "has no created_at column" in caplog.text

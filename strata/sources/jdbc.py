@@ -20,7 +20,9 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.shape import date_window
+from pyspark.sql import types as T
+
+from ..operators.shape import align_to_schema, date_window, drop_null_key
 
 DEFAULT_PARTITIONS = 8
 log = logging.getLogger(__name__)
@@ -81,6 +83,18 @@ def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
     writer.jdbc(url=url, table=table, properties=properties)
 
 
+def load_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
+               schema: T.StructType | None = None, clear_first: bool = False,
+               batch_size: int = 1000) -> None:
+    """S-6 + P-6 + C-1: align to the table's columns, drop rows whose key
+    (the first column) is NULL, then insert in batches (optionally emptying
+    the table first)."""
+    if schema is not None:
+        df = align_to_schema(df, schema)
+    write_table(drop_null_key(df), url, table, properties, batch_size=batch_size,
+                truncate_first=clear_first)
+
+
 def table_counts(spark: SparkSession, url: str, tables: list[str],
                  properties: dict[str, str]) -> DataFrame:
     """``table_name, row_count`` per table; each count runs in the database."""

@@ -96,3 +96,20 @@ def test_read_table_warns_without_time_column(spark, caplog):
         jdbc.read_table(_Session(spark, users, []), "jdbc:x", "users", "user_id", {},
                         start="2024-01-01", end="2024-01-31", lower_bound=1, upper_bound=9)
     assert "has no created_at column" in caplog.text
+
+
+def test_load_table_aligns_and_drops_null_keys(spark, monkeypatch):
+    from strata.schemas import LIKES
+    seen = {}
+
+    def fake_write(df, url, table, properties, batch_size=1000, truncate_first=False, **kw):
+        seen.update(rows=sorted(map(tuple, df.collect())), cols=df.columns,
+                    truncate=truncate_first, table=table)
+
+    monkeypatch.setattr(jdbc, "write_table", fake_write)
+    src = spark.createDataFrame([(1, 10, 5, D(2024, 1, 1), 0), (None, 11, 6, D(2024, 1, 2), 1)],
+                                "like_id int, post_id int, user_id int, created_at timestamp, "
+                                "label int")
+    jdbc.load_table(src, "jdbc:x", "likes", {}, schema=LIKES, clear_first=True)
+    assert seen["cols"] == ["like_id", "post_id", "user_id", "created_at"]
+    assert seen["rows"] == [(1, 10, 5, D(2024, 1, 1))] and seen["truncate"] is True

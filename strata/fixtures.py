@@ -36,6 +36,7 @@ class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._first_turns: DataFrame | None = None
         # The fixture's days are defined in UTC (the oracle's naive timestamps).
         if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -95,10 +96,12 @@ class Fixture:
         # of at most 39 conversations. The join key has at most 39 values, so
         # a shuffle join would crowd all events into 39 partitions; the side
         # is broadcast once its size is checked.
-        first_turns = broadcast_if_bounded(
-            self.table("conversations")
-            .where((F.col("turn") == 1) & (F.col("conv_id") > -20) & (F.col("conv_id") < 20))
-            .select("conv_id", "text"))
+        if self._first_turns is None:
+            self._first_turns = broadcast_if_bounded(
+                self.table("conversations")
+                .where((F.col("turn") == 1) & (F.col("conv_id") > -20) & (F.col("conv_id") < 20))
+                .select("conv_id", "text"))
+        first_turns = self._first_turns
         joined = events.join(first_turns,
                              first_turns["conv_id"] == events["event_id"] % 20, "left")
         return joined.select(

@@ -348,10 +348,7 @@ def user_snapshot(users: DataFrame, posts: DataFrame, comments: DataFrame, likes
             .withColumn("last_active_date",
                         F.greatest("_last_post", "_last_comment", "_last_like"))
             .withColumn("account_age_days", F.datediff(today, F.col("registration_date"))))
-    numeric = [f.name for f in snap.schema.fields
-               if f.dataType.typeName() in ("integer", "long", "double", "float", "short",
-                                            "byte", "decimal")]
-    snap = snap.fillna(0, subset=numeric)
+    snap = snap.fillna(0)  # numeric columns only; dates and timestamps keep their NULLs
     metrics = ["total_posts_per_user", "positive_post_ratio", "posts_in_last_30_days",
                "total_comments_given", "comments_in_last_30_days", "total_likes_given",
                "total_comments_received", "total_likes_received", "avg_likes_per_post",

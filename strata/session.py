@@ -61,6 +61,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not str(sc.master).startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share; "
+                           "a driver-local scratch folder is not visible to them")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

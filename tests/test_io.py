@@ -86,6 +86,7 @@ def test_shared_dir_without_configured_checkpoint(tmp_path, monkeypatch):
 
     class Ctx:
         dir = None
+        master = "local[2]"
 
         def getCheckpointDir(self):
             return self.dir
@@ -103,3 +104,25 @@ def test_shared_dir_without_configured_checkpoint(tmp_path, monkeypatch):
     assert first == f"file:{tmp_path}/ck/abc"
     assert session.shared_dir(s) == first
     assert session.scratch_path(s, "x").startswith(first + "/strata/x/")
+
+
+def test_shared_dir_refuses_local_fallback_on_cluster():
+    import pytest
+    from strata import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

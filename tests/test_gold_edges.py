@@ -147,3 +147,20 @@ def test_user_snapshot_without_registration_column(spark):
                               as_of=dt.date(2024, 2, 1))
     r = snap.first()
     assert r.account_age_days == 0 and r.user_segment == "New User" and r.registration_date is None
+
+
+def test_segment_boundaries(spark):
+    as_of = dt.date(2024, 2, 1)
+    old = as_of - dt.timedelta(days=300)
+    users = _users(spark, [(i, "u", "e", "h", "n", old) for i in range(1, 6)])
+    d90 = D(2023, 11, 3)            # as_of - 90 days, midnight
+    d30 = D(2024, 1, 2)             # as_of - 30 days, midnight
+    likes = _likes(spark, [
+        (1, 1, 1, d90),                                   # exactly 90 days: At Risk
+        (2, 1, 2, d90 - dt.timedelta(seconds=1)),         # just over 90 days: Churned
+        (3, 1, 3, d30),                                   # exactly 30 days: Casual
+        (4, 1, 4, d30 - dt.timedelta(seconds=1)),         # just over 30 days: At Risk
+    ])
+    out = {r.user_id: r.user_segment for r in gold.user_segment(
+        users, _posts(spark, []), _comments(spark, []), likes, as_of=as_of).collect()}
+    assert out == {1: "At Risk", 2: "Churned", 3: "Casual User", 4: "At Risk", 5: "Casual User"}

@@ -354,9 +354,9 @@ def q_dedup(spark, sf_dir):
 
 
 @register("dq_email", oracle=duckdb_views("users") + f"""
-SELECT count_if(regexp_matches(email, {EMAIL_SQL})) AS valid_email_count,
-       count_if(NOT regexp_matches(email, {EMAIL_SQL})) AS invalid_email_count,
-       count_if(email IS NULL) AS null_email_count,
+SELECT CAST(count_if(regexp_matches(email, {EMAIL_SQL})) AS BIGINT) AS valid_email_count,
+       CAST(count_if(NOT regexp_matches(email, {EMAIL_SQL})) AS BIGINT) AS invalid_email_count,
+       CAST(count_if(email IS NULL) AS BIGINT) AS null_email_count,
        count(*) AS total_count,
        CASE WHEN count(*) > 0 THEN count_if(NOT regexp_matches(email, {EMAIL_SQL})) / count(*)
             ELSE 0.0 END AS invalid_email_ratio
@@ -390,10 +390,13 @@ days AS (SELECT DISTINCT CAST(created_at AS DATE) AS d FROM (
 kw AS (SELECT DISTINCT CAST(created_at AS DATE) AS d, unnest(keywords) AS k FROM posts_kw
        UNION SELECT DISTINCT CAST(created_at AS DATE), unnest(keywords) FROM comments_kw)
 SELECT 'gold_daily_platform_summary' AS table_name, count(*) AS row_count,
-       count_if(d IS NULL) AS null_key_rows FROM days
-UNION ALL SELECT 'gold_post_performance', count(*), count_if(post_id IS NULL) FROM posts
-UNION ALL SELECT 'gold_user_snapshot', count(*), count_if(user_id IS NULL) FROM users
-UNION ALL SELECT 'gold_daily_content_trends', count(*), count_if(d IS NULL OR k IS NULL) FROM kw""")
+       CAST(count_if(d IS NULL) AS BIGINT) AS null_key_rows FROM days
+UNION ALL SELECT 'gold_post_performance', count(*), CAST(count_if(post_id IS NULL) AS BIGINT)
+          FROM posts
+UNION ALL SELECT 'gold_user_snapshot', count(*), CAST(count_if(user_id IS NULL) AS BIGINT)
+          FROM users
+UNION ALL SELECT 'gold_daily_content_trends', count(*),
+                 CAST(count_if(d IS NULL OR k IS NULL) AS BIGINT) FROM kw""")
 def q_verify_gold(spark, sf_dir):
     f = fx(spark, sf_dir)
     posts, comments, likes, users = f.posts(), f.comments(), f.likes(), f.users()

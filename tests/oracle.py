@@ -29,9 +29,18 @@ def canon(rows, cols):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+                 "float": "FLOAT", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
+
+
 def compare(spark, con, build, sql, sf_dir):
     df = build(spark, sf_dir)
     cols = df.columns
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     got = canon([tuple(r) for r in df.collect()], cols)
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]

@@ -4,8 +4,8 @@
     python -m strata <step> ...
 
 Steps: bronze, silver, keywords, train-sentiment, sentiment, daily-summary,
-post-performance, user-snapshot, content-trends, verify-gold, verify-silver,
-preview-gold. ``bronze`` reads either a JDBC source (``--jdbc-url``; the
+post-performance, user-snapshot, content-trends, verify-bronze, verify-silver,
+verify-gold, preview-gold. ``bronze`` reads either a JDBC source (``--jdbc-url``; the
 password comes from the environment variable named by ``--jdbc-password-env``)
 or Parquet tables below ``--source-dir/<table>``.
 """
@@ -21,8 +21,8 @@ from .plans.entities import ENTITIES
 from .session import build_session
 
 STEPS = ["bronze", "silver", "keywords", "train-sentiment", "sentiment", "daily-summary",
-         "post-performance", "user-snapshot", "content-trends", "verify-gold", "verify-silver",
-         "preview-gold"]
+         "post-performance", "user-snapshot", "content-trends", "verify-bronze", "verify-silver",
+         "verify-gold", "preview-gold"]
 
 
 def _args(argv=None):
@@ -89,6 +89,8 @@ def main(argv=None) -> None:
         P.content_trends_job(lay)
     elif a.step == "verify-gold":
         P.verify_gold(lay).show(truncate=False)
+    elif a.step == "verify-bronze":
+        P.verify_bronze(lay).show(truncate=False)
     elif a.step == "verify-silver":
         P.verify_silver(lay).show(truncate=False)
     elif a.step == "preview-gold":

@@ -150,6 +150,11 @@ def verify_gold(lay: Layout) -> DataFrame:
     return verify_layer(lay, "gold", GOLD_TABLES)
 
 
+def verify_bronze(lay: Layout) -> DataFrame:
+    """Row count and NULL ids of the bronze entity tables."""
+    return verify_layer(lay, "bronze", {t: (E.ENTITIES[t].id_col,) for t in ENTITY_NAMES})
+
+
 def verify_silver(lay: Layout) -> DataFrame:
     """Row count and NULL ids of the silver entity tables."""
     return verify_layer(lay, "silver", {t: (E.ENTITIES[t].id_col,) for t in ENTITY_NAMES})

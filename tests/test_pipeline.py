@@ -2,7 +2,8 @@
 
 from strata.fixtures import AS_OF, Fixture
 from strata.operators import nlp
-from strata.plans.pipeline import GOLD_TABLES, Layout, gold_previews, run_pipeline, verify_silver
+from strata.plans.pipeline import (GOLD_TABLES, Layout, gold_previews, run_pipeline,
+                                   verify_bronze, verify_silver)
 from strata.sources.parquet import layer_path
 
 from conftest import SF_SMALL
@@ -36,7 +37,9 @@ def test_pipeline_end_to_end(spark, tmp_path):
     previews = gold_previews(lay)
     assert [r.trending_rank for r in previews["gold_daily_content_trends"].collect()][:3] == [1, 2, 3]
     assert previews["gold_user_snapshot"].count() == 5
+    bronze = {r.table_name: r.row_count for r in verify_bronze(lay).collect()}
     silver = {r.table_name: (r.row_count, r.null_key_rows) for r in verify_silver(lay).collect()}
+    assert silver["users"][0] < bronze["users"]
     assert silver["likes"][0] == likes_window_rows(f) and all(v[1] == 0 for v in silver.values())
 
 

@@ -60,13 +60,17 @@ def daily_likes(likes: DataFrame) -> DataFrame:
 
 
 KINDS = ("post", "comment", "like")
+# kind travels as a one-byte code: it is part of a shuffle key
+KIND_CODE = {k: i for i, k in enumerate(KINDS)}
 
 
 def activity_feed(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> DataFrame:
-    """One narrow row per event: ``report_date, kind, item_id, user_id, sentiment``."""
+    """One narrow row per event: ``report_date, kind, item_id, user_id, sentiment``;
+    ``kind`` is the code of :data:`KIND_CODE`."""
     def side(df: DataFrame, kind: str, id_col: str, has_sentiment: bool) -> DataFrame:
         sentiment = F.col("sentiment").cast("double") if has_sentiment else F.lit(None).cast("double")
-        return df.select(report_date().alias("report_date"), F.lit(kind).alias("kind"),
+        return df.select(report_date().alias("report_date"),
+                         F.lit(KIND_CODE[kind]).cast("tinyint").alias("kind"),
                          F.col(id_col).cast("long").alias("item_id"),
                          F.col("user_id"), sentiment.alias("sentiment"))
 
@@ -75,6 +79,10 @@ def activity_feed(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> Da
             .unionByName(side(likes, "like", "like_id", False)))
 
 
+def _kind(col: str, kind: str) -> Column:
+    return F.col(col) == F.lit(KIND_CODE[kind]).cast("tinyint")
+
+
 def daily_active_users(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> DataFrame:
     """Distinct users per day over posts, comments and likes."""
     feed = activity_feed(posts, comments, likes)
@@ -109,15 +117,15 @@ def daily_summary(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> Da
     first = keyed.groupBy("report_date", "branch", "item_kind", "key").agg(
         F.count_if(_is("sentiment", POSITIVE)).alias("pos"),
         F.count_if(_is("sentiment", NEGATIVE)).alias("neg"),
-        *[F.max(F.col("kind") == k).alias(f"is_{k}") for k in KINDS])
+        *[F.max(_kind("kind", k)).alias(f"is_{k}") for k in KINDS])
 
     item = ~by_user & F.col("key").isNotNull()
 
     def items(kind: str) -> Column:
-        return F.count_if(item & (F.col("item_kind") == kind))
+        return F.count_if(item & _kind("item_kind", kind))
 
     def sentiment(kind: str, col: str) -> Column:
-        return F.coalesce(F.sum(F.when(~by_user & (F.col("item_kind") == kind), F.col(col))),
+        return F.coalesce(F.sum(F.when(~by_user & _kind("item_kind", kind), F.col(col))),
                           F.lit(0))
 
     def actors(kind: str) -> Column:
@@ -215,15 +223,15 @@ def content_trends(posts: DataFrame, comments: DataFrame) -> DataFrame:
     is deterministic. The window partitions the aggregated rows by day, so a
     partition holds one row per keyword of that day, not its events.
     """
-    def mentions(df: DataFrame, kind: str) -> DataFrame:
+    def mentions(df: DataFrame, in_post: bool) -> DataFrame:
         return df.select(report_date().alias("report_date"),
                          F.explode("keywords").alias("topic_or_keyword"),
-                         F.lit(kind).alias("kind"))
+                         F.lit(in_post).alias("in_post"))
 
-    counted = (mentions(posts, "post").unionByName(mentions(comments, "comment"))
+    counted = (mentions(posts, True).unionByName(mentions(comments, False))
                .groupBy("report_date", "topic_or_keyword")
-               .agg(F.count_if(F.col("kind") == "post").alias("mention_count_in_posts"),
-                    F.count_if(F.col("kind") == "comment").alias("mention_count_in_comments")))
+               .agg(F.count_if(F.col("in_post")).alias("mention_count_in_posts"),
+                    F.count_if(~F.col("in_post")).alias("mention_count_in_comments")))
     rank_window = Window.partitionBy("report_date").orderBy(
         F.desc("total_mentions"), F.asc("topic_or_keyword"))
     return (counted

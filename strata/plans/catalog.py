@@ -601,14 +601,14 @@ def q_keywords_comments(spark, sf_dir):
     return nlp.tag_keywords(fx(spark, sf_dir).comments().select("comment_id"), "comment_id")
 
 
-_MODELS: dict[tuple[int, str], object] = {}
+_MODELS: dict[tuple[str, str], object] = {}
 
 
 def sentiment_model(spark, sf_dir: str):
     """Fit once per session and scale factor on documents x labels; the model
     is saved to the shared folder and loaded back from there."""
     from pyspark.ml import PipelineModel
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         f = fx(spark, sf_dir)
         model = nlp.train_sentiment(f.table("documents"), f.table("labels"))

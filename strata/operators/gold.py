@@ -21,6 +21,7 @@ from ..functions.columns import (DateLike, as_of_date, flag, minutes_between, re
                                  safe_ratio)
 from ..schemas import (GOLD_CONTENT_TRENDS_COLUMNS, GOLD_DAILY_SUMMARY_COLUMNS,
                        GOLD_POST_PERFORMANCE_COLUMNS)
+from .joins import DEFAULT_MAX_ROWS, has_at_most
 
 POSITIVE = 1
 NEGATIVE = 0
@@ -178,21 +179,43 @@ def first_engagement(likes: DataFrame, comments: DataFrame) -> DataFrame:
 
 
 def post_performance(posts: DataFrame, users: DataFrame, likes: DataFrame,
-                     comments: DataFrame) -> DataFrame:
+                     comments: DataFrame, broadcast_users_max_rows: int = DEFAULT_MAX_ROWS
+                     ) -> DataFrame:
     """G-2 ``gold_post_performance``: one row per post row.
 
-    Likes and comments are each aggregated once (first time and count
-    together). The two post-grained aggregates join posts on ``post_id`` so
-    they share one partitioning; ``username`` joins last on ``user_id``.
-    Totals stay NULL for posts without engagement.
+    Likes and comments are each aggregated once per post (first time and
+    count together). Totals stay NULL for posts without engagement.
+
+    The post rows carry the post text, the widest column of the job, so the
+    plan shuffles them once:
+
+    * when ``users (user_id, username)`` has at most
+      ``broadcast_users_max_rows`` rows (one bounded count), it is broadcast
+      and posts are shuffled only by ``post_id`` to meet the engagement
+      aggregates;
+    * otherwise ``username`` and the engagement figures are first resolved on
+      the narrow ``(post_id, user_id)`` pairs of the posts, and the posts join
+      that result once on ``(post_id, user_id)`` (NULL-safe), instead of being
+      shuffled by ``post_id`` and again by ``user_id``.
     """
     lk = engagement_by_post(likes, "like")
     cm = engagement_by_post(comments, "comment")
     names = users.select("user_id", "username")
-    perf = (posts.select("post_id", "user_id", "content", "created_at", "sentiment")
-            .join(lk, "post_id", "left")
-            .join(cm, "post_id", "left")
-            .join(names, "user_id", "left"))
+    rows = posts.select("post_id", "user_id", "content", "created_at", "sentiment")
+    if has_at_most(names, broadcast_users_max_rows):
+        perf = (rows.join(F.broadcast(names), "user_id", "left")
+                .join(lk, "post_id", "left")
+                .join(cm, "post_id", "left"))
+    else:
+        facts = (rows.select("post_id", "user_id").distinct()
+                 .join(names, "user_id", "left")
+                 .join(lk, "post_id", "left")
+                 .join(cm, "post_id", "left")
+                 .withColumnRenamed("post_id", "_post_id")
+                 .withColumnRenamed("user_id", "_user_id"))
+        on = (rows["post_id"].eqNullSafe(facts["_post_id"])
+              & rows["user_id"].eqNullSafe(facts["_user_id"]))
+        perf = rows.join(facts, on, "left")
     return perf.select(
         "post_id",
         F.to_date("created_at").alias("created_date"),

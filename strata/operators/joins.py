@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 100_000
 
 
+def has_at_most(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
@@ -17,5 +22,4 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> Dat
     bound the join is left to the planner and AQE (sort-merge with skew
     splitting).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df

@@ -33,10 +33,18 @@ def test_gold_has_no_forced_broadcast(spark):
                                          "created_at timestamp, sentiment double")
     likes = spark.createDataFrame([], "like_id int, post_id int, user_id int, created_at timestamp")
     users = spark.createDataFrame([], "user_id int, username string, registration_date date")
-    for df in [gold.post_performance(posts, users, likes, comments),
-               gold.user_snapshot(users, posts, comments, likes),
-               gold.daily_summary(posts, comments, likes)]:
-        assert "BROADCAST" not in df._jdf.queryExecution().logical().toString().upper()
+    def hinted(df):
+        return "BROADCAST" in df._jdf.queryExecution().logical().toString().upper()
+
+    assert not hinted(gold.user_snapshot(users, posts, comments, likes))
+    assert not hinted(gold.daily_summary(posts, comments, likes))
+    # post performance broadcasts the users projection only within its checked bound
+    five = spark.createDataFrame([(i, "u", None) for i in range(5)],
+                                 "user_id int, username string, registration_date date")
+    assert hinted(gold.post_performance(posts, five, likes, comments,
+                                        broadcast_users_max_rows=5))
+    assert not hinted(gold.post_performance(posts, five, likes, comments,
+                                            broadcast_users_max_rows=4))
 
 
 def test_scan_prunes_text_column(spark):

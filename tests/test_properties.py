@@ -112,7 +112,9 @@ def test_post_performance_and_trends_equal_join_form(spark, d):
     posts = s["posts"].withColumn("content", s["posts"]["post_id"].cast("string"))
     con.execute("CREATE VIEW posts_c AS SELECT *, CAST(post_id AS VARCHAR) AS content FROM posts")
     body = catalog.GOLD_POST_PERFORMANCE_BODY.replace("FROM posts p", "FROM posts_c p")
-    _check(con, body, gold.post_performance(posts, s["users"], s["likes"], s["comments"]))
+    for max_rows in (100_000, 0):   # users broadcast / narrow-pairs plan
+        _check(con, body, gold.post_performance(posts, s["users"], s["likes"], s["comments"],
+                                                broadcast_users_max_rows=max_rows))
     _check(con, catalog.GOLD_CONTENT_TRENDS_BODY, gold.content_trends(posts, s["comments"]))
 
 

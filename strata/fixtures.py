@@ -15,9 +15,10 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .functions.text import KEYWORD_GROUPS, keyword_group_col
-from .operators.joins import broadcast_if_bounded
+from .operators.joins import has_at_most
 
 # Fixed values of the fixture mapping.
 AS_OF = _dt.date(2024, 2, 1)
@@ -29,6 +30,12 @@ WINDOW_END = "2024-01-15"
 CHUNK_ORIGIN = "2024-01-08"
 CHUNK_DAYS = 7
 
+# The test tables are read-only. Each file's footer schema is read once per
+# process and later reads declare it (no footer pass per query build), and
+# the size check of the conversations lookup runs once per dataset.
+_SCHEMAS: dict[str, StructType] = {}
+_LOOKUP_BOUNDED: dict[str, bool] = {}
+
 
 class Fixture:
     """Lazy social tables over one scale-factor directory."""
@@ -36,13 +43,18 @@ class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self._first_turns: DataFrame | None = None
         # The fixture's days are defined in UTC (the oracle's naive timestamps).
         if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        schema = _SCHEMAS.get(path)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     # -- bronze-shaped tables -------------------------------------------------
     def users(self) -> DataFrame:
@@ -96,12 +108,14 @@ class Fixture:
         # of at most 39 conversations. The join key has at most 39 values, so
         # a shuffle join would crowd all events into 39 partitions; the side
         # is broadcast once its size is checked.
-        if self._first_turns is None:
-            self._first_turns = broadcast_if_bounded(
-                self.table("conversations")
-                .where((F.col("turn") == 1) & (F.col("conv_id") > -20) & (F.col("conv_id") < 20))
-                .select("conv_id", "text"))
-        first_turns = self._first_turns
+        first_turns = (self.table("conversations")
+                       .where((F.col("turn") == 1) & (F.col("conv_id") > -20)
+                              & (F.col("conv_id") < 20))
+                       .select("conv_id", "text"))
+        if self.sf_dir not in _LOOKUP_BOUNDED:
+            _LOOKUP_BOUNDED[self.sf_dir] = has_at_most(first_turns)
+        if _LOOKUP_BOUNDED[self.sf_dir]:
+            first_turns = F.broadcast(first_turns)
         joined = events.join(first_turns,
                              first_turns["conv_id"] == events["event_id"] % 20, "left")
         return joined.select(

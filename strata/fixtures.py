@@ -27,6 +27,10 @@ POST_TIME_STRIDE = 104729
 POST_TIME_SPAN = 10368000          # 120 days in seconds
 WINDOW_START = "2024-01-01"
 WINDOW_END = "2024-01-15"
+# A run window that holds the whole fixture: posts lie in the 120 days from
+# 2023-10-04, events in January 2024.
+FULL_START = "2023-10-01"
+FULL_END = "2024-03-01"
 CHUNK_ORIGIN = "2024-01-08"
 CHUNK_DAYS = 7
 

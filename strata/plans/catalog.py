@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fixtures import (AS_OF, CHUNK_DAYS, CHUNK_ORIGIN, WINDOW_END, WINDOW_START, Fixture,
+from ..fixtures import (AS_OF, CHUNK_DAYS, CHUNK_ORIGIN, FULL_END, FULL_START, WINDOW_END,
+                        WINDOW_START, Fixture,
                         duck_keywords, duckdb_views)
 from ..functions.columns import EMAIL_PATTERN
 from ..operators import chunks, gold, nlp, quality, shape
@@ -650,14 +651,39 @@ def q_silver_scored_comments(spark, sf_dir):
 # Whole pipeline (R-2)
 # ---------------------------------------------------------------------------
 
-@register("pipeline_e2e")
-def q_pipeline_e2e(spark, sf_dir):
+_FULL_SQL = f"created_at BETWEEN TIMESTAMP '{FULL_START}' AND TIMESTAMP '{FULL_END}'"
+
+
+# Rows and NULL keys of the four gold tables of a whole run: they follow from
+# the window, the silver de-duplication (survivor time = earliest per key),
+# the e-mail rule and the hashed keywords, not from the fitted model.
+@register("medallion_run", oracle=duckdb_views("users", "posts", "comments", "likes") + ",\nsu AS ("
+          + _dedup_sql("users", USER_COLUMNS, ["user_id"], []) + f"""),
+u AS (SELECT * FROM su WHERE regexp_matches(email, {EMAIL_SQL})
+        OR (SELECT count_if(NOT regexp_matches(email, {EMAIL_SQL})) FROM su) = 0),
+p AS (SELECT post_id AS id, min(created_at) AS t FROM posts WHERE {_FULL_SQL} GROUP BY post_id),
+c AS (SELECT comment_id AS id, min(created_at) AS t FROM comments WHERE {_FULL_SQL}
+      GROUP BY comment_id),
+l AS (SELECT like_id AS id, min(created_at) AS t FROM likes WHERE {_FULL_SQL} GROUP BY like_id),
+days AS (SELECT DISTINCT CAST(t AS DATE) AS d FROM (
+           SELECT t FROM p UNION ALL SELECT t FROM c UNION ALL SELECT t FROM l)),
+kw AS (SELECT DISTINCT CAST(t AS DATE) AS d, unnest({duck_keywords('id')}) AS k FROM p
+       UNION SELECT DISTINCT CAST(t AS DATE), unnest({duck_keywords('id')}) FROM c)
+SELECT 'gold_daily_platform_summary' AS table_name, count(*) AS row_count,
+       CAST(count_if(d IS NULL) AS BIGINT) AS null_key_rows FROM days
+UNION ALL SELECT 'gold_post_performance', count(*), CAST(count_if(id IS NULL) AS BIGINT) FROM p
+UNION ALL SELECT 'gold_user_snapshot', count(*), CAST(count_if(user_id IS NULL) AS BIGINT)
+          FROM u
+UNION ALL SELECT 'gold_daily_content_trends', count(*),
+                 CAST(count_if(d IS NULL OR k IS NULL) AS BIGINT) FROM kw""")
+def q_medallion_run(spark, sf_dir):
     from .pipeline import run_pipeline
     f = fx(spark, sf_dir)
     sources = {"users": f.users(), "posts": f.posts().drop("sentiment"),
                "comments": f.comments().drop("sentiment"), "likes": f.likes()}
-    return run_pipeline(spark, sources, scratch_path(spark, "pipeline"), WINDOW_START, WINDOW_END,
-                        as_of=AS_OF, model=sentiment_model(spark, sf_dir))
+    # the run window spans the whole fixture, so every source row flows through
+    return run_pipeline(spark, sources, scratch_path(spark, "medallion_run"), FULL_START,
+                        FULL_END, as_of=AS_OF, model=sentiment_model(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------

@@ -32,7 +32,7 @@ def test_oracle_mid(spark, name):
 def test_every_query_runs_or_has_oracle():
     rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only == {"sentiment_posts", "sentiment_comments", "silver_scored_posts",
-                         "silver_scored_comments", "pipeline_e2e"}
+                         "silver_scored_comments"}
 
 
 def test_entry_smoke(spark):

@@ -11,7 +11,7 @@ QUERIES = entry.queries()
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
              "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit",
              "GlobalLimit", "Sample"]
-WRITES = {"sink_parquet_sized", "sink_chunked", "pipeline_e2e"}
+WRITES = {"sink_parquet_sized", "sink_chunked", "medallion_run"}
 
 
 def _plan(df):

@@ -103,15 +103,23 @@ def daily_summary(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> Da
     A second aggregate reduces these to one row per day. Compared with seven
     ``countDistinct``s in one aggregate this duplicates rows twice instead of
     eight times before the shuffle, and the shuffle spreads a hot day by item
-    and by user. Rows with a NULL day collapse into one NULL-day row.
+    and by user.
+
+    Undated rows follow the reference's join form: its per-kind daily
+    aggregates are full-outer-joined on the day and a NULL day never matches,
+    so undated posts, comments and likes give up to three separate NULL-day
+    rows, and none of them gets an active-user count (0). Undated user rows
+    are therefore keyed by kind too, and the second aggregate splits the NULL
+    day by kind.
     """
     feed = activity_feed(posts, comments, likes)
     by_user = F.col("branch") == 1
+    undated = F.col("report_date").isNull()
     keyed = (feed.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
              # countDistinct(user_id) ignores NULL users
              .where(~by_user | F.col("user_id").isNotNull())
              .select("report_date", "branch",
-                     F.when(~by_user, F.col("kind")).alias("item_kind"),
+                     F.when(~by_user | undated, F.col("kind")).alias("item_kind"),
                      F.when(by_user, F.col("user_id").cast("long"))
                       .otherwise(F.col("item_id")).alias("key"),
                      "kind", "sentiment"))
@@ -132,7 +140,8 @@ def daily_summary(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> Da
     def actors(kind: str) -> Column:
         return F.count_if(by_user & F.col(f"is_{kind}"))
 
-    summary = first.groupBy("report_date").agg(
+    summary = first.groupBy("report_date",
+                            F.when(undated, F.col("item_kind")).alias("undated_kind")).agg(
         items("post").alias("total_posts"),
         actors("post").alias("active_posters"),
         sentiment("post", "pos").alias("positive_posts_count"),
@@ -143,13 +152,14 @@ def daily_summary(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> Da
         sentiment("comment", "neg").alias("negative_comments_count"),
         items("like").alias("total_likes"),
         actors("like").alias("active_likers"),
-        F.count_if(by_user).alias("total_active_users"),
+        F.count_if(by_user).alias("active_users"),
     )
     return summary.select(
         *[F.col(c) for c in GOLD_DAILY_SUMMARY_COLUMNS[:11]],
         safe_ratio("total_comments", "total_posts").cast("double").alias("avg_comments_per_post"),
         safe_ratio("total_likes", "total_posts").cast("double").alias("avg_likes_per_post"),
-        F.col("total_active_users"),
+        F.when(undated, F.lit(0).cast("long")).otherwise(F.col("active_users"))
+         .alias("total_active_users"),
     )
 
 
@@ -242,21 +252,28 @@ def content_trends(posts: DataFrame, comments: DataFrame) -> DataFrame:
 
     Both keyword streams are exploded (narrow), tagged, unioned and counted
     in one aggregate (one shuffle instead of two aggregates plus an outer
-    join). ``trending_rank`` orders by mentions, ties by keyword, so the rank
-    is deterministic. The window partitions the aggregated rows by day, so a
-    partition holds one row per keyword of that day, not its events.
+    join). ``trending_rank`` orders by mentions, ties by keyword (then posts
+    first), so the rank is deterministic. The window partitions the
+    aggregated rows by day, so a partition holds one row per keyword of that
+    day, not its events.
+
+    As in the reference's outer join on ``(day, keyword)``, a NULL day or
+    keyword never matches: such mentions are counted per side, so the post
+    and the comment mentions of an undated keyword stay two rows.
     """
     def mentions(df: DataFrame, in_post: bool) -> DataFrame:
         return df.select(report_date().alias("report_date"),
                          F.explode("keywords").alias("topic_or_keyword"),
                          F.lit(in_post).alias("in_post"))
 
+    unmatched = F.col("report_date").isNull() | F.col("topic_or_keyword").isNull()
     counted = (mentions(posts, True).unionByName(mentions(comments, False))
-               .groupBy("report_date", "topic_or_keyword")
+               .groupBy("report_date", "topic_or_keyword",
+                        F.when(unmatched, F.col("in_post")).alias("unmatched_side"))
                .agg(F.count_if(F.col("in_post")).alias("mention_count_in_posts"),
                     F.count_if(~F.col("in_post")).alias("mention_count_in_comments")))
     rank_window = Window.partitionBy("report_date").orderBy(
-        F.desc("total_mentions"), F.asc("topic_or_keyword"))
+        F.desc("total_mentions"), F.asc("topic_or_keyword"), F.desc("mention_count_in_posts"))
     return (counted
             .withColumn("total_mentions",
                         F.col("mention_count_in_posts") + F.col("mention_count_in_comments"))

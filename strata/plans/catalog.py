@@ -185,7 +185,8 @@ SELECT report_date, topic_or_keyword, mention_count_in_posts, mention_count_in_c
        CAST(NULL AS FLOAT) AS avg_sentiment_when_mentioned,
        CAST(row_number() OVER (PARTITION BY report_date
                                ORDER BY mention_count_in_posts + mention_count_in_comments DESC,
-                                        topic_or_keyword ASC) AS INTEGER) AS trending_rank
+                                        topic_or_keyword ASC,
+                                        mention_count_in_posts DESC) AS INTEGER) AS trending_rank
 FROM j"""
 
 

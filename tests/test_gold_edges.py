@@ -36,7 +36,8 @@ def test_daily_summary_counts_and_null_day(spark):
     comments = _comments(spark, [(1, 1, 10, "x", D(2024, 1, 2), 1.0),
                                  (2, 1, 13, "y", None, 0.0)])
     likes = _likes(spark, [(1, 1, 14, D(2024, 1, 1, 9)), (2, 2, 10, D(2024, 1, 1, 10))])
-    out = {r["report_date"]: r for r in gold.daily_summary(posts, comments, likes).collect()}
+    rows = gold.daily_summary(posts, comments, likes).collect()
+    out = {r["report_date"]: r for r in rows if r["report_date"] is not None}
     d1 = out[dt.date(2024, 1, 1)]
     assert (d1.total_posts, d1.active_posters, d1.positive_posts_count,
             d1.negative_posts_count) == (2, 2, 1, 1)
@@ -44,9 +45,30 @@ def test_daily_summary_counts_and_null_day(spark):
     assert d1.avg_likes_per_post == 1.0 and d1.avg_comments_per_post == 0.0
     d2 = out[dt.date(2024, 1, 2)]
     assert (d2.total_posts, d2.total_comments, d2.avg_comments_per_post) == (0, 1, 0.0)
-    # undated rows of every table collapse into one NULL-day row
-    dn = out[None]
-    assert (dn.total_posts, dn.total_comments, dn.total_active_users) == (1, 1, 2)
+    # as in the reference's outer joins, a NULL day never matches: the undated
+    # post and the undated comment stay separate rows, without active users
+    undated = sorted((tuple(r)[1:] for r in rows if r["report_date"] is None), reverse=True)
+    assert undated == [(1, 1, 1, 0, 0, 0, 0, 0, 0, 0, 0.0, 0.0, 0),
+                       (0, 0, 0, 0, 1, 1, 0, 1, 0, 0, 0.0, 0.0, 0)]
+
+
+def test_content_trends_unmatched_keys_stay_apart(spark):
+    posts = spark.createDataFrame(
+        [(1, D(2024, 1, 1), ["ai", None]), (2, None, ["ai"]), (3, None, ["ai"])],
+        "post_id int, created_at timestamp, keywords array<string>")
+    comments = spark.createDataFrame(
+        [(1, D(2024, 1, 1), ["ai", None]), (2, None, ["ai"])],
+        "comment_id int, created_at timestamp, keywords array<string>")
+    got = sorted(((r.report_date is None, r.topic_or_keyword or "", r.mention_count_in_posts,
+                   r.mention_count_in_comments, r.trending_rank)
+                  for r in gold.content_trends(posts, comments).collect()))
+    assert got == [
+        (False, "", 0, 1, 3),   # NULL keyword: post and comment mentions apart
+        (False, "", 1, 0, 2),
+        (False, "ai", 1, 1, 1),
+        (True, "ai", 0, 1, 2),  # undated: apart as well, posts side ranks first
+        (True, "ai", 2, 0, 1),
+    ]
 
 
 def test_daily_summary_empty(spark):

@@ -13,20 +13,26 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings applied only when the caller did not set them. On a cluster the
-# deployment decides shuffle width, memory and storage; these defaults keep a
-# local run honest (AQE on, UTC dates, no UI server).
-SESSION_DEFAULTS = {
+# Settings read when the application starts: no UI server, no _SUCCESS marker
+# files (writer hygiene, S-10).
+LAUNCH_DEFAULTS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+}
+# SQL settings, applied only where the application's configuration
+# (spark-submit --conf, spark-defaults.conf, the ``conf`` argument) does not
+# set them: on a cluster the deployment decides shuffle width, split size and
+# skew thresholds (README "Cluster settings"); these keep a local run honest
+# (AQE on, UTC dates).
+SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
-    # writer hygiene (S-10): no _SUCCESS marker files
-    "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
 }
+SESSION_DEFAULTS = {**LAUNCH_DEFAULTS, **SQL_DEFAULTS}
 
 
 def build_session(master: str | None = None, app_name: str = "strata",
@@ -34,16 +40,19 @@ def build_session(master: str | None = None, app_name: str = "strata",
     """Create (or reuse) a session with the defaults above.
 
     ``master`` is only set when given, so ``spark-submit`` keeps control on a
-    cluster.
+    cluster; ``conf`` entries win over the defaults.
     """
+    conf = dict(conf or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(SESSION_DEFAULTS)
-    settings.update(conf or {})
-    for key, value in settings.items():
+    for key, value in {**LAUNCH_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    app_conf = spark.sparkContext.getConf()
+    for key, value in SQL_DEFAULTS.items():
+        if key not in conf and not app_conf.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("WARN")
     return spark
 

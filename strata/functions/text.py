@@ -33,7 +33,10 @@ def clean_text_col(text: Column | str) -> Column:
     letters, digits or whitespace into one space, collapse whitespace, trim.
     """
     raw = (F.col(text) if isinstance(text, str) else text).cast("string")
-    safe = F.when(raw.isNull() | (F.lower(raw) == F.lit("nan")), F.lit("")).otherwise(raw)
+    # lower-casing never shortens a string, so only a 3-character value can be
+    # "nan": the length test spares long texts a second lower-casing pass
+    is_nan = (F.length(raw) == 3) & (F.lower(raw) == F.lit("nan"))
+    safe = F.when(raw.isNull() | is_nan, F.lit("")).otherwise(raw)
     out = F.regexp_replace(F.lower(safe), URL_PATTERN, "")
     return F.trim(F.regexp_replace(out, NON_ALNUM_RUN, " "))
 

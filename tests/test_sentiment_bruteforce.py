@@ -83,3 +83,16 @@ def test_sentiment_equals_brute_force(spark, name, key):
         # both classes occur, so the check has teeth (comment texts are the
         # first turns of a few conversations and all fall in one class)
         assert set(want) == {0.0, 1.0}
+
+
+@pytest.mark.parametrize("name, scored, key", [
+    ("silver_scored_posts", "sentiment_posts", "post_id"),
+    ("silver_scored_comments", "sentiment_comments", "comment_id")])
+def test_silver_scored_equals_checked_scores(spark, name, scored, key):
+    """The silver step projects the scores checked above, row for row."""
+    queries = entry.queries()
+    got = sorted((r[key], r.sentiment) for r in
+                 queries[name](spark, SF_SMALL).select(key, "sentiment").collect())
+    want = sorted((r[key], r.sentiment) for r in
+                  queries[scored](spark, SF_SMALL).select(key, "sentiment").collect())
+    assert got == want and got

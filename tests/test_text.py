@@ -17,6 +17,8 @@ def test_clean_text_examples(spark):
     assert _clean(spark, ["Đây LÀ  Test!! https://a.b/c?x=1 #tag_1 nan"]) == ["đây là test tag 1 nan"]
     assert _clean(spark, [None, "nan", "NaN", "  ", "http://x.y/z"]) == ["", "", "", "", ""]
     assert _clean(spark, ["a\t\nb---c", "Ünïcödé 123_456"]) == ["a b c", "ünïcödé 123 456"]
+    # only the whole value "nan" (any case) is missing; padded or longer text is kept
+    assert _clean(spark, ["NAN", " nan", "nan.", "nana", "na"]) == ["", "nan", "nan", "nana", "na"]
 
 
 def test_clean_text_non_string_input(spark):

@@ -60,7 +60,12 @@ class Layout:
         return read_parquet(self.spark, self.path(layer, table), schema)
 
     def write(self, df: DataFrame, layer: str, table: str) -> None:
-        write_sized(df, self.path(layer, table))
+        # Only bronze rows arrive in the source's arbitrary partitioning (JDBC
+        # range queries, source files). Silver rows come out of the
+        # de-duplication shuffle, the NLP steps map silver files one to one,
+        # and gold rows come out of aggregates and joins, all sized by AQE: a
+        # rebalance there would shuffle every post and comment text again.
+        write_sized(df, self.path(layer, table), rebalance=(layer == "bronze"))
 
 
 # -- bronze ------------------------------------------------------------------

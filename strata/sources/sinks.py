@@ -19,9 +19,17 @@ CHUNK_COLUMN = "chunk_start"
 
 
 def write_sized(df: DataFrame, uri: str, mode: str = "overwrite",
-                rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Write Parquet with at most ``rows_per_file`` rows per file."""
-    (df.hint("rebalance").write.mode(mode)
+                rows_per_file: int = ROWS_PER_FILE, rebalance: bool = True) -> None:
+    """Write Parquet with at most ``rows_per_file`` rows per file.
+
+    ``rebalance`` adds the ``REBALANCE`` shuffle. Leave it on when the input's
+    partitioning is arbitrary (a JDBC or small-file source); turn it off when
+    the rows come out of a shuffle that AQE already sized, or from a narrow map
+    over files written by this sink: there it would move every row once more.
+    """
+    if rebalance:
+        df = df.hint("rebalance")
+    (df.write.mode(mode)
        .option("maxRecordsPerFile", rows_per_file)
        .parquet(uri))
 

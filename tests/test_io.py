@@ -25,6 +25,17 @@ def test_write_sized_caps_rows_per_file(spark, tmp_uri):
     assert pq.read_parquet(spark, tmp_uri).count() == 95
 
 
+def test_write_sized_rebalance_flag(spark, tmp_path):
+    # four tiny partitions: the rebalance shuffle lets AQE merge them into one
+    # file; without it the write keeps the input's partitions (no shuffle)
+    df = spark.range(0, 40, 1, 4)
+    for flag, n_files in ((True, 1), (False, 4)):
+        uri = str(tmp_path / f"rebalance_{flag}")
+        sinks.write_sized(df, uri, rebalance=flag)
+        assert len(glob.glob(os.path.join(uri, "*.parquet"))) == n_files
+        assert pq.read_parquet(spark, uri).count() == 40
+
+
 def test_write_chunked_folders(spark, tmp_uri):
     df = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 8, 1)), (3, D(2024, 1, 16)),
                                 (4, D(2024, 1, 9))], "id int, created_at timestamp")

@@ -19,12 +19,17 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
+from collections.abc import Sequence
+
 from ..operators.shape import align_to_schema, date_window, drop_null_key
+from ..schemas import BRONZE
 
 DEFAULT_PARTITIONS = 8
+# The tables the loader fills, in this order (referenced tables
+# first); users are not in the reference's list.
+LOAD_ORDER = ("posts", "comments", "likes")
 log = logging.getLogger(__name__)
 
 
@@ -105,3 +110,22 @@ def table_counts(spark: SparkSession, url: str, tables: list[str],
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def load_tables(spark: SparkSession, sources: dict[str, DataFrame], url: str,
+                properties: dict[str, str], order: Sequence[str] = LOAD_ORDER,
+                schemas: dict[str, T.StructType] | None = None, clear_first: bool = True,
+                batch_size: int = 1000) -> DataFrame:
+    """R-1: load the sources named in ``order`` one table after the other
+    (each load is one distributed, batched insert, see :func:`load_table`),
+    then return ``table_name, row_count`` for every table in ``sources``.
+
+    Tables load in sequence so that referenced rows exist before the rows
+    that point at them; within a table every task inserts its own rows.
+    """
+    schemas = BRONZE if schemas is None else schemas
+    for name in order:
+        if name in sources:
+            load_table(sources[name], url, name, properties, schema=schemas.get(name),
+                       clear_first=clear_first, batch_size=batch_size)
+    return table_counts(spark, url, list(sources), properties)

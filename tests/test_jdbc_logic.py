@@ -113,3 +113,23 @@ def test_load_table_aligns_and_drops_null_keys(spark, monkeypatch):
     jdbc.load_table(src, "jdbc:x", "likes", {}, schema=LIKES, clear_first=True)
     assert seen["cols"] == ["like_id", "post_id", "user_id", "created_at"]
     assert seen["rows"] == [(1, 10, 5, D(2024, 1, 1))] and seen["truncate"] is True
+
+
+def test_load_tables_in_order_then_counts(spark, monkeypatch):
+    loaded, counted = [], []
+    monkeypatch.setattr(jdbc, "load_table", lambda df, url, table, props, schema=None,
+                        clear_first=False, batch_size=1000:
+                        loaded.append((table, schema, clear_first)))
+    monkeypatch.setattr(jdbc, "table_counts", lambda sp, url, tables, props:
+                        counted.extend(tables) or "counts")
+    from strata.fixtures import Fixture
+    from conftest import SF_SMALL
+    f = Fixture(spark, SF_SMALL)
+    sources = {"users": f.users(), "likes": f.likes(), "posts": f.posts().drop("sentiment"),
+               "comments": f.comments().drop("sentiment")}
+    assert jdbc.load_tables(spark, sources, "jdbc:x", {}) == "counts"
+    # the reference's order (users are not loaded), every table counted afterwards
+    from strata.schemas import BRONZE
+    assert [t for t, _, _ in loaded] == ["posts", "comments", "likes"]
+    assert all(schema == BRONZE[t] and clear for t, schema, clear in loaded)
+    assert counted == ["users", "likes", "posts", "comments"]

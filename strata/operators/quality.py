@@ -118,7 +118,10 @@ def drop_invalid_email(df: DataFrame, email_col: str = "email", pattern: str = E
     By default NULL addresses are dropped too. ``keep_null_if_clean=True``
     follows the reference rule: when no address is invalid the input is
     returned unchanged (NULLs stay). That rule needs the global invalid count;
-    it is a scalar subquery that Spark runs once, ahead of the filter.
+    it is a scalar subquery that Spark runs once, ahead of the filter. When
+    ``df`` ends in a shuffle (the de-duplicated users), the subquery reuses
+    that shuffle at run time (``ReusedExchange``), so the input is not
+    scanned and shuffled twice.
     """
     ok = is_valid_email(email_col, pattern)
     if not keep_null_if_clean:

@@ -87,3 +87,14 @@ def test_fixture_lookup_join_is_broadcast_without_threshold(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan and "hashpartitioning((event_id" not in plan
+
+
+def test_email_rule_reuses_the_dedup_shuffle(spark):
+    """The reference e-mail rule needs the global invalid count (a scalar
+    subquery over the de-duplicated users); at run time the subquery reads the
+    main query's de-duplication shuffle instead of scanning and shuffling the
+    users a second time."""
+    df = QUERIES["silver_users"](spark, SF_SMALL)
+    df.collect()
+    final = _plan(df)
+    assert "ReusedExchange" in final and "hashpartitioning(user_id" in final

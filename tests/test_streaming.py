@@ -25,3 +25,25 @@ def test_ingest_chunks_exactly_once(spark, tmp_path):
                   f"{root}/ckpt", max_files=2)
     ids = sorted(r.id for r in spark.read.parquet(f"{root}/out").collect())
     assert ids == list(range(30)) + [100]
+
+
+def test_ingest_chunks_failed_batch_is_replayed_once(spark, tmp_path):
+    import pytest
+    root = str(tmp_path)
+    df = spark.createDataFrame([(i, D(2024, 1, 1) + dt.timedelta(days=i)) for i in range(30)],
+                               "id int, created_at timestamp")
+    sinks.write_chunked(df, f"{root}/src", "2024-01-08", 7)
+    write = parquet_sink(f"{root}/out")
+    failed = []
+
+    def flaky(batch, batch_id):
+        write(batch, batch_id)              # the batch lands, then the run dies
+        if batch_id == 1 and not failed:    # before the batch is committed
+            failed.append(batch_id)
+            raise RuntimeError("lost the driver after writing batch 1")
+
+    with pytest.raises(Exception):
+        ingest_chunks(spark, f"{root}/src", df.schema, flaky, f"{root}/ckpt", max_files=1)
+    ingest_chunks(spark, f"{root}/src", df.schema, flaky, f"{root}/ckpt", max_files=1)
+    ids = sorted(r.id for r in spark.read.parquet(f"{root}/out").collect())
+    assert failed == [1] and ids == list(range(30))   # replayed, written once

@@ -9,8 +9,15 @@ DEFAULT_MAX_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    A top-level limit runs as Spark's incremental take: it scans one
+    partition, then more only while fewer than ``max_rows + 1`` rows have
+    been found, so a table far beyond the bound is not scanned whole (a
+    ``limit(...).count()`` would run every partition). At most
+    ``max_rows + 1`` one-column rows of a constant reach the driver.
+    """
+    return len(df.select(F.lit(1).alias("one")).limit(max_rows + 1).collect()) <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:

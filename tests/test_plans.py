@@ -79,6 +79,24 @@ def test_broadcast_if_bounded(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_size_check_stops_early(spark):
+    """Beyond the bound the check reads a few partitions, not the table."""
+    from strata.operators.joins import has_at_most
+    sc = spark.sparkContext
+    big = spark.range(0, 100 * 500, 1, 100)       # 100 partitions of 500 rows
+    sc.setJobGroup("size-check", "size check")
+    try:
+        assert not has_at_most(big, 200)
+        assert has_at_most(spark.range(0, 150, 1, 3), 200)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks
+             for j in tracker.getJobIdsForGroup("size-check")
+             for s in tracker.getJobInfo(j).stageIds]
+    assert sum(tasks) < 10, tasks   # the 100-partition frame: one partition was enough
+
+
 def test_fixture_lookup_join_is_broadcast_without_threshold(spark):
     from strata.fixtures import Fixture
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

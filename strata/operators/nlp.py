@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
@@ -68,8 +69,24 @@ def training_set(documents: DataFrame, labels: DataFrame, label_col: str = "qual
 
 def train_sentiment(documents: DataFrame, labels: DataFrame, label_col: str = "quality",
                     num_features: int = NUM_FEATURES) -> PipelineModel:
-    """Fit the sentiment pipeline on labelled documents (an action)."""
-    return sentiment_pipeline(num_features).fit(training_set(documents, labels, label_col))
+    """Fit the sentiment pipeline on labelled documents (an action).
+
+    The labelled documents are read, joined, cleaned, tokenised and hashed
+    once: the term-frequency vectors are persisted (memory, spilling to
+    disk) for the two fitting passes (IDF, then naive Bayes) and released
+    afterwards. ``Pipeline.fit`` would recompute the whole chain for each
+    pass. A lost executor's blocks are recomputed from the lineage.
+    """
+    tokenizer, hashing, idf, bayes = sentiment_pipeline(num_features).getStages()
+    tf = (hashing.transform(tokenizer.transform(training_set(documents, labels, label_col)))
+          .select(hashing.getOutputCol(), "label")
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        idf_model = idf.fit(tf)
+        bayes_model = bayes.fit(idf_model.transform(tf))
+    finally:
+        tf.unpersist()
+    return PipelineModel(stages=[tokenizer, hashing, idf_model, bayes_model])
 
 
 def load_sentiment_model(path: str) -> PipelineModel:

@@ -41,6 +41,8 @@ def _args(argv=None):
     p.add_argument("--jdbc-password-env", help="name of the variable holding the password")
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-partitions", type=int, default=8)
+    p.add_argument("--jdbc-split", default="range", choices=["range", "quantile"],
+                   help="equal id strides, or equal row counts (ids dense in places)")
     p.add_argument("--model", help="saved sentiment model path")
     p.add_argument("--documents", help="Parquet documents for train-sentiment")
     p.add_argument("--labels", help="Parquet labels for train-sentiment")
@@ -59,7 +61,8 @@ def main(argv=None) -> None:
                 props = {k: v for k, v in {
                     "user": a.jdbc_user, "driver": a.jdbc_driver,
                     "password": os.environ.get(a.jdbc_password_env or "", None)}.items() if v}
-                P.bronze_from_jdbc(lay, t, a.jdbc_url, props, a.jdbc_partitions)
+                P.bronze_from_jdbc(lay, t, a.jdbc_url, props, a.jdbc_partitions,
+                                   split=a.jdbc_split, end_mode=a.end_mode)
             elif a.source_dir:
                 P.bronze_job(lay, t, spark.read.parquet(f"{a.source_dir.rstrip('/')}/{t}"),
                              end_mode=a.end_mode)

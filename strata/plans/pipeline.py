@@ -78,12 +78,14 @@ def bronze_job(lay: Layout, table: str, source: DataFrame, entity: E.Entity | No
 
 
 def bronze_from_jdbc(lay: Layout, table: str, url: str, properties: dict[str, str],
-                     num_partitions: int = jdbc.DEFAULT_PARTITIONS) -> None:
-    """B-n over JDBC: partitioned scan on the table's id, window pushed down."""
+                     num_partitions: int = jdbc.DEFAULT_PARTITIONS, split: str = "range",
+                     end_mode: str = "instant") -> None:
+    """B-n over JDBC: partitioned scan on the table's id (``split`` as in
+    :func:`strata.sources.jdbc.read_table`), window pushed down."""
     entity = E.ENTITIES[table]
     src = jdbc.read_table(lay.spark, url, table, entity.id_col, properties,
-                          num_partitions=num_partitions)
-    bronze_job(lay, table, src, entity)
+                          num_partitions=num_partitions, split=split)
+    bronze_job(lay, table, src, entity, end_mode)
 
 
 # -- silver ------------------------------------------------------------------

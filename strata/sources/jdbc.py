@@ -42,26 +42,63 @@ def key_bounds(spark: SparkSession, url: str, table: str, column: str,
     return (row["lo"], row["hi"]) if row else (None, None)
 
 
+def key_split_points(spark: SparkSession, url: str, table: str, column: str,
+                     properties: dict[str, str], num_partitions: int) -> list[int]:
+    """Values of ``column`` that cut the table into ``num_partitions`` ranges
+    of equal row counts; the database ranks the keys (an ``NTILE`` window) and
+    returns at most ``num_partitions`` rows."""
+    tiles = (f"(SELECT MIN({column}) AS lo FROM (SELECT {column}, NTILE({num_partitions}) "
+             f"OVER (ORDER BY {column}) AS tile FROM {table} WHERE {column} IS NOT NULL) ranked "
+             f"GROUP BY tile) split_points")
+    starts = sorted(r["lo"] for r in spark.read.jdbc(url=url, table=tiles,
+                                                     properties=properties).collect())
+    return starts[1:]   # the first tile starts at the minimum: not a cut
+
+
+def range_predicates(column: str, points: Sequence[int]) -> list[str]:
+    """One ``WHERE`` clause per range between consecutive ``points``; NULL
+    keys go with the first range, so every row is read exactly once."""
+    bounds = [None, *points, None]
+    preds = []
+    for lo, hi in zip(bounds, bounds[1:]):
+        parts = ([f"{column} >= {lo}"] if lo is not None else []) + \
+                ([f"{column} < {hi}"] if hi is not None else [])
+        preds.append(" AND ".join(parts) if parts else "1 = 1")
+    preds[0] = f"({preds[0]}) OR {column} IS NULL"
+    return preds
+
+
 def read_table(spark: SparkSession, url: str, table: str, column: str,
                properties: dict[str, str], start: str | None = None, end: str | None = None,
                lower_bound: int | None = None, upper_bound: int | None = None,
                num_partitions: int = DEFAULT_PARTITIONS, time_column: str = "created_at",
-               end_mode: str = "instant") -> DataFrame:
+               end_mode: str = "instant", split: str = "range") -> DataFrame:
     """Partitioned scan of ``table`` split on ``column``, then the run window.
 
-    Bounds only set the stride: rows outside them are still read by the edge
-    partitions. A table without ``time_column`` is read whole.
+    ``split="range"`` (the reference's scheme) cuts ``[lower, upper]`` into
+    equal strides; bounds only set the stride, rows outside them are still
+    read by the edge partitions. When ids are dense in one range and sparse
+    elsewhere, a few strides hold most rows: ``split="quantile"`` cuts at
+    equal row counts instead (:func:`key_split_points`, one ranking query in
+    the database). A table without ``time_column`` is read whole.
     """
-    if lower_bound is None or upper_bound is None:
-        lo, hi = key_bounds(spark, url, table, column, properties)
-        lower_bound = lo if lower_bound is None else lower_bound
-        upper_bound = hi if upper_bound is None else upper_bound
-    if lower_bound is None or upper_bound is None or upper_bound <= lower_bound:
-        df = spark.read.jdbc(url=url, table=table, properties=properties)
-    else:
-        df = spark.read.jdbc(url=url, table=table, column=column, lowerBound=int(lower_bound),
-                             upperBound=int(upper_bound) + 1, numPartitions=num_partitions,
+    if split == "quantile":
+        points = key_split_points(spark, url, table, column, properties, num_partitions)
+        df = spark.read.jdbc(url=url, table=table, predicates=range_predicates(column, points),
                              properties=properties)
+    elif split == "range":
+        if lower_bound is None or upper_bound is None:
+            lo, hi = key_bounds(spark, url, table, column, properties)
+            lower_bound = lo if lower_bound is None else lower_bound
+            upper_bound = hi if upper_bound is None else upper_bound
+        if lower_bound is None or upper_bound is None or upper_bound <= lower_bound:
+            df = spark.read.jdbc(url=url, table=table, properties=properties)
+        else:
+            df = spark.read.jdbc(url=url, table=table, column=column,
+                                 lowerBound=int(lower_bound), upperBound=int(upper_bound) + 1,
+                                 numPartitions=num_partitions, properties=properties)
+    else:
+        raise ValueError(f"split must be 'range' or 'quantile', not {split!r}")
     if start and end and time_column not in df.columns:
         log.warning("table %s has no %s column; reading it whole", table, time_column)
     return date_window(df, start, end, column=time_column, end_mode=end_mode)

@@ -133,3 +133,45 @@ def test_load_tables_in_order_then_counts(spark, monkeypatch):
     assert [t for t, _, _ in loaded] == ["posts", "comments", "likes"]
     assert all(schema == BRONZE[t] and clear for t, schema, clear in loaded)
     assert counted == ["users", "likes", "posts", "comments"]
+
+
+class _QuantileReader:
+    """Answers the split-point query the way a database would (NTILE over the
+    key, first key of each tile) and records the scan's predicates."""
+
+    def __init__(self, spark, table_df, column, calls):
+        self.spark, self.table_df, self.column, self.calls = spark, table_df, column, calls
+
+    def jdbc(self, url, table, predicates=None, properties=None, **kw):
+        from pyspark.sql import Window, functions as F
+        if "NTILE" in table:
+            n = int(table.split("NTILE(")[1].split(")")[0])
+            ranked = (self.table_df.where(F.col(self.column).isNotNull())
+                      .withColumn("tile", F.ntile(n).over(Window.orderBy(self.column))))
+            return ranked.groupBy("tile").agg(F.min(self.column).alias("lo"))
+        self.calls.append(predicates)
+        return self.table_df
+
+
+def test_quantile_split_balances_dense_ids(spark):
+    # ids: a dense block holding most rows, a few far-off ids, and a NULL id
+    ids = list(range(1, 901)) + [10_000_000 + i * 1000 for i in range(100)] + [None]
+    likes = spark.createDataFrame([(i, D(2024, 1, 5)) for i in ids],
+                                  "like_id int, created_at timestamp")
+    calls = []
+    session = _Session(spark, likes, calls)
+    session.read = _QuantileReader(spark, likes, "like_id", calls)
+    df = jdbc.read_table(session, "jdbc:x", "likes", "like_id", {}, num_partitions=4,
+                         split="quantile")
+    preds = calls[0]
+    assert len(preds) == 4
+    counts = [likes.where(p).count() for p in preds]
+    assert sum(counts) == len(ids)                    # every row exactly once (NULL too)
+    assert max(counts) <= 251                         # equal row counts, not equal strides
+    assert df.count() == len(ids)
+
+
+def test_range_predicates_without_points():
+    assert jdbc.range_predicates("id", []) == ["(1 = 1) OR id IS NULL"]
+    assert jdbc.range_predicates("id", [5, 9]) == [
+        "(id < 5) OR id IS NULL", "id >= 5 AND id < 9", "id >= 9"]

@@ -38,17 +38,15 @@ def write_chunked(df: DataFrame, uri: str, origin, n_days: int, ts_col: str = "c
                   mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE) -> None:
     """One folder per n-day chunk: ``chunk_start=initial`` or ``=YYYY-MM-DD``.
 
-    Rows are rebalanced on (chunk, hour of the event): AQE splits a hot hour
-    over several tasks and merges small ones, so a chunk that holds a large
-    share of the rows is spread over many tasks, and every task writes
-    time-sorted files for only a few chunks. A range partitioning would do
-    the same but needs a sampling pass that computes the whole input (text
-    included) once more before the shuffle.
+    Rows are rebalanced on the chunk: AQE cuts a chunk larger than the
+    advisory partition size into advisory-sized pieces (so a chunk that holds
+    a large share of the rows is spread over many tasks) and merges small
+    chunks, so every task writes time-sorted files for one or a few chunks.
+    A range partitioning would give the same layout but needs a sampling
+    pass that computes the whole input (text included) once more.
     """
-    labelled = (df.withColumn(CHUNK_COLUMN, chunk_folder(ts_col, origin, n_days))
-                .withColumn("_hour", F.date_trunc("hour", F.col(ts_col))))
-    (labelled.hint("rebalance", CHUNK_COLUMN, "_hour")
-     .drop("_hour")
+    labelled = df.withColumn(CHUNK_COLUMN, chunk_folder(ts_col, origin, n_days))
+    (labelled.hint("rebalance", CHUNK_COLUMN)
      .sortWithinPartitions(CHUNK_COLUMN, ts_col)
      .write.mode(mode)
      .option("maxRecordsPerFile", rows_per_file)

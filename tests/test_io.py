@@ -47,6 +47,25 @@ def test_write_chunked_folders(spark, tmp_uri):
     assert got == {1: "initial", 2: "2024-01-08", 3: "2024-01-15", 4: "2024-01-08"}
 
 
+def test_write_chunked_spreads_a_hot_chunk(spark, tmp_uri):
+    # one chunk holds almost every row; with a tiny advisory size AQE must cut
+    # it into several tasks (files), each written in time order
+    rows = [(i, D(2024, 1, 9) + dt.timedelta(seconds=i)) for i in range(4000)]
+    rows += [(10_000 + i, D(2024, 1, 1) + dt.timedelta(days=i % 5)) for i in range(20)]
+    df = spark.createDataFrame(rows, "id int, created_at timestamp").repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        sinks.write_chunked(df, tmp_uri, "2024-01-08", 7)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = glob.glob(os.path.join(tmp_uri, "chunk_start=2024-01-08", "*.parquet"))
+    assert len(hot) > 1
+    for f in hot:
+        times = papq.read_table(f).column("created_at").to_pylist()
+        assert times == sorted(times)
+    assert sinks.read_chunked(spark, tmp_uri).count() == len(rows)
+
+
 def test_date_window_modes_and_pushdown(spark, tmp_uri):
     df = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 15)), (3, D(2024, 1, 15, 10)),
                                 (4, D(2024, 1, 16)), (5, D(2023, 12, 31, 23))],

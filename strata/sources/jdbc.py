@@ -50,8 +50,9 @@ def key_split_points(spark: SparkSession, url: str, table: str, column: str,
     tiles = (f"(SELECT MIN({column}) AS lo FROM (SELECT {column}, NTILE({num_partitions}) "
              f"OVER (ORDER BY {column}) AS tile FROM {table} WHERE {column} IS NOT NULL) ranked "
              f"GROUP BY tile) split_points")
-    starts = sorted(r["lo"] for r in spark.read.jdbc(url=url, table=tiles,
-                                                     properties=properties).collect())
+    # by position: databases differ in the case of unquoted column names
+    starts = sorted(r[0] for r in spark.read.jdbc(url=url, table=tiles,
+                                                  properties=properties).collect())
     return starts[1:]   # the first tile starts at the minimum: not a cut
 
 

@@ -148,7 +148,7 @@ class _QuantileReader:
             n = int(table.split("NTILE(")[1].split(")")[0])
             ranked = (self.table_df.where(F.col(self.column).isNotNull())
                       .withColumn("tile", F.ntile(n).over(Window.orderBy(self.column))))
-            return ranked.groupBy("tile").agg(F.min(self.column).alias("lo"))
+            return ranked.groupBy("tile").agg(F.min(self.column).alias("lo")).select("lo")
         self.calls.append(predicates)
         return self.table_df
 

@@ -7,9 +7,10 @@ from oracle import compare, duck
 from conftest import SF_MID, SF_SMALL
 
 import __spark_entry__ as entry
+from strata.plans.registry import all_queries
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLES = {name: q.oracle for name, q in all_queries().items() if q.oracle}
+QUERIES = {name: q.build for name, q in all_queries().items()}
 
 
 @pytest.fixture(scope="module")

@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import op4_bin_completion
+from .pii import op10_disclosure
+from .rules import op6_covariance_outliers
 from .secrets import op2_secret_scan
 from .sharding import op5_virtual_slots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op4_bin_completion": op4_bin_completion,
     "op5_virtual_slots": op5_virtual_slots,
+    "op6_covariance_outliers": op6_covariance_outliers,
+    "op10_disclosure": op10_disclosure,
 }
 
 SQL: dict[str, str] = {}

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .lines import op7_line_runs
+from .mixing import OP8_SQL, op8_pfair_mix
 from .packing import op4_bin_completion
 from .pii import op10_disclosure
 from .rules import op6_covariance_outliers
@@ -17,7 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bin_completion": op4_bin_completion,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_covariance_outliers": op6_covariance_outliers,
+    "op7_line_runs": op7_line_runs,
+    "op8_pfair_mix": op8_pfair_mix,
     "op10_disclosure": op10_disclosure,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_pfair_mix": OP8_SQL,
+}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .lines import op7_line_runs
 from .mixing import OP8_SQL, op8_pfair_mix
+from .neardup import op9_lsh_forest
 from .packing import op4_bin_completion
 from .pii import op10_disclosure
 from .rules import op6_covariance_outliers
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_covariance_outliers": op6_covariance_outliers,
     "op7_line_runs": op7_line_runs,
     "op8_pfair_mix": op8_pfair_mix,
+    "op9_lsh_forest": op9_lsh_forest,
     "op10_disclosure": op10_disclosure,
 }
 

@@ -11,11 +11,13 @@ from .mixing import OP8_SQL, op8_pfair_mix
 from .neardup import op9_lsh_forest
 from .packing import op4_bin_completion
 from .pii import op10_disclosure
+from .quality import op1_kneser_ney
 from .rules import op6_covariance_outliers
 from .secrets import op2_secret_scan
 from .sharding import op5_virtual_slots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op2_secret_scan": op2_secret_scan,
     "op4_bin_completion": op4_bin_completion,
     "op5_virtual_slots": op5_virtual_slots,

@@ -25,7 +25,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -136,16 +136,6 @@ def with_groups(stats: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
             .drop("g_lang", "g_source"))
 
 
-def step_quantile(df: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
-    """The least step that at least ``share`` of each group's rows stay within."""
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy(*keys).orderBy(value)
-    return (counts.withColumn("upto", F.sum("n").over(ordered))
-            .withColumn("all", F.sum("n").over(Window.partitionBy(*keys)))
-            .where(F.col("upto") >= F.ceil(F.col("all") * F.lit(share)))
-            .groupBy(*keys).agg(F.min(value).alias(value)))
-
-
 def by_dim(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """One row per statistic: (grp, dim, v)."""
     return df.select("grp", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), c.alias("v"))
@@ -216,10 +206,10 @@ def distance() -> Column:
 def mcd(vectors: DataFrame, share: float = H, steps: int = STEPS) -> DataFrame:
     """Estimates (grp, mean, inv, scale) of the groups of ``vectors``, whose
     rows are stored. ``scale`` takes the median distance to chi-squared's."""
-    med = C.cut(pivoted(step_quantile(by_dim(vectors, {d: F.col(d) for d in DIMS}), ["grp", "dim"], "v", 0.5), "med_"),
+    med = C.cut(pivoted(C.step_quantile(by_dim(vectors, {d: F.col(d) for d in DIMS}), ["grp", "dim"], "v", 0.5), "med_"),
                 "rule_medians")
     centred = vectors.join(med, "grp")
-    mad = pivoted(step_quantile(by_dim(centred, {d: F.abs(F.col(d) - F.col("med_" + d)) for d in DIMS}),
+    mad = pivoted(C.step_quantile(by_dim(centred, {d: F.abs(F.col(d) - F.col("med_" + d)) for d in DIMS}),
                                 ["grp", "dim"], "v", 0.5), "mad_")
     middle = C.cut(med.join(mad, "grp"), "rule_middles")
     squashed = [F.round(STEP * F.tanh((F.col(d) - F.col("med_" + d)) / (1.4826 * F.greatest(
@@ -229,13 +219,13 @@ def mcd(vectors: DataFrame, share: float = H, steps: int = STEPS) -> DataFrame:
     fine = F.floor(256 * F.log2(1 + F.greatest(distance(), F.lit(0.0)))).alias("d")
     for _ in range(steps):
         near = vectors.join(fit, "grp").select("grp", "start", *DIMS, fine)
-        limit = C.cut(step_quantile(near.select("grp", "start", "d"), ["grp", "start"], "d", share)
+        limit = C.cut(C.step_quantile(near.select("grp", "start", "d"), ["grp", "start"], "d", share)
                       .withColumnRenamed("d", "limit"), "rule_limit")
         kept = near.join(limit, ["grp", "start"]).where(F.col("d") <= F.col("limit"))
         fit = C.cut(fits(kept.groupBy("grp", "start").agg(*moments([F.col(d) for d in DIMS]))), "rule_fit")
     best = fit.groupBy("grp").agg(F.min_by(F.struct("mean", "inv"), F.struct("log_det", "start")).alias("b"))
     best = C.cut(best.select("grp", "b.*"), "rule_best")
-    half = step_quantile(vectors.join(best, "grp").select("grp", fine), ["grp"], "d", 0.5)
+    half = C.step_quantile(vectors.join(best, "grp").select("grp", fine), ["grp"], "d", 0.5)
     scale = F.greatest((F.pow(F.lit(2.0), (F.col("d") + 1) / 256) - 1) / CHI2_MEDIAN, F.lit(1.0))
     return C.cut(best.join(half, "grp").select("grp", "mean", "inv", scale.alias("scale")), "rule_estimates")
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op3_cross_polytope
 from .lines import op7_line_runs
 from .mixing import OP8_SQL, op8_pfair_mix
 from .neardup import op9_lsh_forest
@@ -19,6 +20,7 @@ from .sharding import op5_virtual_slots
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_secret_scan": op2_secret_scan,
+    "op3_cross_polytope": op3_cross_polytope,
     "op4_bin_completion": op4_bin_completion,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_covariance_outliers": op6_covariance_outliers,

@@ -1,0 +1,109 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from llm_rows import ODD, documents
+
+from strata.llm import packing
+from strata.llm.queries import QUERIES
+
+
+def optimum(sizes, capacity):
+    """The least number of sequences, by trying every placement."""
+    best = [len(sizes)]
+
+    def place(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(rooms)
+            return
+        for k in {r: k for k, r in enumerate(rooms)}.values():
+            if rooms[k] >= sizes[i]:
+                rooms[k] -= sizes[i]
+                place(i + 1, rooms)
+                rooms[k] += sizes[i]
+        rooms.append(capacity - sizes[i])
+        place(i + 1, rooms)
+        rooms.pop()
+
+    sizes = sorted(sizes, reverse=True)
+    place(0, [])
+    return best[0]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_bin_completion_is_optimal_on_small_sets(seed):
+    rng = random.Random(seed)
+    sizes = [rng.randint(10, 70) for _ in range(rng.randint(0, 11))]
+    packed = packing.complete(Counter(sizes), 100)
+    assert sorted(s for b in packed for s in b) == sorted(sizes)
+    assert all(sum(b) <= 100 for b in packed)
+    assert len(packed) == (optimum(sizes, 100) if sizes else 0)
+    assert not sizes or packing.lower_bound(Counter(sizes), 100) <= len(packed)
+
+
+def test_completion_beats_best_fit():
+    wins = 0
+    for seed in range(60):
+        rng = random.Random(seed)
+        counts = Counter(rng.randint(250, 500) for _ in range(40))
+        wins += len(packing.complete(counts, 1000)) < len(packing.best_fit(counts, 1000))
+    assert wins > 5
+
+
+def test_word_memory_gives_the_tokenizer_s_ids():
+    words = packing.Words(packing.tokenizer_path())
+    rng = random.Random(4)
+    parts = ["aB", "1", "'", "’", "s", "T", " ", " ", ".", ",!", "|", " | ", "#", "é", "é", "ß", "　", "漢", "Σ",
+             "ΑΣ", "İ", "​", "<|endoftext|>", "\n", "\t", "'re", "D'LL", "-", "̀"]
+    for _ in range(4000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
+        want = np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert words(text) == want, text
+
+
+def test_query_covers_every_token(spark):
+    from conftest import SF_SMALL
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    by_doc, by_seq = defaultdict(list), defaultdict(list)
+    for r in QUERIES["op4_bin_completion"](spark, SF_SMALL).collect():
+        by_doc[r["doc_id"]].append(r)
+        by_seq[r["sequence_id"]].append(r)
+    assert set(by_doc) == set(texts)
+    for doc, rows in by_doc.items():
+        ids = np.array([*tokenizer.encode(texts[doc], add_special_tokens=False).ids, 0], dtype="<u4")
+        rows.sort(key=lambda r: r["piece"])
+        assert [r["piece"] for r in rows] == list(range(len(rows)))
+        assert [r["start"] for r in rows] == list(range(0, len(ids), 2048))
+        for r in rows:
+            part = ids[r["start"]:r["start"] + r["length"]]
+            assert len(part) == r["length"] and zlib.crc32(part.tobytes()) == r["ids_crc32"]
+            assert r["length"] == 2048 or r is rows[-1]
+    for rows in by_seq.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 2048
+    total = sum(r["length"] for rows in by_seq.values() for r in rows)
+    assert len(by_seq) <= -(-total // 2048) + 1
+
+
+def test_odd_rows_and_empty_table(spark):
+    path = packing.tokenizer_path()
+    out = packing.pack_documents(documents(spark, ODD), path).collect()
+    assert Counter(r["doc_id"] for r in out if r["piece"] == 0) == Counter(r[0] for r in ODD)
+    assert [r["length"] for r in out if r["doc_id"] in (1, 2, 3)] == [1, 1, 1]
+    assert packing.pack_documents(documents(spark, []), path).count() == 0
+
+
+def test_pieces_hold_their_ids(spark):
+    from conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(5)
+    for r in packing.pieces(docs, packing.tokenizer_path(), with_ids=True).collect():
+        assert zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes()) == r["ids_crc32"]

@@ -135,8 +135,10 @@ def later_runs(lines: DataFrame, min_words: int) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_words: int = MIN_WORDS, out_col: str = "deleted") -> DataFrame:
-    """``docs`` without the lines of later copies, and ``out_col``: how many
-    lines with a word each document had and lost, struct<lines, lost>."""
+    """``docs`` without the lines of later copies, and ``out_col`` (in place of
+    any column of that name): how many lines with a word each document had and
+    lost, struct<lines, lost>."""
+    docs = docs.drop(out_col)
     keyed = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"),
                         *document_key(F.col(id_col), F.col(text_col)))
     # rows that repeat in full are one document here

@@ -92,11 +92,13 @@ def schedule(shares_: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_bytes: int = BLOCK_BYTES,
         period: int = PERIOD, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         out_col: str = "mix") -> DataFrame:
-    """``docs`` with ``out_col``: struct<slot, place, epoch, block, share, period>.
+    """``docs`` with ``out_col`` (in place of any column of that name):
+    struct<slot, place, epoch, block, share, period>.
 
     Read in the order of slot and place, any prefix holds the sources at their
     weights to within a block. A document stands once for each epoch.
     """
+    docs = docs.drop(out_col)
     source, bucket, order, size, before = (C.OWN + n for n in ("source", "bucket", "order", "size", "before"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))

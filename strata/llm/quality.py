@@ -260,12 +260,13 @@ def parcels(docs: DataFrame) -> DataFrame:
 def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", block_rows: int = BLOCK_ROWS, carry: list[str] | None = None,
           out_col: str = "bits") -> DataFrame:
-    """The columns ``carry`` of ``docs`` (all by default) and ``out_col``: the bits
+    """The columns ``carry`` of ``docs`` (all by default) and ``out_col`` (in place
+    of any column of that name): the bits
     per character of each text under the model of its language, the logarithm
     of its perplexity; null where there is no text. ``trusted`` has a column of ids."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StructField, StructType
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c != out_col]
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
@@ -343,13 +344,14 @@ def thresholds(scored: DataFrame, held_out: DataFrame, quantile: float = QUANTIL
 def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN,
              carry: list[str] | None = None, out_col: str = "quality") -> DataFrame:
-    """The columns ``carry`` of ``docs`` and ``out_col``: struct<perplexity, threshold, kept>.
+    """The columns ``carry`` of ``docs`` and ``out_col`` (in place of any column of
+    that name): struct<perplexity, threshold, kept>.
 
     ``trusted`` holds the ids of the trusted documents (one column); one in
     ``HELD_OUT`` of them sets the thresholds, the rest train the model.
     """
     bits, length = C.OWN + "bits", C.OWN + "length"
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c != out_col]
     key = trusted.columns[0]
     held = F.pmod(F.xxhash64(F.lit("held out"), F.col(key)), F.lit(HELD_OUT)) == 0
     docs, _ = in_blocks(docs, BLOCK_ROWS)

@@ -1,0 +1,86 @@
+import random
+
+from llm_rows import ODD, documents, prose
+
+from strata.llm import rules
+from strata.llm.queries import QUERIES
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def words_of(text):
+    out, word = [], ""
+    for c in text + " ":
+        if c in SPACES:
+            out += [word] if word else []
+            word = ""
+        else:
+            word += c
+    return out
+
+
+def brute(text):
+    words = words_of(text)
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if words_of(line):
+            dup += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered))
+
+
+def test_base_statistics():
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choices(["a ", "b ", "c\n", "é", "#", " ", "\n", "|x ", "\x85", " ", "\x1f"],
+                                   k=rng.randint(0, 40)))
+        raw = text.encode()
+        got = (len(raw.split()), len(text) - rules.without(raw, rules.SPACES), rules.without(raw, rules.SYMBOLS),
+               rules.dup_lines(raw), rules.repeat_words(raw.split()))
+        assert got == brute(text), text
+
+
+def test_query_statistics(spark):
+    from conftest import SF_SMALL
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    out = QUERIES["op6_covariance_outliers"](spark, SF_SMALL).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        if len(texts[r["doc_id"]]) < 4000:
+            assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == brute(texts[r["doc_id"]])
+        assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_outliers_go_and_clean_documents_stay(spark):
+    rows = []
+    for i in range(300):
+        w = prose(i, 40 + i)
+        rows.append((i, " ".join(w[:30]) + ".\n" + " ".join(w[30:]) + ".", "en", "big" if i < 280 else f"few{i}"))
+    for i in range(300, 315):
+        w = prose(i, 120)
+        rows.append((i, " ".join(x + "###" for x in w) if i % 2 else " ".join(w).upper() + "!!", "en", "big"))
+    out = {r["doc_id"]: r for r in rules.judge(documents(spark, rows)).collect()}
+    assert all(out[i]["kept"] for i in range(300))
+    assert not any(out[i]["kept"] for i in range(300, 315))
+    assert len({out[i]["grp"] for i in range(280)}) == 1 and all(out[i]["grp"] is None for i in range(280, 300))
+
+
+def test_estimate_matches_numpy(spark):
+    """One concentration step from the same start keeps the same documents."""
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = rng.normal(0, 300, (400, len(rules.DIMS))).round().astype(int)
+    rows = spark.createDataFrame([("g", *map(int, r)) for r in x], ["grp", *rules.DIMS])
+    fit = rules.mcd(rows, share=1.0, steps=1).first()
+    want = np.cov(x.T / rules.STEP, bias=True) + np.diag(np.square(list(rules.FLOORS.values())))
+    assert np.allclose(fit["mean"], x.mean(axis=0) / rules.STEP)
+    assert np.allclose(np.array(fit["inv"]).reshape(want.shape), np.linalg.inv(want))
+
+
+def test_odd_rows_and_empty_table(spark):
+    out = rules.judge(documents(spark, ODD)).collect()
+    assert len(out) == len(ODD) and all(r["base_failed"] for r in out if r["doc_id"] in (1, 2, 3, 4, 6))
+    assert rules.judge(documents(spark, [])).count() == 0

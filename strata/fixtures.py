@@ -15,10 +15,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .functions.text import KEYWORD_GROUPS, keyword_group_col
-from .operators.joins import has_at_most
 
 # Fixed values of the fixture mapping.
 AS_OF = _dt.date(2024, 2, 1)
@@ -34,11 +32,6 @@ FULL_END = "2024-03-01"
 CHUNK_ORIGIN = "2024-01-08"
 CHUNK_DAYS = 7
 
-# The test tables are read-only. Each file's footer schema is read once per
-# process and later reads declare it (no footer pass per query build), and
-# the size check of the conversations lookup runs once per dataset.
-_SCHEMAS: dict[str, StructType] = {}
-_LOOKUP_BOUNDED: dict[str, bool] = {}
 
 
 class Fixture:
@@ -47,18 +40,9 @@ class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        # The fixture's days are defined in UTC (the oracle's naive timestamps).
-        if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.sf_dir}/{name}.parquet"
-        schema = _SCHEMAS.get(path)
-        if schema is None:
-            df = self.spark.read.parquet(path)
-            _SCHEMAS[path] = df.schema
-            return df
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- bronze-shaped tables -------------------------------------------------
     def users(self) -> DataFrame:
@@ -69,7 +53,7 @@ class Fixture:
         registered = (F.when(key % 23 == 0, F.lit(None).cast("date"))
                       .otherwise(F.date_sub(F.lit(AS_OF), (key % 200).cast("int"))))
         return self.table("customer").select(
-            key.cast("int").alias("user_id"),
+            key.cast("long").alias("user_id"),
             F.col("c_name").alias("username"),
             email.alias("email"),
             F.md5(F.col("c_name")).alias("password_hash"),
@@ -85,8 +69,8 @@ class Fixture:
         created = F.timestamp_seconds(
             F.lit(POST_EPOCH_START) + (F.col("doc_id") * POST_TIME_STRIDE) % POST_TIME_SPAN)
         return docs.join(labels, "doc_id", "left").select(
-            F.col("doc_id").cast("int").alias("post_id"),
-            (F.col("doc_id") % n_groups).cast("int").alias("user_id"),
+            F.col("doc_id").cast("long").alias("post_id"),
+            (F.col("doc_id") % n_groups).cast("long").alias("user_id"),
             F.col("text").alias("content"),
             created.alias("created_at"),
             F.col("quality").alias("sentiment"),
@@ -99,44 +83,52 @@ class Fixture:
         likeable = self._post_modulus(4, 5)
         return (self.table("events")
                 .where(F.col("event_type").isin("click", "view"))
-                .select(F.col("event_id").cast("int").alias("like_id"),
-                        (F.col("event_id") % likeable).cast("int").alias("post_id"),
-                        F.col("user_id").cast("int").alias("user_id"),
+                .select(F.col("event_id").cast("long").alias("like_id"),
+                        (F.col("event_id") % likeable).cast("long").alias("post_id"),
+                        F.col("user_id").cast("long").alias("user_id"),
                         F.col("ts").cast("timestamp").alias("created_at")))
 
     def comments(self) -> DataFrame:
+        """Every turn of every conversation is the text of some comments: an
+        event's conversation and turn follow from its id."""
         commentable = self._post_modulus(3, 5)
         events = self.table("events").where(F.col("event_type").isin("purchase", "signup"))
-        # conv_id must equal event_id % 20, which lies strictly between -20 and
-        # 20: the filter is implied by the join key and leaves the first turns
-        # of at most 39 conversations. The join key has at most 39 values, so
-        # a shuffle join would crowd all events into 39 partitions; the side
-        # is broadcast once its size is checked.
-        first_turns = (self.table("conversations")
-                       .where((F.col("turn") == 1) & (F.col("conv_id") > -20)
-                              & (F.col("conv_id") < 20))
-                       .select("conv_id", "text"))
-        if self.sf_dir not in _LOOKUP_BOUNDED:
-            _LOOKUP_BOUNDED[self.sf_dir] = has_at_most(first_turns)
-        if _LOOKUP_BOUNDED[self.sf_dir]:
-            first_turns = F.broadcast(first_turns)
-        joined = events.join(first_turns,
-                             first_turns["conv_id"] == events["event_id"] % 20, "left")
-        return joined.select(
-            F.col("event_id").cast("int").alias("comment_id"),
-            (F.col("event_id") % commentable).cast("int").alias("post_id"),
-            F.col("user_id").cast("int").alias("user_id"),
-            F.col("text").alias("content"),
+        # one row per conversation, its texts by turn
+        turns = self.table("conversations").groupBy("conv_id").agg(F.transform(
+            F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda t: t["text"]).alias("texts"))
+        n_conversations = self.table("conversations").select(F.countDistinct("conv_id")).scalar()
+        event_id = F.col("event_id")
+        events = events.withColumn("conv_id", event_id % n_conversations)
+        turn = F.floor(event_id / n_conversations) % F.size("texts")
+        return events.join(turns, "conv_id", "left").select(
+            event_id.cast("long").alias("comment_id"),
+            (event_id % commentable).cast("long").alias("post_id"),
+            F.col("user_id").cast("long").alias("user_id"),
+            F.get("texts", turn.cast("int")).alias("content"),
             F.col("ts").cast("timestamp").alias("created_at"),
-            (F.col("event_id") % 2).cast("int").alias("sentiment"),
+            (event_id % 2).cast("int").alias("sentiment"),
         )
 
-    def posts_dup(self) -> DataFrame:
-        """Posts plus one in 25 repeated an hour later (real duplicate keys)."""
-        posts = self.posts()
-        repeats = (posts.where(F.col("post_id") % 25 == 0)
+    def _repeated(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows plus one in 25 repeated an hour later (real duplicate keys)."""
+        repeats = (df.where(F.col(key) % 25 == 0)
                    .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 HOUR")))
-        return posts.unionByName(repeats)
+        return df.unionByName(repeats)
+
+    def users_dup(self) -> DataFrame:
+        """Users plus one in 25 repeated under another name."""
+        users = self.users()
+        return users.unionByName(users.where(F.col("user_id") % 25 == 0)
+                                 .withColumn("username", F.concat(F.lit("again "), F.col("username"))))
+
+    def posts_dup(self) -> DataFrame:
+        return self._repeated(self.posts(), "post_id")
+
+    def comments_dup(self) -> DataFrame:
+        return self._repeated(self.comments(), "comment_id")
+
+    def likes_dup(self) -> DataFrame:
+        return self._repeated(self.likes(), "like_id")
 
     def posts_kw(self) -> DataFrame:
         return self.posts().withColumn("keywords", keyword_group_col("post_id"))
@@ -162,7 +154,7 @@ def duck_keywords(key: str) -> str:
 
 _DUCK_VIEWS = {
     "users": f"""users AS (
-  SELECT CAST(c_custkey AS INT) AS user_id, c_name AS username,
+  SELECT CAST(c_custkey AS BIGINT) AS user_id, c_name AS username,
          CASE WHEN c_custkey % 17 = 0 THEN NULL
               WHEN c_custkey % 10 = 3 THEN concat('bad-', c_custkey)
               ELSE concat('u', c_custkey, '@example.com') END AS email,
@@ -171,24 +163,43 @@ _DUCK_VIEWS = {
               ELSE DATE '{AS_OF}' - CAST(c_custkey % 200 AS INT) END AS registration_date
   FROM customer)""",
     "posts": f"""posts AS (
-  SELECT CAST(d.doc_id AS INT) AS post_id,
-         CAST(d.doc_id % (SELECT count(*) // 5 FROM customer) AS INT) AS user_id,
+  SELECT CAST(d.doc_id AS BIGINT) AS post_id,
+         CAST(d.doc_id % (SELECT count(*) // 5 FROM customer) AS BIGINT) AS user_id,
          d.text AS content,
          TIMESTAMP '1970-01-01' + to_seconds({POST_EPOCH_START} + (d.doc_id * {POST_TIME_STRIDE}) % {POST_TIME_SPAN}) AS created_at,
          l.quality AS sentiment
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""",
     "likes": """likes AS (
-  SELECT CAST(event_id AS INT) AS like_id,
-         CAST(event_id % (SELECT count(*) * 4 // 5 FROM documents) AS INT) AS post_id,
-         CAST(user_id AS INT) AS user_id, ts AS created_at
+  SELECT CAST(event_id AS BIGINT) AS like_id,
+         CAST(event_id % (SELECT count(*) * 4 // 5 FROM documents) AS BIGINT) AS post_id,
+         CAST(user_id AS BIGINT) AS user_id, ts AS created_at
   FROM events WHERE event_type IN ('click', 'view'))""",
-    "comments": """comments AS (
-  SELECT CAST(e.event_id AS INT) AS comment_id,
-         CAST(e.event_id % (SELECT count(*) * 3 // 5 FROM documents) AS INT) AS post_id,
-         CAST(e.user_id AS INT) AS user_id, c.text AS content,
+    "comments": """conversation_texts AS (
+  SELECT conv_id, list(text ORDER BY turn, text) AS texts FROM conversations GROUP BY conv_id),
+comments AS (
+  SELECT CAST(e.event_id AS BIGINT) AS comment_id,
+         CAST(e.event_id % (SELECT count(*) * 3 // 5 FROM documents) AS BIGINT) AS post_id,
+         CAST(e.user_id AS BIGINT) AS user_id,
+         c.texts[(e.event_id // (SELECT count(*) FROM conversation_texts)) % len(c.texts) + 1] AS content,
          e.ts AS created_at, CAST(e.event_id % 2 AS INT) AS sentiment
-  FROM events e LEFT JOIN conversations c ON c.conv_id = e.event_id % 20 AND c.turn = 1
+  FROM events e LEFT JOIN conversation_texts c
+    ON c.conv_id = e.event_id % (SELECT count(*) FROM conversation_texts)
   WHERE e.event_type IN ('purchase', 'signup'))""",
+    "users_dup": """users_dup AS (
+  SELECT * FROM users
+  UNION ALL
+  SELECT user_id, 'again ' || username AS username, email, password_hash, full_name,
+         registration_date FROM users WHERE user_id % 25 = 0)""",
+    "comments_dup": """comments_dup AS (
+  SELECT * FROM comments
+  UNION ALL
+  SELECT comment_id, post_id, user_id, content, created_at + INTERVAL 1 HOUR AS created_at, sentiment
+  FROM comments WHERE comment_id % 25 = 0)""",
+    "likes_dup": """likes_dup AS (
+  SELECT * FROM likes
+  UNION ALL
+  SELECT like_id, post_id, user_id, created_at + INTERVAL 1 HOUR AS created_at
+  FROM likes WHERE like_id % 25 = 0)""",
     "posts_dup": """posts_dup AS (
   SELECT * FROM posts
   UNION ALL
@@ -201,6 +212,9 @@ _DUCK_VIEWS = {
 }
 
 _DUCK_DEPENDS = {
+    "users_dup": ["users"],
+    "comments_dup": ["comments"],
+    "likes_dup": ["likes"],
     "posts_dup": ["posts"],
     "posts_kw": ["posts"],
     "comments_kw": ["comments"],

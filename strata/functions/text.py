@@ -17,11 +17,9 @@ KEYWORD_GROUPS: tuple[tuple[str, ...], ...] = (
 
 # The cleaning patterns (Java regex syntax).
 URL_PATTERN = r"https?://\S+"
-NON_WORD_RUN = r"[^\p{L}\p{N}\s]+"
-WHITESPACE_RUN = r"\s+"
-# Replacing NON_WORD_RUN by a space and then WHITESPACE_RUN by a space turns
-# every maximal run of characters that are not letters or digits into one
-# space; one pass with this pattern gives the same string.
+# Replacing runs of non-word characters by a space and then runs of white space
+# by a space turns every maximal run of characters that are not letters or
+# digits into one space; one pass with this pattern gives the same string.
 NON_ALNUM_RUN = r"[^\p{L}\p{N}]+"
 
 

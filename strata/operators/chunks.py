@@ -28,9 +28,14 @@ def _origin_ts(origin) -> Column:
     return F.lit(_origin(origin).isoformat(sep=" ")).cast("timestamp")
 
 
+def _time(ts: Column | str) -> Column:
+    """The event time; a string is parsed, and NULL where it is no time."""
+    return (F.col(ts) if isinstance(ts, str) else ts).try_cast("timestamp")
+
+
 def chunk_number(ts: Column | str, origin, n_days: int) -> Column:
     """Whole n-day periods since the origin (NULL before it or for NULL)."""
-    t = F.col(ts) if isinstance(ts, str) else ts
+    t = _time(ts)
     o = _origin_ts(origin)
     elapsed_days = F.floor((F.unix_micros(t) - F.unix_micros(o)) / F.lit(_DAY_MICROS))
     return F.when(t >= o, F.floor(elapsed_days / F.lit(n_days)).cast("long"))
@@ -38,14 +43,14 @@ def chunk_number(ts: Column | str, origin, n_days: int) -> Column:
 
 def chunk_label(ts: Column | str, origin, n_days: int) -> Column:
     """``initial`` before the origin, else ``chunk_<k>``."""
-    t = F.col(ts) if isinstance(ts, str) else ts
+    t = _time(ts)
     return (F.when(t < _origin_ts(origin), F.lit(INITIAL))
             .otherwise(F.concat(F.lit("chunk_"), chunk_number(t, origin, n_days).cast("string"))))
 
 
 def chunk_folder(ts: Column | str, origin, n_days: int) -> Column:
     """Folder name of a row's chunk: ``initial`` or the chunk's first day."""
-    t = F.col(ts) if isinstance(ts, str) else ts
+    t = _time(ts)
     start = F.date_add(F.lit(_origin(origin).date()),
                        (chunk_number(t, origin, n_days) * n_days).cast("int"))
     return (F.when(t < _origin_ts(origin), F.lit(INITIAL))
@@ -60,7 +65,7 @@ def assign_chunk(df: DataFrame, origin, n_days: int, ts_col: str = "created_at",
 
 def chunk_summary(df: DataFrame, origin, n_days: int, ts_col: str = "created_at") -> DataFrame:
     """K-2: ``date_chunk, records, first_at, last_at`` per chunk."""
-    return (df.select(chunk_label(ts_col, origin, n_days).alias("date_chunk"), F.col(ts_col))
+    return (df.select(chunk_label(ts_col, origin, n_days).alias("date_chunk"), _time(ts_col).alias(ts_col))
             .groupBy("date_chunk")
             .agg(F.count(F.lit(1)).alias("records"),
                  F.min(ts_col).alias("first_at"), F.max(ts_col).alias("last_at")))
@@ -73,7 +78,7 @@ def chunk_ranges(df: DataFrame, origin, n_days: int, ts_col: str = "created_at")
     """
     o = _origin(origin).date()
     numbers = (df.select(chunk_number(ts_col, origin, n_days).alias("k"),
-                         F.col(ts_col) < _origin_ts(origin)).toDF("k", "early")
+                         _time(ts_col) < _origin_ts(origin)).toDF("k", "early")
                .where(F.col("k").isNotNull() | F.col("early"))
                .groupBy("k").agg(F.count(F.lit(1)).alias("records")))
     start = F.date_add(F.lit(o), (F.col("k") * n_days).cast("int"))
@@ -85,12 +90,3 @@ def chunk_ranges(df: DataFrame, origin, n_days: int, ts_col: str = "created_at")
          .otherwise(F.date_add(start, n_days - 1)).alias("end_date"),
         "records",
     )
-
-
-def chunk_date_ranges(spark, origin, n_days: int, count: int = 10) -> DataFrame:
-    """The first ``count`` chunk ranges as a table (a helper for display)."""
-    o = _origin(origin).date()
-    start = F.date_add(F.lit(o), (F.col("id") * n_days).cast("int"))
-    return spark.range(count).select(
-        F.concat(F.lit("chunk_"), F.col("id").cast("string")).alias("date_chunk"),
-        start.alias("start_date"), F.date_add(start, n_days - 1).alias("end_date"))

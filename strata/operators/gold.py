@@ -21,7 +21,6 @@ from ..functions.columns import (DateLike, as_of_date, flag, minutes_between, re
                                  safe_ratio)
 from ..schemas import (GOLD_CONTENT_TRENDS_COLUMNS, GOLD_DAILY_SUMMARY_COLUMNS,
                        GOLD_POST_PERFORMANCE_COLUMNS)
-from .joins import DEFAULT_MAX_ROWS, has_at_most
 
 POSITIVE = 1
 NEGATIVE = 0
@@ -37,12 +36,23 @@ def _is(col: str, value: int) -> Column:
 
 def _daily_kind(df: DataFrame, id_col: str, items: str, actors: str,
                 sentiment_prefix: str | None = None) -> DataFrame:
-    """Per-day distinct ids / distinct users (+ sentiment counts) of one feed."""
-    aggs = [F.countDistinct(id_col).alias(items), F.countDistinct("user_id").alias(actors)]
-    if sentiment_prefix:
-        aggs += [F.sum(flag(_is("sentiment", POSITIVE))).alias(f"positive_{sentiment_prefix}_count"),
-                 F.sum(flag(_is("sentiment", NEGATIVE))).alias(f"negative_{sentiment_prefix}_count")]
-    return df.groupBy(report_date().alias("report_date")).agg(*aggs)
+    """Per-day distinct ids / distinct users (+ sentiment counts) of one feed.
+
+    Two aggregates, by item and by user, that meet on the day: two
+    ``countDistinct`` in one would copy every row before the shuffle.
+    """
+    feed = df.select(report_date().alias("report_date"), F.col(id_col).alias("item_id"), "user_id",
+                     *(["sentiment"] if sentiment_prefix else []))
+    signs = [(f"{name}_{sentiment_prefix}_count", value)
+             for name, value in (("positive", POSITIVE), ("negative", NEGATIVE))] if sentiment_prefix else []
+    by_item = feed.groupBy("report_date", "item_id").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(_is("sentiment", v)).alias(c) for c, v in signs])
+    per_day = by_item.groupBy("report_date").agg(
+        F.count("item_id").alias(items), *[F.sum(c).alias(c) for c, _ in signs])
+    people = (feed.select("report_date", "user_id").distinct().groupBy("report_date")
+              .agg(F.count("user_id").alias(actors)).withColumnRenamed("report_date", "u_day"))
+    return (per_day.join(people, F.col("report_date").eqNullSafe(F.col("u_day")))
+            .select("report_date", items, actors, *[c for c, _ in signs]))
 
 
 def daily_posts(posts: DataFrame) -> DataFrame:
@@ -199,42 +209,30 @@ def first_engagement(likes: DataFrame, comments: DataFrame) -> DataFrame:
 
 
 def post_performance(posts: DataFrame, users: DataFrame, likes: DataFrame,
-                     comments: DataFrame, broadcast_users_max_rows: int = DEFAULT_MAX_ROWS
-                     ) -> DataFrame:
+                     comments: DataFrame) -> DataFrame:
     """G-2 ``gold_post_performance``: one row per post row.
 
     Likes and comments are aggregated together, once per post
-    (:func:`first_engagement`), so the posts meet one aggregate in one join
-    (about 25 % faster than joining a like and a comment aggregate in turn on
-    the skewed scale tables). Totals stay NULL for posts without engagement.
-
-    The post rows carry the post text, the widest column of the job, so the
-    plan shuffles them once:
-
-    * when ``users (user_id, username)`` has at most
-      ``broadcast_users_max_rows`` rows (one bounded count), it is broadcast
-      and posts are shuffled only by ``post_id`` to meet the engagement
-      aggregates;
-    * otherwise ``username`` and the engagement figures are first resolved on
-      the narrow ``(post_id, user_id)`` pairs of the posts, and the posts join
-      that result once on ``(post_id, user_id)`` (NULL-safe), instead of being
-      shuffled by ``post_id`` and again by ``user_id``.
+    (:func:`first_engagement`). Totals stay NULL for posts without engagement.
+
+    The post rows carry the post text, the widest column of the job, so they
+    are shuffled once: ``username`` and the engagement figures are first
+    resolved on the narrow ``(post_id, user_id)`` pairs of the posts, and the
+    posts join that result on the pair (NULL-safe), instead of being shuffled
+    by ``post_id`` and again by ``user_id``. No side is hinted; AQE broadcasts
+    the names or the pairs where it measures them small.
     """
     engagement = first_engagement(likes, comments)
     names = users.select("user_id", "username")
     rows = posts.select("post_id", "user_id", "content", "created_at", "sentiment")
-    if has_at_most(names, broadcast_users_max_rows):
-        perf = (rows.join(F.broadcast(names), "user_id", "left")
-                .join(engagement, "post_id", "left"))
-    else:
-        facts = (rows.select("post_id", "user_id").distinct()
-                 .join(names, "user_id", "left")
-                 .join(engagement, "post_id", "left")
-                 .withColumnRenamed("post_id", "_post_id")
-                 .withColumnRenamed("user_id", "_user_id"))
-        on = (rows["post_id"].eqNullSafe(facts["_post_id"])
-              & rows["user_id"].eqNullSafe(facts["_user_id"]))
-        perf = rows.join(facts, on, "left")
+    facts = (rows.select("post_id", "user_id").distinct()
+             .join(names, "user_id", "left")
+             .join(engagement, "post_id", "left")
+             .withColumnRenamed("post_id", "_post_id")
+             .withColumnRenamed("user_id", "_user_id"))
+    on = (rows["post_id"].eqNullSafe(facts["_post_id"])
+          & rows["user_id"].eqNullSafe(facts["_user_id"]))
+    perf = rows.join(facts, on, "left")
     return perf.select(
         "post_id",
         F.to_date("created_at").alias("created_date"),
@@ -262,9 +260,7 @@ def content_trends(posts: DataFrame, comments: DataFrame) -> DataFrame:
     Both keyword streams are exploded (narrow), tagged, unioned and counted
     in one aggregate (one shuffle instead of two aggregates plus an outer
     join). ``trending_rank`` orders by mentions, ties by keyword (then posts
-    first), so the rank is deterministic. The window partitions the
-    aggregated rows by day, so a partition holds one row per keyword of that
-    day, not its events.
+    first), so the rank is deterministic (:func:`_ranked_by_day`).
 
     As in the reference's outer join on ``(day, keyword)``, a NULL day or
     keyword never matches: such mentions are counted per side, so the post
@@ -281,16 +277,34 @@ def content_trends(posts: DataFrame, comments: DataFrame) -> DataFrame:
                         F.when(unmatched, F.col("in_post")).alias("unmatched_side"))
                .agg(F.count_if(F.col("in_post")).alias("mention_count_in_posts"),
                     F.count_if(~F.col("in_post")).alias("mention_count_in_comments")))
-    rank_window = Window.partitionBy("report_date").orderBy(
-        F.desc("total_mentions"), F.asc("topic_or_keyword"), F.desc("mention_count_in_posts"))
-    return (counted
-            .withColumn("total_mentions",
-                        F.col("mention_count_in_posts") + F.col("mention_count_in_comments"))
+    counted = counted.withColumn("total_mentions", F.col("mention_count_in_posts")
+                                 + F.col("mention_count_in_comments"))
+    return (_ranked_by_day(counted)
             .withColumn("avg_sentiment_when_mentioned", F.lit(None).cast("float"))
-            .withColumn("trending_rank", F.row_number().over(rank_window))
             .select(*GOLD_CONTENT_TRENDS_COLUMNS))
 
 
+def _ranked_by_day(counted: DataFrame) -> DataFrame:
+    """Adds ``trending_rank`` within the day: by mentions, keyword, post mentions.
+
+    A day is ranked in buckets of equal mentions and keyword prefix, each
+    after the rows of the buckets before it, so a day with an open vocabulary
+    is not sorted in one task; a day's buckets are counted first.
+    """
+    bucket = ["report_date", "total_mentions", "prefix"]
+    rows = counted.withColumn("prefix", F.substring("topic_or_keyword", 1, 3))
+    order = [F.desc("total_mentions"), F.asc("prefix")]
+    before = (Window.partitionBy("report_date").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).select(
+        *[F.col(c).alias(f"b_{c}") for c in bucket],
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    within = Window.partitionBy(*bucket).orderBy("topic_or_keyword", F.desc("mention_count_in_posts"))
+    on = [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in bucket]
+    return (rows.withColumn("place", F.row_number().over(within)).join(sizes, on)
+            .withColumn("trending_rank", (F.col("ahead") + F.col("place")).cast("int")))
+
+
 # ---------------------------------------------------------------------------
 # G-3 user snapshot
 # ---------------------------------------------------------------------------

@@ -23,7 +23,7 @@ from ..schemas import SILVER_COMMENTS_COLUMNS, SILVER_POSTS_COLUMNS
 TEXT_CLEAN = "text_clean"
 PREDICTION = "prediction_nb"
 NUM_FEATURES = 1 << 18
-_MODEL_COLUMNS = ("__words", "__tf", "__features", "rawPrediction", "probability")
+_MODEL_COLUMNS = ("__words", "__tf", "__features")
 
 
 def clean_text(df: DataFrame, text_col: str, new_col: str = TEXT_CLEAN) -> DataFrame:
@@ -55,6 +55,7 @@ def sentiment_pipeline(num_features: int = NUM_FEATURES, smoothing: float = 1.0)
         HashingTF(inputCol="__words", outputCol="__tf", numFeatures=num_features),
         IDF(inputCol="__tf", outputCol="__features"),
         NaiveBayes(featuresCol="__features", labelCol="label", predictionCol=PREDICTION,
+                   rawPredictionCol="", probabilityCol="",  # the class alone is used
                    smoothing=smoothing, modelType="multinomial"),
     ])
 

@@ -3,35 +3,39 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def align_to_schema(df: DataFrame, schema: T.StructType, safe: bool = True) -> DataFrame:
+def align_to_schema(df: DataFrame, schema: T.StructType, safe: bool = True,
+                    strict: Sequence[str] = ()) -> DataFrame:
     """Keep the schema's columns in its order, cast to its types; add the
     missing ones as typed NULLs; drop everything else (e.g. a stray label).
 
     ``safe`` casts with ``try_cast`` so a bad value becomes NULL instead of
-    failing the job under ANSI mode.
+    failing the job under ANSI mode. A value of a ``strict`` column (a key) that
+    cannot be cast fails the job in any mode.
     """
     present = set(df.columns)
     cols = []
     for f in schema.fields:
         if f.name in present:
             c = F.col(f"`{f.name}`")
+            if f.name in strict:
+                bad = c.isNotNull() & c.try_cast(f.dataType).isNull()
+                error = F.raise_error(F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "),
+                                               c.cast("string")))
+                cols.append(F.when(bad, error).otherwise(c.try_cast(f.dataType)).alias(f.name))
+                continue
             cols.append((c.try_cast(f.dataType) if safe else c.cast(f.dataType)).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
-def drop_columns_if_present(df: DataFrame, *names: str) -> DataFrame:
-    """``drop`` that ignores absent names (the stray ``label`` column)."""
-    return df.drop(*[n for n in names if n in df.columns])
-
-
 def drop_null_key(df: DataFrame, key: str | None = None) -> DataFrame:
     """Drop rows whose key (default: the first column) is NULL."""
     return df.dropna(subset=[key or df.columns[0]])
@@ -47,6 +51,17 @@ def _ts(value: str | _dt.date | _dt.datetime):
     return F.lit(value.isoformat(sep=" ")).cast("timestamp")
 
 
+def window_condition(start: str, end: str, column: str = "created_at",
+                     end_mode: str = "instant") -> str:
+    """The condition of :func:`date_window` as SQL text, for a query that the
+    database plans itself."""
+    day = _dt.date.fromisoformat(end)
+    last = {"instant": f"<= TIMESTAMP '{day} 00:00:00'",
+            "day": f"< TIMESTAMP '{day + _dt.timedelta(days=1)} 00:00:00'"}[end_mode]
+    return (f"{column} >= TIMESTAMP '{_dt.date.fromisoformat(start)} 00:00:00' "
+            f"AND {column} {last}")
+
+
 def date_window(df: DataFrame, start=None, end=None, column: str = "created_at",
                 end_mode: str = "instant") -> DataFrame:
     """Rows whose ``column`` falls in the run window.

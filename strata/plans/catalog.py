@@ -16,10 +16,10 @@ from ..fixtures import (AS_OF, CHUNK_DAYS, CHUNK_ORIGIN, FULL_END, FULL_START, W
                         duck_keywords, duckdb_views)
 from ..functions.columns import EMAIL_PATTERN
 from ..operators import chunks, gold, nlp, quality, shape
-from ..schemas import KEYWORDS_FIELD, POSTS, SENTIMENT_FIELD
+from ..schemas import GOLD_DAILY_SUMMARY_COLUMNS, KEYWORDS_FIELD, LIKES, POSTS, SENTIMENT_FIELD
 from ..session import scratch_path
 from ..sources import parquet as pq
-from ..sources import sinks
+from ..sources import jdbc, sinks
 from . import entities as E
 from .registry import register
 
@@ -106,7 +106,7 @@ FROM k LEFT JOIN au ON k.report_date = au.report_date"""
 GOLD_DAILY_SUMMARY_SQL = duckdb_views("posts", "comments", "likes") + "," + GOLD_DAILY_SUMMARY_BODY
 
 
-@register("gold_daily_summary", oracle=GOLD_DAILY_SUMMARY_SQL, headline=True)
+@register("gold_daily_summary", oracle=GOLD_DAILY_SUMMARY_SQL)
 def q_gold_daily_summary(spark, sf_dir):
     f = fx(spark, sf_dir)
     return gold.daily_summary(f.posts(), f.comments(), f.likes())
@@ -150,7 +150,7 @@ GOLD_POST_PERFORMANCE_SQL = (duckdb_views("users", "posts", "likes", "comments")
                              + GOLD_POST_PERFORMANCE_BODY)
 
 
-@register("gold_post_performance", oracle=GOLD_POST_PERFORMANCE_SQL, headline=True)
+@register("gold_post_performance", oracle=GOLD_POST_PERFORMANCE_SQL)
 def q_gold_post_performance(spark, sf_dir):
     f = fx(spark, sf_dir)
     return gold.post_performance(f.posts(), f.users(), f.likes(), f.comments())
@@ -193,7 +193,7 @@ FROM j"""
 GOLD_CONTENT_TRENDS_SQL = duckdb_views("posts_kw", "comments_kw") + "," + GOLD_CONTENT_TRENDS_BODY
 
 
-@register("gold_content_trends", oracle=GOLD_CONTENT_TRENDS_SQL, headline=True)
+@register("gold_content_trends", oracle=GOLD_CONTENT_TRENDS_SQL)
 def q_gold_content_trends(spark, sf_dir):
     f = fx(spark, sf_dir)
     return gold.content_trends(f.posts_kw(), f.comments_kw())
@@ -296,7 +296,7 @@ GOLD_USER_SNAPSHOT_SQL = (duckdb_views("users", "posts", "comments", "likes") +
                           + GOLD_USER_SNAPSHOT_BODY)
 
 
-@register("gold_user_snapshot", oracle=GOLD_USER_SNAPSHOT_SQL, headline=True)
+@register("gold_user_snapshot", oracle=GOLD_USER_SNAPSHOT_SQL)
 def q_gold_user_snapshot(spark, sf_dir):
     f = fx(spark, sf_dir)
     return gold.user_snapshot(f.users(), f.posts(), f.comments(), f.likes(), as_of=AS_OF)
@@ -414,6 +414,35 @@ def q_verify_gold(spark, sf_dir):
     })
 
 
+def _register_preview(table: str, views: tuple[str, ...], body: str, build) -> None:
+    """V-1 previews: the chosen columns and first rows of a gold table."""
+    from .pipeline import GOLD_PREVIEWS
+    columns, order, n = GOLD_PREVIEWS[table]
+    chosen = ", ".join(columns or GOLD_DAILY_SUMMARY_COLUMNS)
+    sql = (duckdb_views(*views) + f",{body_as(body)}\nSELECT {chosen} FROM g\n"
+           f"ORDER BY {', '.join(f'{c} NULLS FIRST' for c in order)} LIMIT {n}")
+
+    @register(f"preview_{table.removeprefix('gold_')}", oracle=sql)
+    def query(spark, sf_dir):
+        return quality.preview(build(spark, sf_dir), list(columns or GOLD_DAILY_SUMMARY_COLUMNS), list(order), n)
+
+
+def body_as(body: str) -> str:
+    """The CTEs of a gold statement with its last SELECT named ``g``."""
+    ctes, _, select = body.rpartition("\nSELECT ")
+    return f"{ctes},\ng AS (SELECT {select})"
+
+
+_register_preview("gold_daily_platform_summary", ("posts", "comments", "likes"),
+                  GOLD_DAILY_SUMMARY_BODY, q_gold_daily_summary)
+_register_preview("gold_post_performance", ("users", "posts", "likes", "comments"),
+                  GOLD_POST_PERFORMANCE_BODY, q_gold_post_performance)
+_register_preview("gold_user_snapshot", ("users", "posts", "comments", "likes"),
+                  GOLD_USER_SNAPSHOT_BODY, q_gold_user_snapshot)
+_register_preview("gold_daily_content_trends", ("posts_kw", "comments_kw"),
+                  GOLD_CONTENT_TRENDS_BODY, q_gold_content_trends)
+
+
 # ---------------------------------------------------------------------------
 # Schema shaping (C-1, P-6)
 # ---------------------------------------------------------------------------
@@ -426,6 +455,19 @@ def q_align_to_schema(spark, sf_dir):
     return shape.align_to_schema(fx(spark, sf_dir).posts(), silver_posts)
 
 
+@register("load_align", oracle="""
+SELECT event_id + 3000000000 AS like_id, CAST(NULL AS BIGINT) AS post_id, user_id,
+       ts AS created_at
+FROM events WHERE event_id % 97 <> 0""")
+def q_load_align(spark, sf_dir):
+    """The rows a relational load inserts: ids past 2^31 that come as text,
+    some of them missing."""
+    key = F.when(F.col("event_id") % 97 != 0, (F.col("event_id") + 3_000_000_000).cast("string"))
+    raw = fx(spark, sf_dir).table("events").select(
+        "user_id", "props", key.alias("like_id"), F.col("ts").cast("timestamp").alias("created_at"))
+    return jdbc.loadable(raw, LIKES)
+
+
 @register("drop_null_key", oracle=duckdb_views("users") + """
 SELECT email, user_id, username FROM users WHERE email IS NOT NULL""")
 def q_drop_null_key(spark, sf_dir):
@@ -460,12 +502,12 @@ def q_bronze_likes(spark, sf_dir):
     return E.bronze(fx(spark, sf_dir).likes(), E.ENTITIES["likes"], WINDOW_START, WINDOW_END)
 
 
-@register("silver_users", oracle=duckdb_views("users") + ",\nd AS ("
-          + _dedup_sql("users", USER_COLUMNS, ["user_id"], []) + f""")
+@register("silver_users", oracle=duckdb_views("users_dup") + ",\nd AS ("
+          + _dedup_sql("users_dup", USER_COLUMNS, ["user_id"], []) + f""")
 SELECT * FROM d WHERE regexp_matches(email, {EMAIL_SQL})
    OR (SELECT count_if(NOT regexp_matches(email, {EMAIL_SQL})) FROM d) = 0""")
 def q_silver_users(spark, sf_dir):
-    return E.silver(fx(spark, sf_dir).users(), E.ENTITIES["users"])
+    return E.silver(fx(spark, sf_dir).users_dup(), E.ENTITIES["users"])
 
 
 @register("silver_posts", oracle=duckdb_views("posts_dup") + "\n"
@@ -474,10 +516,10 @@ def q_silver_posts(spark, sf_dir):
     return E.silver(fx(spark, sf_dir).posts_dup(), E.ENTITIES["posts"])
 
 
-@register("silver_comments", oracle=duckdb_views("comments") + "\n"
-          + _dedup_sql("comments", COMMENT_COLUMNS, ["comment_id"], ["created_at", "comment_id"]))
+@register("silver_comments", oracle=duckdb_views("comments_dup") + "\n"
+          + _dedup_sql("comments_dup", COMMENT_COLUMNS, ["comment_id"], ["created_at", "comment_id"]))
 def q_silver_comments(spark, sf_dir):
-    return E.silver(fx(spark, sf_dir).comments(), E.ENTITIES["comments"])
+    return E.silver(fx(spark, sf_dir).comments_dup(), E.ENTITIES["comments"])
 
 
 @register("silver_likes", oracle=duckdb_views("likes") + "\n"
@@ -486,10 +528,10 @@ def q_silver_likes(spark, sf_dir):
     return E.silver(fx(spark, sf_dir).likes(), E.ENTITIES["likes"])
 
 
-@register("silver_likes_by_id", oracle=duckdb_views("likes") + "\n"
-          + _dedup_sql("likes", LIKE_COLUMNS, ["like_id"], ["created_at", "like_id"]))
+@register("silver_likes_by_id", oracle=duckdb_views("likes_dup") + "\n"
+          + _dedup_sql("likes_dup", LIKE_COLUMNS, ["like_id"], ["created_at", "like_id"]))
 def q_silver_likes_by_id(spark, sf_dir):
-    return E.silver(fx(spark, sf_dir).likes(), E.LIKES_BY_ID)
+    return E.silver(fx(spark, sf_dir).likes_dup(), E.LIKES_BY_ID)
 
 
 # ---------------------------------------------------------------------------
@@ -528,17 +570,14 @@ _CHUNK_FOLDER = (f"CASE WHEN created_at < {_CHUNK_O} THEN 'initial' ELSE strftim
                  f"'{CHUNK_ORIGIN}' + CAST({_CHUNK_N} * {CHUNK_DAYS} AS INTEGER), '%Y-%m-%d') END")
 
 
-@register("sink_chunked", oracle=duckdb_views("posts") + f"""
-SELECT {_CHUNK_FOLDER} AS chunk_start, count(*) AS records,
-       min(created_at) AS first_at, max(created_at) AS last_at
-FROM posts GROUP BY 1""")
+_CHUNK_ROWS_SQL = duckdb_views("posts") + f"\nSELECT *, {_CHUNK_FOLDER} AS chunk_start FROM posts"
+
+
+@register("sink_chunked", oracle=_CHUNK_ROWS_SQL)
 def q_sink_chunked(spark, sf_dir):
     out = scratch_path(spark, "sink_chunked")
     sinks.write_chunked(fx(spark, sf_dir).posts(), out, CHUNK_ORIGIN, CHUNK_DAYS)
-    back = sinks.read_chunked(spark, out)
-    return back.groupBy("chunk_start").agg(F.count(F.lit(1)).alias("records"),
-                                           F.min("created_at").alias("first_at"),
-                                           F.max("created_at").alias("last_at"))
+    return sinks.read_chunked(spark, out, fx(spark, sf_dir).posts().schema)
 
 
 # ---------------------------------------------------------------------------
@@ -678,31 +717,52 @@ UNION ALL SELECT 'gold_user_snapshot', count(*), CAST(count_if(user_id IS NULL)
 UNION ALL SELECT 'gold_daily_content_trends', count(*),
                  CAST(count_if(d IS NULL OR k IS NULL) AS BIGINT) FROM kw""")
 def q_medallion_run(spark, sf_dir):
+    return _run_medallion(spark, sf_dir, scratch_path(spark, "medallion_run"))
+
+
+def _run_medallion(spark, sf_dir, base):
     from .pipeline import run_pipeline
     f = fx(spark, sf_dir)
-    sources = {"users": f.users(), "posts": f.posts().drop("sentiment"),
-               "comments": f.comments().drop("sentiment"), "likes": f.likes()}
+    sources = {"users": f.users_dup(), "posts": f.posts_dup().drop("sentiment"),
+               "comments": f.comments_dup().drop("sentiment"), "likes": f.likes_dup()}
     # the run window spans the whole fixture, so every source row flows through
-    return run_pipeline(spark, sources, scratch_path(spark, "medallion_run"), FULL_START,
-                        FULL_END, as_of=AS_OF, model=sentiment_model(spark, sf_dir))
+    return run_pipeline(spark, sources, base, FULL_START, FULL_END, as_of=AS_OF,
+                        model=sentiment_model(spark, sf_dir))
+
+
+def _medallion_table(spark, sf_dir, table):
+    from .pipeline import Layout
+    base = scratch_path(spark, "medallion_gold")
+    _run_medallion(spark, sf_dir, base)
+    return Layout(spark, base, FULL_START, FULL_END).read("gold", table)
+
+
+# Contents of gold tables as a whole run writes them (the columns that do not
+# follow from the fitted model).
+@register("medallion_content_trends", oracle=GOLD_CONTENT_TRENDS_SQL)
+def q_medallion_content_trends(spark, sf_dir):
+    return _medallion_table(spark, sf_dir, "gold_daily_content_trends")
+
+
+@register("medallion_post_performance", oracle=duckdb_views("users", "posts", "likes", "comments")
+          + ",\nsu AS (" + _dedup_sql("users", USER_COLUMNS, ["user_id"], []) + f"""),
+valid AS (SELECT * FROM su WHERE regexp_matches(email, {EMAIL_SQL})),"""
+          + body_as(GOLD_POST_PERFORMANCE_BODY.replace("FROM users)", "FROM valid)"))
+          + "\nSELECT * EXCLUDE (post_sentiment) FROM g")
+def q_medallion_post_performance(spark, sf_dir):
+    return _medallion_table(spark, sf_dir, "gold_post_performance").drop("post_sentiment")
 
 
 # ---------------------------------------------------------------------------
 # Incremental chunk load (Structured Streaming form of R-1)
 # ---------------------------------------------------------------------------
 
-@register("stream_chunk_ingest", oracle=duckdb_views("posts") + f"""
-SELECT {_CHUNK_FOLDER} AS chunk_start, count(*) AS records,
-       min(created_at) AS first_at, max(created_at) AS last_at
-FROM posts GROUP BY 1""")
+@register("stream_chunk_ingest", oracle=_CHUNK_ROWS_SQL)
 def q_stream_chunk_ingest(spark, sf_dir):
     from ..streaming.chunk_ingest import ingest_chunks, parquet_sink
     posts = fx(spark, sf_dir).posts()
     root = scratch_path(spark, "stream_chunk_ingest")
     sinks.write_chunked(posts, f"{root}/chunks", CHUNK_ORIGIN, CHUNK_DAYS)
     ingest_chunks(spark, f"{root}/chunks", posts.schema, parquet_sink(f"{root}/loaded"),
-                  f"{root}/checkpoint", max_files=4, drop_chunk_column=False)
-    loaded = pq.read_parquet(spark, f"{root}/loaded")
-    return loaded.groupBy("chunk_start").agg(F.count(F.lit(1)).alias("records"),
-                                             F.min("created_at").alias("first_at"),
-                                             F.max("created_at").alias("last_at"))
+                  f"{root}/checkpoint", drop_chunk_column=False)
+    return pq.read_parquet(spark, f"{root}/loaded").drop("batch")

@@ -84,7 +84,9 @@ def bronze_from_jdbc(lay: Layout, table: str, url: str, properties: dict[str, st
     :func:`strata.sources.jdbc.read_table`), window pushed down."""
     entity = E.ENTITIES[table]
     src = jdbc.read_table(lay.spark, url, table, entity.id_col, properties,
-                          num_partitions=num_partitions, split=split)
+                          num_partitions=num_partitions, split=split,
+                          start=lay.start if entity.time_col else None,
+                          end=lay.end if entity.time_col else None, end_mode=end_mode)
     bronze_job(lay, table, src, entity, end_mode)
 
 
@@ -95,7 +97,7 @@ def silver_job(lay: Layout, table: str, entity: E.Entity | None = None) -> None:
     entity = entity or E.ENTITIES[table]
     src = lay.read("bronze", table, BRONZE[table])
     for report, rdf in E.silver_reports(src, entity).items():
-        rdf.coalesce(1).write.mode("overwrite").parquet(lay.path("reports", f"{table}_{report}"))
+        rdf.write.mode("overwrite").parquet(lay.path("reports", f"{table}_{report}"))
     lay.write(E.silver(src, entity), "silver", table)
 
 

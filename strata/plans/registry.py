@@ -23,18 +23,17 @@ class Query:
     name: str
     build: Builder
     oracle: str | None
-    headline: bool = False
 
 
 _REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, oracle: str | None = None, headline: bool = False):
+def register(name: str, oracle: str | None = None):
     """Decorator: register a builder under ``name`` with its oracle SQL."""
     def wrap(fn: Builder) -> Builder:
         if name in _REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        _REGISTRY[name] = Query(name, fn, oracle, headline)
+        _REGISTRY[name] = Query(name, fn, oracle)
         return fn
     return wrap
 

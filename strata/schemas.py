@@ -1,15 +1,17 @@
 """Declared schemas for the bronze, silver and gold layers.
 
 Reading with a declared schema skips footer inference and pins the types the
-operators rely on (ids INT, event times TIMESTAMP, scores DOUBLE).
+operators rely on (ids LONG, event times TIMESTAMP, scores DOUBLE).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The source tables' columns, in order. Ids are LONG: event ids of
+# a large deployment pass 2^31.
 USERS = T.StructType([
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("username", T.StringType()),
     T.StructField("email", T.StringType()),
     T.StructField("password_hash", T.StringType()),
@@ -19,24 +21,24 @@ USERS = T.StructType([
 ])
 
 POSTS = T.StructType([
-    T.StructField("post_id", T.IntegerType()),
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("post_id", T.LongType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("content", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
 ])
 
 COMMENTS = T.StructType([
-    T.StructField("comment_id", T.IntegerType()),
-    T.StructField("post_id", T.IntegerType()),
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("comment_id", T.LongType()),
+    T.StructField("post_id", T.LongType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("content", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
 ])
 
 LIKES = T.StructType([
-    T.StructField("like_id", T.IntegerType()),
-    T.StructField("post_id", T.IntegerType()),
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("like_id", T.LongType()),
+    T.StructField("post_id", T.LongType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("created_at", T.TimestampType()),
 ])
 
@@ -50,9 +52,7 @@ SILVER_POSTS_COLUMNS = ["post_id", "user_id", "content", "created_at", "keywords
 SILVER_COMMENTS_COLUMNS = ["post_id", "comment_id", "user_id", "content", "created_at",
                            "keywords", "sentiment"]
 
-# Primary key per entity; used for JDBC partitioning and de-duplication.
-ID_COLUMN = {"users": "user_id", "posts": "post_id", "comments": "comment_id", "likes": "like_id"}
-
+# Column names of the reports, in order.
 GOLD_DAILY_SUMMARY_COLUMNS = [
     "report_date",
     "total_posts", "active_posters", "positive_posts_count", "negative_posts_count",
@@ -71,12 +71,3 @@ GOLD_CONTENT_TRENDS_COLUMNS = [
     "report_date", "topic_or_keyword", "mention_count_in_posts", "mention_count_in_comments",
     "total_mentions", "avg_sentiment_when_mentioned", "trending_rank",
 ]
-
-GOLD_USER_SNAPSHOT_METRICS = [
-    "total_posts_per_user", "positive_post_ratio", "posts_in_last_30_days",
-    "total_comments_given", "comments_in_last_30_days",
-    "total_likes_given",
-    "total_comments_received", "total_likes_received", "avg_likes_per_post",
-    "avg_comments_per_post", "positive_comment_received_ratio", "total_feedback_count",
-    "last_active_date", "account_age_days", "snapshot_date", "user_segment",
-]

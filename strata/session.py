@@ -14,11 +14,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings read when the application starts: no UI server, no _SUCCESS marker
-# files (writer hygiene, S-10).
+# files and no write checksums (writer hygiene, S-10).
 LAUNCH_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+    "spark.hadoop.dfs.client.write.checksum": "false",
 }
 # SQL settings, applied only where the application's configuration
 # (spark-submit --conf, spark-defaults.conf, the ``conf`` argument) does not
@@ -32,7 +33,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
-SESSION_DEFAULTS = {**LAUNCH_DEFAULTS, **SQL_DEFAULTS}
 
 
 def build_session(master: str | None = None, app_name: str = "strata",

@@ -24,8 +24,3 @@ def read_parquet(spark: SparkSession, uri: str, schema: T.StructType | None = No
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(uri)
-
-
-def read_layer(spark: SparkSession, base: str, layer: str, start: str, end: str, table: str,
-               schema: T.StructType | None = None) -> DataFrame:
-    return read_parquet(spark, layer_path(base, layer, start, end, table), schema)

@@ -10,7 +10,7 @@ pass and without a driver-side count.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.chunks import chunk_folder
 
@@ -54,14 +54,9 @@ def write_chunked(df: DataFrame, uri: str, origin, n_days: int, ts_col: str = "c
      .parquet(uri))
 
 
-def read_chunked(spark, uri: str) -> DataFrame:
-    """Read a chunked dataset back; the folder value stays a string."""
-    prev = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        df = spark.read.parquet(uri)
-        # resolve the file listing now, while inference is off
-        _ = df.schema
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", prev)
-    return df.withColumn(CHUNK_COLUMN, F.col(CHUNK_COLUMN).cast("string"))
+def read_chunked(spark, uri: str, schema: T.StructType) -> DataFrame:
+    """Read a chunked dataset of rows of ``schema`` back, with its folder value
+    (declared, so it stays a string)."""
+    declared = T.StructType([*(f for f in schema.fields if f.name != CHUNK_COLUMN),
+                             T.StructField(CHUNK_COLUMN, T.StringType())])
+    return spark.read.schema(declared).parquet(uri)

@@ -2,7 +2,7 @@
 
 The chunked layout (``chunk_start=initial``, ``chunk_start=YYYY-MM-DD``, see
 :func:`strata.sources.sinks.write_chunked`) is read as a Structured Streaming
-file source. Each micro-batch (at most ``max_files`` new files) is handed to a
+file source. Each micro-batch (all new files, or at most ``max_files``) is handed to a
 sink function, by default an append into a sized Parquet dataset or, with
 :func:`jdbc_sink`, a batched insert into a relational table.
 
@@ -25,11 +25,12 @@ BatchSink = Callable[[DataFrame, int], None]
 
 
 def parquet_sink(uri: str, rows_per_file: int = ROWS_PER_FILE) -> BatchSink:
-    """Append each batch to a Parquet dataset, file-sized like S-4.
+    """Add each batch to a Parquet dataset, file-sized like S-4.
 
-    Files carry the batch id in their name prefix, so a replayed batch (after
-    a failure between write and commit) overwrites nothing it should keep:
-    the batch is written to its own sub-folder with overwrite mode.
+    A batch has a folder of its own, ``batch=<id>``, written in overwrite mode:
+    replayed after a failure between write and commit, it replaces itself.
+    Batch ids belong to the checkpoint: a fresh checkpoint starts at 0 again
+    and needs a fresh ``uri``.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         (batch.hint("rebalance").write.mode("overwrite")
@@ -40,24 +41,30 @@ def parquet_sink(uri: str, rows_per_file: int = ROWS_PER_FILE) -> BatchSink:
 
 def jdbc_sink(url: str, table: str, properties: dict[str, str], batch_size: int = 1000
               ) -> BatchSink:
-    """Append each batch to a relational table in ``batch_size`` inserts."""
+    """Append each batch to a relational table in ``batch_size`` inserts.
+
+    At least once: a batch that fails between its insert and the commit of the
+    checkpoint is inserted again on the next run. Where that matters, load into
+    a staging table and merge on the key in the database.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_table(batch, url, table, properties, batch_size=batch_size)
     return sink
 
 
 def ingest_chunks(spark: SparkSession, source_uri: str, schema: T.StructType, sink: BatchSink,
-                  checkpoint: str, max_files: int = 1, drop_chunk_column: bool = True) -> None:
+                  checkpoint: str, max_files: int | None = None, drop_chunk_column: bool = True) -> None:
     """Load every not-yet-loaded file below ``source_uri`` and stop.
 
     ``schema`` is the row schema without the folder column; the folder value
-    is discovered from the path.
+    is discovered from the path. A run takes all new files in one batch, so
+    every executor reads; ``max_files`` limits a batch where the sink needs it.
     """
     full = T.StructType(schema.fields + [T.StructField(CHUNK_COLUMN, T.StringType())])
-    stream = (spark.readStream.schema(full)
-              .option("maxFilesPerTrigger", max_files)
-              .option("basePath", source_uri)
-              .parquet(source_uri))
+    reader = spark.readStream.schema(full).option("basePath", source_uri)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = reader.parquet(source_uri)
     if drop_chunk_column:
         stream = stream.drop(CHUNK_COLUMN)
     query = (stream.writeStream

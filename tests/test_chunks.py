@@ -27,8 +27,11 @@ def test_chunk_ranges_from_data(spark):
                    "chunk_1": (dt.date(2024, 1, 15), dt.date(2024, 1, 21), 2)}
 
 
-def test_chunk_date_ranges_helper(spark):
-    rows = chunks.chunk_date_ranges(spark, "2025-05-05", 2, 3).collect()
-    assert [(r.date_chunk, str(r.start_date), str(r.end_date)) for r in rows] == [
-        ("chunk_0", "2025-05-05", "2025-05-06"), ("chunk_1", "2025-05-07", "2025-05-08"),
-        ("chunk_2", "2025-05-09", "2025-05-10")]
+def test_string_times_are_parsed(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00",), ("2024-01-20",), ("no time",), (None,)], "created_at string")
+    got = [r.date_chunk for r in chunks.assign_chunk(df, "2024-01-08", 7).collect()]
+    assert got == ["initial", "chunk_1", None, None]
+    ranges = {r.date_chunk: r.records for r in chunks.chunk_ranges(df, "2024-01-08", 7).collect()}
+    assert ranges == {"initial": 1, "chunk_1": 1}
+    summary = {r.date_chunk: (r.records, r.first_at) for r in chunks.chunk_summary(df, "2024-01-08", 7).collect()}
+    assert summary["chunk_1"] == (1, D(2024, 1, 20)) and summary[None][0] == 2

@@ -86,9 +86,6 @@ def test_post_performance_rounding_and_nulls(spark):
     comments = _comments(spark, [(1, 2, 7, "z", D(2024, 1, 1, 0, 0, 29, 999999), 1.0)])
     users = _users(spark, [(10, "ten", None, None, None, None)])
     out = {r.post_id: r for r in gold.post_performance(posts, users, likes, comments).collect()}
-    narrow = {r.post_id: r for r in gold.post_performance(
-        posts, users, likes, comments, broadcast_users_max_rows=0).collect()}
-    assert narrow == out
     assert out[1].time_to_first_like_minutes == 2.0 and out[1].total_likes == 2
     assert out[2].time_to_first_like_minutes == -1.0
     assert out[2].time_to_first_comment_minutes == 0.0  # microseconds are truncated

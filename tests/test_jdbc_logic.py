@@ -33,7 +33,7 @@ def test_read_table_bounds_from_data_and_window(spark):
     df = jdbc.read_table(_Session(spark, likes, calls), "jdbc:x", "likes", "like_id", {},
                          start="2024-01-03", end="2024-01-10", num_partitions=4)
     assert calls[0]["column"] is None                       # bounds probe
-    assert calls[1] == dict(url="jdbc:x", table="likes", column="like_id", lower=5, upper=60,
+    assert calls[1] == dict(url="jdbc:x", table="likes", column="like_id", lower=5, upper=19,
                             n=4)
     got = sorted(r.like_id for r in df.collect())
     assert got == [i for i, t in rows if D(2024, 1, 3) <= t <= D(2024, 1, 10)]
@@ -175,3 +175,69 @@ def test_range_predicates_without_points():
     assert jdbc.range_predicates("id", []) == ["(1 = 1) OR id IS NULL"]
     assert jdbc.range_predicates("id", [5, 9]) == [
         "(id < 5) OR id IS NULL", "id >= 5 AND id < 9", "id >= 9"]
+
+
+def test_scan_is_split_within_the_window(spark):
+    """Ids grow with time: 27 rows of a window of a table of 1000."""
+    rows = [(i, D(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(1, 1001)]
+    likes = spark.createDataFrame(rows, "like_id long, created_at timestamp")
+    start, end = "2024-02-10", "2024-02-11"
+    inside = [i for i, t in rows if D(2024, 2, 10) <= t <= D(2024, 2, 11)]
+    calls = []
+    df = jdbc.read_table(_Session(spark, likes, calls), "jdbc:x", "likes", "like_id", {}, start=start, end=end)
+    assert (calls[1]["lower"], calls[1]["upper"]) == (min(inside), max(inside) + 1)
+    assert sorted(r.like_id for r in df.collect()) == inside
+
+    class Windowed(_QuantileReader):
+        def jdbc(self, url, table, predicates=None, properties=None, **kw):
+            assert properties["fetchsize"] == "10000"
+            if "NTILE" in table:
+                where = table.split("WHERE ")[1].split(")")[0]
+                inner = _QuantileReader(self.spark, self.table_df.where(where), self.column, self.calls)
+                return inner.jdbc(url, table)
+            if predicates:
+                self.calls.append(predicates)
+            return self.table_df
+
+    session, calls = _Session(spark, likes, calls), []
+    session.read = Windowed(spark, likes, "like_id", calls)
+    jdbc.read_table(session, "jdbc:x", "likes", "like_id", {}, start=start, end=end, num_partitions=5, split="quantile")
+    window = likes.where(likes.like_id.isin(inside))
+    assert [window.where(p).count() for p in calls[0]] == [5, 5, 5, 5, 5]
+
+
+def test_keys_that_do_not_fit_fail_the_load(spark):
+    import pytest
+    from pyspark.sql import types as T
+    from strata.schemas import LIKES
+    rows = spark.createDataFrame([("3000000000", "1"), (None, "2"), ("7", "x")], "like_id string, post_id string")
+    got = sorted((r.like_id, r.post_id) for r in jdbc.loadable(rows, LIKES).collect())
+    assert got == [(7, None), (3000000000, 1)] or got == [(7, None), (3_000_000_000, 1)]
+    bad = spark.createDataFrame([("12", "1"), ("abc", "2")], "like_id string, post_id string")
+    with pytest.raises(Exception, match="like_id does not fit bigint: abc"):
+        jdbc.loadable(bad, LIKES).collect()
+    narrow = T.StructType([T.StructField("like_id", T.IntegerType())])
+    with pytest.raises(Exception, match="does not fit int"):
+        jdbc.loadable(rows, narrow).collect()
+
+
+def test_counts_go_on_past_a_bad_table(spark):
+    class Reader:
+        def jdbc(self, url, table, properties=None):
+            if table == "gone":
+                raise ValueError("no such table")
+            return spark.range(5)
+
+    class Session:
+        read = Reader()
+        createDataFrame = spark.createDataFrame
+
+    got = {r.table_name: r.row_count for r in jdbc.table_counts(Session(), "jdbc:x", ["posts", "gone", "likes"], {}).collect()}
+    assert got == {"posts": 5, "gone": -1, "likes": 5}
+
+
+def test_create_table_statements():
+    from strata.schemas import BRONZE
+    assert jdbc.create_table_sql("likes", BRONZE["likes"]) == (
+        "CREATE TABLE IF NOT EXISTS likes (like_id BIGINT PRIMARY KEY, post_id BIGINT, user_id BIGINT, "
+        "created_at TIMESTAMP)")

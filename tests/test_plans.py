@@ -3,22 +3,23 @@ cross or nested-loop joins, no row caps; scans pruned."""
 
 import pytest
 
-import __spark_entry__ as entry
-
 from conftest import SF_SMALL
+from strata.plans.registry import all_queries
 
-QUERIES = entry.queries()
+QUERIES = {name: q.build for name, q in all_queries().items()}
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
              "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit",
              "GlobalLimit", "Sample"]
-WRITES = {"sink_parquet_sized", "sink_chunked", "medallion_run"}
+WRITES = {"sink_parquet_sized", "sink_chunked", "medallion_run", "medallion_content_trends",
+          "medallion_post_performance"}
+PREVIEWS = {name for name in QUERIES if name.startswith("preview_")}  # their limit is the feature
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES - PREVIEWS))
 def test_plan_has_no_slow_or_unbounded_nodes(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for node in FORBIDDEN:
@@ -38,13 +39,7 @@ def test_gold_has_no_forced_broadcast(spark):
 
     assert not hinted(gold.user_snapshot(users, posts, comments, likes))
     assert not hinted(gold.daily_summary(posts, comments, likes))
-    # post performance broadcasts the users projection only within its checked bound
-    five = spark.createDataFrame([(i, "u", None) for i in range(5)],
-                                 "user_id int, username string, registration_date date")
-    assert hinted(gold.post_performance(posts, five, likes, comments,
-                                        broadcast_users_max_rows=5))
-    assert not hinted(gold.post_performance(posts, five, likes, comments,
-                                            broadcast_users_max_rows=4))
+    assert not hinted(gold.post_performance(posts, users, likes, comments))
 
 
 def test_scan_prunes_text_column(spark):
@@ -65,46 +60,20 @@ def test_user_aggregates_join_without_reshuffle(spark):
     assert plan.count("hashpartitioning(user_id") == 4
 
 
-def test_broadcast_if_bounded(spark):
-    from strata.operators.joins import broadcast_if_bounded
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = spark.range(100).join(broadcast_if_bounded(small, 50), "id")
-    assert "BroadcastHashJoin" in _plan(hinted)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plain = spark.range(100).join(broadcast_if_bounded(big, 50), "id")
-        assert "BroadcastHashJoin" not in _plan(plain)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_size_check_stops_early(spark):
-    """Beyond the bound the check reads a few partitions, not the table."""
-    from strata.operators.joins import has_at_most
+def test_post_performance_has_one_plan_and_runs_nothing_to_build_it(spark):
     sc = spark.sparkContext
-    big = spark.range(0, 100 * 500, 1, 100)       # 100 partitions of 500 rows
-    sc.setJobGroup("size-check", "size check")
-    try:
-        assert not has_at_most(big, 200)
-        assert has_at_most(spark.range(0, 150, 1, 3), 200)
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
-    tracker = sc.statusTracker()
-    tasks = [tracker.getStageInfo(s).numTasks
-             for j in tracker.getJobIdsForGroup("size-check")
-             for s in tracker.getJobInfo(j).stageIds]
-    assert sum(tasks) < 10, tasks   # the 100-partition frame: one partition was enough
-
-
-def test_fixture_lookup_join_is_broadcast_without_threshold(spark):
-    from strata.fixtures import Fixture
+    sc.setJobGroup("build", "build")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(Fixture(spark, SF_SMALL).comments())
+        plan = _plan(QUERIES["gold_post_performance"](spark, SF_SMALL))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plan and "hashpartitioning((event_id" not in plan
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert "BroadcastHashJoin" not in plan
+    # reading a file's footer is the only job
+    assert all(sc.statusTracker().getStageInfo(s).numTasks == 1
+               for j in sc.statusTracker().getJobIdsForGroup("build")
+               for s in sc.statusTracker().getJobInfo(j).stageIds)
 
 
 def test_email_rule_reuses_the_dedup_shuffle(spark):

@@ -1,7 +1,7 @@
 """The registered sentiment queries against a brute-force scorer.
 
 SQL cannot express the scoring, so the predictions of ``sentiment_posts`` and
-``sentiment_comments`` on the smallest fixture are recomputed here without
+``sentiment_comments`` on sf0.01 are recomputed here without
 Spark: tokens split on whitespace, hashed with MurmurHash3 (x86, 32 bit,
 seed 42) into the model's feature space, term counts scaled by the fitted IDF
 weights, and the class with the largest ``log prior + theta . x`` wins.
@@ -10,11 +10,12 @@ weights, and the class with the largest ``log prior + theta . x`` wins.
 import numpy as np
 import pytest
 
-import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from strata.plans.catalog import sentiment_model
+from strata.plans.registry import all_queries
 
 SEED = 42
+QUERIES = {name: q.build for name, q in all_queries().items()}
 
 
 def murmur3_32(data: bytes, seed: int = SEED) -> int:
@@ -74,15 +75,13 @@ def brute_force_predictions(model, texts):
 @pytest.mark.parametrize("name, key", [("sentiment_posts", "post_id"),
                                        ("sentiment_comments", "comment_id")])
 def test_sentiment_equals_brute_force(spark, name, key):
-    model = sentiment_model(spark, SF_SMALL)
-    rows = entry.queries()[name](spark, SF_SMALL).select(key, "text_clean", "sentiment").collect()
+    model = sentiment_model(spark, SF_MID)
+    rows = QUERIES[name](spark, SF_MID).select(key, "text_clean", "sentiment").collect()
     assert rows
     want = brute_force_predictions(model, [r.text_clean for r in rows])
     assert [r.sentiment for r in rows] == want
-    if name == "sentiment_posts":
-        # both classes occur, so the check has teeth (comment texts are the
-        # first turns of a few conversations and all fall in one class)
-        assert set(want) == {0.0, 1.0}
+    # both classes occur, so the check has teeth
+    assert set(want) == {0.0, 1.0}
 
 
 @pytest.mark.parametrize("name, scored, key", [
@@ -90,7 +89,7 @@ def test_sentiment_equals_brute_force(spark, name, key):
     ("silver_scored_comments", "sentiment_comments", "comment_id")])
 def test_silver_scored_equals_checked_scores(spark, name, scored, key):
     """The silver step projects the scores checked above, row for row."""
-    queries = entry.queries()
+    queries = QUERIES
     got = sorted((r[key], r.sentiment) for r in
                  queries[name](spark, SF_SMALL).select(key, "sentiment").collect())
     want = sorted((r[key], r.sentiment) for r in

@@ -94,7 +94,6 @@ SKEW_CONF = {
 @pytest.mark.parametrize("name,body", [
     ("daily_summary", catalog.GOLD_DAILY_SUMMARY_BODY),
     ("post_performance", catalog.GOLD_POST_PERFORMANCE_BODY),
-    ("post_performance_narrow", catalog.GOLD_POST_PERFORMANCE_BODY),
     ("user_snapshot", catalog.GOLD_USER_SNAPSHOT_BODY),
     ("content_trends", catalog.GOLD_CONTENT_TRENDS_BODY),
 ])
@@ -117,9 +116,6 @@ def test_gold_under_skew(spark, frames, name, body):
             "daily_summary": lambda: gold.daily_summary(df["posts"], df["comments"], df["likes"]),
             "post_performance": lambda: gold.post_performance(df["posts"], df["users"],
                                                               df["likes"], df["comments"]),
-            "post_performance_narrow": lambda: gold.post_performance(
-                df["posts"], df["users"], df["likes"], df["comments"],
-                broadcast_users_max_rows=0),
             "user_snapshot": lambda: gold.user_snapshot(df["users"], df["posts"], df["comments"],
                                                         df["likes"], as_of=AS_OF),
             "content_trends": lambda: gold.content_trends(df["posts"], df["comments"]),

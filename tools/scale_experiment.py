@@ -38,7 +38,7 @@ def _amplify(df: DataFrame, factor: int, id_cols: list[str], stride: int) -> Dat
     """``factor`` copies of every row; copy ``k`` shifts each id by ``k * stride``."""
     out = df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))))
     for c in id_cols:
-        out = out.withColumn(c, (F.col(c) + F.col("_copy") * F.lit(stride)).cast("int"))
+        out = out.withColumn(c, (F.col(c) + F.col("_copy") * F.lit(stride)).cast("long"))
     return out
 
 

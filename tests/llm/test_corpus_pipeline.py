@@ -1,0 +1,76 @@
+from collections import Counter
+
+import corpus_pipeline as P
+from conftest import SF_SMALL
+from llm_rows import ODD, documents
+from test_lines import brute as brute_lines
+from test_neardup import brute as brute_groups
+
+from strata.llm import common as C
+from strata.llm.packing import CAPACITY
+
+
+def stage(spark, name, docs):
+    fn = dict(P.STAGES)[name]
+    out = C.cut(fn(spark, docs, SF_SMALL), "test_stage")
+    if name != P.STAGES[-1][0]:
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    return out
+
+
+def test_stages_against_brute_force(spark):
+    docs = C.table(spark, SF_SMALL, "documents")
+    labels = {r["doc_id"]: r for r in C.table(spark, SF_SMALL, "labels").collect()}
+    kept = stage(spark, "quality classifier", docs)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    clean = [i for i, r in labels.items() if r["quality"] == 1 and r["toxic"] == 0]
+    junk = [i for i, r in labels.items() if r["quality"] == 0]
+    assert sum(i in ids for i in clean) >= 0.97 * len(clean)
+    assert sum(i in ids for i in junk) <= 0.5 * len(junk)
+
+    before = sorted((r["doc_id"], r["text"]) for r in kept.collect())
+    lines = stage(spark, "line dedup", kept)
+    want = brute_lines(before, 10)
+    old = dict(before)
+    got = {r["doc_id"]: r for r in lines.collect()}
+    assert {i: r["text"] for i, r in got.items()} == {i: t for i, t in want.items() if t.strip() or not old[i].strip()}
+    assert all(r["n_chars"] == len(r["text"]) for i, r in got.items() if r["text"] != old[i])
+
+    near = stage(spark, "MinHash near-dedup", lines)
+    groups = brute_groups([(i, r["text"]) for i, r in got.items()])
+    assert sorted(r["doc_id"] for r in near.collect()) == sorted(i for i, (_, _, first) in groups.items() if first)
+
+    mixed = stage(spark, "mixing sources to target weights", near)
+    assert {r["doc_id"] for r in mixed.collect()} == {r["doc_id"] for r in near.collect()}
+
+    packed = stage(spark, "best-fit packing", mixed).collect()
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(r["doc_id"] for r in mixed.collect())
+    held = Counter()
+    for r in packed:
+        held[r["sequence_id"]] += r["length"]
+    assert max(held.values()) <= CAPACITY and len(held) <= -(-sum(held.values()) // CAPACITY) + 1
+
+
+def test_odd_rows_pass_every_stage(spark):
+    docs = C.cut(documents(spark, ODD), "odd_docs")
+    for name, _ in P.STAGES:
+        docs = stage(spark, name, docs)
+    rows = Counter(r["doc_id"] for r in docs.collect() if r["piece"] == 0)
+    # 5 is a copy of 4, and 5 and the row without an id are whole copies of its line of one word
+    assert rows[1] >= 1 and rows[2] >= 1 and rows[3] >= 1 and rows[4] >= 1 and rows[None] >= 1 and rows[5] == 0
+
+
+def test_empty_table_passes_every_stage(spark):
+    docs = C.cut(documents(spark, []), "no_docs")
+    for name, _ in P.STAGES:
+        docs = stage(spark, name, docs)
+    assert docs.count() == 0
+
+
+def test_registered(spark):
+    import __spark_entry__ as entry
+    queries = entry.queries()
+    assert queries["pipeline"] is P.run
+    assert sorted({int(n[2:].split("_")[0]) for n in queries if n.startswith("op")}) == list(range(1, 11))
+    assert [n for n, _ in P.STAGES] == ["quality classifier", "line dedup", "MinHash near-dedup",
+                                        "mixing sources to target weights", "best-fit packing"]

@@ -65,6 +65,7 @@ def test_odd_rows_and_empty_table(spark):
     assert len(rows) == len(ODD)
     texts = {r["doc_id"]: r["text"] for r in rows}
     assert texts[1] is None and texts[2] == "" and texts[3] == " \n\t\n "
-    assert texts[7] == "a b c d e\na b c d e\n" or texts[7].startswith("a b c d e")
+    # from the second line on, every two lines repeat the two before
+    assert texts[7].split("\n").count("a b c d e") == 1
     assert texts[4] == texts[5] == "word"
     assert dedup_lines(documents(spark, [])).count() == 0

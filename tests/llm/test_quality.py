@@ -2,7 +2,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
-import numpy as np
+import zstandard
 from llm_rows import ODD, documents, prose
 
 from strata.llm import quality
@@ -50,7 +50,7 @@ class Brute:
 def test_gram_codes():
     texts = ["abc", "", "é漢\U0001F600", "x" * 9]
     codes, begins = quality.gram_codes([t for t in texts])
-    code = lambda g: sum(min(ord(c), 4095) << (12 * (N - 1 - i)) for i, c in enumerate(g))
+    code = lambda g: sum(min(ord(c), quality.OTHER) << (quality.BITS * (N - 1 - i)) for i, c in enumerate(g))
     assert codes.tolist() == [code(g) for t in texts for g in grams(t)]
     assert begins.tolist() == [0, 4, 5, 9]
 
@@ -69,19 +69,20 @@ def test_scores_match_the_definition(spark):
         elif lang in models:
             assert abs(got[doc] - models[lang].bits(text)) < 1e-4, doc
         else:
-            assert abs(got[doc] - 12) < 1e-4
+            assert abs(got[doc] - quality.BITS) < 1e-4
 
 
 def test_probabilities_add_up(spark):
     texts = [" ".join(prose(i, 20)) for i in range(10)]
-    model = quality.train(spark.createDataFrame([("a", t) for t in texts], "lang string, text string"))
+    pack = zstandard.ZstdCompressor().compress
+    model = quality.train(spark.createDataFrame([("a", pack(t.encode())) for t in texts], "lang string, text binary"))
     letters = sorted(set("".join(texts)) | {"\x01"})
-    code = lambda g: sum(ord(c) << (12 * (N - 1 - i)) for i, c in enumerate(g))
-    histories = [texts[0][i:i + N - 1] for i in (0, 7, 20)] + ["zzzz", "\x00" * (N - 1)]
+    code = lambda g: sum(ord(c) << (quality.BITS * (N - 1 - i)) for i, c in enumerate(g))
+    histories = [texts[0][i:i + N - 1] for i in (0, 7, 20)] + ["z" * (N - 1), "\x00" * (N - 1)]
     wanted = spark.createDataFrame([("a", code(h + c)) for h in histories for c in [*letters, "\x00"]], "lang string, g long")
     by_history = Counter()
     for r in quality.probabilities(model, wanted).collect():
-        by_history[r["g"] >> 12] += 2 ** r["logp"]
+        by_history[r["g"] >> quality.BITS] += 2 ** r["logp"]
     # the letters, and one share of the uniform base for all that was never seen
     assert all(abs(p - 1) < 1e-6 for p in by_history.values())
 

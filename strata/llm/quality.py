@@ -1,6 +1,6 @@
 """Quality classifier: a modified Kneser-Ney model of trusted text (operator 1).
 
-The model is an interpolated modified Kneser-Ney model of characters, five to a
+The model is an interpolated modified Kneser-Ney model of characters, four to a
 gram, one for each language, trained on all trusted documents. (Word grams of
 the corpus are nearly all different, so their joins would move several times
 the text; grams of characters repeat.) Its tables stay distributed, sharded by
@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 from . import common as C
 
 #: Characters of a gram.
-ORDER = 5
+ORDER = 4
 #: Bits of a character; those beyond share the last code.
-BITS = 12
+BITS = 15
 BEGIN, END, OTHER = 0, 1, (1 << BITS) - 1
 #: Neighbouring rows of a file that ask for their grams together.
 BLOCK_ROWS = 16_384
-#: Bytes of text that go through numpy at a time.
-STRETCH = 1 << 22
+#: Characters, or bytes, of text that go through numpy at a time.
+STRETCH = 1 << 21
 #: One trusted document in so many is held out to set the thresholds.
 HELD_OUT = 10
 #: Share of a language's held-out trusted documents that stay below the threshold.
@@ -98,18 +98,39 @@ def by_language(batch: pa.RecordBatch) -> dict[str, list[str]]:
 
 # --- training ---------------------------------------------------------------
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One table of grams and counts from several."""
+    g, inverse = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return g, np.bincount(inverse, weights=np.concatenate([c for _, c in parts]), minlength=len(g)).astype(np.int64)
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, g, c) over all ``docs``: lang, text."""
+    """(lang, g, c) over all ``docs``: lang, text (zstandard frames)."""
     def count(batch):
+        unpack = zstandard.ZstdDecompressor()
+        by_lang: dict[str, list[str]] = {}
+        size: dict[str, int] = {}
+        parts: dict[str, list] = {}
+
+        def settle(lang):
+            grams = gram_codes(by_lang.pop(lang))[0]
+            parts.setdefault(lang, []).append(np.unique(grams, return_counts=True))
+            size[lang] = 0
+
+        for lang, frame in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            text = unpack.decompress(frame).decode()
+            by_lang.setdefault(lang, []).append(text)
+            size[lang] = size.get(lang, 0) + len(text)
+            if size[lang] > STRETCH:
+                settle(lang)
+        for lang in list(by_lang):
+            settle(lang)
         langs, grams, counts = [], [], []
-        for lang, texts in by_language(batch).items():
-            for run in stretches(texts):
-                g, c = np.unique(gram_codes([texts[i] for i in run])[0], return_counts=True)
-                langs += [lang] * len(g)
-                grams.append(g)
-                counts.append(c)
-        if not grams:
-            return None
+        for lang in parts:
+            g, c = merged(parts[lang])
+            langs += [lang] * len(g)
+            grams.append(g)
+            counts.append(c)
         return {"lang": langs, "g": np.concatenate(grams), "c": np.concatenate(counts)}
 
     return C.map_batches(docs, count, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
@@ -146,7 +167,7 @@ class Model:
 
 
 def train(trusted: DataFrame) -> Model:
-    """The model of ``trusted``: lang, text. Every table is stored."""
+    """The model of ``trusted``: lang, text (zstandard frames). Every table is stored."""
     counts = C.cut(count_grams(trusted), "lm_counts")
     grams, contexts = {}, {}
     for order in range(ORDER, 0, -1):
@@ -239,13 +260,13 @@ def requests(docs: DataFrame) -> DataFrame:
 
 
 def parcels(docs: DataFrame) -> DataFrame:
-    """(block, parcel): the rows of each block, compressed a few megabytes at a time."""
+    """(block, parcel): the rows of each block, compressed about two megabytes at a time."""
     def wrap(batches):
         frame = zstandard.ZstdCompressor(level=6)
         for batch in batches:
             for b in dict.fromkeys(batch.column("block").to_pylist()):
                 mine = batch.filter(pa.compute.equal(batch.column("block"), b)).drop_columns(["block"])
-                rows = max(1, mine.num_rows * (STRETCH * 2) // max(1, mine.nbytes))
+                rows = max(1, mine.num_rows * STRETCH // max(1, mine.nbytes))
                 for at in range(0, mine.num_rows, rows):
                     sink = pa.BufferOutputStream()
                     with pa.ipc.new_stream(sink, mine.schema) as writer:
@@ -275,11 +296,13 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
 
     def likely(batch):
         kept = batch.filter(pa.array(C.passes(bitmap, batch.column("slot").to_numpy())))
-        return {c: kept.column(c) for c in ("doc", "lang", "text")}
+        pack = zstandard.ZstdCompressor(level=3)
+        return {"doc": kept.column("doc"), "lang": kept.column("lang"),
+                "text": [pack.compress(raw) for raw in C.raw_texts(kept)]}
 
-    some = C.map_batches(docs.where(F.col(id_col).isNotNull()).select(
+    some = C.map_batches(docs.where(F.col(id_col).isNotNull() & (text != "")).select(
         F.col(id_col).alias("doc"), lang.alias("lang"), text.alias("text"), C.slot(F.col(id_col)).alias("slot")),
-        likely, f"doc {docs.schema[id_col].dataType.simpleString()}, lang string, text string")
+        likely, f"doc {docs.schema[id_col].dataType.simpleString()}, lang string, text binary")
     model = train(some.join(trusted, "doc", "left_semi").select("lang", "text"))
 
     docs, block = in_blocks(docs, block_rows)
@@ -363,10 +386,10 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG))
     own = limit.where("lang is not null").select(F.col("lang").alias(C.OWN + "lang"),
                                                  F.col("threshold").alias(C.OWN + "own"))
-    pooled = limit.where("lang is null").agg(F.max("threshold").alias(C.OWN + "pooled"))
-    judged = scored.join(own, lang == F.col(C.OWN + "lang"), "left").crossJoin(F.broadcast(pooled))  # one row
+    pooled = limit.where("lang is null").select(F.max("threshold")).scalar()
+    judged = scored.join(own, lang == F.col(C.OWN + "lang"), "left")
     # a short text's mean scatters with the root of its length
-    threshold = F.coalesce(C.OWN + "own", C.OWN + "pooled") + F.lit(SHORT) / F.sqrt(F.col(length) + 1)
+    threshold = F.coalesce(F.col(C.OWN + "own"), pooled) + F.lit(SHORT) / F.sqrt(F.col(length) + 1)
     return judged.select(*[scored[c] for c in carry], F.struct(
         F.pow(F.lit(2.0), F.col(bits)).alias("perplexity"), F.pow(F.lit(2.0), threshold).alias("threshold"),
         F.coalesce(F.col(bits) <= threshold, F.lit(True)).alias("kept")).alias(out_col))

@@ -117,11 +117,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_bytes: i
     # the mix ends with the last slot in which some source shows its last block
     blocks = F.col("blocks") - 1
     end = (turns.where(F.col("turn") == blocks % F.col("a"))
-           .agg(F.max(F.floor(blocks / F.col("a")) * F.col("q") + F.col("t")).alias("end")))
+           .select(F.max(F.floor(blocks / F.col("a")) * F.col("q") + F.col("t"))).scalar())
     # a source's last block within the mix, at its weight
-    last = (turns.crossJoin(F.broadcast(end))  # one row
-            .select("source", "blocks", "a", "q", (F.floor((F.col("end") - F.col("t")) / F.col("q")) * F.col("a")
-                                                  + F.col("turn")).alias("k"))
+    last = (turns.select("source", "blocks", "a", "q", (F.floor((end - F.col("t")) / F.col("q")) * F.col("a")
+                                                        + F.col("turn")).alias("k"))
             .groupBy("source", "blocks", "a", "q").agg(F.max("k").alias("k_last")))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (totals.join(last, "source")

@@ -174,12 +174,12 @@ def disclosing_terms(docs: DataFrame, window: int = WINDOW, support: int = SUPPO
              .where(F.col("support") >= support))
     pairs = C.cut(pairs, "pii_pairs")
     counts = C.cut(term_counts(docs, pairs.select("term").distinct()), "pii_counts")
-    words = counts.where("term is null").select(F.col("n_term").alias("n_words"))
+    n_words = counts.where("term is null").select(F.max("n_term")).scalar()
     # an entity's windows: each of its contexts holds 2 * window words at most
     near_entity = (seen.groupBy("entity").agg(F.max("n").alias("n"), F.countDistinct("context").alias("k"))
                    .select("entity", (F.col("n") * F.col("k") * (2 * window)).alias("n_entity")))
-    scored = (pairs.join(counts, "term").join(near_entity, "entity").crossJoin(F.broadcast(words))  # one row
-              .withColumn("p", F.least(F.col("n_entity") / F.col("n_words"), F.lit(0.5)))
+    scored = (pairs.join(counts, "term").join(near_entity, "entity")
+              .withColumn("p", F.least(F.col("n_entity") / n_words, F.lit(0.5)))
               .withColumn("given", F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0)))
               .withColumn("disclosure", F.log(F.col("given") / F.col("p")) / F.log(1 / F.col("p"))))
     return scored.where(F.col("disclosure") >= disclosure).select("entity", "term", "disclosure")

@@ -123,14 +123,13 @@ def with_groups(stats: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     a wider pool; null where even that is small."""
     n = stats.groupBy("lang", "source").agg(F.count("*").alias("n"))
     small = n.where(F.col("n") < min_rows).groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    rest = small.where(F.col("n_lang") < min_rows).agg(F.coalesce(F.sum("n_lang"), F.lit(0)).alias("n_rest"))
+    rest = small.where(F.col("n_lang") < min_rows).select(F.coalesce(F.sum("n_lang"), F.lit(0))).scalar()
     lang, source = F.coalesce("lang", F.lit("\x00")), F.coalesce("source", F.lit("\x00"))
     level = (F.when(F.col("n") >= min_rows, F.concat_ws("\x01", F.lit("s"), lang, source))
              .when(F.col("n_lang") >= min_rows, F.concat_ws("\x01", F.lit("l"), lang))
-             .when(F.col("n_rest") >= min_rows, F.lit("rest")))
+             .when(rest >= min_rows, F.lit("rest")))
     small = small.withColumnRenamed("lang", "small_lang")
     groups = C.cut(n.join(small, F.col("lang").eqNullSafe(F.col("small_lang")), "left")
-                   .crossJoin(F.broadcast(rest))  # one row
                    .select(lang.alias("g_lang"), source.alias("g_source"), level.alias("grp")), "rule_groups")
     return (stats.join(groups, (lang == F.col("g_lang")) & (source == F.col("g_source")), "left")
             .drop("g_lang", "g_source"))

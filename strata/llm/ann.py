@@ -35,6 +35,8 @@ TABLES = 16
 PROBES = 8
 #: Classes or queries in a matrix.
 PACK = 512
+#: Found rows that a task holds before it keeps the best of them.
+HELD = 1 << 20
 SEED = 20
 
 
@@ -73,9 +75,10 @@ def valid(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     fine = (F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(v) > 0)
             & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
             & F.exists(v, lambda x: x != 0))
-    # -0.0 and 0.0 are the same component
+    # -0.0 and 0.0 are the same component; single precision stays single
+    kind = "array<float>" if dict(df.dtypes)[vector_col] == "array<float>" else "array<double>"
     return df.where(F.coalesce(fine, F.lit(False))).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: x + F.lit(0.0)).alias("v"))
+        F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: x + F.lit(0.0)).cast(kind).alias("v"))
 
 
 def classes(rows: DataFrame, members: int) -> DataFrame:
@@ -121,11 +124,14 @@ def hashed(rows: DataFrame, id_col: str, longest: float | None, probes: int) ->
                         "bucket": pa.array(near.ravel().astype(np.int32)),
                         "id": part.column(id_col).take(again), "v": part.column("v").take(again)})
 
-    return rows.select(id_col, "v").mapInArrow(assign, "tab int, bucket int, id long, v array<double>")
+    kind = rows.schema["v"].dataType.simpleString()
+    return rows.select(id_col, "v").mapInArrow(assign, f"tab int, bucket int, id long, v {kind}")
 
 
 def packs(rows: DataFrame, keys: list[str], spread: int) -> DataFrame:
     """Rows of equal ``keys`` in matrices of at most ``PACK``: (keys, ids, m)."""
+    kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
+
     def gather(batches):
         key, ids, parts, held = None, [], [], 0
 
@@ -133,7 +139,7 @@ def packs(rows: DataFrame, keys: list[str], spread: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 **{k: pa.array([x], pa.int32()) for k, x in zip(keys, key)},
                 "ids": pa.array([np.concatenate(ids).astype("<i8").tobytes()], pa.binary()),
-                "m": pa.array([np.concatenate(parts).astype("<f8").tobytes()], pa.binary())})
+                "m": pa.array([np.concatenate(parts).astype(kind).tobytes()], pa.binary())})
 
         for batch in batches:
             columns = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
@@ -163,20 +169,49 @@ def packs(rows: DataFrame, keys: list[str], spread: int) -> DataFrame:
     return ordered.mapInArrow(gather, ", ".join(f"{k} int" for k in keys) + ", ids binary, m binary")
 
 
-def products(pairs: DataFrame, keep: int) -> DataFrame:
-    """(query, cls, score): the ``keep`` best of each query in each pair of
-    matrices. ``pairs``: q_ids, q_m, ids, m."""
+def top(query: np.ndarray, cls: np.ndarray, score: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
+    """The ``keep`` best classes of each query, each class once."""
+    order = np.lexsort((-score, cls, query))
+    query, cls, score = query[order], cls[order], score[order]
+    once = np.concatenate([[True], (query[1:] != query[:-1]) | (cls[1:] != cls[:-1])])
+    query, cls, score = query[once], cls[once], score[once]
+    order = np.lexsort((cls, -score, query))
+    query, cls, score = query[order], cls[order], score[order]
+    begins = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
+    place = np.arange(len(query)) - np.repeat(begins, np.diff([*begins, len(query)]))
+    return query[place < keep], cls[place < keep], score[place < keep]
+
+
+def products(pairs: DataFrame, keep: int, kind: str) -> DataFrame:
+    """(query, cls, score): the ``keep`` best of each query in the pairs of
+    matrices of a task, up to ``HELD`` rows at a time. ``pairs``: q_ids, q_m, ids, m."""
     def multiply(batches):
+        held, n_held = [], 0
+
+        def best():
+            return top(*(np.concatenate(x) for x in zip(*held)), keep)
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["query", "cls", "score"])
+
         for batch in batches:
             for q_ids, q_m, ids, m in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_m", "ids", "m"))):
                 q_ids, ids = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
-                scores = (np.frombuffer(q_m, "<f8").reshape(len(q_ids), -1)
-                          @ np.frombuffer(m, "<f8").reshape(len(ids), -1).T)
+                q_m, m = (np.frombuffer(x, kind).astype(np.float64).reshape(len(n), -1)
+                          for x, n in ((q_m, q_ids), (m, ids)))
+                scores = q_m @ m.T
                 n = min(keep, len(ids))
-                best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-                yield pa.RecordBatch.from_pydict({
-                    "query": pa.array(np.repeat(q_ids, n)), "cls": pa.array(ids[best].ravel()),
-                    "score": pa.array(np.take_along_axis(scores, best, 1).ravel())})
+                near = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+                held.append((np.repeat(q_ids, n), ids[near].ravel(), np.take_along_axis(scores, near, 1).ravel()))
+                n_held += near.size
+                if n_held > HELD:
+                    held = [best()]
+                    n_held = len(held[0][0])
+                    if n_held > HELD // 2:
+                        yield batch_of(held[0])
+                        held, n_held = [], 0
+        if held:
+            yield batch_of(best())
 
     return pairs.select("q_ids", "q_m", "ids", "m").mapInArrow(multiply, "query long, cls long, score double")
 
@@ -207,7 +242,7 @@ def exact(pairs: DataFrame) -> DataFrame:
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PROBES, id_col: str = "vec_id",
-           vector_col: str = "embedding", spread: int = 8) -> DataFrame:
+           vector_col: str = "embedding", spread: int = 2) -> DataFrame:
     """(query_id, rank, id_col, score): the ``k`` nearest rows of ``vectors`` that
     each row of ``queries`` finds, itself (the row of its id) left out."""
     rows = valid(vectors, id_col, vector_col)
@@ -229,7 +264,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     held = packs(hashed(index, "cls", None if even else span["high"], 1), buckets, spread)
     wanted = packs(hashed(vectors_asked, "query", None if even else 0, probes), buckets, spread)
     keep = k + 4  # room for products that differ in the last bit
-    found = C.cut(products(wanted.toDF(*buckets, "q_ids", "q_m").join(held, buckets), keep), "ann_found")
+    kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
+    found = C.cut(products(wanted.toDF(*buckets, "q_ids", "q_m").join(held, buckets), keep, kind), "ann_found")
     best = best_of(found, keep)
 
     # who found less than there is to find asks every class
@@ -238,7 +274,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
               .where(F.col("n") >= min(k + 1, shape["n"])).select("query"))
     poor = vectors_asked.join(enough, "query", "left_anti")
     one = lambda df, name: packs(df.select(F.lit(0).alias("tab"), F.col(name).alias("id"), "v"), ["tab"], spread)
-    rest = products(one(poor, "query").toDF("tab", "q_ids", "q_m").join(one(index, "cls"), "tab"), keep)
+    rest = products(one(poor, "query").toDF("tab", "q_ids", "q_m").join(one(index, "cls"), "tab"), keep, kind)
     best = best_of(found.join(enough, "query", "left_semi").unionAll(rest), keep)
 
     scored = exact(best.join(vectors_asked.withColumnRenamed("v", "q_v"), "query").join(index.select("cls", "v", "ids"), "cls"))

@@ -8,12 +8,14 @@ more, the candidates of a class being its neighbours in the sorted order, those
 with the longest common prefix. Where a region of a tree is crowded, its depth
 grows hash by hash until its parts are small or the label ends.
 
-Candidates are confirmed on the full shingle sets, in two rounds. The first
-takes each class's best neighbour, which joins a large group of near copies
-along its sorted orders without listing its pairs. The second takes every pair
-of a region whose classes are not connected yet, so no link between two
-components that share a region is missed. Components are found by stars on the
-links of both rounds.
+Candidates are confirmed on the full shingle sets, in rounds. A round takes
+each class's best neighbour of another component, which joins a large group of
+near copies along its sorted orders without listing its pairs. A last one takes
+every region that still holds two components: the pairs of a small one are
+listed, the classes of a larger one are compared block by block in matrices,
+which tell only links that connect components. So no link between components
+that share a region is missed, and no group's pairs are ever listed.
+Components are found by stars on the links of all rounds.
 
 A text without words, or a null one, has no shingles and links with nothing; a
 row without an id is never linked and always kept; rows that repeat an id and
@@ -40,8 +42,15 @@ PERCENT = 85
 TREES = 16
 DEPTH = 8
 MIN_DEPTH = 5
-#: Classes of a region beyond which its depth grows.
-CROWD = 64
+#: Classes of a region up to which its pairs are listed, and beyond which its
+#: depth grows; between, and where labels end, they are compared in blocks.
+FEW = 6
+CROWD = 512
+#: Classes, and bytes of their shingle sets, in a block.
+BLOCK = 128
+BLOCK_BYTES = 8 << 20
+#: Rounds of best neighbours at most, before the last round over all pairs left.
+ROUNDS = 3
 #: A pair whose signatures agree in a smaller share than this is not confirmed:
 #: five standard deviations below the threshold for 128 hashes.
 SCREEN = 0.69
@@ -139,25 +148,40 @@ def forest(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, min_depth
     return C.map_batches(classes.select("doc_id", "signature"), plant, "region long, label binary, doc_id long")
 
 
+def rooted(planted: DataFrame, roots: DataFrame) -> DataFrame:
+    """``planted`` with the component of each class, in the regions that hold
+    classes of several components."""
+    rows = (planted.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
+            .withColumn("root", F.coalesce("root", "doc_id")))
+    mixed = rows.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    return rows.join(mixed.select("region"), "region")
+
+
 def neighbours(planted: DataFrame) -> DataFrame:
-    """(a, b, prefix): each class with the one before it in a region's sorted
-    order, and how many bytes of the label they share."""
+    """(a, b, prefix): each class with the nearest one before it in its region's
+    sorted order that is of another component, and how many hashes beyond the
+    region's they share, plus one. ``planted`` is rooted."""
     def walk(batches):
-        region, label, doc = None, b"", None
+        region, last, other = None, None, None  # (label, class, root)
         for batch in batches:
             a, b, shared = [], [], []
-            for r, x, d in zip(*(batch.column(c).to_pylist() for c in ("region", "label", "doc_id"))):
-                if r == region:
-                    same = next((i for i, (p, q) in enumerate(zip(x, label)) if p != q), len(x))
-                    a.append(min(d, doc))
-                    b.append(max(d, doc))
+            for r, x, d, root in zip(*(batch.column(c).to_pylist() for c in ("region", "label", "doc_id", "root"))):
+                if r != region:
+                    region, last, other = r, None, None
+                if last is not None and last[2] != root:
+                    other = last
+                if other is not None and other[2] != root:
+                    same = next((i for i, (p, q) in enumerate(zip(x, other[0])) if p != q), len(x))
+                    a.append(min(d, other[1]))
+                    b.append(max(d, other[1]))
                     shared.append(1 + same // 4)
-                region, label, doc = r, x, d
+                last = (x, d, root)
             if a:
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b, "prefix": pa.array(shared, pa.int32())})
 
     ordered = planted.repartition("region").sortWithinPartitions("region", "label", "doc_id")
-    return ordered.mapInArrow(walk, "a long, b long, prefix int")
+    pairs = ordered.mapInArrow(walk, "a long, b long, prefix int")
+    return pairs.groupBy("a", "b").agg(F.sum("prefix").alias("prefix"))
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -233,28 +257,115 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def region_pairs(planted: DataFrame, roots: DataFrame, depth: int = DEPTH, min_depth: int = MIN_DEPTH,
-                 crowd: int = CROWD) -> DataFrame:
-    """Pairs of classes of different components that share a region, a crowded
-    region being divided by further hashes of the label."""
-    rows = (planted.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
-            .withColumn("root", F.coalesce("root", "doc_id")))
-    pairs = None
+def region_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of classes of different components that share a region. ``rows`` are
+    rooted, of regions of a few classes."""
+    side = rows.select("region", "doc_id", "root")
+    return (side.toDF("region", "a", "ra").join(side.toDF("region", "b", "rb"), "region")
+            .where("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def by_depth(rows: DataFrame, depth: int = DEPTH, min_depth: int = MIN_DEPTH, crowd: int = CROWD) -> DataFrame:
+    """Rooted ``rows`` in regions as deep as it takes to have ``crowd`` classes
+    at most, or as the label goes."""
+    out = None
     for extra in range(depth - min_depth + 1):
         if extra:
-            rows = rows.withColumn("region", F.xxhash64("region", F.substring("label", 4 * extra - 3, 4)))
-        size = rows.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                          F.approx_count_distinct("root").alias("n"))
-        mixed = size.where("low != high").select("region", "n")
-        rows = C.cut(rows.join(mixed, "region"), "forest_mixed")
-        # the last level has no further hash: it takes what is left
+            deeper = rows.withColumn("region", F.xxhash64("region", F.substring("label", 4 * extra - 3, 4)))
+            mixed = deeper.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                                 F.count("*").alias("n")).where("low != high")
+            rows = C.cut(deeper.drop("n").join(mixed.select("region", "n"), "region"), "forest_deeper")
         here = rows if extra == depth - min_depth else rows.where(F.col("n") <= crowd)
         here = here.select("region", "doc_id", "root")
-        some = (here.toDF("region", "a", "ra").join(here.toDF("region", "b", "rb"), "region")
-                .where("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        pairs = some if pairs is None else pairs.unionAll(some)
-        rows = rows.where(F.col("n") > crowd).drop("n")
-    return pairs.distinct()
+        out = here if out is None else out.unionAll(here)
+        rows = rows.where(F.col("n") > crowd)
+    return out
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """The classes of each region in blocks: (region, block, ids, roots, sizes,
+    sets). ``rows``: region, doc_id, root, shingles."""
+    def gather(batches):
+        region, block, held, size = None, 0, [], 0
+
+        def flush():
+            ids, roots, sets = zip(*held)
+            yield pa.RecordBatch.from_pydict({
+                "region": pa.array([region], pa.int64()), "block": pa.array([block], pa.int32()),
+                "ids": [np.array(ids, "<i8").tobytes()], "roots": [np.array(roots, "<i8").tobytes()],
+                "sizes": [np.array([len(x) // 8 for x in sets], "<i8").tobytes()], "sets": [b"".join(sets)]})
+
+        for batch in batches:
+            for r, d, root, x in zip(*(batch.column(c).to_pylist() for c in ("region", "doc_id", "root", "shingles"))):
+                if held and (r != region or len(held) == BLOCK or size + len(x) > BLOCK_BYTES):
+                    yield from flush()
+                    block, held, size = block + 1 if r == region else 0, [], 0
+                region = r
+                held.append((d, root, x))
+                size += len(x)
+        if held:
+            yield from flush()
+
+    ordered = rows.repartition("region").sortWithinPartitions("region", "doc_id")
+    return ordered.mapInArrow(gather, "region long, block int, ids binary, roots binary, sizes binary, sets binary")
+
+
+def common_shingles(sizes1, sets1, sizes2, sets2, columns: int = 8192) -> np.ndarray:
+    """How many shingles each set of one block shares with each of another."""
+    every, at = np.unique(np.concatenate([sets1, sets2]), return_inverse=True)
+    at1, at2 = at[:len(sets1)], at[len(sets1):]
+    both = np.zeros(len(every), bool)
+    both[at1] = True
+    both &= np.isin(np.arange(len(every)), at2)
+    place = np.cumsum(both) - 1
+    rows1, rows2 = np.repeat(np.arange(len(sizes1)), sizes1), np.repeat(np.arange(len(sizes2)), sizes2)
+    rows1, at1 = rows1[both[at1]], place[at1[both[at1]]]
+    rows2, at2 = rows2[both[at2]], place[at2[both[at2]]]
+    out = np.zeros((len(sizes1), len(sizes2)), np.float32)
+    for start in range(0, int(both.sum()), columns):
+        sides = []
+        for n, rows, cols in ((len(sizes1), rows1, at1), (len(sizes2), rows2, at2)):
+            here = (cols >= start) & (cols < start + columns)
+            side = np.zeros((n, columns), np.float32)
+            side[rows[here], cols[here] - start] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def block_links(packed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links between components found in pairs of blocks of a region: every pair
+    of classes is compared on full sets, and enough links come out to connect
+    what is linked."""
+    def compare(batches):
+        for batch in batches:
+            a, b = [], []
+            for row in batch.to_pylist():
+                ids1, roots1, n1 = (np.frombuffer(row[c], "<i8") for c in ("ids", "roots", "sizes"))
+                ids2, roots2, n2 = (np.frombuffer(row["o_" + c], "<i8") for c in ("ids", "roots", "sizes"))
+                shared = common_shingles(n1, np.frombuffer(row["sets"], np.uint64), n2,
+                                         np.frombuffer(row["o_sets"], np.uint64)).astype(np.int64)
+                linked = 100 * shared >= percent * (n1[:, None] + n2[None, :] - shared)
+                linked &= roots1[:, None] != roots2[None, :]
+                lead: dict[int, int] = {}
+
+                def find(x):
+                    while (y := lead.get(x, x)) != x:
+                        lead[x] = lead.get(y, y)
+                        x = y
+                    return x
+
+                for i, j in np.argwhere(linked).tolist():
+                    x, y = find(int(roots1[i])), find(int(roots2[j]))
+                    if x != y:
+                        lead[max(x, y)] = min(x, y)
+                        a.append(int(ids1[i]))
+                        b.append(int(ids2[j]))
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    columns = ["block", "ids", "roots", "sizes", "sets"]
+    other = packed.toDF("region", *("o_" + c for c in columns))
+    return packed.join(other, "region").where("block <= o_block").mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -275,14 +386,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     planted = C.cut(planted.join(shared, "region"), "forest")
     sets = C.cut(shingle_sets(docs.where("doc_id is not null"), planted.select("doc_id").distinct()), "shingle_sets")
 
-    found = neighbours(planted).groupBy("a", "b").agg(F.sum("prefix").alias("prefix"))
-    best = Window.partitionBy("b").orderBy(F.desc("prefix"), "a")
-    first = found.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("a", "b")
-    links = C.cut(confirmed(screened(first, classes), sets, percent), "links_1")
-    roots = components(links)
-    second = C.cut(screened(region_pairs(planted, roots), classes), "pairs_2")
-    more = C.cut(confirmed(second, sets, percent), "links_2")
-    joined = components(roots.toDF("a", "b").unionAll(more))
+    # rounds of best neighbours of other components, while they find links
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+    tried = None
+    for k in range(ROUNDS):
+        near = neighbours(rooted(planted, roots))
+        if tried is not None:
+            near = near.join(tried, ["a", "b"], "left_anti")
+        best = Window.partitionBy("b").orderBy(F.desc("prefix"), "a")
+        near = C.cut(near.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("a", "b"), f"pairs_{k}")
+        links = C.cut(confirmed(screened(near, classes), sets, percent), f"links_{k}")
+        if links.isEmpty():
+            break
+        tried = near if tried is None else tried.unionAll(near)
+        roots = components(roots.toDF("a", "b").unionAll(links))
+    # then every pair of a region that is still of two components
+    left = rooted(planted, roots)
+    size = left.groupBy("region").agg(F.count("*").alias("n"))
+    left = C.cut(left.join(size, "region"), "forest_left")
+    pairs = region_pairs(left.where(F.col("n") <= FEW))
+    if tried is not None:
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    few = C.cut(confirmed(screened(C.cut(pairs, "pairs_few"), classes), sets, percent), "links_few")
+    crowded = by_depth(left.where(F.col("n") > FEW)).join(sets, "doc_id")
+    many = C.cut(block_links(C.cut(blocks(crowded), "forest_blocks"), percent), "links_many")
+    joined = components(roots.toDF("a", "b").unionAll(few).unionAll(many))
 
     # a class's component, named after the least document of its classes
     of_class = (classes.select("doc_id", "h1", "h2")

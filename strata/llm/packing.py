@@ -47,7 +47,7 @@ class Words:
     remembered parts; the rest go to the tokenizer whole.
     """
 
-    MEMORY = 600_000
+    MEMORY = 300_000
     PLAIN = re.compile(r"([A-Za-z]+)([.,!?;:#$%&*()-]*)\Z")
 
     def __init__(self, path: str):
@@ -105,21 +105,22 @@ class Words:
         return b"".join(map(known.__getitem__, words))
 
 
-_WORDS: dict[str, Words] = {}
-
-
-def words_of(path: str) -> Words:
-    """One memory for each vocabulary and Python worker."""
-    if path not in _WORDS:
-        _WORDS[path] = Words(path)
-    return _WORDS[path]
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
            with_ids: bool = False) -> DataFrame:
     """A row per piece: (doc_id, piece, start, length, ids_crc32[, ids])."""
-    def split(batch):
-        words, out = words_of(tokenizer), defaultdict(list)
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+    schema = PIECES.format(id=docs.schema[id_col].dataType.simpleString()) + ", ids array<long>" * with_ids
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches):
+        words = Words(tokenizer)
+        for batch in batches:
+            if batch.num_rows:
+                yield C.to_batch(split(batch, words), arrow)
+
+    def split(batch, words):
+        out = defaultdict(list)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for row, text in enumerate(C.texts(batch)):
             raw = words(text) + end
@@ -134,9 +135,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
                     out["ids"].append(np.frombuffer(part, dtype="<u4"))
         return out | {"doc_id": batch.column("id").take(pa.array(out["row"], pa.int64()))}
 
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = PIECES.format(id=docs.schema["id"].dataType.simpleString()) + ", ids array<long>" * with_ids
-    return C.map_batches(docs, split, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 class Sizes:

@@ -265,8 +265,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     wanted = packs(hashed(vectors_asked, "query", None if even else 0, probes), buckets, spread)
     keep = k + 4  # room for products that differ in the last bit
     kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
-    found = C.cut(products(wanted.toDF(*buckets, "q_ids", "q_m").join(held, buckets), keep, kind), "ann_found")
-    best = best_of(found, keep)
+    found = products(wanted.toDF(*buckets, "q_ids", "q_m").join(held, buckets), keep, kind)
+    best = C.cut(best_of(found, keep), "ann_best")
 
     # who found less than there is to find asks every class
     members = index.select("cls", F.size("ids").alias("n"))
@@ -275,7 +275,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     poor = vectors_asked.join(enough, "query", "left_anti")
     one = lambda df, name: packs(df.select(F.lit(0).alias("tab"), F.col(name).alias("id"), "v"), ["tab"], spread)
     rest = products(one(poor, "query").toDF("tab", "q_ids", "q_m").join(one(index, "cls"), "tab"), keep, kind)
-    best = best_of(found.join(enough, "query", "left_semi").unionAll(rest), keep)
+    best = best.join(enough, "query", "left_semi").unionAll(best_of(rest, keep))
 
     scored = exact(best.join(vectors_asked.withColumnRenamed("v", "q_v"), "query").join(index.select("cls", "v", "ids"), "cls"))
     # the rows of a query's best classes: at most (k + 1) of each of k + 4

@@ -49,8 +49,8 @@ CROWD = 512
 #: Classes, and bytes of their shingle sets, in a block.
 BLOCK = 128
 BLOCK_BYTES = 8 << 20
-#: Rounds of best neighbours at most, before the last round over all pairs left.
-ROUNDS = 3
+#: Rounds of best neighbours before the last one over all pairs left.
+ROUNDS = 1
 #: A pair whose signatures agree in a smaller share than this is not confirmed:
 #: five standard deviations below the threshold for 128 hashes.
 SCREEN = 0.69
@@ -233,12 +233,35 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return C.map_batches(both, compare, "a long, b long")
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """(u, v): the links of each batch as stars around their least nodes, so
+    that paths within a batch take no rounds."""
+    def run(batches):
+        for batch in batches:
+            lead: dict[int, int] = {}
+
+            def find(x):
+                while (y := lead.get(x, x)) != x:
+                    lead[x] = lead.get(y, y)
+                    x = y
+                return x
+
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                x, y = find(a), find(b)
+                if x != y:
+                    lead[max(x, y)] = min(x, y)
+            nodes = list(lead)
+            yield pa.RecordBatch.from_pydict({"u": pa.array(nodes, pa.int64()),
+                                              "v": pa.array([find(n) for n in nodes], pa.int64())})
+
+    return links.select("a", "b").mapInArrow(run, "u long, v long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the least node of each node's component, by alternating
     stars: nodes hand their larger neighbours, then their smaller ones, to the
     least node they know, until every edge points at a root."""
-    edges = C.cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                  .where("u != v").distinct(), "star_edges")
+    edges = C.cut(contracted(links).where("u != v").distinct(), "star_edges")
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -6,6 +6,8 @@ zstandard frame of the surrounding code grows by when the candidate is put in,
 with a dictionary of the corpus' identifiers primed. Names and prose shrink
 against the dictionary and the surroundings, a random key does not, so a
 candidate whose marginal bytes stay above a share of its length is reported.
+Candidates and copies of the string itself are no surroundings: only other text
+makes a candidate cheap.
 
 Null texts read as empty; an empty table gives no rows; repeated rows each give
 their own row; extra columns are ignored.
@@ -14,6 +16,7 @@ their own row; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import zstandard
@@ -80,8 +83,41 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def surroundings(text: str, start: int, end: int) -> tuple[str, str]:
-    return text[max(0, start - SURROUND):start], text[end:end + SURROUND]
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places as disjoint spans. ``spans``: sorted."""
+    out = []
+    for start, end in spans:
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
+def surroundings(text: str, start: int, end: int, taken: list[tuple[int, int]]) -> tuple[str, str]:
+    """The text on each side without copies of the candidate and without the
+    places ``taken`` by candidates (disjoint and sorted)."""
+    low, high, own = max(0, start - SURROUND), min(len(text), end + SURROUND), text[start:end]
+    cuts = []
+    for at in range(bisect_right(taken, low, key=lambda s: s[1]), len(taken)):
+        if taken[at][0] >= high:
+            break
+        cuts.append(taken[at])
+    # a copy may lie across the edge
+    for at, upto in ((max(0, low - len(own) + 1), start), (end, high + len(own) - 1)):
+        while (at := text.find(own, at, upto)) >= 0:
+            cuts.append((at, at + len(own)))
+            at += len(own)
+
+    def left(at: int, upto: int) -> str:
+        parts = []
+        for s, e in merged(sorted(cuts)):
+            if e > at and s < upto:
+                parts.append(text[at:max(at, s)])
+                at = e
+        return "".join([*parts, text[at:upto]])
+
+    return left(low, start), left(end, high)
 
 
 def identifier_dictionary(docs: DataFrame, size: int = DICTIONARY_SIZE) -> bytes:
@@ -90,8 +126,10 @@ def identifier_dictionary(docs: DataFrame, size: int = DICTIONARY_SIZE) -> bytes
     def count(batch):
         seen = Counter()
         for text in C.texts(batch):
-            for start, end in candidates(text):
-                for part in surroundings(text, start, end):
+            found = candidates(text)
+            taken = merged(found)
+            for start, end in found:
+                for part in surroundings(text, start, end, taken):
                     seen.update(IDENTIFIER.findall(part))
         return {"word": list(seen), "n": list(seen.values())}
 
@@ -110,8 +148,8 @@ class Novelty:
             primed["dict_data"] = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.frame = zstandard.ZstdCompressor(level=12, write_content_size=False, **primed)
 
-    def __call__(self, text: str, start: int, end: int) -> float:
-        before, after = surroundings(text, start, end)
+    def __call__(self, text: str, start: int, end: int, taken: list[tuple[int, int]]) -> float:
+        before, after = surroundings(text, start, end, taken)
         without = len(self.frame.compress((before + after).encode()))
         return (len(self.frame.compress((before + text[start:end] + after).encode())) - without) / (end - start)
 
@@ -130,10 +168,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         novelty, rows = Novelty(dictionary), []
         for text in C.texts(batch):
             spans = [(*s, None) for s in base_spans(text)]
-            for start, end in candidates(text):
+            found = candidates(text)
+            taken = merged(found)
+            for start, end in found:
                 if any(s <= start and end <= e for _, s, e, _ in spans):
                     continue
-                if (score := novelty(text, start, end)) >= threshold:
+                if (score := novelty(text, start, end, taken)) >= threshold:
                     spans.append(("novel", start, end, score))
             spans.sort(key=lambda s: (s[1], ORDER[s[0]]))
             rows.append([dict(zip(("kind", "start", "end", "novelty"), s)) for s in spans])

@@ -38,6 +38,17 @@ def test_novelty_reports_keys_and_leaves_names(spark):
     assert found[2] == [] and found[3] == []
 
 
+def test_a_key_written_twice_is_reported_twice(spark):
+    key = "".join(random.Random(6).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=40))
+    texts = [f"dev credential for the service {key}\nprod credential for the service {key}\n",
+             f"{key} is what stands in the log\ncredential of the service {key}\n",
+             f"credential {key} " + "of the service " * 15 + f"{key}\n"]
+    found = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(documents(spark, list(enumerate(texts)))).collect()}
+    assert [[(s["start"], s["end"]) for s in found[i]] for i in range(3)] == [
+        [m.span() for m in re.finditer(key, texts[0])], [(texts[1].rindex(key), texts[1].rindex(key) + 40)],
+        [(texts[2].index(key), texts[2].index(key) + 40)]]
+
+
 def test_redact(spark):
     docs = documents(spark, [(1, "a token = 0123456789abcdef0 b"), (2, "plain"), (3, None)])
     out = {r["doc_id"]: r["text"] for r in secrets.redact(docs, secrets.find_secrets(docs)).collect()}

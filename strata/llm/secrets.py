@@ -1,7 +1,8 @@
 """Secret scan by dictionary-primed compression (operator 2).
 
 Fixed patterns find the base spans. Beside them, every long string that
-follows a sensitive word is a candidate: its novelty is the number of bytes a
+follows a sensitive word, on its line or soon after, and the body of every
+private key block is a candidate: its novelty is the number of bytes a
 zstandard frame of the surrounding code grows by when the candidate is put in,
 with a dictionary of the corpus' identifiers primed. Names and prose shrink
 against the dictionary and the surroundings, a random key does not, so a
@@ -34,13 +35,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # not begin, so the bound inside the pattern finds the same matches.
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-#: Words after which a string counts as sensitive.
-CONTEXT = re.compile(r"(?<![a-z])(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|private[_-]?key|"
-                     r"access[_-]?key|credentials?|authorization|bearer|signature)(?![a-z])",
-                     re.IGNORECASE | re.ASCII)
+#: Words after which a string counts as sensitive: whole ones, or between the
+#: humps of a camel-case name.
+HUMP = r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])"
+CONTEXT = re.compile(rf"(?:(?<![A-Za-z])|{HUMP})(?i:passw(?:or)?d|passphrase|pwd|secret|token|api[_\x20-]?key|"
+                     r"private[_\x20-]?key|access[_\x20-]?key|credentials?|authorization|bearer|signature)"
+                     rf"(?:(?![A-Za-z])|{HUMP})", re.ASCII)
 CONTEXT_WORDS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "authorization",
                  "bearer", "signature")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PEM = re.compile(r"-----BEGIN [A-Z0-9\x20]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+#: The body of a block whose end is missing: strings with only space between.
+PEM_LINES = re.compile(r"(?:(?:\s|\\[nr])*[A-Za-z0-9+/=]{16,})+")
 IDENTIFIER = re.compile(r"[A-Za-z_]{3,24}")
 
 #: Characters after a sensitive word in which a candidate may begin.
@@ -67,20 +73,45 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def pem_bodies(text: str) -> list[tuple[int, int]]:
+    """What stands between the lines of each private key block."""
+    found = []
+    head = PEM.search(text)
+    while head:
+        start, after = head.end(), PEM.search(text, head.end())
+        upto = after.start() if after else len(text)
+        end = text.find("-----END", start, upto)
+        if end < 0:
+            lines = PEM_LINES.match(text, start, upto)
+            end = lines.end() if lines else start
+        body = text[start:end]
+        start, end = start + len(body) - len(body.lstrip()), start + len(body.rstrip())
+        if end - start >= 16:
+            found.append((start, end))
+        head = after
+    return found
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Long strings that begin on the same line within reach of a sensitive word."""
+    """Long strings that begin within reach of a sensitive word, on its line or
+    a later one, and the bodies of private key blocks."""
     low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
         return []
+    bodies = pem_bodies(text)
     found = {}
     for word in CONTEXT.finditer(text):
-        line_end = text.find("\n", word.end())
-        last = min(word.end() + REACH, line_end if line_end >= 0 else len(text))
+        last = word.end() + REACH
         at = word.end()
-        while (m := CANDIDATE.search(text, at)) and m.start() < last:
+        while (m := CANDIDATE.search(text, at, last + 15)) and m.start() < last:
+            m = CANDIDATE.match(text, m.start())  # all of it
             found[m.span()] = None
             at = m.end()
-    return sorted(found)
+    strings = sorted(found)
+    if bodies:
+        starts = [s for s, _ in bodies]
+        strings = [(s, e) for s, e in strings if not ((i := bisect_right(starts, s)) and s < bodies[i - 1][1])]
+    return sorted(strings + bodies)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -6,6 +6,11 @@ the corpus are nearly all different, so their joins would move several times
 the text; grams of characters repeat.) Its tables stay distributed, sharded by
 gram, and grow with the corpus: nothing of the model is collected or broadcast.
 
+A character has 15 bits in a gram. Where a language's trusted text holds
+characters beyond them (Hangul, part of the ideographs, emoji), these take the
+codes of characters that it does not hold; should a language hold more than
+there are codes, its rarest characters are spelled with two.
+
 Scoring is a join of counts. Documents are taken in blocks of neighbouring rows
 of a file. A block asks for the probabilities of its distinct grams; the
 corpus' distinct grams are joined, order by order, with the counts of the model
@@ -22,6 +27,8 @@ gives no rows; other columns are carried along whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -33,7 +40,8 @@ from . import common as C
 
 #: Characters of a gram.
 ORDER = 4
-#: Bits of a character; those beyond share the last code.
+#: Bits of a character. Those beyond get a code from their language's alphabet;
+#: what no trusted text holds shares the last code.
 BITS = 15
 BEGIN, END, OTHER = 0, 1, (1 << BITS) - 1
 #: Neighbouring rows of a file that ask for their grams together.
@@ -56,6 +64,66 @@ STEP = 256
 NO_LANG = "\x00"
 
 
+class Alphabets:
+    """Spells texts in codes that fit into a gram, language by language. No two
+    characters of ``seen`` (lang to characters, most frequent first) are spelled
+    the same; ASCII is as it is, and so is a language without an entry."""
+
+    #: Languages whose tables are kept.
+    MEMORY = 8
+    #: Parts of characters that are spelled with two codes; no text holds them.
+    PARTS = range(0xD800, 0xE000)
+
+    def __init__(self, seen: dict[str, np.ndarray], room: int = OTHER - 128):
+        self.seen, self.room, self.tables = seen, room, {}
+
+    def table(self, lang: str) -> dict[int, int | str]:
+        own = [c for c in self.seen[lang].tolist() if c >= 128]
+        rare = []
+        if len(own) > self.room:
+            at = self.room - len(self.PARTS)
+            own, rare = [*own[:at], *self.PARTS], own[at:]
+        table = {c: c for c in own if c < OTHER}
+        free = (c for c in range(OTHER - 1, 127, -1) if c not in table)
+        code = dict(zip((c for c in own if c >= OTHER), free))
+        pairs = {c: chr(code[0xD800 + (c >> 10)]) + chr(code[0xDC00 + (c & 1023)]) for c in rare}
+        # a character whose code is taken was not seen
+        return {c: OTHER for c in code.values()} | table | code | pairs
+
+    def __call__(self, lang: str, texts: list[str]) -> list[str]:
+        if lang not in self.seen:
+            return texts
+        if lang not in self.tables:
+            if len(self.tables) >= self.MEMORY:
+                self.tables.clear()
+            self.tables[lang] = self.table(lang)
+        return [t if t.isascii() else t.translate(self.tables[lang]) for t in texts]
+
+
+def alphabets(docs: DataFrame, bitmap: np.ndarray) -> Alphabets:
+    """Of the languages whose trusted text goes beyond ``BITS``. ``docs``: lang,
+    text, slot; all rows that pass the filter are taken for trusted."""
+    def count(batch):
+        kept = batch.filter(pa.array(C.passes(bitmap, batch.column("slot").to_numpy())))
+        seen: dict[str, Counter] = {}
+        for lang, text in zip(kept.column("lang").to_pylist(), C.texts(kept)):
+            if not text.isascii():
+                seen.setdefault(lang, Counter()).update(set(text))
+        rows = [(lang, ord(c), n) for lang in seen for c, n in seen[lang].items() if not c.isascii()]
+        return dict(zip(("lang", "c", "n"), zip(*rows))) if rows else None
+
+    found = (C.map_batches(docs, count, "lang string, c int, n long")
+             .groupBy("lang", "c").agg(F.sum("n").alias("n")))
+    found = C.cut(found, "lm_alphabets")
+    beyond = found.where(F.col("c") >= OTHER).select("lang").distinct()
+    rows = found.join(beyond, "lang", "left_semi").orderBy("lang", F.desc("n"), "c").toArrow()
+    langs, chars = np.array(rows.column("lang").to_pylist(), object), rows.column("c").to_numpy()
+    return Alphabets({lang: chars[langs == lang] for lang in dict.fromkeys(langs)})
+
+
+NO_ALPHABETS = Alphabets({})
+
+
 def gram_codes(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """The grams of all texts, one for each character and the end, and where
     each text's begin. A text stands between ``order - 1`` begin codes and an end."""
@@ -64,7 +132,9 @@ def gram_codes(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.nda
     chars = np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4"), OTHER).astype(np.int64)
     codes = np.zeros(len(chars) - order + 1, np.int64)
     for k in range(order):
-        codes = (codes << BITS) | chars[k:k + len(codes)]
+        codes <<= BITS
+        codes |= chars[k:k + len(codes)]
+    del joined, chars
     lengths = np.array([len(t) + 1 for t in texts])
     begins = np.concatenate([[0], np.cumsum(lengths + order - 1)[:-1]])
     keep = np.zeros(len(codes), np.int32)
@@ -104,7 +174,7 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return g, np.bincount(inverse, weights=np.concatenate([c for _, c in parts]), minlength=len(g)).astype(np.int64)
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
+def count_grams(docs: DataFrame, spell: Alphabets = NO_ALPHABETS) -> DataFrame:
     """(lang, g, c) over all ``docs``: lang, text (zstandard frames)."""
     def count(batch):
         unpack = zstandard.ZstdDecompressor()
@@ -113,7 +183,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
         parts: dict[str, list] = {}
 
         def settle(lang):
-            grams = gram_codes(by_lang.pop(lang))[0]
+            grams = gram_codes(spell(lang, by_lang.pop(lang)))[0]
             parts.setdefault(lang, []).append(np.unique(grams, return_counts=True))
             size[lang] = 0
 
@@ -166,9 +236,9 @@ class Model:
         self.grams, self.contexts, self.letters = grams, contexts, letters
 
 
-def train(trusted: DataFrame) -> Model:
+def train(trusted: DataFrame, spell: Alphabets = NO_ALPHABETS) -> Model:
     """The model of ``trusted``: lang, text (zstandard frames). Every table is stored."""
-    counts = C.cut(count_grams(trusted), "lm_counts")
+    counts = C.cut(count_grams(trusted, spell), "lm_counts")
     grams, contexts = {}, {}
     for order in range(ORDER, 0, -1):
         if order < ORDER:
@@ -225,7 +295,7 @@ def in_blocks(docs: DataFrame, block_rows: int) -> tuple[DataFrame, Column]:
     return docs, block(docs)
 
 
-def requests(docs: DataFrame) -> DataFrame:
+def requests(docs: DataFrame, spell: Alphabets = NO_ALPHABETS) -> DataFrame:
     """(block, lang, g): the distinct grams of each block. ``docs``: block, lang, text."""
     schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("g", pa.int64())])
 
@@ -250,7 +320,7 @@ def requests(docs: DataFrame) -> DataFrame:
                 mine = batch.filter(pa.compute.equal(batch.column("block"), b))
                 for lang, texts in by_language(mine).items():
                     for run in stretches(texts):
-                        held.setdefault(lang, []).append(np.unique(gram_codes([texts[i] for i in run])[0]))
+                        held.setdefault(lang, []).append(np.unique(gram_codes(spell(lang, [texts[i] for i in run]))[0]))
                     if len(held[lang]) > 16:
                         held[lang] = [np.unique(np.concatenate(held[lang]))]
         if block is not None:
@@ -300,13 +370,15 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         return {"doc": kept.column("doc"), "lang": kept.column("lang"),
                 "text": [pack.compress(raw) for raw in C.raw_texts(kept)]}
 
-    some = C.map_batches(docs.where(F.col(id_col).isNotNull() & (text != "")).select(
-        F.col(id_col).alias("doc"), lang.alias("lang"), text.alias("text"), C.slot(F.col(id_col)).alias("slot")),
-        likely, f"doc {docs.schema[id_col].dataType.simpleString()}, lang string, text binary")
-    model = train(some.join(trusted, "doc", "left_semi").select("lang", "text"))
+    with_text = docs.where(F.col(id_col).isNotNull() & (text != "")).select(
+        F.col(id_col).alias("doc"), lang.alias("lang"), text.alias("text"), C.slot(F.col(id_col)).alias("slot"))
+    some = C.map_batches(with_text, likely,
+                         f"doc {docs.schema[id_col].dataType.simpleString()}, lang string, text binary")
+    spell = alphabets(with_text.select("lang", "text", "slot"), bitmap)
+    model = train(some.join(trusted, "doc", "left_semi").select("lang", "text"), spell)
 
     docs, block = in_blocks(docs, block_rows)
-    asked = C.cut(requests(docs.select(block.alias("block"), lang.alias("lang"), text.alias("text"))), "lm_requests")
+    asked = C.cut(requests(docs.select(block.alias("block"), lang.alias("lang"), text.alias("text")), spell), "lm_requests")
     logp = probabilities(model, asked.select("lang", "g").distinct())
     answers = asked.join(logp, ["lang", "g"]).select("block", "lang", "g", F.col("logp").cast("float").alias("logp"))
 
@@ -335,11 +407,14 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
                     rows = np.array([i for i, x in enumerate(langs) if x == name and texts[i]], dtype=np.int64)
                     if not len(rows):
                         continue
-                    grams, begins = gram_codes([texts[i] for i in rows])
+                    spelled = spell(name, [texts[i] for i in rows])
+                    grams, begins = gram_codes(spelled)
                     known, value = tables[name]
                     total = np.add.reduceat(value[np.searchsorted(known, grams)], begins)
-                    bits[rows] = -total / [len(texts[i]) + 1 for i in rows]
-                columns = [batch.column(i).cast(f.type) for i, f in enumerate(list(arrow)[:-1])]
+                    bits[rows] = -total / [len(t) + 1 for t in spelled]
+                # copies, so that the parcel with its texts can go
+                every = pa.array(np.arange(batch.num_rows))
+                columns = [batch.column(i).take(every).cast(f.type) for i, f in enumerate(list(arrow)[:-1])]
                 out.append(pa.RecordBatch.from_arrays(
                     [*columns, pa.array(bits, mask=np.isnan(bits))], schema=arrow))
         return pa.Table.from_batches(out, schema=arrow)

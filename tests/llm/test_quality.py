@@ -72,6 +72,32 @@ def test_scores_match_the_definition(spark):
             assert abs(got[doc] - quality.BITS) < 1e-4
 
 
+def test_scripts_beyond_the_code_range(spark):
+    rng = random.Random(4)
+    words = ["".join(chr(rng.randint(0xAC00, 0xD7A3)) for _ in range(3)) for _ in range(40)]
+    words += ["".join(chr(rng.randint(0x8000, 0x9FA5)) for _ in range(2)) for _ in range(20)] + ["\U0001F600\U0001F680", "\u7ffe\u7fff"]
+    rows = [(i, " ".join(rng.choices(words, k=20)), "ko") for i in range(80)]
+    junk = "".join(rows[0][1])
+    rows += [(100, "".join(rng.sample(junk, len(junk))), "ko"), (101, "\u7ffd\u7ffc unseen \U0001F923", "ko")]
+    trusted = spark.createDataFrame([(i,) for i in range(60)], "doc_id long")
+    got = {r["doc_id"]: r["bits"] for r in quality.score(documents(spark, rows), trusted, block_rows=7).collect()}
+    model = Brute([t for i, t, _ in rows if i < 60])
+    assert all(abs(got[i] - model.bits(t)) < 1e-4 for i, t, _ in rows)
+    assert got[100] > max(got[i] for i in range(80)) + 1
+
+
+def test_alphabets_spell_no_two_characters_the_same():
+    chars = [*range(0xE0, 0x180), *range(0x8000, 0x9000), *range(0x1F600, 0x1F640)]
+    for room in (quality.OTHER - 128, 2048 + 100):
+        spell = quality.Alphabets({"x": quality.np.array(chars)}, room)
+        spelled = spell("x", [chr(c) for c in chars] + ["abc", "\u7ffe"])
+        assert len(set(spelled[:len(chars)])) == len(chars) and spelled[len(chars)] == "abc"
+        assert all(ord(c) < quality.OTHER for t in spelled[:len(chars)] for c in t)
+        assert spelled[-1] == chr(quality.OTHER)
+        assert all(len(t) == 1 for t in spelled[:100])
+    assert spell("y", ["\uac00"]) == ["\uac00"]
+
+
 def test_probabilities_add_up(spark):
     texts = [" ".join(prose(i, 20)) for i in range(10)]
     pack = zstandard.ZstdCompressor().compress

@@ -176,8 +176,8 @@ def disclosing_terms(docs: DataFrame, window: int = WINDOW, support: int = SUPPO
     counts = C.cut(term_counts(docs, pairs.select("term").distinct()), "pii_counts")
     n_words = counts.where("term is null").select(F.max("n_term")).scalar()
     # an entity's windows: each of its contexts holds 2 * window words at most
-    near_entity = (seen.groupBy("entity").agg(F.max("n").alias("n"), F.countDistinct("context").alias("k"))
-                   .select("entity", (F.col("n") * F.col("k") * (2 * window)).alias("n_entity")))
+    near_entity = (seen.groupBy("entity", "context").agg(F.max("n").alias("n"))
+                   .groupBy("entity").agg((F.sum("n") * (2 * window)).alias("n_entity")))
     scored = (pairs.join(counts, "term").join(near_entity, "entity")
               .withColumn("p", F.least(F.col("n_entity") / n_words, F.lit(0.5)))
               .withColumn("given", F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0)))

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -59,6 +60,19 @@ def test_terms_that_give_an_entity_away(spark):
     assert "<EMAIL>" in clean[0] and "zeb@" not in clean[0]
 
 
+def test_copies_of_one_context_do_not_hide_terms(spark):
+    # three in ten of its places are near the entity, in 30 contexts; one context has 300 copies
+    near = [f"{' '.join(prose(i, 9))} zebedee zeb@example.com {' '.join(prose(500 + i, 9))}" for i in range(30)]
+    far = [" ".join([*prose(1000 + i, 30), "zebedee", *prose(3000 + i, 200)]) for i in range(70)]
+    copies = [f"{' '.join(prose(77, 9))} zeb@example.com {' '.join(prose(78, 9))}"] * 300
+    rows = list(enumerate(near + far + copies + [" ".join(prose(5000 + i, 300)) for i in range(300)]))
+    texts = documents(spark, rows).select("text")
+    found = {r["term"]: r["disclosure"] for r in pii.disclosing_terms(texts, disclosure=0.0).collect()}
+    words = sum(len(pii.TERM.findall(t)) for _, t in rows)
+    p = 330 * 2 * pii.WINDOW / words
+    assert abs(found["zebedee"] - math.log(0.3 / p) / math.log(1 / p)) < 1e-9
+
+
 def test_odd_rows_and_empty_table(spark):
     out = pii.find_personal_data(documents(spark, ODD))
     assert out.count() == len(ODD)

@@ -14,8 +14,9 @@ into matrices of bounded size, and so are the queries that probe it; matrices
 meet in a join, and a pair of them is one matrix product. A query that finds
 fewer rows than asked for is compared with every class, block by block.
 
-Vectors that are null, zero, hold null or non-finite components, or have not
-the table's (largest) dimension take no part, nor do rows without an id. An
+Vectors of different dimensions are searched side by side, each dimension among
+itself. Vectors that are null, zero, or hold null or non-finite components take
+no part, nor do rows without an id. An
 empty table gives no rows; extra columns are ignored.
 """
 
@@ -25,6 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,7 +72,7 @@ def axes(x: np.ndarray, table: int, probes: int = 1) -> np.ndarray:
 
 
 def valid(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v) of the rows that take part, but for their dimension."""
+    """(id, v) of the rows that take part."""
     v = F.col(vector_col).cast("array<double>")
     fine = (F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(v) > 0)
             & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -109,27 +111,37 @@ def units(x: np.ndarray, longest: float | None) -> np.ndarray:
     return np.concatenate([x, rest], axis=1)
 
 
-def hashed(rows: DataFrame, id_col: str, longest: float | None, probes: int) -> DataFrame:
-    """(tab, bucket, id, v) for each table and probe. ``rows``: id_col, v."""
+def by_dimension(batch: pa.RecordBatch, column: str = "v"):
+    """The dimensions in a batch, each with the places of its rows."""
+    sizes = pa.compute.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    for dim in np.unique(sizes).tolist():
+        yield dim, np.flatnonzero(sizes == dim)
+
+
+def hashed(rows: DataFrame, id_col: str, longest: dict[int, float], probes: int) -> DataFrame:
+    """(dim, tab, bucket, id, v) for each table and probe. ``rows``: id_col, v.
+    ``longest``: by dimension, see ``units``."""
     def assign(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                u = units(matrix(part.column("v")), longest)
-                for table in range(TABLES):
-                    near = axes(u, table, probes)
-                    again = pa.array(np.repeat(np.arange(part.num_rows), near.shape[1]))
-                    yield pa.RecordBatch.from_pydict({
-                        "tab": pa.array(np.full(near.size, table, np.int32)),
-                        "bucket": pa.array(near.ravel().astype(np.int32)),
-                        "id": part.column(id_col).take(again), "v": part.column("v").take(again)})
+            for dim, places in by_dimension(batch):
+                for at in range(0, len(places), 1024):
+                    part = batch.take(pa.array(places[at:at + 1024]))
+                    u = units(matrix(part.column("v")), longest.get(dim))
+                    for table in range(TABLES):
+                        near = axes(u, table, probes)
+                        again = pa.array(np.repeat(np.arange(part.num_rows), near.shape[1]))
+                        yield pa.RecordBatch.from_pydict({
+                            "dim": pa.array(np.full(near.size, dim, np.int32)),
+                            "tab": pa.array(np.full(near.size, table, np.int32)),
+                            "bucket": pa.array(near.ravel().astype(np.int32)),
+                            "id": part.column(id_col).take(again), "v": part.column("v").take(again)})
 
     kind = rows.schema["v"].dataType.simpleString()
-    return rows.select(id_col, "v").mapInArrow(assign, f"tab int, bucket int, id long, v {kind}")
+    return rows.select(id_col, "v").mapInArrow(assign, f"dim int, tab int, bucket int, id long, v {kind}")
 
 
 def packs(rows: DataFrame, keys: list[str], spread: int) -> DataFrame:
-    """Rows of equal ``keys`` in matrices of at most ``PACK``: (keys, ids, m)."""
+    """Rows of equal ``keys`` (the dimension among them) in matrices of at most ``PACK``: (keys, ids, m)."""
     kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
 
     def gather(batches):
@@ -144,8 +156,9 @@ def packs(rows: DataFrame, keys: list[str], spread: int) -> DataFrame:
         for batch in batches:
             columns = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
             cuts = [0, *(np.flatnonzero((columns[1:] != columns[:-1]).any(axis=1)) + 1), batch.num_rows]
-            all_ids, all_v = batch.column("id").to_numpy(), matrix(batch.column("v"))
+            all_ids = batch.column("id").to_numpy()
             for start, end in zip(cuts, cuts[1:]):
+                first, run = start, matrix(batch.column("v").slice(start, end - start))  # of one dimension
                 mine = tuple(columns[start].tolist())
                 if held and mine != key:
                     yield from flush()
@@ -154,7 +167,7 @@ def packs(rows: DataFrame, keys: list[str], spread: int) -> DataFrame:
                 while start < end:
                     upto = min(end, start + PACK - held)
                     ids.append(all_ids[start:upto])
-                    parts.append(all_v[start:upto])
+                    parts.append(run[start - first:upto - first])
                     held += upto - start
                     start = upto
                     if held == PACK:
@@ -234,7 +247,10 @@ def exact(pairs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                score = (matrix(batch.column("q_v")) * matrix(batch.column("v"))).sum(axis=1)
+                score = np.empty(batch.num_rows)
+                for _, places in by_dimension(batch):
+                    part = batch.select(["q_v", "v"]).take(pa.array(places))
+                    score[places] = (matrix(part.column("q_v")) * matrix(part.column("v"))).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(f.name).cast(arrow.field(f.name).type) for f in kept), pa.array(score)], schema=arrow)
 
@@ -245,10 +261,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
            vector_col: str = "embedding", spread: int = 2) -> DataFrame:
     """(query_id, rank, id_col, score): the ``k`` nearest rows of ``vectors`` that
     each row of ``queries`` finds, itself (the row of its id) left out."""
-    rows = valid(vectors, id_col, vector_col)
-    shape = rows.agg(F.max(F.size("v")).alias("dim"), F.count("*").alias("n")).first()
-    dim = F.size("v") == F.lit(shape["dim"] or 0)
-    rows, asked = rows.where(dim), valid(queries, id_col, vector_col).where(dim)
+    rows, asked = valid(vectors, id_col, vector_col), valid(queries, id_col, vector_col)
+    dim = F.size("v").alias("dim")
+    sizes = C.cut(rows.groupBy(dim).agg(F.count("*").alias("rows")), "ann_sizes")
     index = C.cut(classes(rows, k + 1), "ann_classes")
     # queries of one vector share their search: the class is named after any of them
     asked = asked.withColumn("k1", F.xxhash64("v")).withColumn("k2", F.xxhash64(F.lit(1), "v"))
@@ -258,11 +273,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     asked = C.cut(asked.join(names, ["k1", "k2"]).select(F.col("id").alias("query_id"), "query").distinct(), "ann_asked")
 
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    span = index.agg(F.min(norm).alias("low"), F.max(norm).alias("high")).first()
-    even = not span["high"] or span["high"] - span["low"] <= 1e-6 * span["high"]
-    buckets = ["tab", "bucket"]
-    held = packs(hashed(index, "cls", None if even else span["high"], 1), buckets, spread)
-    wanted = packs(hashed(vectors_asked, "query", None if even else 0, probes), buckets, spread)
+    spans = index.groupBy(dim).agg(F.min(norm).alias("low"), F.max(norm).alias("high")).collect()  # a row per dimension
+    longest = {r["dim"]: r["high"] for r in spans if r["high"] - r["low"] > 1e-6 * r["high"]}
+    buckets = ["dim", "tab", "bucket"]
+    held = packs(hashed(index, "cls", longest, 1), buckets, spread)
+    wanted = packs(hashed(vectors_asked, "query", dict.fromkeys(longest, 0), probes), buckets, spread)
     keep = k + 4  # room for products that differ in the last bit
     kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
     found = products(wanted.toDF(*buckets, "q_ids", "q_m").join(held, buckets), keep, kind)
@@ -271,10 +286,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     # who found less than there is to find asks every class
     members = index.select("cls", F.size("ids").alias("n"))
     enough = (best.join(members, "cls").groupBy("query").agg(F.sum("n").alias("n"))
-              .where(F.col("n") >= min(k + 1, shape["n"])).select("query"))
+              .join(vectors_asked.select("query", dim), "query").join(sizes, "dim")
+              .where(F.col("n") >= F.least(F.lit(k + 1), "rows")).select("query"))
     poor = vectors_asked.join(enough, "query", "left_anti")
-    one = lambda df, name: packs(df.select(F.lit(0).alias("tab"), F.col(name).alias("id"), "v"), ["tab"], spread)
-    rest = products(one(poor, "query").toDF("tab", "q_ids", "q_m").join(one(index, "cls"), "tab"), keep, kind)
+    one = lambda df, name: packs(df.select(dim, F.col(name).alias("id"), "v"), ["dim"], spread)
+    rest = products(one(poor, "query").toDF("dim", "q_ids", "q_m").join(one(index, "cls"), "dim"), keep, kind)
     best = best.join(enough, "query", "left_semi").unionAll(best_of(rest, keep))
 
     scored = exact(best.join(vectors_asked.withColumnRenamed("v", "q_v"), "query").join(index.select("cls", "v", "ids"), "cls"))

@@ -65,6 +65,21 @@ def test_small_tables_are_searched_whole(spark, n):
         assert got.get(query, []) == brute(np.arange(n), x, query, 20)
 
 
+def test_each_dimension_is_searched_among_itself(spark):
+    rng = np.random.default_rng(5)
+    parts = [(n, rng.normal(size=(m, n)).astype(np.float32).astype(float)) for n, m in ((6, 30), (7, 1), (3, 5))]
+    parts[2][1][:] *= [[1], [2], [4], [8], [16]]
+    rows, at = [], 0
+    for n, x in parts:
+        rows.append((np.arange(at, at + len(x)), x))
+        at += len(x)
+    vectors = frame(spark, [i for ids, _ in rows for i in ids], [v for _, x in rows for v in x])
+    got = found(ann.search(vectors, vectors, 40))
+    for ids, x in rows:
+        for query in ids:
+            assert got.get(query, []) == brute(ids, x, query, 40)
+
+
 def test_odd_rows_and_empty_table(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]),

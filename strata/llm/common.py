@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.session import scratch_path
 
@@ -61,6 +62,26 @@ def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, name: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose values of column ``name`` have about
+    ``limit`` bytes; a longer value is a run of its own."""
+    upto = np.cumsum([0, *(len(v) if v else 0 for v in batch.column(name).cast(pa.binary()).to_pylist())])
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + limit, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
+
+
+def schema_with(df: DataFrame, carry: list[str], name: str, kind: str) -> StructType:
+    """The fields ``carry`` of ``df`` and one more."""
+    return StructType([*(df.schema[c] for c in carry), *StructType.fromDDL(f"`{name}` {kind}").fields])
+
+
 def slot(key: Column, bits: int = FILTER_BITS) -> Column:
     """The key's slot in a key filter."""
     return F.pmod(F.xxhash64(key), F.lit(1 << bits))

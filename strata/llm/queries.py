@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .ann import op3_cross_polytope
+from .bpe import op13_rank_queue_bpe
 from .lines import op7_line_runs
 from .mixing import OP8_SQL, op8_pfair_mix
 from .neardup import op9_lsh_forest
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pfair_mix": op8_pfair_mix,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_disclosure": op10_disclosure,
+    "op13_rank_queue_bpe": op13_rank_queue_bpe,
 }
 
 SQL: dict[str, str] = {

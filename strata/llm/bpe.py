@@ -255,14 +255,18 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", carry: list[str]
     return given.mapInArrow(numbers, C.schema_with(encoded, carry, out_col, "binary"))
 
 
-def numbers(ids: str = "ids"):
-    """The binary ids of a column as array<long>, for those who want numbers."""
-    hexed = F.hex(ids)
-    at = lambda k, byte: F.substring(hexed, k * 8 + 2 * byte + 1, F.lit(2))
-    one = lambda k: F.conv(F.concat(*[at(k, b) for b in (3, 2, 1, 0)]), 16, 10).cast("long")
-    count = (F.octet_length(ids) / 4).cast("int")
-    return F.when(count == 0, F.array().cast("array<long>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), one))
+def numbers(encoded: DataFrame, ids_col: str = "ids") -> DataFrame:
+    """``encoded`` with the binary ids of a column as array<long>."""
+    order = [c for c in encoded.columns if c != ids_col]
+
+    def listed(batches):
+        for batch in batches:
+            for part in C.slices(batch, ids_col, STRETCH):
+                ids = [None if i is None else np.frombuffer(i, dtype="<u4") for i in part.column(ids_col).to_pylist()]
+                yield C.with_column(part.drop_columns([ids_col]), ids_col, pa.array(ids, pa.list_(pa.int64())))
+
+    return encoded.select(*order, ids_col).mapInArrow(
+        listed, C.schema_with(encoded, order, ids_col, "array<bigint>")).select(*encoded.columns)
 
 
 def tokenizer() -> tuple[str, str]:

@@ -133,11 +133,11 @@ def test_query_against_tiktoken(spark):
 
 def test_odd_rows_and_empty_table(spark):
     ids = bpe.encode(documents(spark, ODD), PATH, PATTERN, out_col="kind")
-    back = bpe.decode(ids, PATH, "kind", out_col="row").withColumn("n", bpe.numbers("kind")).collect()
+    back = bpe.numbers(bpe.decode(ids, PATH, "kind", out_col="row"), "kind").collect()
     assert len(back) == len(ODD)
     for r in back:
         assert bytes(r["row"]).decode() == (r["text"] or "")
-        assert r["n"] == tiktoken_ids(r["text"] or "")
+        assert r["kind"] == tiktoken_ids(r["text"] or "")
         assert r["id"] == "x" and r["h1"] == 1
     assert bpe.decode(bpe.encode(documents(spark, []), PATH, PATTERN), PATH).count() == 0
     null = bpe.encode(documents(spark, ODD[:2]), PATH, PATTERN).withColumn("ids", F.lit(None).cast("binary"))

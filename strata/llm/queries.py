@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .ann import op3_cross_polytope
 from .bpe import op13_rank_queue_bpe
 from .lines import op7_line_runs
+from .manifest import OP12_SQL, op12_octopus_manifest
 from .mixing import OP8_SQL, op8_pfair_mix
 from .neardup import op9_lsh_forest
 from .packing import op4_bin_completion
@@ -29,9 +30,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pfair_mix": op8_pfair_mix,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_disclosure": op10_disclosure,
+    "op12_octopus_manifest": op12_octopus_manifest,
     "op13_rank_queue_bpe": op13_rank_queue_bpe,
 }
 
 SQL: dict[str, str] = {
     "op8_pfair_mix": OP8_SQL,
+    "op12_octopus_manifest": OP12_SQL,
 }

@@ -18,10 +18,10 @@ columns are kept where ``carry`` names them, whatever their names.
 from __future__ import annotations
 
 import base64
+import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -33,42 +33,49 @@ from . import common as C
 #: Bytes of different pre-tokens that share a queue.
 QUEUE_BYTES = 1 << 18
 #: Pre-tokens that each of the two generations of a task's memory holds.
-MEMORY = 150_000
+MEMORY = 300_000
 #: Longer pre-tokens are not remembered.
 REMEMBERED = 64
 #: Bytes of text, or of ids, of an output batch.
 STRETCH = 1 << 21
 
+LITTLE = sys.byteorder == "little"
+
 
 class RankQueue:
-    """Which ranks have a waiting pair: three levels of 64-bit words."""
+    """Buckets of places by rank, and which ranks have one: three levels of 64-bit words."""
 
     def __init__(self):
         self.low, self.middle, self.top = [0] * 4096, [0] * 64, 0
-
-    def add(self, rank: int) -> None:
+        self.buckets: dict[int, list[int]] = {}
+
+    def put(self, rank: int, places: list[int]) -> None:
+        """Adds ``places`` to the bucket of ``rank``."""
+        bucket = self.buckets.get(rank)
+        if bucket is not None:
+            bucket += places
+            return
+        self.buckets[rank] = places
         word, upper = rank >> 6, rank >> 12
         self.low[word] |= 1 << (rank & 63)
         self.middle[upper] |= 1 << (word & 63)
         self.top |= 1 << upper
 
-    def first(self) -> int:
-        """The lowest rank, or -1."""
+    def take(self) -> tuple[int, list[int]]:
+        """The lowest rank and its places, which leave; -1 when all are gone."""
         if not self.top:
-            return -1
+            return -1, []
         upper = (self.top & -self.top).bit_length() - 1
-        m = self.middle[upper]
-        word = upper << 6 | ((m & -m).bit_length() - 1)
-        w = self.low[word]
-        return word << 6 | ((w & -w).bit_length() - 1)
-
-    def remove(self, rank: int) -> None:
-        word, upper = rank >> 6, rank >> 12
-        self.low[word] &= ~(1 << (rank & 63))
-        if not self.low[word]:
-            self.middle[upper] &= ~(1 << (word & 63))
-            if not self.middle[upper]:
-                self.top &= ~(1 << upper)
+        words = self.middle[upper]
+        word = upper << 6 | ((words & -words).bit_length() - 1)
+        bits = self.low[word]
+        rank = word << 6 | ((bits & -bits).bit_length() - 1)
+        self.low[word] = bits = bits & (bits - 1)
+        if not bits:
+            self.middle[upper] = words = words & (words - 1)
+            if not words:
+                self.top &= self.top - 1
+        return rank, self.buckets.pop(rank)
 
 
 class Vocabulary:
@@ -83,13 +90,12 @@ class Vocabulary:
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.of_bytes = np.array([ranks.get(bytes([b]), 0) for b in range(256)], dtype="<u4")
         self.of_pairs = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """The ids of each (non-empty) word, as little-endian 32-bit numbers."""
-        ranks, raw = self.ranks, b"".join(words)
-        n = len(raw)
+        raw = b"".join(words)
+        n, known, rank_of = len(raw), self.ranks, self.ranks.get
         codes = np.frombuffer(raw, np.uint8)
         starts = np.cumsum([0, *map(len, words)])
         edge = bytearray(n + 1)
@@ -101,58 +107,66 @@ class Vocabulary:
         order = np.argsort(pair, kind="stable")
         order = order[np.searchsorted(pair[order], 0):].astype(np.int32)
         present, begins = np.unique(pair[order], return_index=True)
+        # the first places of a rank are listed when its turn comes
         waiting = dict(zip(present.tolist(), zip(begins.tolist(), [*begins[1:].tolist(), len(order)])))
         queue = RankQueue()
+        put, take, buckets = queue.put, queue.take, queue.buckets
         for rank in waiting:
-            queue.add(rank)
-
-        after = array("i", range(1, n + 1))
-        before = array("i", range(-1, n))
-        rank_at = array("i", pair.tobytes())
-        buckets: dict[int, list[int]] = {}
-        while (rank := queue.first()) >= 0:
-            bucket = buckets.setdefault(rank, [])
+            put(rank, [])
+
+        # lists are faster, arrays hold a very long pre-token in a tenth of the memory
+        after, before, rank_at = range(1, n + 1), range(-1, n), pair.tolist()
+        after, before = (list(after), list(before)) if n <= 2 * QUEUE_BYTES else (array("i", after), array("i", before))
+        if n > 2 * QUEUE_BYTES:
+            rank_at = array("i", pair.tobytes())
+        while True:
+            rank, bucket = take()
+            if rank < 0:
+                break
             if rank in waiting:
                 begin, end = waiting.pop(rank)
                 bucket += order[begin:end].tolist()
-                heapify(bucket)
-            lower = False
-            while bucket and not lower:
-                i = heappop(bucket)
+            bucket.sort()
+            for at, i in enumerate(bucket):
                 if rank_at[i] != rank:
                     continue  # stale: a merge has overtaken this pair
                 gone = after[i]
-                upto = after[gone]
-                after[i] = upto
+                upto = after[i] = after[gone]
                 rank_at[gone] = -1
                 before[upto] = i
+                lower = False
                 if edge[upto]:
                     rank_at[i] = -1
                 else:
-                    new = rank_at[i] = ranks.get(raw[i:after[upto]], -1)
+                    new = rank_at[i] = rank_of(raw[i:after[upto]], -1)
                     if new >= 0:
-                        heappush(buckets.setdefault(new, []), i)
-                        queue.add(new)
-                        lower = new < rank
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            put(new, [i])
+                            lower = new < rank
                 if not edge[i]:
                     p = before[i]
-                    new = rank_at[p] = ranks.get(raw[p:upto], -1)
+                    new = rank_at[p] = rank_of(raw[p:upto], -1)
                     if new >= 0:
-                        heappush(buckets.setdefault(new, []), p)
-                        queue.add(new)
-                        lower = lower or new < rank
-            if not bucket:
-                del buckets[rank]
-                queue.remove(rank)
-
-        out, step = [], after
+                        if new in buckets:
+                            buckets[new].append(p)
+                        else:
+                            put(new, [p])
+                            lower = lower or new < rank
+                if lower:  # the rest of this rank waits
+                    if at + 1 < len(bucket):
+                        put(rank, bucket[at + 1:])
+                    break
+
+        out = []
         for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
             ids, i = array("I"), start
             while i < end:
-                j = step[i]
-                ids.append(ranks[raw[i:j]])
+                j = after[i]
+                ids.append(known[raw[i:j]])
                 i = j
-            out.append(np.array(ids, dtype="<u4").tobytes())
+            out.append(ids.tobytes() if LITTLE else np.array(ids, dtype="<u4").tobytes())
         return out
 
     def encode(self, words: list[bytes]) -> Iterator[bytes]:
@@ -197,22 +211,22 @@ class Encoder:
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        words = self.split(text)
-        known, different = self.newer, dict.fromkeys(words)
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [self.split(t) for t in texts]
+        known, different = self.newer, set().union(*words)
         new = [w for w in different if w not in known]
         if len(known) + len(new) > self.memory:
             self.older, known = known, {}
             new = list(different)
         kept = {w: ids for w in new if (ids := self.older.get(w)) is not None}
         known |= kept
-        new = [w for w in new if w not in kept]
+        if kept:
+            new = [w for w in new if w not in kept]
         for word, ids in zip(new, self.vocabulary.encode([w.encode() for w in new])):
             known[word] = ids
-        out = b"".join(map(known.__getitem__, words))
-        self.newer = known
-        if len(known) > self.memory:  # one text with very many
-            self.newer = {}
+        out = [b"".join(map(known.__getitem__, some)) for some in words]
+        # a few texts may have very many
+        self.newer = known if len(known) <= self.memory else {}
         for word in new:
             if len(word) > REMEMBERED:
                 self.newer.pop(word, None)
@@ -232,7 +246,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", car
         encoder = Encoder(vocabulary(path), pattern)
         for batch in batches:
             for part in C.slices(batch, C.OWN + "text", STRETCH):
-                ids = pa.array([encoder(t) for t in C.texts(part, C.OWN + "text")], pa.binary())
+                ids = pa.array(encoder(C.texts(part, C.OWN + "text")), pa.binary())
                 yield C.with_column(part.drop_columns([C.OWN + "text"]), out_col, ids)
 
     return given.mapInArrow(texts, C.schema_with(docs, carry, out_col, "binary"))

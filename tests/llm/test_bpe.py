@@ -28,7 +28,7 @@ def tiktoken_ids(text):
 
 
 def own_ids(encoder, text):
-    return np.frombuffer(encoder(text), dtype="<u4").tolist()
+    return np.frombuffer(encoder([text])[0], dtype="<u4").tolist()
 
 
 def plain(ranks, word):
@@ -48,11 +48,12 @@ def test_queue_gives_ranks_in_order():
     queue, rng = bpe.RankQueue(), random.Random(1)
     ranks = {rng.randrange(1 << 18) for _ in range(2000)}
     for r in ranks:
-        queue.add(r)
+        queue.put(r, [r])
+        queue.put(r, [0])
     out = []
-    while (r := queue.first()) >= 0:
-        out.append(r)
-        queue.remove(r)
+    while (r := queue.take())[0] >= 0:
+        assert r[1] == [r[0], 0]
+        out.append(r[0])
     assert out == sorted(ranks)
 
 
@@ -108,6 +109,8 @@ def test_memory_in_two_generations():
         text = f" word{k} again x{k % 7}y"
         assert own_ids(encoder, text) == tiktoken_ids(text)
         assert len(encoder.newer) <= 20 and len(encoder.older) <= 20
+    some = [f" one{k} two x{k % 5}" for k in range(30)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in encoder(some)] == [tiktoken_ids(t) for t in some]
     many = " ".join(f"w{k}" for k in range(300))
     assert own_ids(encoder, many) == tiktoken_ids(many)
 

@@ -34,9 +34,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """``fn`` turns each Arrow batch into a dict of columns for ``schema``."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,6 +44,11 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], sche
     return df.mapInArrow(run, schema)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type)

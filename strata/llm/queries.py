@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .align import op11_interval_alignment
 from .ann import op3_cross_polytope
 from .bpe import op13_rank_queue_bpe
 from .lines import op7_line_runs
@@ -30,11 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pfair_mix": op8_pfair_mix,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_disclosure": op10_disclosure,
+    "op11_interval_alignment": op11_interval_alignment,
     "op12_octopus_manifest": op12_octopus_manifest,
     "op13_rank_queue_bpe": op13_rank_queue_bpe,
 }
 
 SQL: dict[str, str] = {
     "op8_pfair_mix": OP8_SQL,
+    "op11_interval_alignment": op11_interval_alignment,
     "op12_octopus_manifest": OP12_SQL,
 }

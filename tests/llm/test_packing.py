@@ -1,10 +1,12 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
 from llm_rows import ODD, documents
+from tokenizers import Tokenizer
 
 from strata.llm import packing
 from strata.llm.queries import QUERIES
@@ -45,6 +47,42 @@ def test_bin_completion_is_optimal_on_small_sets(seed):
     assert not sizes or packing.lower_bound(Counter(sizes), 100) <= len(packed)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_bin_completion_is_optimal_with_many_pieces_a_sequence(seed):
+    rng = random.Random(seed)
+    sizes = [rng.randint(8, 24) for _ in range(rng.randint(12, 17))]
+    packed = packing.complete(Counter(sizes), 100)
+    assert sorted(s for b in packed for s in b) == sorted(sizes)
+    assert all(sum(b) <= 100 for b in packed)
+    assert len(packed) == optimum(sizes, 100)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_fillings_are_all_undominated_ones_by_waste(seed):
+    rng = random.Random(seed)
+    counts, room = Counter(rng.randint(2, 30) for _ in range(9)), 50
+    got = list(packing.Fillings(packing.Sizes(counts), packing.reaches(counts, 50), 10 ** 9)(room, room))
+    assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+    every = {tuple(sorted(c, reverse=True)) for k in range(10) for c in combinations(counts.elements(), k) if sum(c) <= room}
+
+    def stands(filling):
+        left = counts - Counter(filling)
+        return not any(sum(part) + (len(part) == 1) <= x <= sum(part) + room - sum(filling)
+                       for k in range(len(filling) + 1) for part in combinations(filling, k) for x in left)
+
+    assert {tuple(f) for f in got} == {f for f in every if stands(f)} and len(got) == len({tuple(f) for f in got})
+
+
+@pytest.mark.parametrize("low,high,over", [(150, 420, 1.01), (300, 900, 1.01)])
+def test_large_sets_come_near_the_lower_bound(low, high, over):
+    rng = random.Random(7)
+    counts = Counter(rng.randint(low, high) for _ in range(3000))
+    packed = packing.complete(counts, 2048)
+    assert Counter(s for b in packed for s in b) == counts and max(map(sum, packed)) <= 2048
+    assert len(packed) < len(packing.best_fit(counts, 2048))
+    assert len(packed) <= over * packing.lower_bound(counts, 2048)
+
+
 def test_completion_beats_best_fit():
     wins = 0
     for seed in range(60):
@@ -54,21 +92,40 @@ def test_completion_beats_best_fit():
     assert wins > 5
 
 
+def plain_ids(text, tokenizer=Tokenizer.from_file(packing.tokenizer_path())):
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def own_ids(words, texts):
+    ids, counts = words(texts)
+    ends = np.cumsum(counts)
+    return [ids[e - n:e].tolist() for e, n in zip(ends, counts)]
+
+
 def test_word_memory_gives_the_tokenizer_s_ids():
-    words = packing.Words(packing.tokenizer_path())
+    words = packing.Words(packing.tokenizer_path(), memory=300)
     rng = random.Random(4)
-    parts = ["aB", "1", "'", "’", "s", "T", " ", " ", ".", ",!", "|", " | ", "#", "é", "é", "ß", "　", "漢", "Σ",
-             "ΑΣ", "İ", "​", "<|endoftext|>", "\n", "\t", "'re", "D'LL", "-", "̀"]
-    for _ in range(4000):
-        text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
-        want = np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        assert words(text) == want, text
+    parts = ["aB", "1", "'", "’", "s", "T", " ", " ", ".", ",!", "|", " | ", "#", "é", "é", "ß", "　", "漢", "Σ", "É", "ÿ", "Ø",
+             "ΑΣ", "İ", "​", "<|endoftext|>", "\n", "\t", "\r\n", "'re", "D'LL", "-", "̀", "\x1c", "\x1f", "\x85", "\xa0", "\x0b",
+             "×", "ª", "µ", "word" * 40, "\x00", "<|startoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(4000)]
+    for at in range(0, len(texts), 97):
+        some = texts[at:at + 97]
+        for text, got in zip(some, own_ids(words, some)):
+            assert got == plain_ids(text), text
+        assert len(words.newer) <= 300 and len(words.older) <= 300
+
+
+def test_every_character_is_read_as_the_tokenizer_does():
+    words = packing.Words(packing.tokenizer_path())
+    chars = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x11000), *range(0x1F000, 0x1FB00), 0x20000, 0xE0001]]
+    texts = ["".join(f"x{c}Y {c} {c}{c}. " for c in chars[at:at + 64]) for at in range(0, len(chars), 64)]
+    for at, got in enumerate(own_ids(words, texts)):
+        assert got == plain_ids(texts[at]), at
 
 
 def test_query_covers_every_token(spark):
     from conftest import SF_SMALL
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in QUERIES["op4_bin_completion"](spark, SF_SMALL).collect():
@@ -76,7 +133,7 @@ def test_query_covers_every_token(spark):
         by_seq[r["sequence_id"]].append(r)
     assert set(by_doc) == set(texts)
     for doc, rows in by_doc.items():
-        ids = np.array([*tokenizer.encode(texts[doc], add_special_tokens=False).ids, 0], dtype="<u4")
+        ids = np.array([*plain_ids(texts[doc]), 0], dtype="<u4")
         rows.sort(key=lambda r: r["piece"])
         assert [r["piece"] for r in rows] == list(range(len(rows)))
         assert [r["start"] for r in rows] == list(range(0, len(ids), 2048))

@@ -12,8 +12,10 @@ from pyspark.sql.types import StructType
 
 from strata.session import scratch_path
 
-#: Slots of a key filter. The bitmap is 1 MB whatever the number of keys.
-FILTER_BITS = 23
+#: Most slots of a key filter, as a power of two: a bitmap of 8 MB.
+FILTER_BITS = 26
+#: Slots for each key.
+FILTER_ROOM = 128
 
 #: Prefix of columns an operator adds to rows that keep all their columns.
 OWN = "__strata_"
@@ -85,20 +87,22 @@ def schema_with(df: DataFrame, carry: list[str], name: str, kind: str) -> Struct
     return StructType([*(df.schema[c] for c in carry), *StructType.fromDDL(f"`{name}` {kind}").fields])
 
 
-def slot(key: Column, bits: int = FILTER_BITS) -> Column:
+def slot(key: Column, bitmap: np.ndarray) -> Column:
     """The key's slot in a key filter."""
-    return F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    return F.pmod(F.xxhash64(key), F.lit(len(bitmap) << 5))
 
 
-def key_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+def key_filter(keys: DataFrame) -> np.ndarray:
     """A bitmap of the slots of ``keys`` (one column): a filter that lets every
-    key pass, and few others while the keys are few against ``2 ** bits``.
+    key pass, and of others one in ``FILTER_ROOM`` or fewer.
 
-    Only a pre-filter: an exact join follows wherever it is used, so a full
-    bitmap costs time, never rows. At most ``2 ** bits / 32`` words reach the
-    driver, however many keys there are.
+    Its size follows the number of keys up to ``FILTER_BITS``, beyond which more
+    of the others pass. Only a pre-filter: an exact join follows wherever it is
+    used, so a full bitmap costs time, never rows. At most ``2 ** FILTER_BITS / 32``
+    words reach the driver, however many keys there are.
     """
-    s = slot(F.col(keys.columns[0]), bits)
+    bits = min(FILTER_BITS, max(10, (keys.count() * FILTER_ROOM).bit_length()))
+    s = F.pmod(F.xxhash64(F.col(keys.columns[0])), F.lit(1 << bits))
     words = (keys.select(s.alias("s"))
              .groupBy(F.shiftright("s", 5).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("m")).toArrow())

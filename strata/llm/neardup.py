@@ -196,7 +196,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         sets = [shingles(words_of(raw)).tobytes() for raw in C.raw_texts(batch)]
         return {"doc_id": batch.column("doc_id"), "shingles": sets}
 
-    found = C.map_batches(docs.select("doc_id", "text", C.slot(F.col("doc_id")).alias("slot")), collect,
+    found = C.map_batches(docs.select("doc_id", "text", C.slot(F.col("doc_id"), bitmap).alias("slot")), collect,
                           "doc_id long, shingles binary")
     return found.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 

@@ -11,11 +11,12 @@ characters beyond them (Hangul, part of the ideographs, emoji), these take the
 codes of characters that it does not hold; should a language hold more than
 there are codes, its rarest characters are spelled with two.
 
-Scoring is a join of counts. Documents are taken in blocks of neighbouring rows
-of a file. A block asks for the probabilities of its distinct grams; the
+Scoring is a join of counts. Documents are taken in blocks of ``BLOCK_BYTES`` of
+text, however many or long they are, and stored compressed with the grams that
+the block holds. A block asks for the probabilities of its distinct grams; the
 corpus' distinct grams are joined, order by order, with the counts of the model
 (an unseen gram backs off); the answers go back to the blocks, where they meet
-the texts, and every document gets its perplexity. A document is rejected above
+the texts, a parcel at a time, and every document gets its perplexity. A document is rejected above
 a quantile of the perplexities of trusted documents of its language that the
 model was not trained on.
 
@@ -32,7 +33,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.errors import AnalysisException
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,10 +45,10 @@ ORDER = 4
 #: what no trusted text holds shares the last code.
 BITS = 15
 BEGIN, END, OTHER = 0, 1, (1 << BITS) - 1
-#: Neighbouring rows of a file that ask for their grams together.
-BLOCK_ROWS = 16_384
+#: Bytes of text that ask for their grams together.
+BLOCK_BYTES = 1 << 25
 #: Characters, or bytes, of text that go through numpy at a time.
-STRETCH = 1 << 21
+STRETCH = 1 << 19
 #: One trusted document in so many is held out to set the thresholds.
 HELD_OUT = 10
 #: Share of a language's held-out trusted documents that stay below the threshold.
@@ -100,19 +101,20 @@ class Alphabets:
         return [t if t.isascii() else t.translate(self.tables[lang]) for t in texts]
 
 
-def alphabets(docs: DataFrame, bitmap: np.ndarray) -> Alphabets:
-    """Of the languages whose trusted text goes beyond ``BITS``. ``docs``: lang,
-    text, slot; all rows that pass the filter are taken for trusted."""
+def alphabets(trusted: DataFrame) -> Alphabets:
+    """Of the languages whose trusted text goes beyond ``BITS``. ``trusted``: lang,
+    text (zstandard frames)."""
     def count(batch):
-        kept = batch.filter(pa.array(C.passes(bitmap, batch.column("slot").to_numpy())))
+        unpack = zstandard.ZstdDecompressor()
         seen: dict[str, Counter] = {}
-        for lang, text in zip(kept.column("lang").to_pylist(), C.texts(kept)):
+        for lang, frame in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            text = unpack.decompress(frame).decode()
             if not text.isascii():
                 seen.setdefault(lang, Counter()).update(set(text))
         rows = [(lang, ord(c), n) for lang in seen for c, n in seen[lang].items() if not c.isascii()]
         return dict(zip(("lang", "c", "n"), zip(*rows))) if rows else None
 
-    found = (C.map_batches(docs, count, "lang string, c int, n long")
+    found = (C.map_batches(trusted, count, "lang string, c int, n long")
              .groupBy("lang", "c").agg(F.sum("n").alias("n")))
     found = C.cut(found, "lm_alphabets")
     beyond = found.where(F.col("c") >= OTHER).select("lang").distinct()
@@ -145,22 +147,9 @@ def gram_codes(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.nda
     return codes[np.cumsum(keep) > 0], np.concatenate([[0], np.cumsum(lengths)[:-1]])
 
 
-def stretches(texts: list[str]):
-    """The indices of the texts in runs of about ``STRETCH`` characters."""
-    run, size = [], 0
-    for i, t in enumerate(texts):
-        run.append(i)
-        size += len(t)
-        if size >= STRETCH:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
-def by_language(batch: pa.RecordBatch) -> dict[str, list[str]]:
+def by_language(batch: pa.RecordBatch, text_col: str) -> dict[str, list[str]]:
     out: dict[str, list[str]] = {}
-    for lang, text in zip(batch.column("lang").to_pylist(), C.texts(batch)):
+    for lang, text in zip(batch.column(LANG).to_pylist(), C.texts(batch, text_col)):
         if text:
             out.setdefault(lang, []).append(text)
     return out
@@ -278,78 +267,67 @@ def probabilities(model: Model, wanted: DataFrame) -> DataFrame:
 
 # --- scoring ----------------------------------------------------------------
 
-def in_blocks(docs: DataFrame, block_rows: int) -> tuple[DataFrame, Column]:
-    """``docs`` and the block of each row: its file and the stretch of rows there.
+LANG, TEXT = C.OWN + "lang", C.OWN + "text"
 
-    The place of a row in its file does not change with the way the file is
-    split. Rows that do not come straight from files are written first.
-    """
-    def block(df: DataFrame) -> Column:
-        place = df.metadataColumn("_metadata")
-        return F.xxhash64(place["file_path"], F.floor(place["row_index"] / block_rows))
-
-    try:
-        docs.select(block(docs))
-    except AnalysisException:
-        docs = C.cut(docs, "quality_docs")
-    return docs, block(docs)
-
-
-def requests(docs: DataFrame, spell: Alphabets = NO_ALPHABETS) -> DataFrame:
-    """(block, lang, g): the distinct grams of each block. ``docs``: block, lang, text."""
-    schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("g", pa.int64())])
-
-    def ask(batches):
-        block, held = None, {}
-
-        def flush():
-            for lang, parts in held.items():
-                g = np.unique(np.concatenate(parts))
-                for at in range(0, len(g), 50_000):
-                    part = g[at:at + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(block, len(part)), pa.repeat(pa.scalar(lang, pa.string()), len(part)),
-                         pa.array(part)], schema=schema)
-            held.clear()
 
-        for batch in batches:
-            for b in dict.fromkeys(batch.column("block").to_pylist()):
-                if b != block:
-                    yield from flush()
-                    block = b
-                mine = batch.filter(pa.compute.equal(batch.column("block"), b))
-                for lang, texts in by_language(mine).items():
-                    for run in stretches(texts):
-                        held.setdefault(lang, []).append(np.unique(gram_codes(spell(lang, [texts[i] for i in run]))[0]))
-                    if len(held[lang]) > 16:
-                        held[lang] = [np.unique(np.concatenate(held[lang]))]
-        if block is not None:
-            yield from flush()
+def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
+              block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` (with ``LANG`` and the text) in blocks, stored: rows of (block, lang,
+    grams, parcel). A parcel holds some rows of ``docs``, compressed; ``grams`` a part
+    of the block's distinct grams of a language. A row's block hangs on nothing but
+    the task that read it; what is stored stays."""
+    schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("grams", pa.binary()), ("parcel", pa.binary())])
+
+    def row(*values):
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
-    return docs.mapInArrow(ask, "block long, lang string, g long").distinct()
+    def run(batches):
+        block = TaskContext.get().partitionId() << 32
+        pack = zstandard.ZstdCompressor(level=3)
+        size, held = 0, {}
 
+        def close():
+            for lang in list(held):
+                grams = np.unique(np.concatenate(held.pop(lang)))
+                for at in range(0, len(grams), 50_000):
+                    steps = np.diff(grams[at:at + 50_000], prepend=0)
+                    yield row(block, lang, pack.compress(steps.tobytes()), None)
 
-def parcels(docs: DataFrame) -> DataFrame:
-    """(block, parcel): the rows of each block, compressed about two megabytes at a time."""
-    def wrap(batches):
-        frame = zstandard.ZstdCompressor(level=6)
         for batch in batches:
-            for b in dict.fromkeys(batch.column("block").to_pylist()):
-                mine = batch.filter(pa.compute.equal(batch.column("block"), b)).drop_columns(["block"])
-                rows = max(1, mine.num_rows * STRETCH // max(1, mine.nbytes))
-                for at in range(0, mine.num_rows, rows):
-                    sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, mine.schema) as writer:
-                        writer.write_batch(mine.slice(at, rows))
-                    yield pa.RecordBatch.from_pydict({
-                        "block": pa.array([b], pa.int64()),
-                        "parcel": pa.array([frame.compress(sink.getvalue())], pa.binary())})
+            for part in C.slices(batch, text_col, STRETCH):
+                for lang, texts in by_language(part, text_col).items():
+                    held.setdefault(lang, []).append(np.unique(gram_codes(spell(lang, texts))[0]))
+                    if len(held[lang]) > 16:
+                        held[lang] = [np.unique(np.concatenate(held[lang]))]
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema) as writer:
+                    writer.write_batch(part)
+                yield row(block, None, None, pack.compress(sink.getvalue()))
+                size += part.column(text_col).nbytes
+                if size >= block_bytes:
+                    yield from close()
+                    block, size = block + 1, 0
+        yield from close()
+
+    return C.cut(docs.mapInArrow(run, "block long, lang string, grams binary, parcel binary"), "lm_blocks")
+
+
+def requests(blocks: DataFrame) -> DataFrame:
+    """(block, lang, g): the distinct grams of each block."""
+    def listed(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for block, lang, frame in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "grams"))):
+                grams = np.cumsum(np.frombuffer(unpack.decompress(frame), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.repeat(block, len(grams)), pa.repeat(lang, len(grams)),
+                                                  pa.array(grams)], names=["block", "lang", "g"])
 
-    return docs.mapInArrow(wrap, "block long, parcel binary")
+    return (blocks.where("grams is not null").select("block", "lang", "grams")
+            .mapInArrow(listed, "block long, lang string, g long"))
 
 
 def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", block_rows: int = BLOCK_ROWS, carry: list[str] | None = None,
+          lang_col: str = "lang", block_bytes: int = BLOCK_BYTES, carry: list[str] | None = None,
           out_col: str = "bits") -> DataFrame:
     """The columns ``carry`` of ``docs`` (all by default) and ``out_col`` (in place
     of any column of that name): the bits
@@ -359,7 +337,7 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     from pyspark.sql.types import DoubleType, StructField, StructType
     carry = [c for c in (docs.columns if carry is None else carry) if c != out_col]
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    text = F.col(text_col).cast("string")
 
     trusted = trusted.toDF("doc").where("doc is not null").distinct()
     bitmap = C.key_filter(trusted)
@@ -371,22 +349,24 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
                 "text": [pack.compress(raw) for raw in C.raw_texts(kept)]}
 
     with_text = docs.where(F.col(id_col).isNotNull() & (text != "")).select(
-        F.col(id_col).alias("doc"), lang.alias("lang"), text.alias("text"), C.slot(F.col(id_col)).alias("slot"))
+        F.col(id_col).alias("doc"), lang.alias("lang"), text.alias("text"), C.slot(F.col(id_col), bitmap).alias("slot"))
     some = C.map_batches(with_text, likely,
                          f"doc {docs.schema[id_col].dataType.simpleString()}, lang string, text binary")
-    spell = alphabets(with_text.select("lang", "text", "slot"), bitmap)
-    model = train(some.join(trusted, "doc", "left_semi").select("lang", "text"), spell)
-
-    docs, block = in_blocks(docs, block_rows)
-    asked = C.cut(requests(docs.select(block.alias("block"), lang.alias("lang"), text.alias("text")), spell), "lm_requests")
+    known = C.cut(some.join(trusted, "doc", "left_semi").select("lang", "text"), "lm_trusted")
+    spell = alphabets(known)
+    model = train(known, spell)
+
+    # a text that is carried is not held twice
+    own = text_col if text_col in carry and docs.schema[text_col].dataType.simpleString() == "string" else TEXT
+    given = docs.select(*carry, lang.alias(LANG), *([] if own == text_col else [text.alias(TEXT)]))
+    blocks = in_blocks(given, own, spell, block_bytes)
+    asked = requests(blocks)
     logp = probabilities(model, asked.select("lang", "g").distinct())
     answers = asked.join(logp, ["lang", "g"]).select("block", "lang", "g", F.col("logp").cast("float").alias("logp"))
 
-    own = [C.OWN + "lang", C.OWN + "text"]
     fields = [docs.schema[c] for c in carry]
-    parcel_schema = StructType(fields)
-    arrow = to_arrow_schema(StructType([*fields, StructField(out_col, DoubleType())]))
-    packed = parcels(docs.select(*carry, lang.alias(own[0]), text.alias(own[1]), block.alias("block")))
+    schema = StructType([*fields, StructField(out_col, DoubleType())])
+    arrow = to_arrow_schema(schema)
 
     def rate(_, left: pa.Table, right: pa.Table):
         tables = {}
@@ -401,7 +381,7 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         for parcel in left.column("parcel").to_pylist():
             raw = zstandard.ZstdDecompressor().decompress(parcel)
             for batch in pa.ipc.open_stream(raw):
-                texts, langs = batch.column(own[1]).to_pylist(), batch.column(own[0]).to_pylist()
+                texts, langs = batch.column(own).to_pylist(), batch.column(LANG).to_pylist()
                 bits = np.full(len(texts), np.nan)
                 for name in dict.fromkeys(langs):
                     rows = np.array([i for i, x in enumerate(langs) if x == name and texts[i]], dtype=np.int64)
@@ -419,8 +399,8 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
                     [*columns, pa.array(bits, mask=np.isnan(bits))], schema=arrow))
         return pa.Table.from_batches(out, schema=arrow)
 
-    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        rate, StructType([*parcel_schema.fields, StructField(out_col, DoubleType())]))
+    packed = blocks.where("parcel is not null").select("block", "parcel")
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, schema)
 
 
 def thresholds(scored: DataFrame, held_out: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
@@ -452,7 +432,6 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
     carry = [c for c in (docs.columns if carry is None else carry) if c != out_col]
     key = trusted.columns[0]
     held = F.pmod(F.xxhash64(F.lit("held out"), F.col(key)), F.lit(HELD_OUT)) == 0
-    docs, _ = in_blocks(docs, BLOCK_ROWS)
     sized = docs.withColumn(length, F.coalesce(F.length(text_col), F.lit(0)))
     scored = C.cut(score(sized, trusted.where(~held), id_col, text_col, lang_col, carry=[*carry, length],
                          out_col=bits), "quality_scores")

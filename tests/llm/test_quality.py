@@ -61,7 +61,7 @@ def test_scores_match_the_definition(spark):
     rows += [(100, "ZZZ!! ???", "a"), (101, "qwx" * 50, "b"), (102, "unseen language", "c"), (103, "", "a"), (104, None, "a")]
     docs = documents(spark, rows)
     trusted = spark.createDataFrame([(i,) for i in range(0, 60) if i % 5], "doc_id long")
-    got = {r["doc_id"]: r["bits"] for r in quality.score(docs, trusted, block_rows=7).collect()}
+    got = {r["doc_id"]: r["bits"] for r in quality.score(docs, trusted, block_bytes=900).collect()}
     models = {x: Brute([t for i, t, lang in rows if lang == x and i < 60 and i % 5]) for x in "ab"}
     for doc, text, lang in rows:
         if not text:
@@ -80,7 +80,7 @@ def test_scripts_beyond_the_code_range(spark):
     junk = "".join(rows[0][1])
     rows += [(100, "".join(rng.sample(junk, len(junk))), "ko"), (101, "\u7ffd\u7ffc unseen \U0001F923", "ko")]
     trusted = spark.createDataFrame([(i,) for i in range(60)], "doc_id long")
-    got = {r["doc_id"]: r["bits"] for r in quality.score(documents(spark, rows), trusted, block_rows=7).collect()}
+    got = {r["doc_id"]: r["bits"] for r in quality.score(documents(spark, rows), trusted, block_bytes=900).collect()}
     model = Brute([t for i, t, _ in rows if i < 60])
     assert all(abs(got[i] - model.bits(t)) < 1e-4 for i, t, _ in rows)
     assert got[100] > max(got[i] for i in range(80)) + 1
@@ -113,6 +113,26 @@ def test_probabilities_add_up(spark):
     assert all(abs(p - 1) < 1e-6 for p in by_history.values())
 
 
+def test_blocks_are_bounded_by_bytes(spark):
+    """Few long texts or many short ones: a block closes at its bytes, and every row stands in one parcel."""
+    import pyarrow as pa
+    long, size = [(i, "".join(prose(i, 20_000)), "en") for i in range(40)], quality.STRETCH
+    rows = long + [(100 + i, " ".join(prose(i, 5)), "fr") for i in range(3000)]
+    docs = documents(spark, rows).coalesce(2).select("doc_id", "text", quality.F.col("lang").alias(quality.LANG))
+    blocks = quality.in_blocks(docs, "text", block_bytes=4 * size)
+    bytes_, seen = Counter(), []
+    for r in blocks.where("parcel is not null").collect():
+        for batch in pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(bytes(r["parcel"]))):
+            texts = batch.column("text").to_pylist()
+            assert sum(map(len, texts)) <= size or len(texts) == 1
+            bytes_[r["block"]] += sum(map(len, texts))
+            seen += batch.column("doc_id").to_pylist()
+    assert sorted(seen) == sorted(i for i, *_ in rows)
+    assert len(bytes_) > 2 and max(bytes_.values()) <= 5 * size
+    asked = {(r["block"], r["lang"]) for r in quality.requests(blocks).collect()}
+    assert {b for b, _ in asked} == set(bytes_)
+
+
 def test_junk_goes_and_clean_documents_stay(spark):
     rows = [(i, " ".join(prose(i, 60)), "en" if i % 2 else "fr") for i in range(1400)]
     rows += [(2000 + i, " ".join(w.upper() + "!!" for w in prose(5000 + i, 40)), "en") for i in range(20)]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -70,7 +71,8 @@ def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 def slices(batch: pa.RecordBatch, name: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose values of column ``name`` have about
     ``limit`` bytes; a longer value is a run of its own."""
-    upto = np.cumsum([0, *(len(v) if v else 0 for v in batch.column(name).cast(pa.binary()).to_pylist())])
+    sizes = pc.fill_null(pc.binary_length(batch.column(name).cast(pa.binary())), 0)
+    upto = np.append(0, np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64))
     at = 0
     while at < batch.num_rows:
         end = max(at + 1, int(np.searchsorted(upto, upto[at] + limit, "right")) - 1)

@@ -378,8 +378,8 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
             mine = mine[np.argsort(g[mine])]
             tables[name] = (g[mine], p[mine].astype(np.float64))
         out = []
-        for parcel in left.column("parcel").to_pylist():
-            raw = zstandard.ZstdDecompressor().decompress(parcel)
+        for parcel in left.column("parcel"):
+            raw = zstandard.ZstdDecompressor().decompress(parcel.as_buffer())
             for batch in pa.ipc.open_stream(raw):
                 texts, langs = batch.column(own).to_pylist(), batch.column(LANG).to_pylist()
                 bits = np.full(len(texts), np.nan)

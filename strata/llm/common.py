@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,6 +36,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> str:
+    """Writes ``df`` as a table in the shared folder, bucketed by ``key``: what is
+    grouped by the key later is not shuffled again. Returns the table's name; who
+    is done with it drops it."""
+    table_name = f"strata_{name}_{uuid.uuid4().hex}"
+    (df.write.format("parquet").bucketBy(buckets, key)
+     .option("path", scratch_path(df.sparkSession, name)).saveAsTable(table_name))
+    return table_name
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """``fn`` turns each Arrow batch into a dict of columns for ``schema``."""
     arrow = arrow_schema(schema)
@@ -125,6 +136,33 @@ def span_text(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def rewritten(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """``text`` with each (start, end, name) replaced by its name; spans that overlap
+    go as one, under the name of the first by start."""
+    out, at = [], 0
+    for start, end, name in sorted(spans):
+        if start >= at:
+            out += (text[at:start], name)
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def rewrite(df: DataFrame, text_col: str, spans_col: str, name: Callable[[str], str]) -> DataFrame:
+    """``df`` without ``spans_col``, each span of ``text_col`` replaced by the name of
+    its kind. Row by row: no key, so rows without an id or with another's are safe."""
+    order = [c for c in df.columns if c not in (text_col, spans_col)]
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text_col, 1 << 21):
+                clean = [t and rewritten(t, [(s["start"], s["end"], name(s["kind"])) for s in spans or ()])
+                         for t, spans in zip(part.column(text_col).to_pylist(), part.column(spans_col).to_pylist())]
+                yield with_column(part.drop_columns([text_col, spans_col]), text_col, pa.array(clean, pa.string()))
+
+    return (df.select(*order, text_col, spans_col).mapInArrow(run, schema_with(df, order, text_col, "string"))
+            .select(*[c for c in df.columns if c != spans_col]))
+
+
 def of_kinds(spans: Column, *kinds: str) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*kinds))
 

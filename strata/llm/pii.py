@@ -13,7 +13,7 @@ near an entity in enough different contexts and reach the threshold are spans
 of kind ``term`` wherever they occur in any document; :func:`sanitise`
 generalises entities to their kind and removes terms.
 
-Copies of a context count once towards support. Null texts read as empty and
+Entities are stored as keyed digests only. Copies of a context count once towards support. Null texts read as empty and
 give no spans; repeated rows each give a row; an empty table gives no rows;
 extra columns are ignored.
 """
@@ -21,12 +21,18 @@ extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from hashlib import blake2b
+from itertools import accumulate
+from secrets import token_bytes
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import common as C
 
@@ -43,8 +49,12 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\W\d_]{4,40}")
 
+WORDS = re.compile(r"\S+")
+
 #: Words on each side of an entity that count as near.
 WINDOW = 8
+#: Characters of a word, on the entity's side, in which terms are looked for.
+WORD = 256
 #: Different contexts in which a term must stand near an entity.
 SUPPORT = 3
 #: Least disclosure of a term that goes.
@@ -92,28 +102,40 @@ def entities(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def near(text: str, start: int, end: int, spans: list[tuple[str, int, int]], window: int) -> list[str]:
-    """The terms among ``window`` words on each side, entities left out."""
-    reach = 64 * window
-    before = text[max(0, start - reach):start].split()[-window:]
-    after = text[end:end + reach].split()[:window]
+def near(text: str, spans: list[tuple[str, int, int]], window: int) -> list[list[str]]:
+    """For each span the terms among ``window`` words on each side, entities left
+    out; of a word only what is within ``WORD`` characters counts."""
+    words = [m.span() for m in WORDS.finditer(text)]
+    starts, ends = [s for s, _ in words], [e for _, e in words]
     own = {text[s:e] for _, s, e in spans}
-    return [t.lower() for w in before + after if w not in own for t in TERM.findall(w)]
+    out = []
+    for _, start, end in spans:
+        k = bisect_left(starts, start)
+        around = [(max(s, min(e, start) - WORD), min(e, start)) for s, e in words[max(0, k - window):k]]
+        k = bisect_right(ends, end)
+        around += [(max(s, end), min(e, max(s, end) + WORD)) for s, e in words[k:k + window]]
+        out.append([t.lower() for s, e in around if text[s:e] not in own for t in TERM.findall(text[s:e])])
+    return out
 
 
 def contexts(docs: DataFrame, window: int) -> DataFrame:
-    """(entity, term, context) for each term near an entity."""
+    """(entity, term, context, size) for each term near an entity; ``size`` terms are
+    near it in all. Entities are keyed digests, of a key that only this call knows:
+    what is stored tells equal ones, not what they are."""
+    key = token_bytes(16)
+
     def collect(batch):
         rows = []
         for text in C.texts(batch):
             spans = entities(text)
-            for kind, start, end in spans:
-                terms = sorted(set(near(text, start, end, spans, window)))
+            for (kind, start, end), terms in zip(spans, near(text, spans, window) if spans else ()):
+                entity = blake2b(f"{kind}:{text[start:end]}".encode(), key=key, digest_size=16).hexdigest()
+                terms.sort()
                 seen = xxhash.xxh64_intdigest("\x00".join(terms)) >> 1
-                rows += [(f"{kind}:{text[start:end]}", t, seen) for t in terms]
-        return dict(zip(("entity", "term", "context"), zip(*rows))) if rows else None
+                rows += [(entity, t, seen, len(terms)) for t in set(terms)]
+        return dict(zip(("entity", "term", "context", "size"), zip(*rows))) if rows else None
 
-    return C.map_batches(docs, collect, "entity string, term string, context long")
+    return C.map_batches(docs, collect, "entity string, term string, context long, size int")
 
 
 class TermFilter:
@@ -168,16 +190,16 @@ def disclosing_terms(docs: DataFrame, window: int = WINDOW, support: int = SUPPO
 
     ``docs`` has a column ``text``; every count is over all documents.
     """
-    seen = C.cut(contexts(docs, window).groupBy("entity", "term", "context").agg(F.count("*").alias("n")),
+    seen = C.cut(contexts(docs, window).groupBy("entity", "term", "context", "size").agg(F.count("*").alias("n")),
                  "pii_contexts")
     pairs = (seen.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support"))
              .where(F.col("support") >= support))
     pairs = C.cut(pairs, "pii_pairs")
     counts = C.cut(term_counts(docs, pairs.select("term").distinct()), "pii_counts")
     n_words = counts.where("term is null").select(F.max("n_term")).scalar()
-    # an entity's windows: each of its contexts holds 2 * window words at most
-    near_entity = (seen.groupBy("entity", "context").agg(F.max("n").alias("n"))
-                   .groupBy("entity").agg((F.sum("n") * (2 * window)).alias("n_entity")))
+    # an entity's windows, by the terms that they hold
+    near_entity = (seen.groupBy("entity", "context", "size").agg(F.max("n").alias("n"))
+                   .groupBy("entity").agg(F.sum(F.col("n") * F.col("size")).alias("n_entity")))
     scored = (pairs.join(counts, "term").join(near_entity, "entity")
               .withColumn("p", F.least(F.col("n_entity") / n_words, F.lit(0.5)))
               .withColumn("given", F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0)))
@@ -186,62 +208,87 @@ def disclosing_terms(docs: DataFrame, window: int = WINDOW, support: int = SUPPO
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                       support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """One row per row of ``docs``: its id and its ``spans`` by kind (email, ip,
+                       support: int = SUPPORT, disclosure: float = DISCLOSURE, carry: list[str] | None = None,
+                       out_col: str = "spans") -> DataFrame:
+    """One row per row of ``docs``: its columns ``carry`` (its id by default) and
+    ``out_col`` (in place of any column of that name), the spans by kind (email, ip,
     card, phone, term), then start."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    terms = C.cut(disclosing_terms(docs.select("text"), window, support, disclosure).select("term").distinct(),
-                  "pii_terms")
+    carry = [c for c in ([id_col] if carry is None else carry) if c != out_col]
+    text, key, hits = (C.OWN + n for n in ("text", "text_key", "hits"))
+    read = text_col if text_col in carry else text
+    given = docs.select(*carry, *([] if read == text_col else [F.col(text_col).alias(text)]))
+    terms = C.cut(disclosing_terms(docs.select(F.col(text_col).alias("text")), window, support, disclosure)
+                  .select("term").distinct(), "pii_terms")
     bitmap = C.key_filter(terms)
-
-    def scan(batch):
-        wanted, base, hits, keys = TermFilter(bitmap), [], [], []
-        for text in C.texts(batch):
-            spans = entities(text)
-            base.append([dict(kind=k, start=s, end=e) for k, s, e in spans])
-            words = wanted(dict.fromkeys(TERM.findall(text))) if not wanted.idle else {}
-            hits.append([dict(term=words[m[0]], start=m.start(), end=m.end())
-                         for m in TERM.finditer(text) if m[0] in words
-                         and not any(s < m.end() and m.start() < e for _, s, e in spans)] if words else [])
-            keys.append(xxhash.xxh64_intdigest(text) - (1 << 63))
-        return {"id": batch.column("id"), "text_key": keys, "spans": base, "hits": hits}
-
-    id_type = docs.schema["id"].dataType.simpleString()
-    found = C.cut(C.map_batches(docs, scan, f"id {id_type}, text_key long, spans {SPANS}, hits {HITS}"), "pii_found")
+    extra = StructType([*C.schema_with(docs, [], key, "long"), *C.schema_with(docs, [], out_col, SPANS),
+                        *C.schema_with(docs, [], hits, HITS)])
+    kinds = C.arrow_schema(f"spans {SPANS}, hits {HITS}")
+
+    def scan(batches):
+        wanted = TermFilter(bitmap)
+        for batch in batches:
+            for part in C.slices(batch, read, 1 << 21):
+                base, found, keys = [], [], []
+                for t in C.texts(part, read):
+                    spans = entities(t)
+                    base.append([dict(kind=k, start=s, end=e) for k, s, e in spans])
+                    words = wanted(dict.fromkeys(TERM.findall(t))) if not wanted.idle else {}
+                    covered = Covered(spans)
+                    found.append([dict(term=words[m[0]], start=m.start(), end=m.end())
+                                  for m in TERM.finditer(t) if m[0] in words
+                                  and not covered(m.start(), m.end())] if words else [])
+                    keys.append(xxhash.xxh64_intdigest(t) - (1 << 63))
+                part = part if read == text_col else part.drop_columns([text])
+                part = C.with_column(part, key, pa.array(keys, pa.int64()))
+                part = C.with_column(part, out_col, pa.array(base, kinds.field("spans").type))
+                yield C.with_column(part, hits, pa.array(found, kinds.field("hits").type))
+
+    schema = StructType([*(docs.schema[c] for c in carry), *extra.fields])
+    found = C.cut(given.mapInArrow(scan, schema), "pii_found")
+    plain, told = found.where(F.size(hits) == 0).drop(hits), found.where(F.size(hits) > 0)
     # hits that only passed the filter go here; rows of equal text share theirs
-    sure = (found.select("text_key", F.explode("hits").alias("hit")).select("text_key", "hit.*")
+    sure = (told.select(key, F.explode(hits).alias("hit")).select(F.col(key).alias("key"), "hit.*")
             .join(terms, "term", "left_semi")
-            .groupBy("text_key").agg(F.array_sort(F.collect_set(F.struct(
+            .groupBy("key").agg(F.array_sort(F.collect_set(F.struct(
                 F.lit("term").alias("kind"), "start", "end"))).alias("terms")))
-    return (found.drop("hits").join(sure, "text_key", "left")
-            .select(F.col("id").alias(id_col), F.concat(
-                "spans", F.coalesce("terms", F.array().cast(SPANS))).alias("spans")))
-
-
-def sanitise(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with entities generalised to ``<KIND>`` and disclosing terms
-    removed; of overlapping spans the first by start stays."""
-    joined = docs.join(spans.select(id_col, F.col("spans").alias(C.OWN + "spans")), id_col, "left")
-    cuts = F.array_sort(F.transform(F.coalesce(C.OWN + "spans", F.array().cast(SPANS)), lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    name = lambda s: F.when(s["kind"] == "term", F.lit("")).otherwise(
-        F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-    state = F.aggregate(
-        cuts, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct(
-            F.concat(acc["out"], text.substr(acc["at"] + 1, s["start"] - acc["at"]), name(s)).alias("out"),
-            s["end"].alias("at"))))
-    return (joined.withColumn(C.OWN + "cut", state)
-            .withColumn(text_col, F.when(F.col(text_col).isNull(), F.col(text_col)).otherwise(F.concat(
-                F.col(C.OWN + "cut.out"), text.substr(F.col(C.OWN + "cut.at") + 1, F.length(text)))))
-            .drop(C.OWN + "cut", C.OWN + "spans"))
+    told = told.join(sure, F.col(key) == F.col("key"), "left").withColumn(
+        out_col, F.concat(out_col, F.coalesce(sure["terms"], F.array().cast(SPANS))))
+    return plain.drop(key).unionByName(told.select(*carry, out_col))
+
+
+class Covered:
+    """Whether a place meets one of some spans."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.spans = sorted((s, e) for _, s, e in spans)
+        self.upto = [*accumulate((e for _, e in self.spans), max)]
+
+    def __call__(self, start: int, end: int) -> bool:
+        k = bisect_left(self.spans, (end,))
+        return k > 0 and self.upto[k - 1] > start
+
+
+def generalised(kind: str) -> str:
+    return "" if kind == "term" else f"<{kind.upper()}>"
+
+
+def sanitise(docs: DataFrame, text_col: str = "text", window: int = WINDOW, support: int = SUPPORT,
+             disclosure: float = DISCLOSURE) -> DataFrame:
+    """``docs`` with entities generalised to ``<KIND>`` and disclosing terms removed;
+    overlapping spans go as one. A row carries its spans, so ids may be missing or
+    repeat. Null texts stay null."""
+    spans = C.OWN + "spans"
+    found = find_personal_data(docs, text_col=text_col, window=window, support=support, disclosure=disclosure,
+                               carry=docs.columns, out_col=spans)
+    return C.rewrite(found, text_col, spans, generalised)
 
 
 def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_personal_data(C.table(spark, sf_dir, "documents"))
+    found = find_personal_data(C.table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
+    clean = C.rewrite(found.withColumn("cut", F.col("spans")), "text", "cut", generalised)
     spans = F.col("spans")
-    return found.select(
+    return clean.select(
         "doc_id", *[F.size(C.of_kinds(spans, k)).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(C.span_text(C.of_kinds(spans, *KINDS)), 256).alias("base_sha256"),
-        C.span_text(spans).alias("spans"), F.size(C.of_kinds(spans, "term")).cast("long").alias("n_term"))
+        C.span_text(spans).alias("spans"), F.size(C.of_kinds(spans, "term")).cast("long").alias("n_term"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256"))

@@ -47,6 +47,8 @@ BITS = 15
 BEGIN, END, OTHER = 0, 1, (1 << BITS) - 1
 #: Bytes of text that ask for their grams together.
 BLOCK_BYTES = 1 << 25
+#: Bytes of text of a stored bucket of blocks, and the most buckets.
+BUCKET_BYTES, MAX_BUCKETS = 1 << 26, 100_000
 #: Characters, or bytes, of text that go through numpy at a time.
 STRETCH = 1 << 19
 #: One trusted document in so many is held out to set the thresholds.
@@ -272,10 +274,10 @@ LANG, TEXT = C.OWN + "lang", C.OWN + "text"
 
 def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
               block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (with ``LANG`` and the text) in blocks, stored: rows of (block, lang,
-    grams, parcel). A parcel holds some rows of ``docs``, compressed; ``grams`` a part
-    of the block's distinct grams of a language. A row's block hangs on nothing but
-    the task that read it; what is stored stays."""
+    """``docs`` (with ``LANG`` and the text) in blocks: rows of (block, lang, grams,
+    parcel). A parcel holds some rows of ``docs``, compressed; ``grams`` a part of the
+    block's distinct grams of a language. A row's block hangs on nothing but the task
+    that read it, so the result is to be stored and read from there."""
     schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("grams", pa.binary()), ("parcel", pa.binary())])
 
     def row(*values):
@@ -309,7 +311,7 @@ def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
                     block, size = block + 1, 0
         yield from close()
 
-    return C.cut(docs.mapInArrow(run, "block long, lang string, grams binary, parcel binary"), "lm_blocks")
+    return docs.mapInArrow(run, "block long, lang string, grams binary, parcel binary")
 
 
 def requests(blocks: DataFrame) -> DataFrame:
@@ -332,7 +334,9 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     """The columns ``carry`` of ``docs`` (all by default) and ``out_col`` (in place
     of any column of that name): the bits
     per character of each text under the model of its language, the logarithm
-    of its perplexity; null where there is no text. ``trusted`` has a column of ids."""
+    of its perplexity; null where there is no text. ``trusted`` has a column of ids.
+    The result is stored."""
+    spark = docs.sparkSession
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StructField, StructType
     carry = [c for c in (docs.columns if carry is None else carry) if c != out_col]
@@ -359,7 +363,11 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     # a text that is carried is not held twice
     own = text_col if text_col in carry and docs.schema[text_col].dataType.simpleString() == "string" else TEXT
     given = docs.select(*carry, lang.alias(LANG), *([] if own == text_col else [text.alias(TEXT)]))
-    blocks = in_blocks(given, own, spell, block_bytes)
+    # parcels meet their answers where they are stored, so they are not shuffled
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = min(MAX_BUCKETS, 1 + total // BUCKET_BYTES)
+    table = C.bucketed(in_blocks(given, own, spell, block_bytes), "lm_blocks", "block", buckets)
+    blocks = spark.table(table)
     asked = requests(blocks)
     logp = probabilities(model, asked.select("lang", "g").distinct())
     answers = asked.join(logp, ["lang", "g"]).select("block", "lang", "g", F.col("logp").cast("float").alias("logp"))
@@ -400,7 +408,9 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         return pa.Table.from_batches(out, schema=arrow)
 
     packed = blocks.where("parcel is not null").select("block", "parcel")
-    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, schema)
+    scored = C.cut(packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, schema), "quality_scores")
+    spark.sql(f"DROP TABLE {table}")
+    return scored
 
 
 def thresholds(scored: DataFrame, held_out: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
@@ -433,8 +443,7 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
     key = trusted.columns[0]
     held = F.pmod(F.xxhash64(F.lit("held out"), F.col(key)), F.lit(HELD_OUT)) == 0
     sized = docs.withColumn(length, F.coalesce(F.length(text_col), F.lit(0)))
-    scored = C.cut(score(sized, trusted.where(~held), id_col, text_col, lang_col, carry=[*carry, length],
-                         out_col=bits), "quality_scores")
+    scored = score(sized, trusted.where(~held), id_col, text_col, lang_col, carry=[*carry, length], out_col=bits)
     limit = C.cut(thresholds(scored, trusted.where(held), quantile, margin, id_col, lang_col, bits),
                   "quality_thresholds")
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG))

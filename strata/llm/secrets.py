@@ -20,6 +20,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,54 +187,59 @@ class Novelty:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 threshold: float = NOVELTY, dictionary_size: int = DICTIONARY_SIZE) -> DataFrame:
-    """One row per row of ``docs``: its id and its ``spans`` by start, then kind.
+                 threshold: float = NOVELTY, dictionary_size: int = DICTIONARY_SIZE,
+                 carry: list[str] | None = None, out_col: str = "spans") -> DataFrame:
+    """One row per row of ``docs``: its columns ``carry`` (its id by default) and
+    ``out_col`` (in place of any column of that name), the spans by start, then kind.
 
     Kinds are the base ones (assign, access, hex) and ``novel``, an
     incompressible string in a sensitive context that no base span covers.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    dictionary = identifier_dictionary(docs, dictionary_size)
-
-    def scan(batch):
-        novelty, rows = Novelty(dictionary), []
-        for text in C.texts(batch):
-            spans = [(*s, None) for s in base_spans(text)]
-            found = candidates(text)
-            taken = merged(found)
-            for start, end in found:
-                if any(s <= start and end <= e for _, s, e, _ in spans):
-                    continue
-                if (score := novelty(text, start, end, taken)) >= threshold:
-                    spans.append(("novel", start, end, score))
-            spans.sort(key=lambda s: (s[1], ORDER[s[0]]))
-            rows.append([dict(zip(("kind", "start", "end", "novelty"), s)) for s in spans])
-        return {"id": batch.column("id"), "spans": rows}
-
-    id_type = docs.schema["id"].dataType.simpleString()
-    return C.map_batches(docs, scan, f"id {id_type}, spans {SPANS}").withColumnRenamed("id", id_col)
-
-
-def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every span of a document replaced by ``<SECRET>``."""
-    joined = docs.join(spans.select(id_col, F.col("spans").alias(C.OWN + "spans")), id_col, "left")
-    cuts = F.array_sort(F.transform(F.coalesce(C.OWN + "spans", F.array().cast(SPANS)),
-                                    lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    state = F.aggregate(
-        cuts, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
-            F.concat(acc["out"], F.col(text_col).substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
-                     F.lit("<SECRET>")).alias("out"), s["end"].alias("at"))))
-    return (joined.withColumn(C.OWN + "cut", state)
-            .withColumn(text_col, F.concat(F.col(C.OWN + "cut.out"), F.col(text_col).substr(
-                F.col(C.OWN + "cut.at") + 1, F.length(text_col))))
-            .drop(C.OWN + "cut", C.OWN + "spans"))
+    carry = [c for c in ([id_col] if carry is None else carry) if c != out_col]
+    text = C.OWN + "text"
+    read = text_col if text_col in carry else text
+    given = docs.select(*carry, *([] if read == text_col else [F.col(text_col).alias(text)]))
+    dictionary = identifier_dictionary(docs.select(F.col(text_col).alias("text")), dictionary_size)
+    kind = C.arrow_schema(f"spans {SPANS}").field("spans").type
+
+    def spans_of(text: str, novelty: Novelty) -> list[dict]:
+        spans = [(*s, None) for s in base_spans(text)]
+        found = candidates(text)
+        taken = merged(found)
+        for start, end in found:
+            if any(s <= start and end <= e for _, s, e, _ in spans):
+                continue
+            if (score := novelty(text, start, end, taken)) >= threshold:
+                spans.append(("novel", start, end, score))
+        spans.sort(key=lambda s: (s[1], ORDER[s[0]]))
+        return [dict(zip(("kind", "start", "end", "novelty"), s)) for s in spans]
+
+    def scan(batches):
+        novelty = Novelty(dictionary)
+        for batch in batches:
+            for part in C.slices(batch, read, 1 << 21):
+                spans = pa.array([spans_of(t, novelty) for t in C.texts(part, read)], kind)
+                yield C.with_column(part if read == text_col else part.drop_columns([text]), out_col, spans)
+
+    return given.mapInArrow(scan, C.schema_with(docs, carry, out_col, SPANS))
+
+
+def redact(docs: DataFrame, text_col: str = "text", threshold: float = NOVELTY,
+           dictionary_size: int = DICTIONARY_SIZE) -> DataFrame:
+    """``docs`` with every secret found in a row's text replaced by ``<SECRET>``; the
+    row carries its spans, so ids may be missing or repeat. Null texts stay null."""
+    spans = C.OWN + "spans"
+    found = find_secrets(docs, text_col=text_col, threshold=threshold, dictionary_size=dictionary_size,
+                         carry=docs.columns, out_col=spans)
+    return C.rewrite(found, text_col, spans, lambda kind: "<SECRET>")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(C.table(spark, sf_dir, "documents"))
+    found = find_secrets(C.table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
+    clean = C.rewrite(found.withColumn("cut", F.col("spans")), "text", "cut", lambda kind: "<SECRET>")
     count = lambda kind: F.size(C.of_kinds(F.col("spans"), kind)).cast("long").alias(f"n_{kind}")
-    return found.select(
+    return clean.select(
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(C.span_text(C.of_kinds(F.col("spans"), "assign", "access", "hex")), 256).alias("base_sha256"),
-        C.span_text(F.col("spans")).alias("spans"), count("novel"))
+        C.span_text(F.col("spans")).alias("spans"), count("novel"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256"))

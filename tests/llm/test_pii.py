@@ -55,7 +55,7 @@ def test_terms_that_give_an_entity_away(spark):
     by_id = {r["doc_id"]: [(s["kind"], rows[60][1][s["start"]:s["end"]]) for s in r["spans"]]
              for r in found.collect() if r["doc_id"] == 60}
     assert by_id[60] == [("term", "Zebedee")]
-    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, found).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
     assert clean[60] == "someone saw  here, and common people"
     assert "<EMAIL>" in clean[0] and "zeb@" not in clean[0]
 
@@ -77,8 +77,86 @@ def test_odd_rows_and_empty_table(spark):
     out = pii.find_personal_data(documents(spark, ODD))
     assert out.count() == len(ODD)
     assert pii.find_personal_data(documents(spark, [])).count() == 0
-    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(documents(spark, ODD[1:4]), out).collect()}
-    assert clean[1] is None and clean[2] == ""
+    clean = pii.sanitise(documents(spark, ODD))
+    assert clean.columns == documents(spark, []).columns
+    assert sorted(map(repr, clean.collect())) == sorted(map(repr, documents(spark, ODD).collect()))
+
+
+def test_sanitise_needs_no_ids(spark):
+    rows = [(None, "mail me at zeb@example.com now"), (5, "a long text with no data"), (5, "write to bob@example.org"),
+            (5, "write to bob@example.org"), (None, None), (7, "call +4111 1111 1111 1111 11 or 4111111111111111")]
+    docs = documents(spark, rows)
+    out = sorted((repr(r["doc_id"]), r["text"] or "", r["id"], r["spans"]) for r in pii.sanitise(docs).collect())
+    assert out == sorted([("None", "mail me at <EMAIL> now", "x", "x"), ("5", "a long text with no data", "x", "x"),
+                          ("5", "write to <EMAIL>", "x", "x"), ("5", "write to <EMAIL>", "x", "x"), ("None", "", "x", "x"),
+                          ("7", "call +4111 1111 1111 1111 11 or <CARD>", "x", "x")])
+
+
+def test_overlapping_spans_go_as_one():
+    from strata.llm.common import rewritten
+    assert rewritten("0123456789", [(2, 5, "<A>"), (4, 8, "<B>"), (8, 9, "<C>")]) == "01<A><C>9"
+    assert rewritten("0123456789", [(4, 6, "<B>"), (2, 8, "<A>")]) == "01<A>89"
+
+
+def brute_terms(texts, window=pii.WINDOW, support=pii.SUPPORT, disclosure=pii.DISCLOSURE):
+    """The disclosing terms, counted text by text."""
+    windows, words = [], []
+    for text in texts:
+        spans = brute(text)
+        own = {text[s:e] for _, s, e in spans}
+        words += pii.TERM.findall(text)
+        for k, s, e in spans:
+            around = text[:s].split()[-window:] + text[e:].split()[:window]
+            windows.append(((k, text[s:e]), sorted(t.lower() for w in around if w not in own for t in pii.TERM.findall(w))))
+    total, found = {t: 0 for t in map(str.lower, words)}, set()
+    for t in map(str.lower, words):
+        total[t] += 1
+    for entity in {e for e, _ in windows}:
+        mine = [terms for e, terms in windows if e == entity]
+        p = min(sum(map(len, mine)) / len(words), 0.5)
+        for term in {t for terms in mine for t in terms}:
+            having = [terms for terms in mine if term in terms]
+            if len({tuple(terms) for terms in having}) >= support:
+                given = min(len(having) / total[term], 1)
+                if math.log(given / p) / math.log(1 / p) >= disclosure:
+                    found.add(term)
+    return found
+
+
+def test_term_spans_and_clean_texts_of_a_table(spark, tmp_path):
+    rng = random.Random(8)
+    rows = []
+    for k in range(120):
+        words = prose(k, 40)
+        for _ in range(rng.randint(0, 2)):
+            who = rng.randrange(4)
+            words.insert(rng.randrange(len(words)), f"{['anna', 'Boris', 'chloe', 'Dmitri'][who]} u{who}@example.com "
+                         f"{rng.choice(['often', 'wrote'])} p{'q' * 70}")
+        rows.append((k if k % 7 else None, " ".join([*words, rng.choice(["Anna left", "often", "chloe", ""])])))
+    rows += [rows[5]] * 4
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = sorted((repr(r["doc_id"]), r["spans"], r["n_term"], r["clean_sha256"])
+                 for r in QUERIES["op10_disclosure"](spark, str(tmp_path)).collect())
+    terms, want = brute_terms([t for _, t in rows]), []
+    assert {"boris", "dmitri"} <= terms and not {"often", "anna"} & terms
+    for doc, text in rows:
+        spans = brute(text)
+        own = [(s, e) for _, s, e in spans]
+        spans += [("term", *m.span()) for m in pii.TERM.finditer(text)
+                  if m[0].lower() in terms and not any(s < m.end() and m.start() < e for s, e in own)]
+        clean, at = "", 0
+        for kind, s, e in sorted(spans, key=lambda x: x[1]):
+            clean, at = clean + text[at:s] + ("" if kind == "term" else f"<{kind.upper()}>"), e
+        want.append((repr(doc), ",".join(f"{k}:{s}:{e}" for k, s, e in spans), sum(k == "term" for k, *_ in spans),
+                     hashlib.sha256((clean + text[at:]).encode()).hexdigest()))
+    assert out == sorted(want)
+
+
+def test_stored_contexts_hold_no_entity(spark):
+    docs = documents(spark, [(1, "write to zeb@example.com today please")]).select("text")
+    rows = pii.contexts(docs, 8).collect()
+    assert {r["term"] for r in rows} == {"write", "today", "please"}
+    assert not any("zeb" in r["entity"] or "@" in r["entity"] for r in rows)
 
 
 def test_query_digest(spark):

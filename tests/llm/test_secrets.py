@@ -71,10 +71,16 @@ def test_names_lines_and_blocks_of_secrets():
         assert all(novelty(text, *s, secrets.candidates(text)) >= secrets.NOVELTY for s in secrets.candidates(text))
 
 
-def test_redact(spark):
-    docs = documents(spark, [(1, "a token = 0123456789abcdef0 b"), (2, "plain"), (3, None)])
-    out = {r["doc_id"]: r["text"] for r in secrets.redact(docs, secrets.find_secrets(docs)).collect()}
-    assert out == {1: "a <SECRET> b", 2: "plain", 3: None}
+def test_redact_needs_no_ids(spark):
+    rows = [(1, "a token = 0123456789abcdef0 b"), (2, "plain"), (3, None), (None, "password=abcdefghijkl123"),
+            (5, "no secret in this long line"), (5, "password=abcdefghijkl123 x"), (5, "password=abcdefghijkl123 x")]
+    out = sorted((repr(r["doc_id"]), repr(r["text"]), r["spans"]) for r in secrets.redact(documents(spark, rows)).collect())
+    assert out == sorted([("1", "'a <SECRET> b'", "x"), ("2", "'plain'", "x"), ("3", "None", "x"), ("None", "'<SECRET>'", "x"),
+                          ("5", "'no secret in this long line'", "x"), ("5", "'<SECRET> x'", "x"), ("5", "'<SECRET> x'", "x")])
+    odd = documents(spark, ODD)
+    clean = secrets.redact(odd)
+    assert clean.columns == odd.columns
+    assert sorted(map(repr, clean.collect())) == sorted(map(repr, odd.collect()))
 
 
 def test_odd_rows_and_empty_table(spark):
@@ -95,3 +101,9 @@ def test_query_digest(spark):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == x for k, *_ in spans) for x in ("assign", "access", "hex")]
         assert r["n_novel"] or r["spans"] == joined
+        told = [s.split(":") for s in r["spans"].split(",") if s]
+        clean, at, text = "", 0, texts[r["doc_id"]]
+        for _, s, e in told:
+            clean += (text[at:int(s)] + "<SECRET>") if int(s) >= at else ""
+            at = max(at, int(e))
+        assert r["clean_sha256"] == hashlib.sha256((clean + text[at:]).encode()).hexdigest()

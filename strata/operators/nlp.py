@@ -95,12 +95,16 @@ def load_sentiment_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def score_sentiment(df: DataFrame, model: PipelineModel) -> DataFrame:
+def score_sentiment(df: DataFrame, model: PipelineModel | DataFrame) -> DataFrame:
     """N-3: add ``sentiment`` (DOUBLE class) predicted from ``text_clean``.
 
-    A missing ``text_clean`` is computed from ``content`` first; the model's
-    working columns are dropped again.
+    ``model`` is a fitted pipeline or a table of weights (see
+    :mod:`strata.operators.sentiment`). A missing ``text_clean`` is computed from
+    ``content`` first; the model's working columns are dropped again.
     """
+    if isinstance(model, DataFrame):
+        from .sentiment import score_by_weights
+        return score_by_weights(df, model)
     if TEXT_CLEAN not in df.columns:
         df = clean_text(df, "content")
     df = df.withColumn(TEXT_CLEAN, F.coalesce(F.col(TEXT_CLEAN), F.lit("")))
@@ -112,7 +116,7 @@ def score_sentiment(df: DataFrame, model: PipelineModel) -> DataFrame:
     return scored.drop(*[c for c in _MODEL_COLUMNS if c in scored.columns])
 
 
-def sentiment_job(posts_kw: DataFrame, comments_kw: DataFrame, model: PipelineModel
+def sentiment_job(posts_kw: DataFrame, comments_kw: DataFrame, model: PipelineModel | DataFrame
                   ) -> tuple[DataFrame, DataFrame]:
     """N-4: score both tables and project to the silver columns."""
     posts = score_sentiment(posts_kw, model).select(*SILVER_POSTS_COLUMNS)

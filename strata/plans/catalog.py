@@ -15,8 +15,9 @@ from ..fixtures import (AS_OF, CHUNK_DAYS, CHUNK_ORIGIN, FULL_END, FULL_START, W
                         WINDOW_START, Fixture,
                         duck_keywords, duckdb_views)
 from ..functions.columns import EMAIL_PATTERN
-from ..operators import chunks, gold, nlp, quality, shape
-from ..schemas import GOLD_DAILY_SUMMARY_COLUMNS, KEYWORDS_FIELD, LIKES, POSTS, SENTIMENT_FIELD
+from ..operators import chunks, gold, nlp, quality, sentiment, shape
+from ..schemas import (GOLD_DAILY_SUMMARY_COLUMNS, KEYWORDS_FIELD, LIKES, POSTS, SENTIMENT_FIELD,
+                       SILVER_COMMENTS_COLUMNS, SILVER_POSTS_COLUMNS)
 from ..session import scratch_path
 from ..sources import parquet as pq
 from ..sources import jdbc, sinks
@@ -26,8 +27,15 @@ from .registry import register
 AS_OF_SQL = f"DATE '{AS_OF}'"
 
 
+_FIXTURES: dict[tuple[str, str], Fixture] = {}
+
+
 def fx(spark: SparkSession, sf_dir: str) -> Fixture:
-    return Fixture(spark, sf_dir)
+    """One fixture per session and folder: a file's footer is read once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FIXTURES:
+        _FIXTURES[key] = Fixture(spark, sf_dir)
+    return _FIXTURES[key]
 
 
 # ---------------------------------------------------------------------------
@@ -645,46 +653,116 @@ def q_keywords_comments(spark, sf_dir):
 _MODELS: dict[tuple[str, str], object] = {}
 
 
-def sentiment_model(spark, sf_dir: str):
-    """Fit once per session and scale factor on documents x labels; the model
-    is saved to the shared folder and loaded back from there."""
-    from pyspark.ml import PipelineModel
+def sentiment_weights(spark, sf_dir: str):
+    """Fit once per session and scale factor on documents x labels; the table of
+    weights is written to the shared folder and read from there."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         f = fx(spark, sf_dir)
-        model = nlp.train_sentiment(f.table("documents"), f.table("labels"))
-        path = scratch_path(spark, "sentiment_model")
-        model.save(path)
-        _MODELS[key] = PipelineModel.load(path)
+        path = scratch_path(spark, "sentiment_weights")
+        weights = sentiment.fit_weights(nlp.training_set(f.table("documents"), f.table("labels")))
+        weights.write.parquet(path)
+        _MODELS[key] = spark.read.schema(weights.schema).parquet(path)
     return _MODELS[key]
 
 
-@register("sentiment_posts")
+# The model's definition over labelled texts, and the scores of the texts of a
+# view ``to_score (key, text_clean)``; ``train (text_clean, class)`` is given.
+_WORDS_SQL = "list_filter(string_split(text_clean, ' '), lambda w: w <> '')"
+_NB_SQL = f"""
+nb_docs AS (SELECT class, {_WORDS_SQL} AS words FROM train),
+nb_classes AS (SELECT class, count(*) AS n FROM nb_docs GROUP BY class),
+nb_tf AS (SELECT class, feature, count(*) AS tf
+          FROM (SELECT class, unnest(words) AS feature FROM nb_docs) GROUP BY class, feature),
+nb_df AS (SELECT feature, count(*) AS df
+          FROM (SELECT unnest(list_distinct(words)) AS feature FROM nb_docs) GROUP BY feature),
+nb_idf AS (SELECT feature, ln(((SELECT count(*) FROM nb_docs) + 1) / (df + 1)) AS idf FROM nb_df),
+nb_mass AS (SELECT class, feature, idf, coalesce(tf, 0) * idf AS mass
+            FROM nb_idf CROSS JOIN (SELECT class FROM nb_classes) LEFT JOIN nb_tf USING (class, feature)),
+nb_weights AS (
+    SELECT feature, class, idf * (ln(mass + {sentiment.SMOOTHING}) - ln(sum(mass) OVER (PARTITION BY class)
+           + {sentiment.SMOOTHING} * (SELECT count(*) FROM nb_idf))) AS weight FROM nb_mass
+    UNION ALL
+    SELECT '', class, ln(n + {sentiment.SMOOTHING}) - ln(sum(n) OVER () + {sentiment.SMOOTHING} * count(*) OVER ())
+    FROM nb_classes),
+nb_scores AS (
+    SELECT text_clean, class, sum(weight) AS score
+    FROM (SELECT text_clean, unnest(list_append({_WORDS_SQL}, '')) AS feature
+          FROM (SELECT DISTINCT text_clean FROM to_score)) JOIN nb_weights USING (feature)
+    GROUP BY text_clean, class),
+nb_told AS (SELECT text_clean, arg_max(class, score) AS sentiment FROM nb_scores GROUP BY text_clean)"""
+_TRAIN_SQL = f"""
+train AS (SELECT {_CLEAN_SQL.replace("content", "text")} AS text_clean, CAST(quality AS DOUBLE) AS class
+          FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL)"""
+
+
+def _scored_sql(view: str, columns: str) -> str:
+    """Rows of the fixture view ``view`` with their cleaned text and its score."""
+    return duckdb_views(view) + f""",
+to_score AS (SELECT * EXCLUDE (sentiment), {_CLEAN_SQL} AS text_clean FROM {view}),{_TRAIN_SQL},{_NB_SQL}
+SELECT {columns} FROM to_score JOIN nb_told USING (text_clean)"""
+
+
+@register("sentiment_weights", oracle=f"WITH{_TRAIN_SQL},{_NB_SQL.split('nb_scores AS')[0].rstrip().rstrip(',')}"
+          + "\nSELECT feature, class, round(weight, 6) AS weight FROM nb_weights")
+def q_sentiment_weights(spark, sf_dir):
+    return sentiment_weights(spark, sf_dir).withColumn("weight", F.round("weight", 6))
+
+
+@register("sentiment_posts", oracle=_scored_sql("posts_kw", "*"))
 def q_sentiment_posts(spark, sf_dir):
     f = fx(spark, sf_dir)
     return nlp.score_sentiment(nlp.clean_text(f.posts_kw(), "content"),
-                               sentiment_model(spark, sf_dir))
+                               sentiment_weights(spark, sf_dir))
 
 
-@register("sentiment_comments")
+@register("sentiment_comments", oracle=_scored_sql("comments_kw", "*"))
 def q_sentiment_comments(spark, sf_dir):
     f = fx(spark, sf_dir)
     return nlp.score_sentiment(nlp.clean_text(f.comments_kw(), "content"),
-                               sentiment_model(spark, sf_dir))
+                               sentiment_weights(spark, sf_dir))
 
 
-@register("silver_scored_posts")
+@register("silver_scored_posts", oracle=_scored_sql("posts_kw", ", ".join(SILVER_POSTS_COLUMNS)))
 def q_silver_scored_posts(spark, sf_dir):
     f = fx(spark, sf_dir)
     posts_kw, comments_kw = nlp.keyword_job(f.posts(), f.comments())
-    return nlp.sentiment_job(posts_kw, comments_kw, sentiment_model(spark, sf_dir))[0]
+    return nlp.sentiment_job(posts_kw, comments_kw, sentiment_weights(spark, sf_dir))[0]
 
 
-@register("silver_scored_comments")
+@register("silver_scored_comments", oracle=_scored_sql("comments_kw", ", ".join(SILVER_COMMENTS_COLUMNS)))
 def q_silver_scored_comments(spark, sf_dir):
     f = fx(spark, sf_dir)
     posts_kw, comments_kw = nlp.keyword_job(f.posts(), f.comments())
-    return nlp.sentiment_job(posts_kw, comments_kw, sentiment_model(spark, sf_dir))[1]
+    return nlp.sentiment_job(posts_kw, comments_kw, sentiment_weights(spark, sf_dir))[1]
+
+
+_HELD_OUT_SQL = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 250"
+_CONFUSION_SQL = "WITH" + _TRAIN_SQL.replace("quality IS NOT NULL", f"quality IS NOT NULL AND NOT ({_HELD_OUT_SQL})") \
+    + "," + _TRAIN_SQL.replace("train AS", "to_score AS").replace(
+        "quality IS NOT NULL", f"quality IS NOT NULL AND {_HELD_OUT_SQL}") + "," + _NB_SQL + """,
+confusion AS (SELECT class AS label, sentiment AS predicted, count(*) AS n
+              FROM to_score JOIN nb_told USING (text_clean) GROUP BY class, sentiment)"""
+
+
+@register("sentiment_confusion", oracle=_CONFUSION_SQL + "\nSELECT * FROM confusion")
+def q_sentiment_confusion(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    return sentiment.evaluate(f.table("documents"), f.table("labels"))
+
+
+@register("sentiment_eval", oracle=_CONFUSION_SQL + """,
+sides AS (SELECT label AS class, n AS support, 0 AS predicted, CASE WHEN label = predicted THEN n ELSE 0 END AS hits
+          FROM confusion UNION ALL SELECT predicted, 0, n, 0 FROM confusion),
+per AS (SELECT class, CAST(sum(support) AS BIGINT) AS support, CAST(sum(predicted) AS BIGINT) AS predicted,
+               CAST(sum(hits) AS BIGINT) AS hits FROM sides GROUP BY class),
+rated AS (SELECT *, CASE WHEN predicted > 0 THEN hits / predicted ELSE 0.0 END AS precision,
+                 CASE WHEN support > 0 THEN hits / support ELSE 0.0 END AS recall FROM per)
+SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1,
+       (SELECT sum(CASE WHEN label = predicted THEN n ELSE 0 END) / sum(n) FROM confusion) AS accuracy FROM rated""")
+def q_sentiment_eval(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    return sentiment.class_report(sentiment.evaluate(f.table("documents"), f.table("labels")))
 
 
 # ---------------------------------------------------------------------------
@@ -727,7 +805,7 @@ def _run_medallion(spark, sf_dir, base):
                "comments": f.comments_dup().drop("sentiment"), "likes": f.likes_dup()}
     # the run window spans the whole fixture, so every source row flows through
     return run_pipeline(spark, sources, base, FULL_START, FULL_END, as_of=AS_OF,
-                        model=sentiment_model(spark, sf_dir))
+                        model=sentiment_weights(spark, sf_dir))
 
 
 def _medallion_table(spark, sf_dir, table):

@@ -19,7 +19,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import DateLike
-from ..operators import gold, nlp, quality
+from ..operators import gold, nlp, quality, sentiment
 from ..schemas import BRONZE
 from ..sources import jdbc
 from ..sources.parquet import layer_path, read_parquet
@@ -108,8 +108,9 @@ def keyword_step(lay: Layout) -> None:
     lay.write(comments, "silver", "comments_keywords")
 
 
-def sentiment_step(lay: Layout, model: PipelineModel | str) -> None:
-    """Scores from a fitted model (or a saved model's path): ``silver/*_scored``."""
+def sentiment_step(lay: Layout, model: PipelineModel | DataFrame | str) -> None:
+    """Scores from a table of weights, a fitted pipeline or a saved pipeline's path:
+    ``silver/*_scored``."""
     if isinstance(model, str):
         model = nlp.load_sentiment_model(model)
     posts, comments = nlp.sentiment_job(lay.read("silver", "posts_keywords"),
@@ -181,15 +182,16 @@ def gold_previews(lay: Layout) -> dict[str, DataFrame]:
 # -- whole run -------------------------------------------------------------------
 
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], base: str, start: str,
-                 end: str, as_of: DateLike = None, model: PipelineModel | str | None = None,
+                 end: str, as_of: DateLike = None, model: PipelineModel | DataFrame | str | None = None,
                  training: tuple[DataFrame, DataFrame] | None = None,
                  likes: E.Entity = E.LIKES_BY_ID, end_mode: str = "instant") -> DataFrame:
     """Run every step; return the gold checks table (rows and NULL keys per table).
 
     ``sources`` maps ``users / posts / comments / likes`` to source frames
     (JDBC scans from :mod:`strata.sources.jdbc`, or Parquet). Sentiment uses
-    ``model`` (fitted, or a saved model's path) if given, else fits one on
-    ``training = (documents, labels)`` and saves it under ``models/``.
+    ``model`` (a table of weights, a fitted pipeline or a saved one's path) if given,
+    else fits a table on ``training = (documents, labels)`` and keeps it under
+    ``models/``.
     """
     lay = Layout(spark, base, start, end)
     entity_of = dict(E.ENTITIES, likes=likes)
@@ -201,8 +203,8 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     if model is None:
         if training is None:
             raise ValueError("need a fitted model or (documents, labels) to fit one")
-        model = lay.path("models", "sentiment_nb")
-        nlp.train_sentiment(*training).write().overwrite().save(model)
+        lay.write(sentiment.fit_weights(nlp.training_set(*training)), "models", "sentiment_weights")
+        model = lay.read("models", "sentiment_weights")
     sentiment_step(lay, model)
     daily_summary_job(lay)
     post_performance_job(lay)

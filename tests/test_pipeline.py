@@ -70,13 +70,13 @@ def test_cli_steps(spark, tmp_path, capsys):
 def test_full_span_run_keeps_every_source_row(spark, tmp_path):
     """The registered end-to-end run uses a window over the whole fixture."""
     from strata.fixtures import FULL_END, FULL_START
-    from strata.plans.catalog import sentiment_model
+    from strata.plans.catalog import sentiment_weights
     f = Fixture(spark, SF_SMALL)
     base = str(tmp_path / "lake")
     sources = {"users": f.users(), "posts": f.posts().drop("sentiment"),
                "comments": f.comments().drop("sentiment"), "likes": f.likes()}
     run_pipeline(spark, sources, base, FULL_START, FULL_END, as_of=AS_OF,
-                 model=sentiment_model(spark, SF_SMALL))
+                 model=sentiment_weights(spark, SF_SMALL))
     lay = Layout(spark, base, FULL_START, FULL_END)
     bronze = {r.table_name: r.row_count for r in verify_bronze(lay).collect()}
     assert bronze == {name: df.count() for name, df in sources.items()}

@@ -1,17 +1,21 @@
-"""The registered sentiment queries against a brute-force scorer.
+"""The MLlib sentiment path and the table of weights against brute-force scorers.
 
-SQL cannot express the scoring, so the predictions of ``sentiment_posts`` and
-``sentiment_comments`` on sf0.01 are recomputed here without
-Spark: tokens split on whitespace, hashed with MurmurHash3 (x86, 32 bit,
-seed 42) into the model's feature space, term counts scaled by the fitted IDF
-weights, and the class with the largest ``log prior + theta . x`` wins.
+The pipeline's predictions are recomputed without Spark: tokens split on
+white space, hashed with MurmurHash3 (x86, 32 bit, seed 42) into the model's
+feature space, term counts scaled by the fitted IDF weights, and the class with
+the largest ``log prior + theta . x`` wins. The table's weights are recomputed
+from their definition over the words of a small labelled set.
 """
 
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 
-from conftest import SF_MID, SF_SMALL
-from strata.plans.catalog import sentiment_model
+from conftest import SF_SMALL
+from strata.fixtures import Fixture
+from strata.operators import nlp, sentiment
 from strata.plans.registry import all_queries
 
 SEED = 42
@@ -72,26 +76,90 @@ def brute_force_predictions(model, texts):
     return out
 
 
-@pytest.mark.parametrize("name, key", [("sentiment_posts", "post_id"),
-                                       ("sentiment_comments", "comment_id")])
-def test_sentiment_equals_brute_force(spark, name, key):
-    model = sentiment_model(spark, SF_MID)
-    rows = QUERIES[name](spark, SF_MID).select(key, "text_clean", "sentiment").collect()
-    assert rows
+def test_pipeline_equals_brute_force(spark):
+    f = Fixture(spark, SF_SMALL)
+    model = nlp.train_sentiment(f.table("documents"), f.table("labels"))
+    scored = nlp.score_sentiment(nlp.clean_text(f.posts_kw(), "content"), model)
+    rows = scored.select("text_clean", "sentiment").collect()
     want = brute_force_predictions(model, [r.text_clean for r in rows])
     assert [r.sentiment for r in rows] == want
     # both classes occur, so the check has teeth
     assert set(want) == {0.0, 1.0}
 
 
-@pytest.mark.parametrize("name, scored, key", [
-    ("silver_scored_posts", "sentiment_posts", "post_id"),
-    ("silver_scored_comments", "sentiment_comments", "comment_id")])
-def test_silver_scored_equals_checked_scores(spark, name, scored, key):
-    """The silver step projects the scores checked above, row for row."""
-    queries = QUERIES
-    got = sorted((r[key], r.sentiment) for r in
-                 queries[name](spark, SF_SMALL).select(key, "sentiment").collect())
-    want = sorted((r[key], r.sentiment) for r in
-                  queries[scored](spark, SF_SMALL).select(key, "sentiment").collect())
-    assert got == want and got
+def brute_weights(train, smoothing=1.0):
+    """{(feature, class): weight} by definition; train: [(words, class)]."""
+    classes = Counter(c for _, c in train)
+    df = Counter(w for ws, _ in train for w in set(ws))
+    idf = {w: math.log((len(train) + 1) / (n + 1)) for w, n in df.items()}
+    mass = Counter()
+    for ws, c in train:
+        for w in ws:
+            mass[w, c] += idf[w]
+    out = {}
+    for c, n in classes.items():
+        total = sum(m for (_, k), m in mass.items() if k == c)
+        out["", c] = math.log((n + smoothing) / (len(train) + smoothing * len(classes)))
+        for w in df:
+            out[w, c] = idf[w] * math.log((mass[w, c] + smoothing) / (total + smoothing * len(df)))
+    return out
+
+
+TRAIN = [("good fine good day", 1.0), ("fine words", 1.0), ("bad day", 0.0), ("awful bad bad words", 0.0),
+         ("", 0.0), ("plain day", 2.0), (None, 1.0)]
+
+
+def test_weights_equal_their_definition(spark):
+    train = spark.createDataFrame(TRAIN, "text_clean string, label double")
+    got = {(r["feature"], r["class"]): r["weight"] for r in sentiment.fit_weights(train).collect()}
+    want = brute_weights([((t or "").split(), c) for t, c in TRAIN])
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_scores_of_odd_texts(spark):
+    weights = sentiment.fit_weights(spark.createDataFrame(TRAIN, "text_clean string, label double"))
+    want = brute_weights([((t or "").split(), c) for t, c in TRAIN])
+    texts = ["good", "bad bad", "", None, "unknown words only here", "plain", "good bad"] * 2 + ["good " * 3000 + "bad"]
+    rows = spark.createDataFrame([(i, t, 9.0) for i, t in enumerate(texts)], "id int, text_clean string, sentiment double")
+    got = {r.id: r.sentiment for r in sentiment.score_by_weights(rows, weights).collect()}
+
+    def best(text):
+        words = [w for w in (text or "").split() if (w, 0.0) in want]
+        score = {c: want["", c] + sum(want[w, c] for w in words) for c in (0.0, 1.0, 2.0)}
+        return min(c for c in score if score[c] == max(score.values()))
+
+    assert got == {i: best(t) for i, t in enumerate(texts)}
+    # without labels there is nothing to tell
+    none = sentiment.fit_weights(spark.createDataFrame([], "text_clean string, label double"))
+    assert {r.sentiment for r in sentiment.score_by_weights(rows, none).collect()} == {None}
+
+
+def test_content_is_cleaned_when_needed(spark):
+    weights = sentiment.fit_weights(spark.createDataFrame(TRAIN, "text_clean string, label double"))
+    rows = spark.createDataFrame([("GOOD!! https://x.example/bad",), (None,)], "content string")
+    got = sentiment.score_by_weights(rows, weights).collect()
+    assert [(r.text_clean, r.sentiment) for r in got if r.content] == [("good", 1.0)] and len(got) == 2
+
+
+def test_report_of_a_confusion_matrix(spark):
+    cells = spark.createDataFrame([(0.0, 0.0, 6), (0.0, 1.0, 2), (1.0, 1.0, 3), (2.0, 0.0, 1)],
+                                  "label double, predicted double, n long")
+    got = {r["class"]: r for r in sentiment.class_report(cells).collect()}
+    assert (got[0.0]["support"], got[0.0]["predicted"], got[0.0]["hits"]) == (8, 7, 6)
+    assert abs(got[0.0]["precision"] - 6 / 7) < 1e-12 and abs(got[0.0]["recall"] - 6 / 8) < 1e-12
+    assert abs(got[0.0]["f1"] - 2 * 6 / 15) < 1e-12
+    assert got[2.0]["recall"] == 0 and got[2.0]["precision"] == 0 and got[2.0]["f1"] == 0
+    assert all(abs(r["accuracy"] - 9 / 12) < 1e-12 for r in got.values())
+
+
+def test_held_out_labels_are_not_trained_on(spark):
+    """The evaluation splits by the key's digest: the shares are as asked and disjoint."""
+    keys = spark.range(4000)
+    out = {r.id for r in keys.where(sentiment.held_out("id", 250)).collect()}
+    assert 850 < len(out) < 1150
+    assert not keys.where(sentiment.held_out("id", 0)).count()
+    report = all_queries()["sentiment_eval"].build(spark, SF_SMALL).collect()
+    f = Fixture(spark, SF_SMALL)
+    held = f.table("labels").where(sentiment.held_out("doc_id", 250)).where("quality is not null")
+    assert sum(r["support"] for r in report) == held.join(f.table("documents"), "doc_id").count()

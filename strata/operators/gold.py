@@ -14,8 +14,9 @@ scale (see README "Scale notes"):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import (DateLike, as_of_date, flag, minutes_between, report_date,
                                  safe_ratio)
@@ -124,7 +125,19 @@ def daily_summary(posts: DataFrame, comments: DataFrame, likes: DataFrame) -> Da
     rows, and none of them gets an active-user count (0). The NULL day is
     therefore split by kind on both sides.
     """
-    feed = activity_feed(posts, comments, likes)
+    return summary_of_feed(activity_feed(posts, comments, likes))
+
+
+def daily_summary_schema(spark: SparkSession) -> T.StructType:
+    """The columns and types of the daily summary."""
+    none = T.StructType([T.StructField("report_date", T.DateType()), T.StructField("kind", T.ByteType()),
+                         T.StructField("item_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                         T.StructField("sentiment", T.DoubleType())])
+    return summary_of_feed(spark.createDataFrame([], none)).schema
+
+
+def summary_of_feed(feed: DataFrame) -> DataFrame:
+    """The daily summary of the days in an :func:`activity_feed`."""
     undated = F.col("report_date").isNull()
     undated_kind = F.when(undated, F.col("kind")).alias("undated_kind")
 
@@ -391,7 +404,6 @@ def user_snapshot(users: DataFrame, posts: DataFrame, comments: DataFrame, likes
     no activity. ``drop_columns`` removes user columns that must not reach a
     report (the credential hash by default).
     """
-    today = as_of_date(as_of)
     by_posts = (_posts_with_feedback(posts, comments, likes).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_posts_per_user"),
         F.avg(flag(_is("sentiment", POSITIVE))).alias("positive_post_ratio"),
@@ -408,16 +420,23 @@ def user_snapshot(users: DataFrame, posts: DataFrame, comments: DataFrame, likes
         F.count(F.lit(1)).alias("total_likes_given"),
         F.max("created_at").alias("_last_like"),
     )
+    return snapshot_of(users, [by_posts, by_comments, by_likes], ["_last_post", "_last_comment", "_last_like"],
+                       as_of, drop_columns)
+
+
+def snapshot_of(users: DataFrame, parts: list[DataFrame], last: list[str], as_of: DateLike = None,
+                drop_columns: tuple[str, ...] = ("password_hash",)) -> DataFrame:
+    """The snapshot's columns from per-user aggregates ``parts``, each row's latest
+    activity in the columns ``last``."""
+    today = as_of_date(as_of)
     if "registration_date" not in users.columns:
         # DDL-shaped users carry no registration date: unknown, so age 0
         users = users.withColumn("registration_date", F.lit(None).cast("date"))
     user_cols = [c for c in users.columns if c not in drop_columns]
-    snap = (users.select(*user_cols)
-            .join(by_posts, "user_id", "left")
-            .join(by_comments, "user_id", "left")
-            .join(by_likes, "user_id", "left")
-            .withColumn("last_active_date",
-                        F.greatest("_last_post", "_last_comment", "_last_like"))
+    snap = users.select(*user_cols)
+    for part in parts:
+        snap = snap.join(part, "user_id", "left")
+    snap = (snap.withColumn("last_active_date", F.greatest(*last))
             .withColumn("account_age_days", F.datediff(today, F.col("registration_date"))))
     snap = snap.fillna(0)  # numeric columns only; dates and timestamps keep their NULLs
     metrics = ["total_posts_per_user", "positive_post_ratio", "posts_in_last_30_days",

@@ -15,7 +15,7 @@ from ..fixtures import (AS_OF, CHUNK_DAYS, CHUNK_ORIGIN, FULL_END, FULL_START, W
                         WINDOW_START, Fixture,
                         duck_keywords, duckdb_views)
 from ..functions.columns import EMAIL_PATTERN
-from ..operators import chunks, gold, nlp, quality, sentiment, shape
+from ..operators import chunks, gold, incremental, nlp, quality, sentiment, shape
 from ..schemas import (GOLD_DAILY_SUMMARY_COLUMNS, KEYWORDS_FIELD, LIKES, POSTS, SENTIMENT_FIELD,
                        SILVER_COMMENTS_COLUMNS, SILVER_POSTS_COLUMNS)
 from ..session import scratch_path
@@ -831,6 +831,56 @@ def q_medallion_post_performance(spark, sf_dir):
     return _medallion_table(spark, sf_dir, "gold_post_performance").drop("post_sentiment")
 
 
+# ---------------------------------------------------------------------------
+# Window after window
+# ---------------------------------------------------------------------------
+
+def _two_windows(df, key: str, cut: str = "2024-01-01"):
+    """What arrives in the window before ``cut`` and in the one after it: one row in
+    ten of the earlier time is late, undated rows come with the second."""
+    first = (F.col("created_at") < F.lit(cut).cast("timestamp")) & (F.col(key) % 10 != 0)
+    first = F.coalesce(first, F.lit(False))
+    return df.where(first), df.where(~first)
+
+
+def _windows(f, cut: str = "2024-01-12"):
+    """Posts, comments and likes of both windows (the posts' first lasts longer)."""
+    parts = [_two_windows(f.posts(), "post_id", cut), _two_windows(f.comments(), "comment_id", cut),
+             _two_windows(f.likes(), "like_id", cut)]
+    return [(f"w{k + 1}", *[p[k] for p in parts]) for k in (0, 1)]
+
+
+@register("gold_daily_incremental", oracle=GOLD_DAILY_SUMMARY_SQL)
+def q_gold_daily_incremental(spark, sf_dir):
+    daily = incremental.DailyActivity(spark, scratch_path(spark, "daily_activity"))
+    for window, posts, comments, likes in _windows(fx(spark, sf_dir)):
+        daily.add(window, posts, comments, likes)
+    return daily.summary()
+
+
+@register("user_snapshot_incremental", oracle=GOLD_USER_SNAPSHOT_SQL)
+def q_user_snapshot_incremental(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    state = incremental.UserState(spark, scratch_path(spark, "user_state"))
+    for window, posts, comments, likes in _windows(f):
+        state.add(window, posts, comments, likes)
+    return state.snapshot(f.users(), as_of=AS_OF)
+
+
+# Likes arrive in two windows, the repeats an hour later often in the second: the
+# survivor is the earliest of those that came with the key's first window.
+@register("silver_likes_two_windows", oracle=duckdb_views("likes_dup") + """,
+w AS (SELECT *, CASE WHEN created_at < TIMESTAMP '2024-01-12' AND like_id % 10 <> 0 THEN 1 ELSE 2 END AS win FROM likes_dup)
+SELECT like_id, post_id, user_id, created_at FROM w
+QUALIFY row_number() OVER (PARTITION BY like_id ORDER BY win, created_at NULLS FIRST, post_id, user_id) = 1""")
+def q_silver_likes_two_windows(spark, sf_dir):
+    likes = fx(spark, sf_dir).likes_dup()
+    ledger = incremental.KeyLedger(spark, scratch_path(spark, "like_ledger"), likes.select("like_id").schema)
+    parts = [ledger.admit(f"w{k}", rows, ["created_at"])
+             for k, rows in enumerate(_two_windows(likes, "like_id", "2024-01-12"), 1)]
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------------------------
 # Incremental chunk load (Structured Streaming form of R-1)
 # ---------------------------------------------------------------------------

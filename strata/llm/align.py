@@ -270,11 +270,12 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
-          block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """The alignment of all documents, stored: rows of (block, pairs, parcel), where
-    a parcel holds the ids and group ends of some documents and ``pairs`` a part of the
-    block's different id pairs with the number of documents each. ``groups`` and
-    ``score`` read it."""
+          block_tokens: int = BLOCK_TOKENS) -> str:
+    """The alignment of all documents as a table, whose name is returned (drop it when
+    it is done with): rows of (block, pairs, parcel), where a parcel holds the ids and
+    group ends of some documents and ``pairs`` a part of the block's different id
+    pairs with the number of documents each. It is bucketed by block, so that parcels
+    meet their counts where they are stored. ``groups`` and ``score`` read it."""
     schema = pa.schema([("block", pa.int64()), ("pairs", pa.binary()), ("parcel", pa.binary())])
 
     def row(block, pairs=None, parcel=None):
@@ -310,7 +311,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
             yield from close()
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return C.cut(given.mapInArrow(run, BLOCKS), "aligned")
+    return C.bucketed(given.mapInArrow(run, BLOCKS), "aligned", "block", C.text_bytes(docs, text_col))
 
 
 def document_pairs(found: Aligned):
@@ -415,4 +416,7 @@ def tokenizers() -> tuple[str, str]:
 
 def op11_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
-    return score(align(docs, *tokenizers()), id_type(docs, "doc_id")).withColumnRenamed("id", "doc_id")
+    table = align(docs, *tokenizers())
+    scored = C.cut(score(spark.table(table), id_type(docs, "doc_id")), "alignment_scores")
+    spark.sql(f"DROP TABLE {table}")
+    return scored.withColumnRenamed("id", "doc_id")

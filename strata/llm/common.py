@@ -36,16 +36,26 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> str:
-    """Writes ``df`` as a table in the shared folder, bucketed by ``key``: what is
-    grouped by the key later is not shuffled again. Returns the table's name; who
-    is done with it drops it."""
+#: Bytes of text whose rows share a bucket of a bucketed table, and the most buckets.
+BUCKET_BYTES, MAX_BUCKETS = 1 << 25, 100_000
+
+
+def bucketed(df: DataFrame, name: str, key: str, text_bytes: int) -> str:
+    """Writes ``df``, made from ``text_bytes`` of text, as a table in the shared
+    folder, bucketed by ``key``: what is grouped by the key later is not shuffled
+    again. Returns the table's name; who is done with it drops it."""
     table_name = f"strata_{name}_{uuid.uuid4().hex}"
+    least = df.sparkSession.sparkContext.defaultParallelism
+    buckets = min(MAX_BUCKETS, max(least, 1 + text_bytes // BUCKET_BYTES))
     (df.write.format("parquet").bucketBy(buckets, key)
      .option("path", scratch_path(df.sparkSession, name)).saveAsTable(table_name))
     return table_name
 
 
+def text_bytes(docs: DataFrame, text_col: str) -> int:
+    return docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """``fn`` turns each Arrow batch into a dict of columns for ``schema``."""
     arrow = arrow_schema(schema)

@@ -47,8 +47,6 @@ BITS = 15
 BEGIN, END, OTHER = 0, 1, (1 << BITS) - 1
 #: Bytes of text that ask for their grams together.
 BLOCK_BYTES = 1 << 25
-#: Bytes of text of a stored bucket of blocks, and the most buckets.
-BUCKET_BYTES, MAX_BUCKETS = 1 << 26, 100_000
 #: Characters, or bytes, of text that go through numpy at a time.
 STRETCH = 1 << 19
 #: One trusted document in so many is held out to set the thresholds.
@@ -364,9 +362,7 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     own = text_col if text_col in carry and docs.schema[text_col].dataType.simpleString() == "string" else TEXT
     given = docs.select(*carry, lang.alias(LANG), *([] if own == text_col else [text.alias(TEXT)]))
     # parcels meet their answers where they are stored, so they are not shuffled
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = min(MAX_BUCKETS, 1 + total // BUCKET_BYTES)
-    table = C.bucketed(in_blocks(given, own, spell, block_bytes), "lm_blocks", "block", buckets)
+    table = C.bucketed(in_blocks(given, own, spell, block_bytes), "lm_blocks", "block", C.text_bytes(docs, text_col))
     blocks = spark.table(table)
     asked = requests(blocks)
     logp = probabilities(model, asked.select("lang", "g").distinct())

@@ -123,7 +123,7 @@ def test_pack_and_unpack():
 def test_score_equals_brute_force(spark, block_tokens):
     rows = [(k % 30, t) for k, t in enumerate(TEXTS * 3)] + [(99, None), (None, "the fox"), (98, "")]
     docs = documents(spark, rows)
-    out = L.score(L.align(docs, A_PATH, B_PATH, block_tokens=block_tokens), "long").withColumnRenamed("id", "doc_id")
+    out = L.score(spark.table(L.align(docs, A_PATH, B_PATH, block_tokens=block_tokens)), "long").withColumnRenamed("id", "doc_id")
     assert out.columns == COLUMNS
     assert sorted(map(tuple, out.collect()), key=repr) == brute_force(rows)
 
@@ -138,7 +138,7 @@ def test_query_equals_brute_force(spark):
 
 def test_groups(spark):
     docs = documents(spark, [(1, "unbelievable tokens"), (2, "a▁b"), (3, "tokens")])
-    got = L.groups(L.align(docs, A_PATH, B_PATH), "long").orderBy("id", "group").collect()
+    got = L.groups(spark.table(L.align(docs, A_PATH, B_PATH)), "long").orderBy("id", "group").collect()
     assert {r["id"] for r in got} == {1, 3}
     told = ";".join(",".join(map(str, r["a"])) + "|" + ",".join(map(str, r["b"])) for r in got if r["id"] == 1)
     assert [hashlib.sha256(told.encode()).hexdigest()] == [r[-1] for r in brute_force([(1, "unbelievable tokens")])]
@@ -147,6 +147,14 @@ def test_groups(spark):
 
 def test_odd_rows_and_empty_table(spark):
     docs = documents(spark, ODD)
-    out = L.score(L.align(docs, A_PATH, B_PATH), "long")
+    out = L.score(spark.table(L.align(docs, A_PATH, B_PATH)), "long")
     assert sorted(map(tuple, out.collect()), key=repr) == brute_force([(r[0], r[1]) for r in ODD])
-    assert L.score(L.align(documents(spark, []), A_PATH, B_PATH), "long").count() == 0
+    assert L.score(spark.table(L.align(documents(spark, []), A_PATH, B_PATH)), "long").count() == 0
+
+
+def test_parcels_are_not_shuffled(spark):
+    docs = documents(spark, [(k, f"some text {k}") for k in range(50)])
+    plan = L.score(spark.table(L.align(docs, A_PATH, B_PATH, block_tokens=20)), "long")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    left = text.split("FlatMapCoGroupsInArrow")[1].split(":- ")[1].split("+- Sort")[0]
+    assert "parcel" in left and "Exchange" not in left and "Bucketed: true" in left

@@ -257,6 +257,34 @@ def post_performance(posts: DataFrame, users: DataFrame, likes: DataFrame,
     ).select(*GOLD_POST_PERFORMANCE_COLUMNS)
 
 
+def post_performance_in_place(posts: DataFrame, users: DataFrame, likes: DataFrame,
+                              comments: DataFrame) -> DataFrame:
+    """G-2 without moving a post's text: for ``posts`` stored in buckets of
+    ``post_id`` (:mod:`strata.sources.bucketed`); with likes and comments stored so
+    too, their aggregate needs no exchange either.
+
+    :func:`post_performance` shuffles the posts once, by (post, user). Here the
+    posts stay where they are and everything else comes to them, keyed by post
+    alone: the engagement, and a post's author names as a map by user (a post id
+    may repeat with other users). ``users`` has one row per user.
+    """
+    engagement = first_engagement(likes, comments).withColumnRenamed("post_id", "_e_post")
+    names = (posts.select("post_id", "user_id").where(F.col("user_id").isNotNull()).distinct()
+             .join(users.select("user_id", "username"), "user_id")
+             .groupBy(F.col("post_id").alias("_n_post"))
+             .agg(F.map_from_entries(F.collect_set(F.struct("user_id", "username"))).alias("_names")))
+    perf = (posts.select("post_id", "user_id", "content", "created_at", "sentiment")
+            .join(engagement, F.col("post_id") == F.col("_e_post"), "left")
+            .join(names, F.col("post_id") == F.col("_n_post"), "left"))
+    return perf.select(
+        "post_id", F.to_date("created_at").alias("created_date"), F.col("content").alias("post_content"),
+        F.col("sentiment").alias("post_sentiment"), "user_id",
+        F.element_at("_names", F.col("user_id")).alias("username"), "total_likes", "total_comments",
+        minutes_between("first_like_time", "created_at").alias("time_to_first_like_minutes"),
+        minutes_between("first_comment_time", "created_at").alias("time_to_first_comment_minutes"),
+    ).select(*GOLD_POST_PERFORMANCE_COLUMNS)
+
+
 # ---------------------------------------------------------------------------
 # G-1 daily content trends
 # ---------------------------------------------------------------------------

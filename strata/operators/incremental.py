@@ -28,35 +28,10 @@ from pyspark.sql import types as T
 
 from ..functions.columns import DateLike, as_of_date
 from ..session import join_uri
+from ..sources.commits import CommitLog, read_or_empty
 from . import gold
 from .quality import dedup
 
-COMMITS = T.StructType([T.StructField("window", T.StringType()), T.StructField("version", T.LongType()),
-                        T.StructField("folder", T.StringType())])
-
-
-def read_or_empty(spark: SparkSession, uri: str, schema: T.StructType) -> DataFrame:
-    """The Parquet rows at ``uri``, none where nothing was written yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(schema).parquet(uri) if there else spark.createDataFrame([], schema)
-
-
-class CommitLog:
-    """Which windows a dataset holds: one row per commit, ``window, version, folder``.
-    One writer at a time; readers see whole commits only."""
-
-    def __init__(self, spark: SparkSession, uri: str):
-        self.spark, self.uri = spark, uri
-
-    def rows(self) -> list:
-        """All commits, first to last; one row per window."""
-        return read_or_empty(self.spark, self.uri, COMMITS).orderBy("version").collect()
-
-    def add(self, window: str, version: int, folder: str) -> None:
-        self.spark.createDataFrame([(window, version, folder)], COMMITS).coalesce(1).write.mode("append").parquet(self.uri)
-
-
 # ---------------------------------------------------------------------------
 # De-duplication across windows
 # ---------------------------------------------------------------------------
@@ -114,8 +89,7 @@ class KeyLedger:
 
     def keys(self) -> DataFrame:
         """The keys of all committed windows."""
-        parts = [self.spark.read.schema(self.schema).parquet(c["folder"]) for c in self.log.rows()]
-        return reduce(DataFrame.unionByName, parts, self.spark.createDataFrame([], self.schema))
+        return self.log.read(self.schema)
 
     def admit(self, window: str, rows: DataFrame, order_by: Sequence[str], bits: int = BLOOM_BITS) -> DataFrame:
         """The rows of ``window`` that are the first of their key, one for each; they

@@ -23,15 +23,20 @@ def _q(name: str) -> Column:
 # Q-1 missing values
 # ---------------------------------------------------------------------------
 
-def missing_report(df: DataFrame, fraction: float | None = None, seed: int = 42) -> DataFrame:
+def missing_report(df: DataFrame, fraction: float | None = None, seed: int = 42,
+                   sample_key: str | None = None) -> DataFrame:
     """NULL count and ratio per column: ``column, missing_count, missing_ratio``.
 
-    Exact by default. With ``fraction`` the report runs on a Bernoulli sample
-    (``sample(False, fraction, seed)``), as the reference does with 1 %; the
+    Exact by default. With ``fraction`` the report runs on a sample, as the
+    reference does with 1 %: a Bernoulli one (``sample(False, fraction, seed)``),
+    or with ``sample_key`` the same rows each time (:func:`hash_sample`). The
     ratio is 0 when the sample is empty. NaN and empty strings are values,
     not missing.
     """
-    src = df.sample(withReplacement=False, fraction=fraction, seed=seed) if fraction else df
+    src = df
+    if fraction:
+        src = (hash_sample(df, sample_key, fraction) if sample_key
+               else df.sample(withReplacement=False, fraction=fraction, seed=seed))
     cols = src.columns
     counted = src.agg(F.count(F.lit(1)).alias("__total"),
                       *[F.count_if(_q(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
@@ -46,6 +51,19 @@ def missing_report(df: DataFrame, fraction: float | None = None, seed: int = 42)
     )
 
 
+# ---------------------------------------------------------------------------
+# E-2 sample by key
+# ---------------------------------------------------------------------------
+
+def hash_sample(df: DataFrame, key: str, share: float) -> DataFrame:
+    """E-2: about ``share`` of the rows, chosen by a digest of ``key``: a row is in
+    or out whatever the partitioning, the run or the engine, and all rows of a key
+    are. ``df.sample`` depends on how rows are dealt, so its figures differ between
+    runs. Rows without a key are out."""
+    drawn = F.conv(F.substring(F.md5(_q(key).cast("string")), 1, 8), 16, 10).cast("long")
+    return df.where(drawn < int(round(share * (1 << 32))))
+
+
 # ---------------------------------------------------------------------------
 # Q-2 duplicates
 # ---------------------------------------------------------------------------

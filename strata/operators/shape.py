@@ -36,6 +36,45 @@ def align_to_schema(df: DataFrame, schema: T.StructType, safe: bool = True,
     return df.select(*cols)
 
 
+REJECTS = "array<struct<column:string,value:string,reason:string>>"
+
+
+def find_rejects(df: DataFrame, schema: T.StructType, key: str) -> DataFrame:
+    """``df`` with ``__rejects``: what of a row :func:`align_to_schema` and
+    :func:`drop_null_key` would drop without a word, one entry per value that does
+    not fit its column's type (``cannot cast``) and one for a missing ``key``."""
+    def entry(column: str, value, reason: str):
+        return F.struct(F.lit(column).alias("column"), value.alias("value"), F.lit(reason).alias("reason"))
+
+    entries = []
+    for f in schema.fields:
+        if f.name in df.columns:
+            c = F.col(f"`{f.name}`")
+            entries.append(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), entry(
+                f.name, c.cast("string"), f"cannot cast to {f.dataType.simpleString()}")))
+    missing = F.col(f"`{key}`").isNull() if key in df.columns else F.lit(True)
+    entries.append(F.when(missing, entry(key, F.lit(None).cast("string"), "missing key")))
+    return df.withColumn("__rejects", F.filter(F.array(*entries), lambda e: e.isNotNull()))
+
+
+def align_with_rejects(df: DataFrame, schema: T.StructType, key: str | None = None
+                       ) -> tuple[DataFrame, DataFrame]:
+    """C-1 + P-6 with what they reject: the rows to load, aligned, and
+    ``row_key, column, value, reason`` of every value or key that did not fit.
+
+    A row with a value that does not fit still loads, with NULL there, as before; a
+    row whose key is missing or does not fit its type does not load. Both come from
+    one projection, so persist or store ``find_rejects``' input when it is dear."""
+    key = key or schema.fields[0].name
+    told = find_rejects(df, schema, key)
+    bad_key = F.exists("__rejects", lambda e: e["column"] == key)
+    aligned = align_to_schema(told.where(~bad_key).drop("__rejects"), schema)
+    row_key = F.col(f"`{key}`").cast("string") if key in df.columns else F.lit(None).cast("string")
+    rejects = told.select(row_key.alias("row_key"), F.explode("__rejects").alias("r")).select(
+        "row_key", "r.column", "r.value", "r.reason")
+    return aligned, rejects
+
+
 def drop_null_key(df: DataFrame, key: str | None = None) -> DataFrame:
     """Drop rows whose key (default: the first column) is NULL."""
     return df.dropna(subset=[key or df.columns[0]])

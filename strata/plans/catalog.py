@@ -164,6 +164,21 @@ def q_gold_post_performance(spark, sf_dir):
     return gold.post_performance(f.posts(), f.users(), f.likes(), f.comments())
 
 
+def bucketed_feeds(spark, f: Fixture, buckets: int = 8):
+    """Posts, likes and comments in buckets of ``post_id``."""
+    from uuid import uuid4
+    from ..sources.bucketed import write_bucketed
+    return [write_bucketed(df, f"strata_{name}_{uuid4().hex}", scratch_path(spark, f"bucketed_{name}"), "post_id", buckets)
+            for name, df in (("posts", f.posts()), ("likes", f.likes()), ("comments", f.comments()))]
+
+
+@register("gold_post_performance_bucketed", oracle=GOLD_POST_PERFORMANCE_SQL)
+def q_gold_post_performance_bucketed(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    posts, likes, comments = bucketed_feeds(spark, f)
+    return gold.post_performance_in_place(posts, f.users(), likes, comments)
+
+
 # ---------------------------------------------------------------------------
 # G-1 content trends and its parts
 # ---------------------------------------------------------------------------
@@ -337,6 +352,14 @@ def q_dq_missing(spark, sf_dir):
     return quality.missing_report(fx(spark, sf_dir).users())
 
 
+@register("dq_missing_sampled", oracle=duckdb_views("users") + """,
+sampled AS (SELECT * FROM users WHERE CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT)
+                                      < CAST(round(0.2 * 4294967296) AS BIGINT))"""
+          + _missing_sql("sampled", USER_COLUMNS))
+def q_dq_missing_sampled(spark, sf_dir):
+    return quality.missing_report(fx(spark, sf_dir).users(), fraction=0.2, sample_key="user_id")
+
+
 @register("dq_duplicates", oracle=duckdb_views("posts_dup") + """,
 k AS (SELECT post_id, count(*) AS n FROM posts_dup GROUP BY post_id)
 SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys,
@@ -476,6 +499,44 @@ def q_load_align(spark, sf_dir):
     return jdbc.loadable(raw, LIKES)
 
 
+# Likes that come as text, some of it bad: what does not load, and why.
+_RAW_LIKES_SQL = """
+raw AS (SELECT CASE WHEN event_id % 97 = 0 THEN 'x' || event_id WHEN event_id % 89 = 0 THEN NULL
+                    ELSE CAST(event_id AS VARCHAR) END AS like_id,
+               CAST(event_id * 3 AS VARCHAR) AS post_id,
+               CASE WHEN event_id % 13 = 0 THEN 'n/a' ELSE CAST(user_id AS VARCHAR) END AS user_id,
+               CASE WHEN event_id % 31 = 0 THEN 'no time' ELSE CAST(ts AS VARCHAR) END AS created_at FROM events)"""
+
+
+def _raw_likes(f):
+    e, text = F.col("event_id"), lambda c: F.col(c).cast("string")
+    return f.table("events").select(
+        F.when(e % 97 == 0, F.concat(F.lit("x"), text("event_id"))).when(e % 89 != 0, text("event_id")).alias("like_id"),
+        (e * 3).cast("string").alias("post_id"),
+        F.when(e % 13 == 0, F.lit("n/a")).otherwise(text("user_id")).alias("user_id"),
+        F.when(e % 31 == 0, F.lit("no time")).otherwise(text("ts")).alias("created_at"), "props")
+
+
+@register("load_rejects", oracle="WITH" + _RAW_LIKES_SQL + """
+SELECT like_id AS row_key, 'like_id' AS "column", like_id AS value, 'cannot cast to bigint' AS reason
+FROM raw WHERE like_id IS NOT NULL AND TRY_CAST(like_id AS BIGINT) IS NULL
+UNION ALL SELECT like_id, 'like_id', NULL, 'missing key' FROM raw WHERE like_id IS NULL
+UNION ALL SELECT like_id, 'user_id', user_id, 'cannot cast to bigint' FROM raw
+          WHERE user_id IS NOT NULL AND TRY_CAST(user_id AS BIGINT) IS NULL
+UNION ALL SELECT like_id, 'created_at', created_at, 'cannot cast to timestamp' FROM raw
+          WHERE created_at IS NOT NULL AND TRY_CAST(created_at AS TIMESTAMP) IS NULL""")
+def q_load_rejects(spark, sf_dir):
+    return shape.align_with_rejects(_raw_likes(fx(spark, sf_dir)), LIKES)[1]
+
+
+@register("load_accepted", oracle="WITH" + _RAW_LIKES_SQL + """
+SELECT CAST(like_id AS BIGINT) AS like_id, CAST(post_id AS BIGINT) AS post_id,
+       TRY_CAST(user_id AS BIGINT) AS user_id, TRY_CAST(created_at AS TIMESTAMP) AS created_at
+FROM raw WHERE TRY_CAST(like_id AS BIGINT) IS NOT NULL""")
+def q_load_accepted(spark, sf_dir):
+    return shape.align_with_rejects(_raw_likes(fx(spark, sf_dir)), LIKES)[0]
+
+
 @register("drop_null_key", oracle=duckdb_views("users") + """
 SELECT email, user_id, username FROM users WHERE email IS NOT NULL""")
 def q_drop_null_key(spark, sf_dir):
@@ -887,10 +948,11 @@ def q_silver_likes_two_windows(spark, sf_dir):
 
 @register("stream_chunk_ingest", oracle=_CHUNK_ROWS_SQL)
 def q_stream_chunk_ingest(spark, sf_dir):
-    from ..streaming.chunk_ingest import ingest_chunks, parquet_sink
+    from ..streaming.chunk_ingest import ingest_chunks, parquet_sink, read_loaded
     posts = fx(spark, sf_dir).posts()
     root = scratch_path(spark, "stream_chunk_ingest")
     sinks.write_chunked(posts, f"{root}/chunks", CHUNK_ORIGIN, CHUNK_DAYS)
-    ingest_chunks(spark, f"{root}/chunks", posts.schema, parquet_sink(f"{root}/loaded"),
+    ingest_chunks(spark, f"{root}/chunks", posts.schema, parquet_sink(f"{root}/loaded", f"{root}/checkpoint"),
                   f"{root}/checkpoint", drop_chunk_column=False)
-    return pq.read_parquet(spark, f"{root}/loaded").drop("batch")
+    return read_loaded(spark, f"{root}/loaded", T.StructType(
+        [*posts.schema.fields, T.StructField(sinks.CHUNK_COLUMN, T.StringType())]))

@@ -85,3 +85,22 @@ def test_email_rule_reuses_the_dedup_shuffle(spark):
     df.collect()
     final = _plan(df)
     assert "ReusedExchange" in final and "hashpartitioning(user_id" in final
+
+
+def test_bucketed_posts_stay_where_they_are(spark):
+    """No exchange, and no sort into another place, above the scan with the posts' text."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["gold_post_performance_bucketed"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan parquet" in line and "content" in line)
+    depth = lines[at].index("FileScan")
+    above = []
+    for line in reversed(lines[:at]):
+        if (own := len(line) - len(line.lstrip(" :+-*(0123456789)"))) < depth:
+            above.append(line)
+            depth = own
+    assert "Bucketed: true" in lines[at] and any("Join" in line for line in above)
+    assert not any("Exchange" in line for line in above)

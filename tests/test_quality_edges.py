@@ -1,6 +1,6 @@
 """Edge cases of the data-quality operators."""
 
-from strata.operators import quality
+from strata.operators import quality, shape
 
 
 def _emails(spark, values):
@@ -74,3 +74,31 @@ def test_table_checks_and_audit(spark):
 def test_preview_is_ordered(spark):
     df = spark.range(100).selectExpr("id", "id % 7 AS m")
     assert [r.id for r in quality.preview(df, ["id"], ["id"], 3).collect()] == [0, 1, 2]
+
+
+def test_hash_sample_is_the_same_at_any_partitioning(spark):
+    rows = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id END AS v").union(
+        spark.createDataFrame([(None, 1)], "id long, v long"))
+    picked = [sorted(r.id for r in quality.hash_sample(df, "id", 0.1).collect())
+              for df in (rows, rows.repartition(7), rows.coalesce(1))]
+    assert picked[0] == picked[1] == picked[2] and 400 < len(picked[0]) < 600 and None not in picked[0]
+    assert quality.hash_sample(rows, "id", 0.0).count() == 0 and quality.hash_sample(rows, "id", 1.0).count() == 5000
+    a, b = (sorted(map(tuple, quality.missing_report(df, 0.1, sample_key="id").collect())) for df in (rows, rows.repartition(5)))
+    assert a == b
+
+
+def test_rejects_tell_every_value_that_did_not_load(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("d", T.DateType()), T.StructField("s", T.StringType()),
+                           T.StructField("absent", T.LongType())])
+    raw = spark.createDataFrame([("1", "2024-01-01", "a"), ("x", "2024-01-02", "b"), (None, "bad", "c"), ("4", "bad", None),
+                                 ("5", None, "e"), ("99999999999999999999", "2024-01-01", "f")], "k string, d string, s string")
+    aligned, rejects = shape.align_with_rejects(raw.withColumn("column", raw.s), schema)
+    assert aligned.schema.simpleString() == "struct<k:bigint,d:date,s:string,absent:bigint>"
+    assert sorted((r.k, str(r.d), str(r.s)) for r in aligned.collect()) == [
+        (1, "2024-01-01", "a"), (4, "None", "None"), (5, "None", "e")]
+    assert sorted(map(str, map(tuple, rejects.collect()))) == sorted(map(str, [
+        ("x", "k", "x", "cannot cast to bigint"), (None, "k", None, "missing key"), (None, "d", "bad", "cannot cast to date"),
+        ("4", "d", "bad", "cannot cast to date"), ("99999999999999999999", "k", "99999999999999999999", "cannot cast to bigint")]))
+    none = shape.align_with_rejects(raw.drop("k"), schema)
+    assert none[0].count() == 0 and {r.reason for r in none[1].where("column = 'k'").collect()} == {"missing key"}

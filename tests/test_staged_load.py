@@ -1,0 +1,200 @@
+"""The staged load's statements and call order against a stand-in for a database: a
+file that connections change whole, at commit. No database ran for these tests; the
+statements are PostgreSQL's and were not executed."""
+
+import fcntl
+import pickle
+import re
+import sys
+
+import pytest
+from pyspark import cloudpickle
+
+from strata.schemas import LIKES
+from strata.sources import staged
+from strata.sources.staged import MERGED, Statements, staged_load
+
+
+# workers cannot import this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Store:
+    """What is committed: ledger {(batch, part): parts}, staging rows, target by key."""
+
+    def __init__(self, path, fail_at=None):
+        self.path, self.fail_at = str(path), fail_at
+        with open(self.path, "wb") as f:
+            pickle.dump({"ledger": {}, "staging": [], "target": {}, "log": []}, f)
+
+    def state(self):
+        with open(self.path, "rb") as f:
+            return pickle.load(f)
+
+    def __call__(self):
+        return Connection(self)
+
+
+class Connection:
+    def __init__(self, store):
+        self.store, self.changes = store, []
+
+    def cursor(self):
+        return self
+
+    def close(self):
+        pass
+
+    def rollback(self):
+        self.changes = []
+
+    def commit(self):
+        with open(self.store.path, "r+b") as f:
+            fcntl.flock(f, fcntl.LOCK_EX)
+            state = pickle.load(f)
+            for change in self.changes:
+                change(state)   # raises as a unique key does, and nothing is written
+            f.seek(0)
+            f.truncate()
+            pickle.dump(state, f)
+        self.changes = []
+
+    def fetchone(self):
+        return self.answer
+
+    def execute(self, sql, values=()):
+        self.answer, verb = None, sql.split()[0]
+        log = re.sub(r"\s+", " ", sql)
+        state = self.store.state()
+        if sql.startswith("SELECT parts"):
+            n = state["ledger"].get(tuple(values))
+            self.answer = None if n is None else (n,)
+        elif sql.startswith("SELECT max"):
+            self.answer = (max((n for (b, _), n in state["ledger"].items() if b == values[0]), default=None),)
+        elif sql.startswith("SELECT count"):
+            self.answer = (sum(b == values[0] and p != MERGED for b, p in state["ledger"]),)
+        elif verb == "INSERT" and "_ledger" in sql.split("(")[0]:
+            def take(s, v=tuple(values)):
+                if v[:2] in s["ledger"]:
+                    raise KeyError("duplicate key")
+                s["ledger"][v[:2]] = v[2]
+                s["log"].append(log)
+            self.changes.append(take)
+        elif verb == "INSERT":
+            def merge(s, batch=values[0]):
+                for b, _, *row in s["staging"]:
+                    if b == batch:
+                        s["target"][row[0]] = tuple(row)
+                s["log"].append(log)
+            self.changes.append(merge)
+        elif verb == "DELETE" and "_staging" in sql:
+            self.changes.append(lambda s, batch=values[0]: (s.update(
+                staging=[r for r in s["staging"] if r[0] != batch]), s["log"].append(log)))
+        elif verb == "DELETE":
+            self.changes.append(lambda s: (s["target"].clear(), s["log"].append(log)))
+
+    def executemany(self, sql, rows):
+        if self.store.fail_at is not None and any(r[2] == self.store.fail_at for r in rows):
+            raise OSError("connection lost")
+        self.changes.append(lambda s: s["staging"].extend(rows))
+
+
+def likes(spark, ids):
+    return spark.createDataFrame([(str(i), i * 2, i % 5, None) for i in ids] + [(None, 1, 1, None)],
+                                 "like_id string, post_id long, user_id long, created_at timestamp")
+
+
+def test_a_load_lands_once_however_often_it_runs(spark, tmp_path):
+    store = Store(tmp_path / "db")
+    rows = likes(spark, [*range(100), 7, 7])
+    assert staged_load(rows, store, "likes", "b1", LIKES, parts=4, batch_size=10)
+    state = store.state()
+    assert sorted(state["target"]) == list(range(100)) and state["staging"] == []
+    assert sorted(p for _, p in state["ledger"]) == [MERGED, 0, 1, 2, 3]
+    assert not staged_load(rows, store, "likes", "b1", LIKES, parts=9)
+    assert store.state() == state
+    # the next batch adds and replaces by key
+    assert staged_load(likes(spark, [99, 100]), store, "likes", "b2", LIKES, parts=2)
+    assert sorted(store.state()["target"]) == list(range(101))
+
+
+def test_a_load_that_stopped_goes_on(spark, tmp_path):
+    store = Store(tmp_path / "db", fail_at=41)
+    with pytest.raises(Exception):
+        staged_load(likes(spark, range(100)), store, "likes", "b1", LIKES, parts=8, batch_size=10)
+    half = store.state()
+    assert half["target"] == {} and not any(r[2] == 41 for r in half["staging"])
+    store.fail_at = None
+    # dealt anew, with another number of parts asked for
+    assert staged_load(likes(spark, reversed(range(100))).repartition(3), store, "likes", "b1", LIKES, parts=5)
+    state = store.state()
+    assert sorted(state["target"]) == list(range(100)) and state["staging"] == []
+    assert {n for (b, _), n in state["ledger"].items()} == {8}
+
+
+def test_a_copy_of_a_task_stages_nothing(tmp_path):
+    store, sql = Store(tmp_path / "db"), Statements("likes", LIKES, "like_id")
+    rows = [(1, 2, 3, None)]
+    assert staged.stage_part(iter(rows), 0, 1, "b", store, sql, 10)
+    assert not staged.stage_part(iter(rows), 0, 1, "b", store, sql, 10)
+
+    # both began before either committed: the later commit meets the key and is undone
+    late = store()
+    late.answer = None
+    late.execute(sql.take, ("b", 1, 2))
+    late.executemany(sql.stage, [("b", 1, 5, 6, 7, None)])
+    assert staged.stage_part([(5, 6, 7, None)], 1, 2, "b", store, sql, 10)
+    with pytest.raises(KeyError):
+        late.commit()
+    assert len(store.state()["staging"]) == 2
+
+
+def test_an_error_is_no_duplicate(tmp_path):
+    store, sql = Store(tmp_path / "db", fail_at=1), Statements("likes", LIKES, "like_id")
+    with pytest.raises(OSError):
+        staged.stage_part([(1, 2, 3, None)], 0, 1, "b", store, sql, 10)
+    assert store.state()["ledger"] == {} and store.state()["staging"] == []
+
+
+def test_an_empty_load_and_one_that_clears(spark, tmp_path):
+    store = Store(tmp_path / "db")
+    staged_load(likes(spark, range(5)), store, "likes", "b1", LIKES, parts=2)
+    assert staged_load(likes(spark, []), store, "likes", "b2", LIKES, parts=2, clear_first=True)
+    assert store.state()["target"] == {}
+    # the table is emptied in the transaction that fills it
+    order = [s.split()[0] for s in store.state()["log"][-4:]]
+    assert order == ["INSERT", "DELETE", "INSERT", "DELETE"]
+
+
+def test_statements():
+    sql = Statements("likes", LIKES, "like_id", mark="?")
+    assert sql.take == "INSERT INTO likes_ledger (load_batch, load_part, parts) VALUES (?, ?, ?)"
+    assert sql.merge == ("INSERT INTO likes (like_id, post_id, user_id, created_at) SELECT like_id, post_id, user_id, "
+                         "created_at FROM likes_staging WHERE load_batch = ? ON CONFLICT (like_id) DO UPDATE SET "
+                         "post_id = EXCLUDED.post_id, user_id = EXCLUDED.user_id, created_at = EXCLUDED.created_at")
+    assert sql.create[1].endswith("PRIMARY KEY (load_batch, load_part))")
+    assert sql.stage.count("?") == 6
+
+
+def test_streamed_batches_are_loaded_once(spark, tmp_path):
+    from strata.sources import sinks
+    from strata.streaming.chunk_ingest import ingest_chunks, staged_sink
+    root, store = str(tmp_path), Store(tmp_path / "db")
+    rows = likes(spark, range(20)).selectExpr("cast(like_id as long) like_id", "post_id", "user_id",
+                                              "timestamp'2024-01-02' created_at").dropna(subset=["like_id"])
+    sinks.write_chunked(rows, f"{root}/src", "2024-01-08", 7)
+    sink, seen = staged_sink(store, "likes", LIKES, f"{root}/ckpt", parts=2), []
+
+    def flaky(batch, batch_id):
+        sink(batch, batch_id)
+        if not seen:
+            seen.append(batch_id)
+            raise RuntimeError("lost after the load, before the checkpoint")
+
+    for _ in range(2):
+        try:
+            ingest_chunks(spark, f"{root}/src", LIKES, flaky, f"{root}/ckpt")
+        except Exception:
+            pass
+    merges = [s for s in store.state()["log"] if "ON CONFLICT" in s]
+    assert sorted(store.state()["target"]) == list(range(20)) and len(merges) == 1

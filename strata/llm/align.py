@@ -416,7 +416,8 @@ def tokenizers() -> tuple[str, str]:
 
 def op11_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
-    table = align(docs, *tokenizers())
-    scored = C.cut(score(spark.table(table), id_type(docs, "doc_id")), "alignment_scores")
-    spark.sql(f"DROP TABLE {table}")
+    with C.temporary(spark):
+        table = align(docs, *tokenizers())
+        scored = C.cut(score(spark.table(table), id_type(docs, "doc_id")), "alignment_scores", keep=True)
+        spark.sql(f"DROP TABLE {table}")
     return scored.withColumnRenamed("id", "doc_id")

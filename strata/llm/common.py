@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +29,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+#: What is to be deleted at the end of each open :func:`temporary`, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, what was written by :func:`cut` and :func:`bucketed` inside,
+    but for what was cut with ``keep``: that belongs to the scope around it, if any.
+    What leaves the scope must not depend on what is deleted."""
+    mine: list[str] = []
+    outer = _SCOPES.set((*_SCOPES.get(), mine))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(outer)
+        for path in mine:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _owned(path: str, keep: bool) -> str:
+    scopes = _SCOPES.get()
+    if len(scopes) > keep:
+        scopes[-1 - keep].append(path)
+    return path
+
+
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go when these end, not when the driver's
+    collector next finds time."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: later reads cost a
     scan, survive lost executors and see the same rows."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+    path = _owned(scratch_path(spark, name), keep)
+    with _shuffles_go(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,8 +90,8 @@ def bucketed(df: DataFrame, name: str, key: str, text_bytes: int) -> str:
     table_name = f"strata_{name}_{uuid.uuid4().hex}"
     least = df.sparkSession.sparkContext.defaultParallelism
     buckets = min(MAX_BUCKETS, max(least, 1 + text_bytes // BUCKET_BYTES))
-    (df.write.format("parquet").bucketBy(buckets, key)
-     .option("path", scratch_path(df.sparkSession, name)).saveAsTable(table_name))
+    path = _owned(scratch_path(df.sparkSession, name), False)
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table_name)
     return table_name
 
 

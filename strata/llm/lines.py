@@ -143,11 +143,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         *document_key(F.col(id_col), F.col(text_col)))
     # rows that repeat in full are one document here
     lines = positions(keyed, min_words).dropDuplicates([*KEY, "pos"])
-    lines = C.cut(lines, "lines")
-    runs = C.cut(later_runs(lines, min_words), "line_later")
-    gone = (runs.select(*KEY, F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("pos"))
-            .join(lines.select(*KEY, "pos", "line"), [*KEY, "pos"])
-            .groupBy(*KEY).agg(F.collect_set("line").alias("lost")))
+    with C.temporary(docs.sparkSession):
+        lines = C.cut(lines, "lines")
+        runs = C.cut(later_runs(lines, min_words), "line_later")
+        gone = (runs.select(*KEY, F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("pos"))
+                .join(lines.select(*KEY, "pos", "line"), [*KEY, "pos"])
+                .groupBy(*KEY).agg(F.collect_set("line").alias("lost")))
+        gone = C.cut(gone, "line_gone", keep=True)
     k1, k2, lost = (C.OWN + name for name in ("k1", "k2", "lost"))
     gone = gone.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("lost").alias(lost))
     keys = document_key(F.col(id_col), F.col(text_col))

@@ -397,6 +397,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A component is named after its smallest id, and that document is kept.
     """
+    with C.temporary(docs.sparkSession):
+        return C.cut(_near_duplicates(docs, id_col, text_col, percent), "near_duplicates", keep=True)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = C.cut(signatures(docs), "minhash")
     named = signed.where("doc_id is not null and n_shingles > 0")

@@ -335,6 +335,13 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     of its perplexity; null where there is no text. ``trusted`` has a column of ids.
     The result is stored."""
     spark = docs.sparkSession
+    with C.temporary(docs.sparkSession):
+        return _score(docs, trusted, id_col, text_col, lang_col, block_bytes, carry, out_col)
+
+
+def _score(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, block_bytes: int,
+           carry: list[str] | None, out_col: str) -> DataFrame:
+    spark = docs.sparkSession
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StructField, StructType
     carry = [c for c in (docs.columns if carry is None else carry) if c != out_col]
@@ -404,7 +411,7 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         return pa.Table.from_batches(out, schema=arrow)
 
     packed = blocks.where("parcel is not null").select("block", "parcel")
-    scored = C.cut(packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, schema), "quality_scores")
+    scored = C.cut(packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, schema), "quality_scores", keep=True)
     spark.sql(f"DROP TABLE {table}")
     return scored
 

@@ -71,6 +71,6 @@ def test_registered(spark):
     import __spark_entry__ as entry
     queries = entry.queries()
     assert queries["pipeline"] is P.run
-    assert sorted({int(n[2:].split("_")[0]) for n in queries if n.startswith("op")}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in queries if n.startswith("op")}) == list(range(1, 14))
     assert [n for n, _ in P.STAGES] == ["quality classifier", "line dedup", "MinHash near-dedup",
                                         "mixing sources to target weights", "best-fit packing"]

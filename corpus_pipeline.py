@@ -83,5 +83,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = C.cut(stage(spark, docs, sf_dir), "pipeline_" + name.replace(" ", "_"))
+        with C.temporary(spark):  # what a stage wrote on its way
+            docs = C.cut(stage(spark, docs, sf_dir), "pipeline_" + name.replace(" ", "_"), keep=True)
     return docs

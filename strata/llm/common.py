@@ -31,6 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: What is to be deleted at the end of each open :func:`temporary`, innermost last.
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+TABLE = "table:"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -46,6 +47,9 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCOPES.reset(outer)
         for path in mine:
+            if path.startswith(TABLE):
+                spark.sql(f"DROP TABLE IF EXISTS {path.removeprefix(TABLE)}")
+                continue
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
@@ -83,15 +87,17 @@ def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 BUCKET_BYTES, MAX_BUCKETS = 1 << 25, 100_000
 
 
-def bucketed(df: DataFrame, name: str, key: str, text_bytes: int) -> str:
+def bucketed(df: DataFrame, name: str, key: str, text_bytes: int, keep: bool = False) -> str:
     """Writes ``df``, made from ``text_bytes`` of text, as a table in the shared
     folder, bucketed by ``key``: what is grouped by the key later is not shuffled
-    again. Returns the table's name; who is done with it drops it."""
+    again. Returns the table's name; it goes with its scope, or who is done with it
+    drops it."""
     table_name = f"strata_{name}_{uuid.uuid4().hex}"
     least = df.sparkSession.sparkContext.defaultParallelism
     buckets = min(MAX_BUCKETS, max(least, 1 + text_bytes // BUCKET_BYTES))
-    path = _owned(scratch_path(df.sparkSession, name), False)
+    path = _owned(scratch_path(df.sparkSession, name), keep)
     df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table_name)
+    _owned(TABLE + table_name, keep)
     return table_name
 
 

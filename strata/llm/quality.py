@@ -32,6 +32,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -268,15 +269,17 @@ def probabilities(model: Model, wanted: DataFrame) -> DataFrame:
 # --- scoring ----------------------------------------------------------------
 
 LANG, TEXT = C.OWN + "lang", C.OWN + "text"
+RATES = "block long, no int, bits array<double>"
+BLOCKS = "block long, no int, lang string, grams binary, parcel binary"
 
 
 def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
               block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (with ``LANG`` and the text) in blocks: rows of (block, lang, grams,
-    parcel). A parcel holds some rows of ``docs``, compressed; ``grams`` a part of the
+    """``docs`` (with ``LANG`` and the text) in blocks: rows of (block, no, lang, grams,
+    parcel). Parcel ``no`` holds some rows of ``docs``, compressed; ``grams`` a part of the
     block's distinct grams of a language. A row's block hangs on nothing but the task
     that read it, so the result is to be stored and read from there."""
-    schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("grams", pa.binary()), ("parcel", pa.binary())])
+    schema = C.arrow_schema(BLOCKS)
 
     def row(*values):
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
@@ -284,14 +287,14 @@ def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
     def run(batches):
         block = TaskContext.get().partitionId() << 32
         pack = zstandard.ZstdCompressor(level=3)
-        size, held = 0, {}
+        size, no, held = 0, 0, {}
 
         def close():
             for lang in list(held):
                 grams = np.unique(np.concatenate(held.pop(lang)))
                 for at in range(0, len(grams), 50_000):
                     steps = np.diff(grams[at:at + 50_000], prepend=0)
-                    yield row(block, lang, pack.compress(steps.tobytes()), None)
+                    yield row(block, None, lang, pack.compress(steps.tobytes()), None)
 
         for batch in batches:
             for part in C.slices(batch, text_col, STRETCH):
@@ -302,14 +305,15 @@ def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, part.schema) as writer:
                     writer.write_batch(part)
-                yield row(block, None, None, pack.compress(sink.getvalue()))
+                yield row(block, no, None, None, pack.compress(sink.getvalue()))
+                no += 1
                 size += part.column(text_col).nbytes
                 if size >= block_bytes:
                     yield from close()
-                    block, size = block + 1, 0
+                    block, size, no = block + 1, 0, 0
         yield from close()
 
-    return docs.mapInArrow(run, "block long, lang string, grams binary, parcel binary")
+    return docs.mapInArrow(run, BLOCKS)
 
 
 def requests(blocks: DataFrame) -> DataFrame:
@@ -326,25 +330,45 @@ def requests(blocks: DataFrame) -> DataFrame:
             .mapInArrow(listed, "block long, lang string, g long"))
 
 
+class Scored:
+    """Documents in stored blocks with the stored scores of their texts."""
+
+    def __init__(self, blocks: DataFrame, rates: DataFrame, docs: DataFrame):
+        self.blocks, self.rates, self.docs = blocks, rates, docs
+
+    def rows(self, carry: list[str], out_col: str) -> DataFrame:
+        """The columns ``carry`` of the documents and ``out_col``: the bits per
+        character, null where there is no text. Parcels are opened one by one, where
+        they are stored."""
+        schema = C.schema_with(self.docs, carry, out_col, "double")
+        per_block = self.rates.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("no", "bits"))).alias("bits"))
+        parcels = (self.blocks.where("parcel is not null").select("block", "no", "parcel").join(per_block, "block")
+                   .select("parcel", F.element_at("bits", F.col("no")).alias("bits")))
+
+        def unpack(batches):
+            open_ = zstandard.ZstdDecompressor().decompress
+            for batch in batches:
+                for parcel, bits in zip(batch.column("parcel"), batch.column("bits")):
+                    rows = pa.ipc.open_stream(open_(parcel.as_buffer())).read_all()
+                    own = pc.if_else(pc.is_nan(bits.values), pa.scalar(None, pa.float64()), bits.values)
+                    for part in rows.select(carry).append_column(out_col, own).to_batches():
+                        yield part
+
+        return parcels.mapInArrow(unpack, schema)
+
+
 def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", block_bytes: int = BLOCK_BYTES, carry: list[str] | None = None,
-          out_col: str = "bits") -> DataFrame:
-    """The columns ``carry`` of ``docs`` (all by default) and ``out_col`` (in place
-    of any column of that name): the bits
-    per character of each text under the model of its language, the logarithm
-    of its perplexity; null where there is no text. ``trusted`` has a column of ids.
-    The result is stored."""
-    spark = docs.sparkSession
+          lang_col: str = "lang", block_bytes: int = BLOCK_BYTES, carry: list[str] | None = None) -> Scored:
+    """The bits per character of each text under the model of its language, the
+    logarithm of its perplexity, with the columns ``carry`` of ``docs`` (all by
+    default). ``trusted`` has a column of ids."""
     with C.temporary(docs.sparkSession):
-        return _score(docs, trusted, id_col, text_col, lang_col, block_bytes, carry, out_col)
+        return _score(docs, trusted, id_col, text_col, lang_col, block_bytes, docs.columns if carry is None else carry)
 
 
 def _score(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, block_bytes: int,
-           carry: list[str] | None, out_col: str) -> DataFrame:
+           carry: list[str]) -> Scored:
     spark = docs.sparkSession
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    carry = [c for c in (docs.columns if carry is None else carry) if c != out_col]
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG))
     text = F.col(text_col).cast("string")
 
@@ -369,15 +393,13 @@ def _score(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang
     own = text_col if text_col in carry and docs.schema[text_col].dataType.simpleString() == "string" else TEXT
     given = docs.select(*carry, lang.alias(LANG), *([] if own == text_col else [text.alias(TEXT)]))
     # parcels meet their answers where they are stored, so they are not shuffled
-    table = C.bucketed(in_blocks(given, own, spell, block_bytes), "lm_blocks", "block", C.text_bytes(docs, text_col))
+    table = C.bucketed(in_blocks(given, own, spell, block_bytes), "lm_blocks", "block", C.text_bytes(docs, text_col),
+                       keep=True)
     blocks = spark.table(table)
     asked = requests(blocks)
     logp = probabilities(model, asked.select("lang", "g").distinct())
     answers = asked.join(logp, ["lang", "g"]).select("block", "lang", "g", F.col("logp").cast("float").alias("logp"))
-
-    fields = [docs.schema[c] for c in carry]
-    schema = StructType([*fields, StructField(out_col, DoubleType())])
-    arrow = to_arrow_schema(schema)
+    schema = C.arrow_schema(RATES)
 
     def rate(_, left: pa.Table, right: pa.Table):
         tables = {}
@@ -388,32 +410,28 @@ def _score(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang
             mine = np.flatnonzero(codes == k)
             mine = mine[np.argsort(g[mine])]
             tables[name] = (g[mine], p[mine].astype(np.float64))
-        out = []
+        rates = []
+        open_ = zstandard.ZstdDecompressor().decompress
         for parcel in left.column("parcel"):
-            raw = zstandard.ZstdDecompressor().decompress(parcel.as_buffer())
-            for batch in pa.ipc.open_stream(raw):
-                texts, langs = batch.column(own).to_pylist(), batch.column(LANG).to_pylist()
-                bits = np.full(len(texts), np.nan)
-                for name in dict.fromkeys(langs):
-                    rows = np.array([i for i, x in enumerate(langs) if x == name and texts[i]], dtype=np.int64)
-                    if not len(rows):
-                        continue
-                    spelled = spell(name, [texts[i] for i in rows])
-                    grams, begins = gram_codes(spelled)
-                    known, value = tables[name]
-                    total = np.add.reduceat(value[np.searchsorted(known, grams)], begins)
-                    bits[rows] = -total / [len(t) + 1 for t in spelled]
-                # copies, so that the parcel with its texts can go
-                every = pa.array(np.arange(batch.num_rows))
-                columns = [batch.column(i).take(every).cast(f.type) for i, f in enumerate(list(arrow)[:-1])]
-                out.append(pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(bits, mask=np.isnan(bits))], schema=arrow))
-        return pa.Table.from_batches(out, schema=arrow)
-
-    packed = blocks.where("parcel is not null").select("block", "parcel")
-    scored = C.cut(packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, schema), "quality_scores", keep=True)
-    spark.sql(f"DROP TABLE {table}")
-    return scored
+            rows = pa.ipc.open_stream(open_(parcel.as_buffer())).read_all()
+            texts, langs = rows.column(own).to_pylist(), rows.column(LANG).to_pylist()
+            bits = np.full(len(texts), np.nan)
+            for name in dict.fromkeys(langs):
+                at = np.array([i for i, x in enumerate(langs) if x == name and texts[i]], dtype=np.int64)
+                if not len(at):
+                    continue
+                spelled = spell(name, [texts[i] for i in at])
+                grams, begins = gram_codes(spelled)
+                seen, value = tables[name]
+                total = np.add.reduceat(value[np.searchsorted(seen, grams)], begins)
+                bits[at] = -total / [len(t) + 1 for t in spelled]
+            rates.append(bits)
+        return pa.Table.from_arrays([left.column("block"), left.column("no"), pa.array(rates, schema.field("bits").type)],
+                                    schema=schema)
+
+    packed = blocks.where("parcel is not null").select("block", "no", "parcel")
+    rates = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, RATES)
+    return Scored(blocks, C.cut(rates, "quality_rates", keep=True), docs)
 
 
 def thresholds(scored: DataFrame, held_out: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
@@ -446,8 +464,11 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
     key = trusted.columns[0]
     held = F.pmod(F.xxhash64(F.lit("held out"), F.col(key)), F.lit(HELD_OUT)) == 0
     sized = docs.withColumn(length, F.coalesce(F.length(text_col), F.lit(0)))
-    scored = score(sized, trusted.where(~held), id_col, text_col, lang_col, carry=[*carry, length], out_col=bits)
-    limit = C.cut(thresholds(scored, trusted.where(held), quantile, margin, id_col, lang_col, bits),
+    needed = list(dict.fromkeys([*carry, id_col, lang_col, length]))
+    told = score(sized, trusted.where(~held), id_col, text_col, lang_col, carry=needed)
+    scored = told.rows(list(dict.fromkeys([*carry, lang_col, length])), bits)
+    narrow = told.rows([id_col, lang_col], bits)
+    limit = C.cut(thresholds(narrow, trusted.where(held), quantile, margin, id_col, lang_col, bits),
                   "quality_thresholds")
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG))
     own = limit.where("lang is not null").select(F.col("lang").alias(C.OWN + "lang"),

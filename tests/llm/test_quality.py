@@ -61,7 +61,7 @@ def test_scores_match_the_definition(spark):
     rows += [(100, "ZZZ!! ???", "a"), (101, "qwx" * 50, "b"), (102, "unseen language", "c"), (103, "", "a"), (104, None, "a")]
     docs = documents(spark, rows)
     trusted = spark.createDataFrame([(i,) for i in range(0, 60) if i % 5], "doc_id long")
-    got = {r["doc_id"]: r["bits"] for r in quality.score(docs, trusted, block_bytes=900).collect()}
+    got = {r["doc_id"]: r["bits"] for r in quality.score(docs, trusted, block_bytes=900).rows(["doc_id"], "bits").collect()}
     models = {x: Brute([t for i, t, lang in rows if lang == x and i < 60 and i % 5]) for x in "ab"}
     for doc, text, lang in rows:
         if not text:
@@ -80,7 +80,7 @@ def test_scripts_beyond_the_code_range(spark):
     junk = "".join(rows[0][1])
     rows += [(100, "".join(rng.sample(junk, len(junk))), "ko"), (101, "\u7ffd\u7ffc unseen \U0001F923", "ko")]
     trusted = spark.createDataFrame([(i,) for i in range(60)], "doc_id long")
-    got = {r["doc_id"]: r["bits"] for r in quality.score(documents(spark, rows), trusted, block_bytes=900).collect()}
+    got = {r["doc_id"]: r["bits"] for r in quality.score(documents(spark, rows), trusted, block_bytes=900).rows(["doc_id"], "bits").collect()}
     model = Brute([t for i, t, _ in rows if i < 60])
     assert all(abs(got[i] - model.bits(t)) < 1e-4 for i, t, _ in rows)
     assert got[100] > max(got[i] for i in range(80)) + 1

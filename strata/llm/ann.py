@@ -1,18 +1,26 @@
 """Approximate nearest neighbours by cross-polytope hashing (operator 3).
 
 Unit vectors pass a pseudo-rotation - three rounds of random signs and a fast
-Hadamard transform - and fall to the nearest signed axis, their bucket. Several
-rotations make several tables. A query looks into the buckets of its ``probes``
-nearest axes in each table. What it finds is reranked by the inner product of
-the original vectors in double precision. Vectors of different lengths get one
-more coordinate first, which makes the largest inner product the nearest unit
-vector.
+Hadamard transform - and fall to the nearest signed axis. Two rotations make a
+table, whose cells are pairs of axes (a bucket and a place in it); a vector lies
+in one cell of each of ``TABLES`` tables. A query looks into the cells that its
+neighbours most likely fell into: those for which the squared distances of its
+coordinates to its largest ones add up to least. What it finds is reranked by the
+inner product of the original vectors in double precision. Vectors of different
+lengths get one more coordinate first, which makes the largest inner product the
+nearest unit vector.
+
+How many cells a query probes is fitted, for each dimension, on a sample of
+``SAMPLE`` queries at most: these are compared with every row, and the least number
+is taken with which ``TARGET`` of their nearest would be found. So the share of the
+table that a query is compared with falls as the table grows or its vectors cluster.
 
 Equal vectors are one class with its smallest ids, so a vector that holds a
 third of the table is hashed and compared once. A bucket's classes are packed
 into matrices of bounded size, and so are the queries that probe it; matrices
-meet in a join, and a pair of them is one matrix product. A query that finds
-fewer rows than asked for is compared with every class, block by block.
+meet in a join, and of a pair of them only the rows of common cells are compared.
+A query that finds fewer rows than asked for is compared with every class, dealt
+over as many tasks as the table asks for; only if there is such a query.
 
 Vectors of different dimensions are searched side by side, each dimension among
 itself. Vectors that are null, zero, or hold null or non-finite components take
@@ -32,9 +40,13 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: Rotations, and axes of each that a query probes.
+#: Tables, of two rotations each.
 TABLES = 16
-PROBES = 8
+#: Axes of a rotation among which a query chooses its cells.
+AXES = 64
+#: Queries on which the number of probes is fitted, and the share of their nearest
+#: that it is to find.
+SAMPLE, TARGET = 64, 0.96
 #: Classes or queries in a matrix.
 PACK = 512
 #: Found rows that a task holds before it keeps the best of them.
@@ -62,13 +74,49 @@ def rotated(x: np.ndarray, table: int) -> np.ndarray:
     return x
 
 
-def axes(x: np.ndarray, table: int, probes: int = 1) -> np.ndarray:
-    """The nearest signed axes of each row, nearest first."""
-    y = rotated(x, table)
-    signed = np.concatenate([y, -y], axis=1)
-    probes = min(probes, signed.shape[1])
-    near = np.argpartition(-signed, probes - 1, axis=1)[:, :probes]
-    return np.take_along_axis(near, np.argsort(-np.take_along_axis(signed, near, 1), axis=1, kind="stable"), 1)
+def signed(x: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+    """The coordinates of each row along the signed axes of the table's rotations."""
+    return tuple(np.concatenate([y, -y], axis=1) for y in (rotated(x, 2 * table), rotated(x, 2 * table + 1)))
+
+
+def cell(x: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest signed axes of each row."""
+    return tuple(s.argmax(axis=1) for s in signed(x, table))
+
+
+def cells(x: np.ndarray, table: int, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``probes`` likeliest cells of each row, as two arrays of axes, and their costs."""
+    near, costs = [], []
+    for s in signed(x, table):
+        n = min(AXES, s.shape[1])
+        best = np.argpartition(-s, n - 1, axis=1)[:, :n]
+        near.append(best)
+        value = np.take_along_axis(s, best, 1)
+        costs.append(np.square(value.max(axis=1, keepdims=True) - value))
+    cost = (costs[0][:, :, None] + costs[1][:, None, :]).reshape(len(x), -1)
+    n, wide = min(probes, cost.shape[1]), near[1].shape[1]
+    best = np.argpartition(cost, n - 1, axis=1)[:, :n]
+    return (np.take_along_axis(near[0], best // wide, 1), np.take_along_axis(near[1], best % wide, 1),
+            np.take_along_axis(cost, best, 1))
+
+
+def fitted_probes(queries: np.ndarray, near: list[np.ndarray], target: float = TARGET) -> int:
+    """The least number of probes with which ``target`` of the vectors ``near`` each
+    of the ``queries`` fall into a probed cell of some table."""
+    ranks = [np.full(len(n), np.inf) for n in near]
+    for table in range(TABLES):
+        one, two, cost = cells(queries, table, AXES * AXES)
+        for i, vectors in enumerate(near):
+            a, b = cell(vectors, table)
+            order = np.argsort(cost[i], kind="stable")
+            place = np.full((max(one[i].max(), a.max()) + 1, max(two[i].max(), b.max()) + 1), np.inf)
+            place[one[i][order], two[i][order]] = np.arange(len(order))
+            ranks[i] = np.minimum(ranks[i], place[a, b])
+    ranks = np.sort(np.concatenate(ranks)) if ranks else np.empty(0)
+    if not len(ranks):
+        return 1
+    needed = ranks[min(len(ranks) - 1, math.ceil(target * len(ranks)) - 1)]
+    return int(min(needed, AXES * AXES - 1)) + 1
 
 
 def valid(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -118,68 +166,102 @@ def by_dimension(batch: pa.RecordBatch, column: str = "v"):
         yield dim, np.flatnonzero(sizes == dim)
 
 
-def hashed(rows: DataFrame, id_col: str, longest: dict[int, float], probes: int) -> DataFrame:
-    """(dim, tab, bucket, id, v) for each table and probe. ``rows``: id_col, v.
-    ``longest``: by dimension, see ``units``."""
+def hashed(rows: DataFrame, id_col: str, longest: dict[int, float], probes: dict[int, int] | None = None) -> DataFrame:
+    """(dim, tab, bucket, id, v, places): the cell of each row in each table, or with
+    ``probes`` the cells that it probes, those of a bucket together. ``rows``: id_col,
+    v. ``longest`` and ``probes``: by dimension, see ``units``."""
     def assign(batches):
         for batch in batches:
-            for dim, places in by_dimension(batch):
-                for at in range(0, len(places), 1024):
-                    part = batch.take(pa.array(places[at:at + 1024]))
+            for dim, at_dim in by_dimension(batch):
+                for at in range(0, len(at_dim), 1024):
+                    part = batch.take(pa.array(at_dim[at:at + 1024]))
                     u = units(matrix(part.column("v")), longest.get(dim))
                     for table in range(TABLES):
-                        near = axes(u, table, probes)
-                        again = pa.array(np.repeat(np.arange(part.num_rows), near.shape[1]))
+                        if probes is None:
+                            bucket, place = (x.reshape(-1, 1) for x in cell(u, table))
+                        else:
+                            bucket, place, _ = cells(u, table, probes.get(dim, 1))
+                        row = np.repeat(np.arange(len(u)), bucket.shape[1])
+                        order = np.lexsort((bucket.ravel(), row))
+                        row, bucket, place = row[order], bucket.ravel()[order], place.ravel()[order]
+                        first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1])))
                         yield pa.RecordBatch.from_pydict({
-                            "dim": pa.array(np.full(near.size, dim, np.int32)),
-                            "tab": pa.array(np.full(near.size, table, np.int32)),
-                            "bucket": pa.array(near.ravel().astype(np.int32)),
-                            "id": part.column(id_col).take(again), "v": part.column("v").take(again)})
+                            "dim": pa.array(np.full(len(first), dim, np.int32)),
+                            "tab": pa.array(np.full(len(first), table, np.int32)),
+                            "bucket": pa.array(bucket[first].astype(np.int32)),
+                            "id": part.column(id_col).take(pa.array(row[first])),
+                            "v": part.column("v").take(pa.array(row[first])),
+                            "places": pa.ListArray.from_arrays(pa.array(np.append(first, len(row)).astype(np.int32)),
+                                                               pa.array(place.astype(np.int32)))})
 
     kind = rows.schema["v"].dataType.simpleString()
-    return rows.select(id_col, "v").mapInArrow(assign, f"dim int, tab int, bucket int, id long, v {kind}")
+    return rows.select(id_col, "v").mapInArrow(
+        assign, f"dim int, tab int, bucket int, id long, v {kind}, places array<int>")
 
 
 def packs(rows: DataFrame, keys: list[str], spread: int) -> DataFrame:
-    """Rows of equal ``keys`` (the dimension among them) in matrices of at most ``PACK``: (keys, ids, m)."""
+    """Rows of equal ``keys`` (the dimension among them) in matrices of at most
+    ``PACK``: (keys, ids, m, places, sizes), with each row's places one after the other
+    and their number."""
     kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
 
     def gather(batches):
-        key, ids, parts, held = None, [], [], 0
+        key, ids, parts, places, sizes, held = None, [], [], [], [], 0
 
         def flush():
             yield pa.RecordBatch.from_pydict({
                 **{k: pa.array([x], pa.int32()) for k, x in zip(keys, key)},
                 "ids": pa.array([np.concatenate(ids).astype("<i8").tobytes()], pa.binary()),
-                "m": pa.array([np.concatenate(parts).astype(kind).tobytes()], pa.binary())})
+                "m": pa.array([np.concatenate(parts).astype(kind).tobytes()], pa.binary()),
+                "places": pa.array([np.concatenate(places).astype("<i4").tobytes()], pa.binary()),
+                "sizes": pa.array([np.concatenate(sizes).astype("<i4").tobytes()], pa.binary())})
 
         for batch in batches:
             columns = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
             cuts = [0, *(np.flatnonzero((columns[1:] != columns[:-1]).any(axis=1)) + 1), batch.num_rows]
-            all_ids = batch.column("id").to_numpy()
+            all_ids, listed = batch.column("id").to_numpy(), batch.column("places")
+            counts, ends = np.diff(listed.offsets.to_numpy()), listed.offsets.to_numpy()
+            flat = listed.values.to_numpy()
             for start, end in zip(cuts, cuts[1:]):
                 first, run = start, matrix(batch.column("v").slice(start, end - start))  # of one dimension
                 mine = tuple(columns[start].tolist())
                 if held and mine != key:
                     yield from flush()
-                    ids, parts, held = [], [], 0
+                    ids, parts, places, sizes, held = [], [], [], [], 0
                 key = mine
                 while start < end:
                     upto = min(end, start + PACK - held)
                     ids.append(all_ids[start:upto])
                     parts.append(run[start - first:upto - first])
+                    places.append(flat[ends[start]:ends[upto]])
+                    sizes.append(counts[start:upto])
                     held += upto - start
                     start = upto
                     if held == PACK:
                         yield from flush()
-                        ids, parts, held = [], [], 0
+                        ids, parts, places, sizes, held = [], [], [], [], 0
         if held:
             yield from flush()
 
     # a hot bucket goes to several tasks
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(spread)))
     ordered = dealt.repartition(*keys, "salt").sortWithinPartitions(*keys, "salt", "id").drop("salt")
-    return ordered.mapInArrow(gather, ", ".join(f"{k} int" for k in keys) + ", ids binary, m binary")
+    return ordered.mapInArrow(gather, ", ".join(f"{k} int" for k in keys) + ", " + PACKED)
+
+
+PACKED = "ids binary, m binary, places binary, sizes binary"
+SIDES = ["ids", "m", "places", "sizes"]
+
+
+def common(q_places: np.ndarray, q_sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) of the pairs of a query and a row in one of its places. A row
+    has one place, a query each of its places once, so no pair comes twice."""
+    order = np.argsort(places, kind="stable")
+    there = places[order]
+    low, high = np.searchsorted(there, q_places), np.searchsorted(there, q_places, "right")
+    n = high - low
+    row = order[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    return np.repeat(np.repeat(np.arange(len(q_sizes)), q_sizes), n), row
 
 
 def top(query: np.ndarray, cls: np.ndarray, score: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
@@ -195,9 +277,26 @@ def top(query: np.ndarray, cls: np.ndarray, score: np.ndarray, keep: int) -> tup
     return query[place < keep], cls[place < keep], score[place < keep]
 
 
-def products(pairs: DataFrame, keep: int, kind: str) -> DataFrame:
+def products(pairs: DataFrame, keep: int, kind: str, every: bool = False) -> DataFrame:
     """(query, cls, score): the ``keep`` best of each query in the pairs of
-    matrices of a task, up to ``HELD`` rows at a time. ``pairs``: q_ids, q_m, ids, m."""
+    matrices of a task, up to ``HELD`` rows at a time. Of a pair the rows of common
+    places are compared, or with ``every`` all. ``pairs``: ``SIDES`` of the queries
+    (q_...) and the classes."""
+    def scored(q_m, m, q_places, q_sizes, places):
+        if every:
+            scores = q_m @ m.T
+            n = min(keep, len(m))
+            near = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+            yield np.repeat(np.arange(len(q_m)), n), near.ravel(), np.take_along_axis(scores, near, 1).ravel()
+            return
+        query, row = common(q_places, q_sizes, places)
+        if len(query) > len(q_m) * len(m) / 8:
+            yield query, row, (q_m @ m.T)[query, row]
+            return
+        for at in range(0, len(query), 1 << 16):
+            q, r = query[at:at + (1 << 16)], row[at:at + (1 << 16)]
+            yield q, r, np.einsum("ij,ij->i", q_m[q], m[r])
+
     def multiply(batches):
         held, n_held = [], 0
 
@@ -207,26 +306,58 @@ def products(pairs: DataFrame, keep: int, kind: str) -> DataFrame:
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["query", "cls", "score"])
 
+        columns = ["q_" + c for c in SIDES] + SIDES
         for batch in batches:
-            for q_ids, q_m, ids, m in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_m", "ids", "m"))):
+            for row in zip(*(batch.column(c) for c in columns)):
+                q_ids, q_m, q_places, q_sizes, ids, m, places, _ = (x.as_buffer() for x in row)
                 q_ids, ids = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
                 q_m, m = (np.frombuffer(x, kind).astype(np.float64).reshape(len(n), -1)
                           for x, n in ((q_m, q_ids), (m, ids)))
-                scores = q_m @ m.T
-                n = min(keep, len(ids))
-                near = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-                held.append((np.repeat(q_ids, n), ids[near].ravel(), np.take_along_axis(scores, near, 1).ravel()))
-                n_held += near.size
+                for q, r, score in scored(q_m, m, *(np.frombuffer(x, "<i4") for x in (q_places, q_sizes, places))):
+                    held.append((q_ids[q], ids[r], score))
+                    n_held += len(q)
                 if n_held > HELD:
                     held = [best()]
                     n_held = len(held[0][0])
                     if n_held > HELD // 2:
                         yield batch_of(held[0])
                         held, n_held = [], 0
-        if held:
+        if n_held:
             yield batch_of(best())
 
-    return pairs.select("q_ids", "q_m", "ids", "m").mapInArrow(multiply, "query long, cls long, score double")
+    return pairs.select(*["q_" + c for c in SIDES], *SIDES).mapInArrow(multiply, "query long, cls long, score double")
+
+
+def with_every(queries: DataFrame, index: DataFrame, rows: int, keep: int, kind: str) -> DataFrame:
+    """(query, cls, score) of ``queries`` (dim, id, v) with all classes of their
+    dimension, in blocks: the classes' matrices are dealt over parts, each of which
+    gets all matrices of queries."""
+    parts = max(1, min(10_000, rows // (64 * PACK)))
+    none = F.array().cast("array<int>")
+    block = lambda df: packs(df.withColumn("places", none), ["dim"], max(2, parts))
+    asked = block(queries).toDF("dim", *["q_" + c for c in SIDES]).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    held = block(index).withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int"))
+    return products(asked.join(held, ["dim", "part"]), keep, kind, every=True)
+
+
+def fit(sample: DataFrame, index: DataFrame, rows: int, k: int, kind: str, longest: dict[int, float]) -> dict[int, int]:
+    """The number of probes of each dimension, from the ``sample`` queries (query, v)."""
+    dim = F.size("v").alias("dim")
+    best = best_of(with_every(sample.select(dim, F.col("query").alias("id"), "v"),
+                              index.select(dim, F.col("cls").alias("id"), "v"), rows, k, kind), k)
+    # the sample's queries with their k nearest: bounded, so they may come to the driver
+    found = (best.join(sample.withColumnRenamed("v", "q_v"), "query").join(index.select("cls", "v"), "cls")
+             .select("query", "q_v", "v").collect())
+    probes: dict[int, int] = {}
+    by_dim: dict[int, dict] = {}
+    for r in found:
+        by_dim.setdefault(len(r["q_v"]), {}).setdefault(r["query"], (r["q_v"], []))[1].append(r["v"])
+    for n, queries in by_dim.items():
+        span = longest.get(n)
+        probes[n] = fitted_probes(units(np.array([q for q, _ in queries.values()]), None if span is None else 0),
+                                  [units(np.array(v), span) for _, v in queries.values()])
+    return probes
 
 
 def best_of(found: DataFrame, keep: int) -> DataFrame:
@@ -257,10 +388,11 @@ def exact(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, schema)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PROBES, id_col: str = "vec_id",
-           vector_col: str = "embedding", spread: int = 2) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: dict[int, int] | None = None,
+           id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score): the ``k`` nearest rows of ``vectors`` that
-    each row of ``queries`` finds, itself (the row of its id) left out."""
+    each row of ``queries`` finds, itself (the row of its id) left out. ``probes``, by
+    dimension, are fitted unless given."""
     rows, asked = valid(vectors, id_col, vector_col), valid(queries, id_col, vector_col)
     dim = F.size("v").alias("dim")
     sizes = C.cut(rows.groupBy(dim).agg(F.count("*").alias("rows")), "ann_sizes")
@@ -275,12 +407,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     spans = index.groupBy(dim).agg(F.min(norm).alias("low"), F.max(norm).alias("high")).collect()  # a row per dimension
     longest = {r["dim"]: r["high"] for r in spans if r["high"] - r["low"] > 1e-6 * r["high"]}
-    buckets = ["dim", "tab", "bucket"]
-    held = packs(hashed(index, "cls", longest, 1), buckets, spread)
-    wanted = packs(hashed(vectors_asked, "query", dict.fromkeys(longest, 0), probes), buckets, spread)
     keep = k + 4  # room for products that differ in the last bit
     kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
-    found = products(wanted.toDF(*buckets, "q_ids", "q_m").join(held, buckets), keep, kind)
+    n_rows = index.count()
+    if probes is None:
+        sample = vectors_asked.orderBy(F.xxhash64("query")).limit(SAMPLE)
+        probes = fit(C.cut(sample, "ann_sample"), index, n_rows, k + 1, kind, longest)
+    # a hot bucket is dealt over several tasks
+    buckets, spread = ["dim", "tab", "bucket"], max(2, n_rows // 200_000)
+    held = packs(hashed(index, "cls", longest), buckets, spread)
+    wanted = packs(hashed(vectors_asked, "query", dict.fromkeys(longest, 0), probes), buckets, 2)
+    found = products(wanted.toDF(*buckets, *["q_" + c for c in SIDES]).join(held, buckets), keep, kind)
     best = C.cut(best_of(found, keep), "ann_best")
 
     # who found less than there is to find asks every class
@@ -288,10 +425,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     enough = (best.join(members, "cls").groupBy("query").agg(F.sum("n").alias("n"))
               .join(vectors_asked.select("query", dim), "query").join(sizes, "dim")
               .where(F.col("n") >= F.least(F.lit(k + 1), "rows")).select("query"))
-    poor = vectors_asked.join(enough, "query", "left_anti")
-    one = lambda df, name: packs(df.select(dim, F.col(name).alias("id"), "v"), ["dim"], spread)
-    rest = products(one(poor, "query").toDF("dim", "q_ids", "q_m").join(one(index, "cls"), "dim"), keep, kind)
-    best = best.join(enough, "query", "left_semi").unionAll(best_of(rest, keep))
+    poor = C.cut(vectors_asked.join(enough, "query", "left_anti"), "ann_poor")
+    if not poor.isEmpty():
+        rest = with_every(poor.select(dim, F.col("query").alias("id"), "v"),
+                          index.select(dim, F.col("cls").alias("id"), "v"), n_rows, keep, kind)
+        best = C.cut(best.join(poor.select("query"), "query", "left_anti").unionAll(best_of(rest, keep)), "ann_best")
 
     scored = exact(best.join(vectors_asked.withColumnRenamed("v", "q_v"), "query").join(index.select("cls", "v", "ids"), "cls"))
     # the rows of a query's best classes: at most (k + 1) of each of k + 4

@@ -100,3 +100,85 @@ def test_query(spark):
     assert set(got) == {i for i in ids if i % 20 == 0}
     hit = sum(len({i for i, _ in got[q]} & {i for i, _ in brute(ids, x, q, 20)}) for q in got)
     assert hit >= 0.9 * 20 * len(got)
+
+
+def compared(x, queries, k=20):
+    """(share of the rows that a query is compared with, recall) under the fitted probes."""
+    u = ann.units(x, None)
+    near = [np.argsort(-(u @ u[q]), kind="stable")[1:k + 1] for q in queries]
+    sample = range(0, len(queries), 2)
+    probes = ann.fitted_probes(u[queries[::2]], [u[near[i]] for i in sample])
+    hit = np.zeros((len(queries), len(x)), bool)
+    for table in range(ann.TABLES):
+        a, b = ann.cell(u, table)
+        one, two, _ = ann.cells(u[queries], table, probes)
+        for i in range(len(queries)):
+            hit[i] |= np.isin(a * 10_000 + b, one[i] * 10_000 + two[i])
+    others = range(1, len(queries), 2)  # the probes were not fitted on these
+    return hit[others].mean(), np.mean([hit[i][near[i]].mean() for i in others])
+
+
+def test_clustered_vectors_are_compared_with_few():
+    rng = np.random.default_rng(8)
+    shares = []
+    for n in (3000, 12_000):
+        centres = rng.normal(size=(n // 40, 48))
+        x = np.repeat(centres, 40, axis=0) + 0.35 * rng.normal(size=(n // 40 * 40, 48))
+        share, recall = compared(x, rng.choice(len(x), 60, replace=False))
+        shares.append(share)
+        assert share <= 0.1 and recall >= 0.9, (n, share, recall)
+    assert shares[1] < shares[0]
+
+
+def test_share_falls_with_the_table():
+    """On random vectors too, which have no near neighbours to speak of."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(24_000, 48))
+    (few, r1), (many, r2) = (compared(x[:n], rng.choice(n, 60, replace=False)) for n in (1500, 24_000))
+    assert many < few < 1 and min(r1, r2) >= 0.9
+
+
+def test_probed_cells_are_the_cheapest():
+    x = ann.units(np.random.default_rng(2).normal(size=(20, 8)), None)
+    one, two, cost = ann.cells(x, 3, 30)
+    s = ann.signed(x, 3)
+    every = np.square(s[0].max(1, keepdims=True) - s[0])[:, :, None] + np.square(s[1].max(1, keepdims=True) - s[1])[:, None, :]
+    for i in range(20):
+        assert np.allclose(np.sort(cost[i]), np.sort(every[i].ravel())[:30])
+        assert np.allclose(every[i][one[i], two[i]], cost[i])
+        a, b = ann.cell(x[i:i + 1], 3)
+        assert every[i][a[0], b[0]] == 0
+
+
+def test_common_places():
+    rng = np.random.default_rng(4)
+    places = rng.integers(0, 6, 40)
+    asked = [rng.choice(6, rng.integers(0, 4), replace=False) for _ in range(9)]
+    q, r = ann.common(np.concatenate(asked), np.array([len(a) for a in asked]), places)
+    assert sorted(zip(q.tolist(), r.tolist())) == [(i, j) for i, a in enumerate(asked) for j in range(40) if places[j] in a]
+
+
+def test_columns_with_clashing_names(spark):
+    x = np.random.default_rng(6).normal(size=(200, 6)).astype(np.float32).astype(float)
+    names = ["id", "v", "k1", "k2", "rank", "dim", "tab", "bucket", "places", "query", "cls", "score", "part", "salt", "m", "ids"]
+    vectors = frame(spark, np.arange(200), x).select("vec_id", "embedding")
+    for name in names:
+        vectors = vectors.withColumn(name, vectors.vec_id * 0 + 7)
+    got = found(ann.search(vectors, vectors.where("vec_id % 50 = 0"), 5))
+    assert set(got) == {0, 50, 100, 150}
+    hit = sum(len({i for i, _ in got[q]} & {i for i, _ in brute(np.arange(200), x, q, 5)}) for q in got)
+    assert hit >= 18
+
+
+def test_a_hot_vector_and_a_hot_bucket(spark):
+    """A third of the rows in one direction, another third equal."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(900, 16))
+    x[:300] = x[0] + 0.01 * rng.normal(size=(300, 16))
+    x[300:600] = x[300]
+    x = x.astype(np.float32).astype(float)
+    vectors = frame(spark, np.arange(900), x)
+    got = found(ann.search(vectors, vectors.where("vec_id % 45 = 0"), 20))
+    assert set(got) == set(range(0, 900, 45))
+    hit = sum(len({i for i, _ in got[q]} & {i for i, _ in brute(np.arange(900), x, q, 20)}) for q in got)
+    assert hit >= 0.9 * 20 * len(got) and all(len(r) == 20 for r in got.values())

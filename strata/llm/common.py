@@ -105,6 +105,13 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
 
 
+def measured(df: DataFrame, most: int = 50_000) -> DataFrame:
+    """``df`` (stored, of short rows) to be broadcast, if it turns out to have at most
+    ``most`` rows: then a key with most of the other side's rows is not shuffled. Else
+    as it is, and AQE splits such a key."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """``fn`` turns each Arrow batch into a dict of columns for ``schema``."""
     arrow = arrow_schema(schema)

@@ -128,6 +128,8 @@ def later_runs(lines: DataFrame, min_words: int) -> DataFrame:
     named = C.cut(named.distinct(), "line_runs")
     place = F.struct(F.col("doc").isNull().alias("null_last"), "doc", *KEY, "start")
     earliest = named.groupBy("len", "first", "last").agg(F.min(place).alias("e"), F.count("*").alias("n")).where("n > 1")
+    # stored, so that the join's shuffle is its own: AQE may split a run that stands often
+    earliest = C.cut(earliest, "line_earliest")
     return (named.join(earliest, ["len", "first", "last"])
             .where((F.col("k1") != F.col("e.k1")) | (F.col("k2") != F.col("e.k2")) | (F.col("start") != F.col("e.start")))
             .select(*KEY, "start", "len"))

@@ -49,6 +49,8 @@ CROWD = 512
 #: Classes, and bytes of their shingle sets, in a block.
 BLOCK = 128
 BLOCK_BYTES = 8 << 20
+#: Classes of a region's part.
+PART = 256
 #: Rounds of best neighbours before the last one over all pairs left.
 ROUNDS = 1
 #: A pair whose signatures agree in a smaller share than this is not confirmed:
@@ -299,38 +301,45 @@ def by_depth(rows: DataFrame, depth: int = DEPTH, min_depth: int = MIN_DEPTH, cr
                                                  F.count("*").alias("n")).where("low != high")
             rows = C.cut(deeper.drop("n").join(mixed.select("region", "n"), "region"), "forest_deeper")
         here = rows if extra == depth - min_depth else rows.where(F.col("n") <= crowd)
-        here = here.select("region", "doc_id", "root")
+        here = here.select("region", "doc_id", "root", "n")
         out = here if out is None else out.unionAll(here)
         rows = rows.where(F.col("n") > crowd)
     return out
 
 
-def blocks(rows: DataFrame) -> DataFrame:
-    """The classes of each region in blocks: (region, block, ids, roots, sizes,
-    sets). ``rows``: region, doc_id, root, shingles."""
+def blocks(rows: DataFrame, part_rows: int = PART) -> DataFrame:
+    """The classes of each region in blocks: (region, part, parts, block, ids, roots,
+    sizes, sets). ``rows``: region, doc_id, root, n, shingles. A region of many classes
+    is dealt over several parts, so that none of its tasks holds all of it."""
+    keys = ["region", "part", "parts"]
+
     def gather(batches):
-        region, block, held, size = None, 0, [], 0
+        key, block, held, size = None, 0, [], 0
 
         def flush():
             ids, roots, sets = zip(*held)
             yield pa.RecordBatch.from_pydict({
-                "region": pa.array([region], pa.int64()), "block": pa.array([block], pa.int32()),
+                "region": pa.array([key[0]], pa.int64()), "part": pa.array([key[1]], pa.int32()),
+                "parts": pa.array([key[2]], pa.int32()), "block": pa.array([block], pa.int32()),
                 "ids": [np.array(ids, "<i8").tobytes()], "roots": [np.array(roots, "<i8").tobytes()],
                 "sizes": [np.array([len(x) // 8 for x in sets], "<i8").tobytes()], "sets": [b"".join(sets)]})
 
         for batch in batches:
-            for r, d, root, x in zip(*(batch.column(c).to_pylist() for c in ("region", "doc_id", "root", "shingles"))):
-                if held and (r != region or len(held) == BLOCK or size + len(x) > BLOCK_BYTES):
+            for *own, d, root, x in zip(*(batch.column(c).to_pylist() for c in (*keys, "doc_id", "root", "shingles"))):
+                if held and (own != key or len(held) == BLOCK or size + len(x) > BLOCK_BYTES):
                     yield from flush()
-                    block, held, size = block + 1 if r == region else 0, [], 0
-                region = r
+                    block, held, size = block + 1 if own == key else 0, [], 0
+                key = own
                 held.append((d, root, x))
                 size += len(x)
         if held:
             yield from flush()
 
-    ordered = rows.repartition("region").sortWithinPartitions("region", "doc_id")
-    return ordered.mapInArrow(gather, "region long, block int, ids binary, roots binary, sizes binary, sets binary")
+    parts = F.ceil(F.col("n") / part_rows).cast("int")
+    dealt = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    ordered = dealt.repartition("region", "part").sortWithinPartitions("region", "part", "doc_id")
+    return ordered.mapInArrow(gather, "region long, part int, parts int, block int, ids binary, roots binary, "
+                                      "sizes binary, sets binary")
 
 
 def common_shingles(sizes1, sets1, sizes2, sets2, columns: int = 8192) -> np.ndarray:
@@ -387,8 +396,11 @@ def block_links(packed: DataFrame, percent: int = PERCENT) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     columns = ["block", "ids", "roots", "sizes", "sets"]
-    other = packed.toDF("region", *("o_" + c for c in columns))
-    return packed.join(other, "region").where("block <= o_block").mapInArrow(compare, "a long, b long")
+    # a part meets itself and the parts after it, each in a task of its own
+    other = packed.select("region", F.col("part").alias("with"), *[F.col(c).alias("o_" + c) for c in columns])
+    meets = packed.withColumn("with", F.explode(F.sequence(F.col("part"), F.col("parts") - 1)))
+    return (meets.join(other, ["region", "with"]).where("part < with or block <= o_block")
+            .select(*columns, *["o_" + c for c in columns]).mapInArrow(compare, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

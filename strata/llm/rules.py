@@ -131,7 +131,7 @@ def with_groups(stats: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     small = small.withColumnRenamed("lang", "small_lang")
     groups = C.cut(n.join(small, F.col("lang").eqNullSafe(F.col("small_lang")), "left")
                    .select(lang.alias("g_lang"), source.alias("g_source"), level.alias("grp")), "rule_groups")
-    return (stats.join(groups, (lang == F.col("g_lang")) & (source == F.col("g_source")), "left")
+    return (stats.join(C.measured(groups), (lang == F.col("g_lang")) & (source == F.col("g_source")), "left")
             .drop("g_lang", "g_source"))
 
 
@@ -207,24 +207,24 @@ def mcd(vectors: DataFrame, share: float = H, steps: int = STEPS) -> DataFrame:
     rows are stored. ``scale`` takes the median distance to chi-squared's."""
     med = C.cut(pivoted(C.step_quantile(by_dim(vectors, {d: F.col(d) for d in DIMS}), ["grp", "dim"], "v", 0.5), "med_"),
                 "rule_medians")
-    centred = vectors.join(med, "grp")
+    centred = vectors.join(C.measured(med), "grp")
     mad = pivoted(C.step_quantile(by_dim(centred, {d: F.abs(F.col(d) - F.col("med_" + d)) for d in DIMS}),
                                 ["grp", "dim"], "v", 0.5), "mad_")
-    middle = C.cut(med.join(mad, "grp"), "rule_middles")
+    middle = C.measured(C.cut(med.join(mad, "grp"), "rule_middles"))
     squashed = [F.round(STEP * F.tanh((F.col(d) - F.col("med_" + d)) / (1.4826 * F.greatest(
         F.col("mad_" + d), F.lit(FLOORS[d] * STEP))))).cast("long") for d in DIMS]
     sums = vectors.join(middle, "grp").groupBy("grp").agg(*moments(squashed)).join(middle, "grp")
     fit = C.cut(fits(sums, "tanh"), "rule_fit")
     fine = F.floor(256 * F.log2(1 + F.greatest(distance(), F.lit(0.0)))).alias("d")
     for _ in range(steps):
-        near = vectors.join(fit, "grp").select("grp", "start", *DIMS, fine)
-        limit = C.cut(C.step_quantile(near.select("grp", "start", "d"), ["grp", "start"], "d", share)
-                      .withColumnRenamed("d", "limit"), "rule_limit")
+        near = vectors.join(C.measured(fit), "grp").select("grp", "start", *DIMS, fine)
+        limit = C.measured(C.cut(C.step_quantile(near.select("grp", "start", "d"), ["grp", "start"], "d", share)
+                                 .withColumnRenamed("d", "limit"), "rule_limit"))
         kept = near.join(limit, ["grp", "start"]).where(F.col("d") <= F.col("limit"))
         fit = C.cut(fits(kept.groupBy("grp", "start").agg(*moments([F.col(d) for d in DIMS]))), "rule_fit")
     best = fit.groupBy("grp").agg(F.min_by(F.struct("mean", "inv"), F.struct("log_det", "start")).alias("b"))
     best = C.cut(best.select("grp", "b.*"), "rule_best")
-    half = C.step_quantile(vectors.join(best, "grp").select("grp", fine), ["grp"], "d", 0.5)
+    half = C.step_quantile(vectors.join(C.measured(best), "grp").select("grp", fine), ["grp"], "d", 0.5)
     scale = F.greatest((F.pow(F.lit(2.0), (F.col("d") + 1) / 256) - 1) / CHI2_MEDIAN, F.lit(1.0))
     return C.cut(best.join(half, "grp").select("grp", "mean", "inv", scale.alias("scale")), "rule_estimates")
 
@@ -236,7 +236,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, **columns: str) -> DataFrame:
     # a document without words has no vector
     estimates = mcd(stats.where("grp is not null and n_words > 0").select("grp", *DIMS))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (stats.join(estimates, "grp", "left")
+    return (stats.join(C.measured(estimates), "grp", "left")
             .withColumn("base_failed", failed)
             .withColumn("distance", distance() / F.col("scale"))
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))

@@ -108,3 +108,37 @@ def test_odd_rows_and_empty_table(spark):
         if r["doc_id"] == 5:
             assert (r["component_id"], r["kept"]) == (4, False)
     assert neardup.near_duplicates(documents(spark, [])).count() == 0
+
+
+def joined(nodes, links):
+    lead = {n: n for n in nodes}
+
+    def find(n):
+        while lead[n] != n:
+            n = lead[n]
+        return n
+
+    for a, b in links:
+        lead[max(find(a), find(b))] = min(find(a), find(b))
+    return {n: find(n) for n in nodes}
+
+
+def test_a_crowded_region_in_parts(spark):
+    """However a region is dealt over parts, what its links connect is what all pairs would."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    base = [rng.choice(10 ** 6, 60, replace=False) for _ in range(12)]
+    sets = {}
+    for k in range(150):
+        s = base[k % 12].copy()
+        s[rng.integers(0, 60, k % 6)] = rng.integers(10 ** 6, 2 * 10 ** 6, k % 6)
+        sets[k] = np.unique(s).astype(np.uint64)
+    want = joined(sets, [(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b]))
+                         >= 85 * len(np.union1d(sets[a], sets[b]))])
+    for part_rows in (1000, 40, 7):
+        rows = spark.createDataFrame([(r, k, k, 150, bytearray(sets[k].tobytes())) for k in sets for r in (1, 2)],
+                                     "region long, doc_id long, root long, n long, shingles binary")
+        packed = neardup.blocks(rows, part_rows)
+        links = neardup.block_links(packed, 85).collect()
+        assert joined(sets, [(r["a"], r["b"]) for r in links]) == want
+        assert packed.select("part").distinct().count() >= (150 // part_rows + 1) // 2

@@ -1,5 +1,7 @@
+import math
 import random
 
+import numpy as np
 from llm_rows import ODD, documents, prose
 
 from strata.llm import rules
@@ -84,3 +86,76 @@ def test_odd_rows_and_empty_table(spark):
     out = rules.judge(documents(spark, ODD)).collect()
     assert len(out) == len(ODD) and all(r["base_failed"] for r in out if r["doc_id"] in (1, 2, 3, 4, 6))
     assert rules.judge(documents(spark, [])).count() == 0
+
+
+def least_step(values, share):
+    """The least value that at least the share of them stay within."""
+    return sorted(values)[max(0, math.ceil(share * len(values)) - 1)]
+
+
+def robust(x):
+    """Minimum covariance determinant of integer vectors, straight from its
+    definition: two starts, concentration steps on the nearest, the smaller
+    determinant wins. Gives the squared distances."""
+    n, p = x.shape
+    floors, step = np.array(list(rules.FLOORS.values())), rules.STEP
+    med = np.array([least_step(c, 0.5) for c in x.T], float)
+    mad = np.array([least_step(np.abs(c - m), 0.5) for c, m in zip(x.T, med)], float)
+    squashed = np.round(step * np.tanh((x - med) / (1.4826 * np.maximum(mad, floors * step)))) / step
+    cov = np.cov(squashed.T, bias=True)
+    sd = np.sqrt(np.diag(cov))
+    corr = np.divide(cov, np.outer(sd, sd), out=np.zeros((p, p)), where=np.outer(sd, sd) > 1e-12)
+    np.fill_diagonal(corr, 1)
+    width = 1.4826 * mad / step
+    best = None
+    for name, mean, cov in (("mad", med / step, np.diag(width ** 2)), ("tanh", med / step, corr * np.outer(width, width))):
+        for _ in range(rules.STEPS):
+            d = distances(x, mean, cov + np.diag(floors ** 2))
+            near = x[d <= least_step(d, rules.H)] / step
+            mean, cov = near.mean(axis=0), np.cov(near.T, bias=True)
+        cov = cov + np.diag(floors ** 2)
+        if best is None or (np.linalg.slogdet(cov)[1], name) < best[0]:
+            best = (np.linalg.slogdet(cov)[1], name), mean, cov
+    _, mean, cov = best
+    half = least_step(distances(x, mean, cov), 0.5)
+    scale = max((2 ** ((half + 1) / 256) - 1) / rules.CHI2_MEDIAN, 1)
+    y = x / rules.STEP - mean
+    return (y @ np.linalg.inv(cov) * y).sum(axis=1) / scale
+
+
+def distances(x, mean, cov):
+    y = x / rules.STEP - mean
+    return np.floor(256 * np.log2(1 + np.maximum((y @ np.linalg.inv(cov) * y).sum(axis=1), 0)))
+
+
+def test_verdicts_equal_brute_force(spark):
+    """Trimming, the choice of a start and ``kept``, on three groups with outliers of
+    several kinds and a pool of small groups."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(620):
+        words = prose(k, rng.randint(20, 120))
+        kind = rng.random()
+        if kind < 0.08:
+            words = [w.upper() + "!!" for w in words]
+        elif kind < 0.14:
+            words = [w + "#|" if rng.random() < 0.5 else w for w in words]
+        elif kind < 0.18:
+            words = ["x" * 30] * 12
+        text = "".join(w + ("\n" if rng.random() < 0.1 else " ") for w in words)
+        lang, source = rng.choice([("en", "a"), ("en", "a"), ("en", "b"), ("de", "a"), ("fr", f"s{k % 9}")])
+        rows.append((k, text, lang, source))
+    out = rules.judge(documents(spark, rows)).collect()
+    assert len(out) == len(rows)
+    by_group = {}
+    for r in out:
+        by_group.setdefault(r["grp"], []).append(r)
+    assert len(by_group) >= 4
+    gone = 0
+    for group in by_group.values():
+        want = robust(np.array([[r[d] for d in rules.DIMS] for r in group]))
+        for r, d in zip(group, want):
+            assert abs(r["distance"] - d) <= 1e-6 * max(1, d)
+            assert r["kept"] == (not r["base_failed"] and d <= rules.CUTOFF)
+            gone += not r["kept"] and not r["base_failed"]
+    assert gone >= 20

@@ -84,7 +84,7 @@ def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 
 
 #: Bytes of text whose rows share a bucket of a bucketed table, and the most buckets.
-BUCKET_BYTES, MAX_BUCKETS = 1 << 25, 100_000
+BUCKET_BYTES, MAX_BUCKETS = 1 << 24, 100_000
 
 
 def bucketed(df: DataFrame, name: str, key: str, text_bytes: int, keep: bool = False) -> str:
@@ -112,14 +112,17 @@ def measured(df: DataFrame, most: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """``fn`` turns each Arrow batch into a dict of columns for ``schema``."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str,
+                part: tuple[str, int] | None = None) -> DataFrame:
+    """``fn`` turns each Arrow batch into a dict of columns for ``schema``; with
+    ``part`` each run of rows of about so many bytes of a column."""
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield to_batch(out, arrow)
+            for some in slices(batch, *part) if part else (batch,):
+                if some.num_rows and (out := fn(some)) is not None:
+                    yield to_batch(out, arrow)
 
     return df.mapInArrow(run, schema)
 

@@ -80,7 +80,7 @@ def positions(docs: DataFrame, min_words: int) -> DataFrame:
                 "forward": np.concatenate(forward), "backward": np.concatenate(backward)}
 
     id_type = docs.schema["doc"].dataType.simpleString()
-    return C.map_batches(docs, split, LINES.format(id=id_type))
+    return C.map_batches(docs, split, LINES.format(id=id_type), ("text", 1 << 21))
 
 
 def ranked(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -164,7 +164,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     arrow = to_arrow_schema(schema)
 
     def rebuild(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in C.slices(whole, text_col, 1 << 21)):
             kept, told = [], []
             for text, out in zip(batch.column(text_col).to_pylist(), batch.column(lost).to_pylist()):
                 lines = text.split("\n") if text is not None else []

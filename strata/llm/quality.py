@@ -47,7 +47,7 @@ ORDER = 4
 BITS = 15
 BEGIN, END, OTHER = 0, 1, (1 << BITS) - 1
 #: Bytes of text that ask for their grams together.
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 24
 #: Characters, or bytes, of text that go through numpy at a time.
 STRETCH = 1 << 19
 #: One trusted document in so many is held out to set the thresholds.
@@ -269,7 +269,7 @@ def probabilities(model: Model, wanted: DataFrame) -> DataFrame:
 # --- scoring ----------------------------------------------------------------
 
 LANG, TEXT = C.OWN + "lang", C.OWN + "text"
-RATES = "block long, no int, bits array<double>"
+RATES = "block long, nos array<int>, bits array<array<double>>"
 BLOCKS = "block long, no int, lang string, grams binary, parcel binary"
 
 
@@ -341,9 +341,9 @@ class Scored:
         character, null where there is no text. Parcels are opened one by one, where
         they are stored."""
         schema = C.schema_with(self.docs, carry, out_col, "double")
-        per_block = self.rates.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("no", "bits"))).alias("bits"))
-        parcels = (self.blocks.where("parcel is not null").select("block", "no", "parcel").join(per_block, "block")
-                   .select("parcel", F.element_at("bits", F.col("no")).alias("bits")))
+        # one row a block, so that the parcels stay in their buckets
+        parcels = (self.blocks.where("parcel is not null").select("block", "no", "parcel").join(self.rates, "block")
+                   .select("parcel", F.element_at("bits", F.array_position("nos", F.col("no")).cast("int")).alias("bits")))
 
         def unpack(batches):
             open_ = zstandard.ZstdDecompressor().decompress
@@ -426,8 +426,8 @@ def _score(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang
                 total = np.add.reduceat(value[np.searchsorted(seen, grams)], begins)
                 bits[at] = -total / [len(t) + 1 for t in spelled]
             rates.append(bits)
-        return pa.Table.from_arrays([left.column("block"), left.column("no"), pa.array(rates, schema.field("bits").type)],
-                                    schema=schema)
+        return pa.Table.from_arrays([left.column("block").slice(0, 1), pa.array([left.column("no").to_pylist()], schema.field("nos").type),
+                                     pa.array([rates], schema.field("bits").type)], schema=schema)
 
     packed = blocks.where("parcel is not null").select("block", "no", "parcel")
     rates = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, RATES)

@@ -162,3 +162,15 @@ def test_query_covers_every_document(spark):
     out = QUERIES["op1_kneser_ney"](spark, SF_SMALL)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert out.count() == docs.count() and out.where("perplexity is null").count() == 0
+
+
+def test_parcels_are_not_shuffled(spark):
+    rows = [(i, " ".join(prose(i, 30)), "en") for i in range(60)]
+    trusted = spark.createDataFrame([(i,) for i in range(40)], "doc_id long")
+    told = quality.score(documents(spark, rows), trusted, block_bytes=900)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = told.rows(["doc_id"], "bits")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "parcel" in plan[:plan.index("Bucketed: true")] and plan.count("Exchange hashpartitioning(block") == 1

@@ -142,3 +142,35 @@ def test_a_crowded_region_in_parts(spark):
         links = neardup.block_links(packed, 85).collect()
         assert joined(sets, [(r["a"], r["b"]) for r in links]) == want
         assert packed.select("part").distinct().count() >= (150 // part_rows + 1) // 2
+
+
+def test_recall_where_regions_are_crowded(spark):
+    """Some 2,000 near copies of three texts: regions of far more classes than a
+    region's bound. What is found is held against all pairs on full sets."""
+    rng, rows = random.Random(12), []
+    for base in range(3):
+        words = prose(9000 + base, 200)
+        for k in range(700):
+            some = list(words)
+            for at in rng.sample(range(200), rng.choice([1, 1, 2, 3])):
+                some[at] = f"w{base}x{k}y{at}"
+            rows.append((base * 1000 + k, " ".join(some)))
+    rows += [(5000 + k, " ".join(prose(k, 60))) for k in range(100)]
+    shingles, numbers = [], {}
+    for _, text in rows:
+        words = text.split()
+        shingles.append([numbers.setdefault(tuple(words[i:i + 5]), len(numbers)) for i in range(len(words) - 4)])
+    held = np.zeros((len(rows), len(numbers)), np.float32)
+    for k, s in enumerate(shingles):
+        held[k, s] = 1
+    both, sizes = held @ held.T, held.sum(axis=1)
+    linked = 100 * both >= 85 * (sizes[:, None] + sizes[None, :] - both)
+    ids = [doc for doc, _ in rows]
+    want = joined(ids, [(ids[i], ids[j]) for i, j in np.argwhere(np.triu(linked, 1)).tolist()])
+    docs = documents(spark, rows)
+    classes = neardup.signatures(docs.select("doc_id", "text"))
+    regions = neardup.forest(classes.select("doc_id", "h1", "h2", "signature")).groupBy("region").count()
+    assert regions.agg({"count": "max"}).first()[0] > neardup.CROWD
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()}
+    assert len(set(want.values())) > 103  # copies of three changes stand apart
+    assert got == want

@@ -1,7 +1,10 @@
 import hashlib
 import random
 import re
+import string
+from collections import Counter
 
+import zstandard
 from llm_rows import ODD, documents, prose
 
 from strata.llm import secrets
@@ -107,3 +110,69 @@ def test_query_digest(spark):
             clean += (text[at:int(s)] + "<SECRET>") if int(s) >= at else ""
             at = max(at, int(e))
         assert r["clean_sha256"] == hashlib.sha256((clean + text[at:]).encode()).hexdigest()
+
+
+def brute_candidates(text):
+    """Strings of 16 and more that begin within reach of a sensitive word, by position."""
+    letters, found = set(string.ascii_letters + string.digits + "+/_=-"), set()
+    for word in secrets.CONTEXT.finditer(text):
+        at = word.end()
+        while at < min(len(text), word.end() + secrets.REACH):
+            end = at
+            while end < len(text) and text[end] in letters:
+                end += 1
+            if end - at >= 16:
+                found.add((at, end))
+            at = max(end, at + 1)
+    return sorted(found)
+
+
+def brute_sides(text, found, start, end):
+    """What is left of the text on each side, character by character."""
+    gone, own = [False] * len(text), text[start:end]
+    for s, e in [*found, *((at, at + len(own)) for at in range(len(text)) if text.startswith(own, at)
+                           and not (at < end and start < at + len(own)))]:
+        for i in range(s, e):
+            gone[i] = True
+    side = lambda a, b: "".join(text[i] for i in range(max(0, a), min(b, len(text))) if not gone[i])
+    return side(start - secrets.SURROUND, start), side(end, end + secrets.SURROUND)
+
+
+def test_novel_spans_of_a_table_equal_brute_force(spark):
+    rng = random.Random(21)
+    key = lambda n: "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=n))
+    rows = []
+    for k in range(150):
+        words = prose(k, 30)
+        for _ in range(rng.randint(0, 3)):
+            value = rng.choice([key(rng.randint(16, 40)), "the_value_of_the_setting_here", "x" * 24, words[0] * 3])
+            name = rng.choice(["dbPassword", "private key", "authToken is", "bearer", "credentials ->", "plain"])
+            words.insert(rng.randrange(len(words)), f"{name} {value}" + rng.choice(["", f" {value}", f"\nagain {value}"]))
+        rows.append((k if k % 9 else None, " ".join(words)))
+    rows += [rows[4]] * 3
+    texts = [t for _, t in rows]
+    around = Counter()
+    for text in texts:
+        found = brute_candidates(text)
+        for s, e in found:
+            for part in brute_sides(text, found, s, e):
+                around.update(re.findall("[A-Za-z_]{3,24}", part))
+    top = sorted(around, key=lambda w: (-around[w], w))[:secrets.DICTIONARY_SIZE]
+    primed = zstandard.ZstdCompressionDict(" ".join(reversed(top)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    size = lambda t: len(zstandard.ZstdCompressor(
+        level=12, write_content_size=False, dict_data=primed).compress(t.encode()))
+    want = []
+    for doc, text in rows:
+        base, found = brute(text), brute_candidates(text)
+        spans = [(k, s, e) for k, s, e in base]
+        for s, e in found:
+            if not any(b <= s and e <= f for _, b, f in base):
+                before, after = brute_sides(text, found, s, e)
+                if (size(before + text[s:e] + after) - size(before + after)) / (e - s) >= secrets.NOVELTY:
+                    spans.append(("novel", s, e))
+        want.append((repr(doc), sorted((s, e, k) for k, s, e in spans)))
+    got = [(repr(r["doc_id"]), sorted((s["start"], s["end"], s["kind"]) for s in r["spans"]))
+           for r in secrets.find_secrets(documents(spark, rows)).collect()]
+    assert sorted(got) == sorted(want)
+    kinds = Counter(k for _, spans in want for *_, k in spans)
+    assert kinds["novel"] > 40 and sum(len(brute_candidates(t)) for t in texts) > kinds["novel"] + 40

@@ -50,7 +50,7 @@ SAMPLE, TARGET = 64, 0.96
 #: Classes or queries in a matrix.
 PACK = 512
 #: Found rows that a task holds before it keeps the best of them.
-HELD = 1 << 20
+HELD = 1 << 18
 SEED = 20
 
 
@@ -299,10 +299,17 @@ def products(pairs: DataFrame, keep: int, kind: str, every: bool = False) -> Dat
 
     def multiply(batches):
         held, n_held = [], 0
+        # queries that have enough, and the score to reach
+        full, least = np.empty(0, np.int64), np.empty(0)
 
         def best():
             return top(*(np.concatenate(x) for x in zip(*held)), keep)
 
+        def bounds(query, _, score):
+            last = np.flatnonzero(np.append(query[1:] != query[:-1], True))
+            enough = np.diff(last, prepend=-1) >= keep
+            return query[last[enough]], score[last[enough]]
+
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["query", "cls", "score"])
 
@@ -313,12 +320,18 @@ def products(pairs: DataFrame, keep: int, kind: str, every: bool = False) -> Dat
                 q_ids, ids = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
                 q_m, m = (np.frombuffer(x, kind).astype(np.float64).reshape(len(n), -1)
                           for x, n in ((q_m, q_ids), (m, ids)))
+                bound = np.full(len(q_ids), -np.inf)
+                if len(full):
+                    at = np.minimum(np.searchsorted(full, q_ids), len(full) - 1)
+                    bound = np.where(full[at] == q_ids, least[at], bound)
                 for q, r, score in scored(q_m, m, *(np.frombuffer(x, "<i4") for x in (q_places, q_sizes, places))):
-                    held.append((q_ids[q], ids[r], score))
-                    n_held += len(q)
+                    good = score >= bound[q]
+                    held.append((q_ids[q[good]], ids[r[good]], score[good]))
+                    n_held += int(good.sum())
                 if n_held > HELD:
                     held = [best()]
                     n_held = len(held[0][0])
+                    full, least = bounds(*held[0])
                     if n_held > HELD // 2:
                         yield batch_of(held[0])
                         held, n_held = [], 0

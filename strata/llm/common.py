@@ -18,6 +18,9 @@ from strata.session import scratch_path
 
 #: Most slots of a key filter, as a power of two: a bitmap of 8 MB.
 FILTER_BITS = 26
+#: Fewest slots: one word in millions passes by chance where keys are few, so that
+#: few of the texts do, which hold hundreds.
+FILTER_LEAST = 23
 #: Slots for each key.
 FILTER_ROOM = 128
 
@@ -183,7 +186,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     used, so a full bitmap costs time, never rows. At most ``2 ** FILTER_BITS / 32``
     words reach the driver, however many keys there are.
     """
-    bits = min(FILTER_BITS, max(10, (keys.count() * FILTER_ROOM).bit_length()))
+    bits = min(FILTER_BITS, max(FILTER_LEAST, (keys.count() * FILTER_ROOM).bit_length()))
     s = F.pmod(F.xxhash64(F.col(keys.columns[0])), F.lit(1 << bits))
     words = (keys.select(s.alias("s"))
              .groupBy(F.shiftright("s", 5).alias("w"))

@@ -23,7 +23,8 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from hashlib import blake2b
+from collections.abc import Callable
+from hashlib import blake2b, sha256
 from itertools import accumulate
 from secrets import token_bytes
 
@@ -207,29 +208,33 @@ def disclosing_terms(docs: DataFrame, window: int = WINDOW, support: int = SUPPO
     return scored.where(F.col("disclosure") >= disclosure).select("entity", "term", "disclosure")
 
 
+Finish = Callable[[str | None, list[dict]], str | None]
+
+
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                        support: int = SUPPORT, disclosure: float = DISCLOSURE, carry: list[str] | None = None,
-                       out_col: str = "spans") -> DataFrame:
+                       out_col: str = "spans", finish: Finish | None = None, finish_col: str = "clean") -> DataFrame:
     """One row per row of ``docs``: its columns ``carry`` (its id by default) and
     ``out_col`` (in place of any column of that name), the spans by kind (email, ip,
-    card, phone, term), then start."""
-    carry = [c for c in ([id_col] if carry is None else carry) if c != out_col]
+    card, phone, term), then start. With ``finish`` also ``finish_col``, what it makes of
+    a row's text and all its spans. A text is only stored where terms may stand in it."""
+    out = [out_col] if finish is None else [out_col, finish_col]
+    carry = [c for c in ([id_col] if carry is None else carry) if c not in out]
     text, key, hits = (C.OWN + n for n in ("text", "text_key", "hits"))
-    read = text_col if text_col in carry else text
-    given = docs.select(*carry, *([] if read == text_col else [F.col(text_col).alias(text)]))
+    given = docs.select(*carry, F.col(text_col).cast("string").alias(text))
     terms = C.cut(disclosing_terms(docs.select(F.col(text_col).alias("text")), window, support, disclosure)
                   .select("term").distinct(), "pii_terms")
     bitmap = C.key_filter(terms)
-    extra = StructType([*C.schema_with(docs, [], key, "long"), *C.schema_with(docs, [], out_col, SPANS),
-                        *C.schema_with(docs, [], hits, HITS)])
+    extra = [(key, "long"), (out_col, SPANS), (hits, HITS), (text, "string"), (finish_col, "string")]
     kinds = C.arrow_schema(f"spans {SPANS}, hits {HITS}")
 
     def scan(batches):
         wanted = TermFilter(bitmap)
         for batch in batches:
-            for part in C.slices(batch, read, 1 << 21):
-                base, found, keys = [], [], []
-                for t in C.texts(part, read):
+            for part in C.slices(batch, text, 1 << 21):
+                base, found, keys, left, done = [], [], [], [], []
+                for raw in part.column(text).to_pylist():
+                    t = raw or ""
                     spans = entities(t)
                     base.append([dict(kind=k, start=s, end=e) for k, s, e in spans])
                     words = wanted(dict.fromkeys(TERM.findall(t))) if not wanted.idle else {}
@@ -238,14 +243,18 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                   for m in TERM.finditer(t) if m[0] in words
                                   and not covered(m.start(), m.end())] if words else [])
                     keys.append(xxhash.xxh64_intdigest(t) - (1 << 63))
-                part = part if read == text_col else part.drop_columns([text])
-                part = C.with_column(part, key, pa.array(keys, pa.int64()))
-                part = C.with_column(part, out_col, pa.array(base, kinds.field("spans").type))
-                yield C.with_column(part, hits, pa.array(found, kinds.field("hits").type))
-
-    schema = StructType([*(docs.schema[c] for c in carry), *extra.fields])
+                    left.append(raw if found[-1] and finish else None)
+                    done.append(finish(raw, base[-1]) if finish and not found[-1] else None)
+                part = part.drop_columns([text])
+                for name, values, kind in ((key, keys, pa.int64()), (out_col, base, kinds.field("spans").type),
+                                           (hits, found, kinds.field("hits").type), (text, left, pa.string()),
+                                           (finish_col, done, pa.string())):
+                    part = C.with_column(part, name, pa.array(values, kind))
+                yield part
+
+    schema = StructType([*(docs.schema[c] for c in carry), *(C.schema_with(docs, [], *e).fields[0] for e in extra)])
     found = C.cut(given.mapInArrow(scan, schema), "pii_found")
-    plain, told = found.where(F.size(hits) == 0).drop(hits), found.where(F.size(hits) > 0)
+    plain, told = found.where(F.size(hits) == 0), found.where(F.size(hits) > 0)
     # hits that only passed the filter go here; rows of equal text share theirs
     sure = (told.select(key, F.explode(hits).alias("hit")).select(F.col(key).alias("key"), "hit.*")
             .join(terms, "term", "left_semi")
@@ -253,7 +262,18 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 F.lit("term").alias("kind"), "start", "end"))).alias("terms")))
     told = told.join(sure, F.col(key) == F.col("key"), "left").withColumn(
         out_col, F.concat(out_col, F.coalesce(sure["terms"], F.array().cast(SPANS))))
-    return plain.drop(key).unionByName(told.select(*carry, out_col))
+    told = told.select(*carry, out_col, text)
+
+    def settle(batches):
+        for batch in batches:
+            for part in C.slices(batch, text, 1 << 21):
+                done = [finish(*row) for row in zip(*(part.column(c).to_pylist() for c in (text, out_col)))]
+                yield C.with_column(part.drop_columns([text]), finish_col, pa.array(done, pa.string()))
+
+    if finish is not None:
+        told = told.mapInArrow(settle, StructType([*told.drop(text).schema.fields,
+                                                   *C.schema_with(docs, [], finish_col, "string").fields]))
+    return plain.select(*carry, *out).unionByName(told.select(*carry, *out))
 
 
 class Covered:
@@ -268,8 +288,10 @@ class Covered:
         return k > 0 and self.upto[k - 1] > start
 
 
-def generalised(kind: str) -> str:
-    return "" if kind == "term" else f"<{kind.upper()}>"
+def generalised(text: str | None, spans: list[dict]) -> str | None:
+    """The text with entities as their kind and without terms."""
+    return text and C.rewritten(text, [
+        (s["start"], s["end"], "" if s["kind"] == "term" else f"<{s['kind'].upper()}>") for s in spans])
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", window: int = WINDOW, support: int = SUPPORT,
@@ -277,18 +299,20 @@ def sanitise(docs: DataFrame, text_col: str = "text", window: int = WINDOW, supp
     """``docs`` with entities generalised to ``<KIND>`` and disclosing terms removed;
     overlapping spans go as one. A row carries its spans, so ids may be missing or
     repeat. Null texts stay null."""
-    spans = C.OWN + "spans"
     found = find_personal_data(docs, text_col=text_col, window=window, support=support, disclosure=disclosure,
-                               carry=docs.columns, out_col=spans)
-    return C.rewrite(found, text_col, spans, generalised)
+                               carry=docs.columns, out_col=C.OWN + "spans", finish=generalised, finish_col=text_col)
+    return found.select(*docs.columns)
+
+
+def clean_digest(text: str | None, spans: list[dict]) -> str:
+    return sha256((generalised(text, spans) or "").encode()).hexdigest()
 
 
 def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_personal_data(C.table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
-    clean = C.rewrite(found.withColumn("cut", F.col("spans")), "text", "cut", generalised)
+    found = find_personal_data(C.table(spark, sf_dir, "documents"), finish=clean_digest, finish_col="clean_sha256")
     spans = F.col("spans")
-    return clean.select(
+    return found.select(
         "doc_id", *[F.size(C.of_kinds(spans, k)).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(C.span_text(C.of_kinds(spans, *KINDS)), 256).alias("base_sha256"),
         C.span_text(spans).alias("spans"), F.size(C.of_kinds(spans, "term")).cast("long").alias("n_term"),
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256"))
+        "clean_sha256")

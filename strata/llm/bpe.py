@@ -32,7 +32,7 @@ from . import common as C
 
 #: Bytes of different pre-tokens that share a queue.
 QUEUE_BYTES = 1 << 18
-#: Pre-tokens that each of the two generations of a task's memory holds.
+#: Pre-tokens that each of the two generations of a worker's memory holds.
 MEMORY = 300_000
 #: Longer pre-tokens are not remembered.
 REMEMBERED = 64
@@ -233,6 +233,13 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str, pattern: str) -> Encoder:
+    """The worker's encoder: its memory of bounded size outlives a task, since most
+    pre-tokens of the next one are known."""
+    return Encoder(vocabulary(path), pattern)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", carry: list[str] | None = None,
            out_col: str = "ids") -> DataFrame:
     """The columns ``carry`` of ``docs`` (all by default) and ``out_col`` (in place
@@ -243,7 +250,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", car
     given = docs.select(*carry, F.col(text_col).cast("string").alias(C.OWN + "text"))
 
     def texts(batches):
-        encoder = Encoder(vocabulary(path), pattern)
+        encoder = encoder_of(path, pattern)
         for batch in batches:
             for part in C.slices(batch, C.OWN + "text", STRETCH):
                 ids = pa.array(encoder(C.texts(part, C.OWN + "text")), pa.binary())

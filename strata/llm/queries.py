@@ -38,6 +38,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op8_pfair_mix": OP8_SQL,
-    "op11_interval_alignment": op11_interval_alignment,
     "op12_octopus_manifest": OP12_SQL,
 }

@@ -12,11 +12,11 @@ codes of characters that it does not hold; should a language hold more than
 there are codes, its rarest characters are spelled with two.
 
 Scoring is a join of counts. Documents are taken in blocks of ``BLOCK_BYTES`` of
-text, however many or long they are, and stored compressed with the grams that
-the block holds. A block asks for the probabilities of its distinct grams; the
+text, however many or long they are, and stored with the grams that the block
+holds, in buckets of blocks. A block asks for the probabilities of its distinct grams; the
 corpus' distinct grams are joined, order by order, with the counts of the model
 (an unseen gram backs off); the answers go back to the blocks, where they meet
-the texts, a parcel at a time, and every document gets its perplexity. A document is rejected above
+the texts where they are stored, and every document gets its perplexity. A document is rejected above
 a quantile of the perplexities of trusted documents of its language that the
 model was not trained on.
 
@@ -32,11 +32,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from . import common as C
 
@@ -268,21 +268,20 @@ def probabilities(model: Model, wanted: DataFrame) -> DataFrame:
 
 # --- scoring ----------------------------------------------------------------
 
-LANG, TEXT = C.OWN + "lang", C.OWN + "text"
-RATES = "block long, nos array<int>, bits array<array<double>>"
-BLOCKS = "block long, no int, lang string, grams binary, parcel binary"
+LANG, TEXT, BLOCK, NO, GRAMS, RATED = (C.OWN + n for n in ("lang", "text", "block", "no", "grams", "rated"))
 
 
 def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
               block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (with ``LANG`` and the text) in blocks: rows of (block, no, lang, grams,
-    parcel). Parcel ``no`` holds some rows of ``docs``, compressed; ``grams`` a part of the
-    block's distinct grams of a language. A row's block hangs on nothing but the task
-    that read it, so the result is to be stored and read from there."""
-    schema = C.arrow_schema(BLOCKS)
-
-    def row(*values):
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+    """``docs`` (with ``LANG`` and the text) with ``BLOCK`` and the row's number ``NO``
+    in it; between them rows of ``BLOCK``, ``LANG`` and ``GRAMS`` alone, each with a part
+    of the block's distinct grams of a language. A row's block hangs on nothing but
+    the task that read it, so the result is to be stored and read from there."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    added = StructType.fromDDL(f"`{BLOCK}` long, `{NO}` int, `{GRAMS}` binary")
+    # every field may be null: rows of grams have none of a document
+    schema = StructType([*(StructField(f.name, f.dataType) for f in docs.schema.fields), *added.fields])
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         block = TaskContext.get().partitionId() << 32
@@ -294,7 +293,8 @@ def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
                 grams = np.unique(np.concatenate(held.pop(lang)))
                 for at in range(0, len(grams), 50_000):
                     steps = np.diff(grams[at:at + 50_000], prepend=0)
-                    yield row(block, None, lang, pack.compress(steps.tobytes()), None)
+                    own = {LANG: lang, BLOCK: block, GRAMS: pack.compress(steps.tobytes())}
+                    yield pa.RecordBatch.from_arrays([pa.array([own.get(f.name)], f.type) for f in arrow], schema=arrow)
 
         for batch in batches:
             for part in C.slices(batch, text_col, STRETCH):
@@ -302,18 +302,19 @@ def in_blocks(docs: DataFrame, text_col: str, spell: Alphabets = NO_ALPHABETS,
                     held.setdefault(lang, []).append(np.unique(gram_codes(spell(lang, texts))[0]))
                     if len(held[lang]) > 16:
                         held[lang] = [np.unique(np.concatenate(held[lang]))]
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema) as writer:
-                    writer.write_batch(part)
-                yield row(block, no, None, None, pack.compress(sink.getvalue()))
-                no += 1
+                n = part.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(f.name).cast(f.type) for f in arrow if f.name in part.schema.names),
+                     pa.repeat(pa.scalar(block, pa.int64()), n), pa.array(np.arange(no, no + n, dtype=np.int32)),
+                     pa.nulls(n, pa.binary())], schema=arrow)
+                no += n
                 size += part.column(text_col).nbytes
                 if size >= block_bytes:
                     yield from close()
                     block, size, no = block + 1, 0, 0
         yield from close()
 
-    return docs.mapInArrow(run, BLOCKS)
+    return docs.mapInArrow(run, schema)
 
 
 def requests(blocks: DataFrame) -> DataFrame:
@@ -321,40 +322,32 @@ def requests(blocks: DataFrame) -> DataFrame:
     def listed(batches):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for block, lang, frame in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "grams"))):
+            for block, lang, frame in zip(*(batch.column(c).to_pylist() for c in (BLOCK, LANG, GRAMS))):
                 grams = np.cumsum(np.frombuffer(unpack.decompress(frame), np.int64))
                 yield pa.RecordBatch.from_arrays([pa.repeat(block, len(grams)), pa.repeat(lang, len(grams)),
                                                   pa.array(grams)], names=["block", "lang", "g"])
 
-    return (blocks.where("grams is not null").select("block", "lang", "grams")
+    return (blocks.where(F.col(GRAMS).isNotNull()).select(BLOCK, LANG, GRAMS)
             .mapInArrow(listed, "block long, lang string, g long"))
 
 
+RATES = f"block long, `{RATED}` array<double>"
+
+
 class Scored:
     """Documents in stored blocks with the stored scores of their texts."""
 
-    def __init__(self, blocks: DataFrame, rates: DataFrame, docs: DataFrame):
-        self.blocks, self.rates, self.docs = blocks, rates, docs
+    def __init__(self, blocks: DataFrame, rates: DataFrame):
+        self.blocks, self.rates = blocks, rates
 
     def rows(self, carry: list[str], out_col: str) -> DataFrame:
         """The columns ``carry`` of the documents and ``out_col``: the bits per
-        character, null where there is no text. Parcels are opened one by one, where
-        they are stored."""
-        schema = C.schema_with(self.docs, carry, out_col, "double")
-        # one row a block, so that the parcels stay in their buckets
-        parcels = (self.blocks.where("parcel is not null").select("block", "no", "parcel").join(self.rates, "block")
-                   .select("parcel", F.element_at("bits", F.array_position("nos", F.col("no")).cast("int")).alias("bits")))
-
-        def unpack(batches):
-            open_ = zstandard.ZstdDecompressor().decompress
-            for batch in batches:
-                for parcel, bits in zip(batch.column("parcel"), batch.column("bits")):
-                    rows = pa.ipc.open_stream(open_(parcel.as_buffer())).read_all()
-                    own = pc.if_else(pc.is_nan(bits.values), pa.scalar(None, pa.float64()), bits.values)
-                    for part in rows.select(carry).append_column(out_col, own).to_batches():
-                        yield part
-
-        return parcels.mapInArrow(unpack, schema)
+        character, null where there is no text. The documents are read where they are
+        stored; a block's scores, one row, come to them."""
+        bits = F.get(RATED, F.col(NO))
+        return (self.blocks.where(F.col(NO).isNotNull()).select(*carry, BLOCK, NO)
+                .join(self.rates, F.col(BLOCK) == F.col("block"))
+                .select(*carry, F.when(~F.isnan(bits), bits).alias(out_col)))
 
 
 def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -392,8 +385,8 @@ def _score(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang
     # a text that is carried is not held twice
     own = text_col if text_col in carry and docs.schema[text_col].dataType.simpleString() == "string" else TEXT
     given = docs.select(*carry, lang.alias(LANG), *([] if own == text_col else [text.alias(TEXT)]))
-    # parcels meet their answers where they are stored, so they are not shuffled
-    table = C.bucketed(in_blocks(given, own, spell, block_bytes), "lm_blocks", "block", C.text_bytes(docs, text_col),
+    # texts meet their answers where they are stored, so they are not shuffled
+    table = C.bucketed(in_blocks(given, own, spell, block_bytes), "lm_blocks", BLOCK, C.text_bytes(docs, text_col),
                        keep=True)
     blocks = spark.table(table)
     asked = requests(blocks)
@@ -410,28 +403,24 @@ def _score(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang
             mine = np.flatnonzero(codes == k)
             mine = mine[np.argsort(g[mine])]
             tables[name] = (g[mine], p[mine].astype(np.float64))
-        rates = []
-        open_ = zstandard.ZstdDecompressor().decompress
-        for parcel in left.column("parcel"):
-            rows = pa.ipc.open_stream(open_(parcel.as_buffer())).read_all()
-            texts, langs = rows.column(own).to_pylist(), rows.column(LANG).to_pylist()
-            bits = np.full(len(texts), np.nan)
+        bits = np.full(left.num_rows, np.nan)
+        for part in (part for batch in left.to_batches() for part in C.slices(batch, own, STRETCH)):
+            texts, langs, places = (part.column(c).to_pylist() for c in (own, LANG, NO))
             for name in dict.fromkeys(langs):
-                at = np.array([i for i, x in enumerate(langs) if x == name and texts[i]], dtype=np.int64)
-                if not len(at):
+                at = [i for i, x in enumerate(langs) if x == name and texts[i]]
+                if not at:
                     continue
                 spelled = spell(name, [texts[i] for i in at])
                 grams, begins = gram_codes(spelled)
                 seen, value = tables[name]
                 total = np.add.reduceat(value[np.searchsorted(seen, grams)], begins)
-                bits[at] = -total / [len(t) + 1 for t in spelled]
-            rates.append(bits)
-        return pa.Table.from_arrays([left.column("block").slice(0, 1), pa.array([left.column("no").to_pylist()], schema.field("nos").type),
-                                     pa.array([rates], schema.field("bits").type)], schema=schema)
-
-    packed = blocks.where("parcel is not null").select("block", "no", "parcel")
-    rates = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(rate, RATES)
-    return Scored(blocks, C.cut(rates, "quality_rates", keep=True), docs)
+                bits[[places[i] for i in at]] = -total / [len(t) + 1 for t in spelled]
+        return pa.Table.from_arrays([left.column(BLOCK).slice(0, 1).cast(pa.int64()),
+                                     pa.array([bits], schema.field(RATED).type)], schema=schema)
+
+    packed = blocks.where(F.col(NO).isNotNull()).select(BLOCK, NO, LANG, own)
+    rates = packed.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(rate, RATES)
+    return Scored(blocks, C.cut(rates, "quality_rates", keep=True))
 
 
 def thresholds(scored: DataFrame, held_out: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,

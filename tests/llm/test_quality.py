@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import zstandard
 from llm_rows import ODD, documents, prose
+from pyspark.sql import functions as F
 
 from strata.llm import quality
 from strata.llm.queries import QUERIES
@@ -113,21 +114,23 @@ def test_probabilities_add_up(spark):
     assert all(abs(p - 1) < 1e-6 for p in by_history.values())
 
 
-def test_blocks_are_bounded_by_bytes(spark):
-    """Few long texts or many short ones: a block closes at its bytes, and every row stands in one parcel."""
-    import pyarrow as pa
+def test_blocks_are_bounded_by_bytes(spark, tmp_path):
+    """Few long texts or many short ones: a block closes at its bytes, and every row stands in one."""
     long, size = [(i, "".join(prose(i, 20_000)), "en") for i in range(40)], quality.STRETCH
     rows = long + [(100 + i, " ".join(prose(i, 5)), "fr") for i in range(3000)]
-    docs = documents(spark, rows).coalesce(2).select("doc_id", "text", quality.F.col("lang").alias(quality.LANG))
-    blocks = quality.in_blocks(docs, "text", block_bytes=4 * size)
-    bytes_, seen = Counter(), []
-    for r in blocks.where("parcel is not null").collect():
-        for batch in pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(bytes(r["parcel"]))):
-            texts = batch.column("text").to_pylist()
-            assert sum(map(len, texts)) <= size or len(texts) == 1
-            bytes_[r["block"]] += sum(map(len, texts))
-            seen += batch.column("doc_id").to_pylist()
+    docs = documents(spark, rows).coalesce(2).select("doc_id", "text", F.col("lang").alias(quality.LANG))
+    path = str(tmp_path / "blocks")
+    quality.in_blocks(docs, "text", block_bytes=4 * size).write.parquet(path)
+    blocks = spark.read.parquet(path)
+    bytes_, seen, places = Counter(), [], defaultdict(list)
+    for r in blocks.where(F.col(quality.NO).isNotNull()).collect():
+        assert r[quality.GRAMS] is None
+        bytes_[r[quality.BLOCK]] += len(r["text"])
+        places[r[quality.BLOCK]].append(r[quality.NO])
+        seen.append(r["doc_id"])
     assert sorted(seen) == sorted(i for i, *_ in rows)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    # a block closes with the run of rows that fills it
     assert len(bytes_) > 2 and max(bytes_.values()) <= 5 * size
     asked = {(r["block"], r["lang"]) for r in quality.requests(blocks).collect()}
     assert {b for b, _ in asked} == set(bytes_)
@@ -164,7 +167,7 @@ def test_query_covers_every_document(spark):
     assert out.count() == docs.count() and out.where("perplexity is null").count() == 0
 
 
-def test_parcels_are_not_shuffled(spark):
+def test_texts_are_not_shuffled(spark):
     rows = [(i, " ".join(prose(i, 30)), "en") for i in range(60)]
     trusted = spark.createDataFrame([(i,) for i in range(40)], "doc_id long")
     told = quality.score(documents(spark, rows), trusted, block_bytes=900)
@@ -173,4 +176,4 @@ def test_parcels_are_not_shuffled(spark):
         plan = told.rows(["doc_id"], "bits")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "parcel" in plan[:plan.index("Bucketed: true")] and plan.count("Exchange hashpartitioning(block") == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan and "Python" not in plan

@@ -64,16 +64,24 @@ def _owned(path: str, keep: bool) -> str:
     return path
 
 
+#: Settings of the writes of intermediate tables: shuffle files go when the write that
+#: made them ends, not when the driver's collector next finds time; rows go to Python
+#: by the thousand, since texts are long and the buffers outside the heap are kept;
+#: a task writes several buckets at a time instead of sorting its rows by bucket.
+WRITING = {SHUFFLE_CLEANUP: "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+           "spark.sql.maxConcurrentOutputFileWriters": "8"}
+
+
 @contextmanager
-def _shuffles_go(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the writes inside go when these end, not when the driver's
-    collector next finds time."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def _writing(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in WRITING}
+    for key, value in WRITING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -81,7 +89,7 @@ def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     scan, survive lost executors and see the same rows."""
     spark = df.sparkSession
     path = _owned(scratch_path(spark, name), keep)
-    with _shuffles_go(spark):
+    with _writing(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -99,7 +107,9 @@ def bucketed(df: DataFrame, name: str, key: str, text_bytes: int, keep: bool = F
     least = df.sparkSession.sparkContext.defaultParallelism
     buckets = min(MAX_BUCKETS, max(least, 1 + text_bytes // BUCKET_BYTES))
     path = _owned(scratch_path(df.sparkSession, name), keep)
-    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table_name)
+    with _writing(df.sparkSession):
+        (df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, key)
+         .option("path", path).saveAsTable(table_name))
     _owned(TABLE + table_name, keep)
     return table_name
 

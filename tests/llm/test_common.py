@@ -35,10 +35,10 @@ def test_a_scope_that_fails_leaves_nothing(spark):
 
 
 def test_cutting_leaves_the_session_s_settings(spark):
-    before = spark.conf.get(C.SHUFFLE_CLEANUP)
+    before = {key: spark.conf.get(key) for key in C.WRITING}
     df = spark.range(1000).repartition(5).groupBy((C.F.col("id") % 7).alias("k")).count()
     a = C.cut(df, "scope_f")
-    assert spark.conf.get(C.SHUFFLE_CLEANUP) == before
+    assert {key: spark.conf.get(key) for key in C.WRITING} == before
     # the same frame may be used again
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, df.collect()))
 

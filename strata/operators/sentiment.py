@@ -5,8 +5,9 @@ The model is multinomial naive Bayes over TF-IDF weighted words, kept as rows of
 its smoothed share of the class, and the empty feature holds the logarithms of
 the classes' priors. Fitting is two aggregates over the labelled words; scoring
 explodes a text into its words, joins the weights and sums them per class. So
-model and vocabulary may grow with the data: nothing is collected, shipped with
-a task or hashed into a fixed number of slots, and every step can be said in SQL.
+model and vocabulary may grow with the data: a bounded number of frequent words
+is broadcast, the others are shuffled, nothing is hashed into a fixed number of
+slots, and every step can be said in SQL.
 
 Texts are scored by the digest of their cleaned text: copies share one score, and
 rows need no key. Words that no labelled document holds say nothing; an empty
@@ -25,6 +26,8 @@ from .nlp import TEXT_CLEAN, clean_text, training_set
 SMOOTHING = 1.0
 #: The feature that holds the priors; no word is empty.
 PRIOR = ""
+#: Frequent words whose weights are broadcast for scoring (about 10 MB).
+HEAD_WORDS = 1 << 17
 
 
 def words(text: Column | str) -> Column:
@@ -66,13 +69,33 @@ def fit_weights(train: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     return weights.unionByName(priors)
 
 
-def score_by_weights(df: DataFrame, weights: DataFrame) -> DataFrame:
+def _step(columns: list[str]) -> Column:
+    """The size of a feature's largest weight, in some hundred steps whatever the weights."""
+    size = F.greatest(*[F.abs(F.coalesce(F.col(w), F.lit(0.0))) for w in columns], F.lit(0.0))
+    return F.floor(F.log2(1 + size) * 64)
+
+
+def _first_rare_step(wide: DataFrame, columns: list[str], most: int) -> int | None:
+    """The step below which lie at most ``most`` words; None if all the words are no
+    more. Weights grow with a word's rarity, so those below are the frequent ones."""
+    steps = sorted(wide.where(F.col("feature") != PRIOR).groupBy(_step(columns).alias("step")).agg(
+        F.count(F.lit(1)).alias("n")).collect())
+    held = 0
+    for step, n in steps:
+        held += n
+        if held > most:
+            return step
+    return None
+
+
+def score_by_weights(df: DataFrame, weights: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     """Add ``sentiment`` (DOUBLE class), the class of the largest score of
     ``text_clean`` under ``weights``; a missing ``text_clean`` is computed from
     ``content`` first.
 
-    A frequent word is many rows of the words and one of the weights: AQE splits
-    such a partition or, where the weights turn out small, broadcasts them.
+    At most ``head_words`` frequent words are broadcast, so most words meet their
+    weights and are summed per text where the text is read. The rare ones, as many as
+    the vocabulary has, are shuffled to theirs. Both sums together are the score.
     """
     if TEXT_CLEAN not in df.columns:
         df = clean_text(df, "content")
@@ -81,15 +104,29 @@ def score_by_weights(df: DataFrame, weights: DataFrame) -> DataFrame:
     names = sorted(r[0] for r in weights.where(F.col("feature") == PRIOR).select("class").collect())
     if not names:
         return df.withColumn("sentiment", F.lit(None).cast("double"))
+    columns = [f"w{i}" for i in range(len(names))]
     wide = weights.groupBy("feature").agg(*[
-        F.sum(F.when(F.col("class") == c, F.col("weight"))).alias(f"w{i}") for i, c in enumerate(names)])
+        F.sum(F.when(F.col("class") == c, F.col("weight"))).alias(w) for w, c in zip(columns, names)])
     parts = df.select(F.md5(TEXT_CLEAN).alias("key"), F.explode(
         F.concat(words(TEXT_CLEAN), F.array(F.lit(PRIOR)))).alias("feature"))
     # a text that stands k times has every score k times: the largest is the same
-    scores = parts.join(wide, "feature").groupBy("key").agg(
-        *[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(names))])
-    best = F.array_max(F.array(*[F.struct(F.col(f"w{i}").alias("score"), F.lit(-c).alias("c"))
-                                 for i, c in enumerate(names)]))["c"]
+    rare = _first_rare_step(wide, columns, head_words)
+    if rare is None:
+        summed = parts.join(F.broadcast(wide), "feature")
+    else:
+        frequent = (F.col("feature") == PRIOR) | (_step(columns) < rare)
+        head = wide.where(frequent).withColumn("known", F.lit(True))
+        tail = wide.where(~frequent).select(F.col("feature").alias("rest"), *[F.col(w).alias(f"t{w}") for w in columns])
+        # what the head has told is one row per text; its own word, which no tail word equals, spreads such rows
+        own = F.when(F.col("known"), F.concat(F.lit(" "), "key")).otherwise(F.col("feature"))
+        met = parts.join(F.broadcast(head), "feature", "left").groupBy("key", own.alias("rest")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(w).alias(w) for w in columns])
+        # merged, for a plan that goes by the files' size expects fewer words than they hold: none is broadcast
+        summed = met.join(tail.hint("merge"), "rest", "left").select("key", *[
+            F.coalesce(F.col(w), F.col("n") * F.col(f"t{w}")).alias(w) for w in columns])
+    scores = summed.groupBy("key").agg(*[F.sum(w).alias(w) for w in columns])
+    best = F.array_max(F.array(*[F.struct(F.col(w).alias("score"), F.lit(-c).alias("c"))
+                                 for w, c in zip(columns, names)]))["c"]
     told = scores.select(F.col("key").alias("__key"), (-best).alias("sentiment"))
     return df.join(told, F.md5(TEXT_CLEAN) == F.col("__key"), "left").drop("__key")
 

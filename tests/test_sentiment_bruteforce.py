@@ -163,3 +163,24 @@ def test_held_out_labels_are_not_trained_on(spark):
     f = Fixture(spark, SF_SMALL)
     held = f.table("labels").where(sentiment.held_out("doc_id", 250)).where("quality is not null")
     assert sum(r["support"] for r in report) == held.join(f.table("documents"), "doc_id").count()
+
+
+@pytest.mark.parametrize("head_words", [0, 1, 3, 1000])
+def test_rare_words_score_as_frequent_ones(spark, head_words):
+    """Few frequent words are broadcast, the others shuffled: scores are those of all the words."""
+    train = [(f"good common w{k} v{k % 3}", 1.0) for k in range(20)] + [(f"bad common u{k} v{k % 4}", 0.0) for k in range(15)]
+    weights = sentiment.fit_weights(spark.createDataFrame(train, "text_clean string, label double")).persist()
+    want = brute_weights([(t.split(), c) for t, c in train])
+    texts = [f"{a} {b} common u{k} w{k + 3} unknown" for k in range(12) for a in ("good", "bad", "v1") for b in ("u1", "w2 w2 w2", "")]
+    texts = texts * 2 + ["", None, "unknown", "u1", "w1"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text_clean string")
+    scored = sentiment.score_by_weights(rows, weights, head_words)
+    assert ("BroadcastExchange" in scored._jdf.queryExecution().executedPlan().toString())
+
+    def best(text):
+        known = [w for w in (text or "").split() if (w, 0.0) in want]
+        score = {c: want["", c] + sum(want[w, c] for w in known) for c in (0.0, 1.0)}
+        return max((0.0, 1.0), key=lambda c: score[c])
+
+    assert {r.id: r.sentiment for r in scored.collect()} == {i: best(t) for i, t in enumerate(texts)}
+    weights.unpersist()

@@ -103,7 +103,8 @@ class Fixture:
         event_id = F.col("event_id")
         events = events.withColumn("conv_id", event_id % n_conversations)
         turn = F.floor(event_id / n_conversations) % F.size("texts")
-        return events.join(turns, "conv_id", "left").select(
+        # merged, for a conversation's texts unfold to many times what a plan expects of their files: none is broadcast
+        return events.join(turns.hint("merge"), "conv_id", "left").select(
             event_id.cast("long").alias("comment_id"),
             (event_id % commentable).cast("long").alias("post_id"),
             F.col("user_id").cast("long").alias("user_id"),

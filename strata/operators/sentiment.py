@@ -3,7 +3,7 @@
 The model is multinomial naive Bayes over TF-IDF weighted words, kept as rows of
 ``(feature, class, weight)``: a word's weight is its IDF times the logarithm of
 its smoothed share of the class, and the empty feature holds the logarithms of
-the classes' priors. Fitting is two aggregates over the labelled words; scoring
+the classes' priors. Fitting is one aggregate over the labelled words; scoring
 explodes a text into its words, joins the weights and sums them per class. So
 model and vocabulary may grow with the data: a bounded number of frequent words
 is broadcast, the others are shuffled, nothing is hashed into a fixed number of
@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .nlp import TEXT_CLEAN, clean_text, training_set
 
 SMOOTHING = 1.0
@@ -38,34 +39,39 @@ def words(text: Column | str) -> Column:
 
 def fit_weights(train: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     """``feature, class, weight`` of the labelled texts ``train`` (``text_clean``,
-    ``label``). Store the result: it is read once per scoring."""
+    ``label``). Store the result: it is read once per scoring.
+
+    The texts are read once: their words are counted per feature, and the counts (as
+    large as the vocabulary) are written to the shared folder (an action). Totals and
+    weights come from the counts. The classes, a handful, come to the driver."""
+    spark = train.sparkSession
     docs = train.select(words(TEXT_CLEAN).alias("words"), F.col("label").cast("double").alias("class"))
-    classes = docs.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    # one row with a small array: the classes and their documents
-    listed = classes.agg(F.array_sort(F.collect_list(F.struct("class", "n"))).alias("c"))
-    per_class = listed.select("c").scalar()
-    n_docs = classes.agg(F.sum("n")).scalar()
-
-    each = docs.select("class", F.explode("words").alias("feature")).groupBy("feature", "class").agg(
-        F.count(F.lit(1)).alias("tf"))
-    holding = docs.select(F.explode(F.array_distinct("words")).alias("feature")).groupBy("feature").agg(
-        F.count(F.lit(1)).alias("df"))
-    idf = holding.select("feature", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
-    mass = each.join(idf, "feature").select("feature", "class", "idf", (F.col("tf") * F.col("idf")).alias("mass"))
-    totals = (mass.groupBy("class").agg(F.sum("mass").alias("mass"))
-              .agg(F.map_from_entries(F.collect_list(F.struct("class", "mass")))).scalar())
-    vocabulary = idf.agg(F.count(F.lit(1))).scalar()
-
-    by_word = mass.groupBy("feature", "idf").agg(
-        F.map_from_entries(F.collect_list(F.struct("class", "mass"))).alias("mass"))
-    spread = by_word.select("feature", "idf", "mass", F.explode(per_class).alias("c")).select(
-        "feature", F.col("c.class").alias("class"), "idf",
-        F.coalesce(F.element_at("mass", F.col("c.class")), F.lit(0.0)).alias("mass"))
-    of_class = F.coalesce(F.element_at(totals, F.col("class")), F.lit(0.0))
-    weights = spread.select("feature", "class", (F.col("idf") * (
-        F.log(F.col("mass") + smoothing) - F.log(of_class + smoothing * vocabulary))).alias("weight"))
-    priors = classes.select(F.lit(PRIOR).alias("feature"), "class", (
-        F.log(F.col("n") + smoothing) - F.log(n_docs + smoothing * F.size(per_class))).alias("weight"))
+    classes = sorted((r["class"], r["n"]) for r in docs.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect())
+    if not classes:
+        return spark.createDataFrame([], "feature string, class double, weight double")
+    n_docs = sum(n for _, n in classes)
+
+    # every word for the frequency in its class, every different word of a text for the texts that hold it
+    listed = docs.select("class", F.explode(F.array(
+        F.struct(F.lit(1).alias("tf"), F.lit(0).alias("df"), F.col("words")),
+        F.struct(F.lit(0).alias("tf"), F.lit(1).alias("df"), F.array_distinct("words").alias("words")))).alias("l"))
+    each = listed.select("class", "l.tf", "l.df", F.explode("l.words").alias("feature"))
+    counted = each.groupBy("feature").agg(F.sum("df").alias("df"), *[
+        F.sum(F.when(F.col("class") == c, F.col("tf")).otherwise(0)).alias(f"tf{i}") for i, (c, _) in enumerate(classes)])
+    path = scratch_path(spark, "sentiment_counts")
+    counted.write.parquet(path)
+    counts = spark.read.schema(counted.schema).parquet(path).withColumn(
+        "idf", F.log(F.lit(n_docs + 1) / (F.col("df") + 1)))
+
+    mass = [F.col(f"tf{i}") * F.col("idf") for i in range(len(classes))]
+    whole = counts.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(m), F.lit(0.0)) for m in mass]).first()
+    vocabulary, totals = whole[0], whole[1:]
+    weights = counts.select("feature", F.inline(F.array(*[F.struct(F.lit(c).alias("class"), (F.col("idf") * (
+        F.log(mass[i] + smoothing) - F.log(F.lit(totals[i] + smoothing * vocabulary)))).alias("weight"))
+        for i, (c, _) in enumerate(classes)])))
+    priors = spark.range(1).select(F.lit(PRIOR).alias("feature"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("class"), (F.log(F.lit(n + smoothing)) - F.log(
+            F.lit(n_docs + smoothing * len(classes)))).alias("weight")) for c, n in classes])))
     return weights.unionByName(priors)
 
 

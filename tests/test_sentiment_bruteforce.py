@@ -165,6 +165,13 @@ def test_held_out_labels_are_not_trained_on(spark):
     assert sum(r["support"] for r in report) == held.join(f.table("documents"), "doc_id").count()
 
 
+def test_texts_are_read_once_for_a_fit(spark):
+    """The labelled texts feed one count of words; totals and weights come from the stored counts."""
+    train = spark.createDataFrame(TRAIN, "text_clean string, label double")
+    plan = sentiment.fit_weights(train)._jdf.queryExecution().optimizedPlan().toString()
+    assert "text_clean" not in plan and "Aggregate" not in plan
+
+
 @pytest.mark.parametrize("head_words", [0, 1, 3, 1000])
 def test_rare_words_score_as_frequent_ones(spark, head_words):
     """Few frequent words are broadcast, the others shuffled: scores are those of all the words."""

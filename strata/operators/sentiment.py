@@ -55,7 +55,7 @@ def fit_weights(train: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     listed = docs.select("class", F.explode(F.array(
         F.struct(F.lit(1).alias("tf"), F.lit(0).alias("df"), F.col("words")),
         F.struct(F.lit(0).alias("tf"), F.lit(1).alias("df"), F.array_distinct("words").alias("words")))).alias("l"))
-    each = listed.select("class", "l.tf", "l.df", F.explode("l.words").alias("feature"))
+    each = listed.select("class", "l.*").select("class", "tf", "df", F.explode("words").alias("feature"))
     counted = each.groupBy("feature").agg(F.sum("df").alias("df"), *[
         F.sum(F.when(F.col("class") == c, F.col("tf")).otherwise(0)).alias(f"tf{i}") for i, (c, _) in enumerate(classes)])
     path = scratch_path(spark, "sentiment_counts")
@@ -113,8 +113,9 @@ def score_by_weights(df: DataFrame, weights: DataFrame, head_words: int = HEAD_W
     columns = [f"w{i}" for i in range(len(names))]
     wide = weights.groupBy("feature").agg(*[
         F.sum(F.when(F.col("class") == c, F.col("weight"))).alias(w) for w, c in zip(columns, names)])
-    parts = df.select(F.md5(TEXT_CLEAN).alias("key"), F.explode(
-        F.concat(words(TEXT_CLEAN), F.array(F.lit(PRIOR)))).alias("feature"))
+    # the digest stands before the explode: beside it, every word would take the digest of its whole text
+    parts = df.select(F.md5(TEXT_CLEAN).alias("key"), F.concat(words(TEXT_CLEAN), F.array(F.lit(PRIOR))).alias(
+        "words")).select("key", F.explode("words").alias("feature"))
     # a text that stands k times has every score k times: the largest is the same
     rare = _first_rare_step(wide, columns, head_words)
     if rare is None:

@@ -191,3 +191,14 @@ def test_rare_words_score_as_frequent_ones(spark, head_words):
 
     assert {r.id: r.sentiment for r in scored.collect()} == {i: best(t) for i, t in enumerate(texts)}
     weights.unpersist()
+
+
+def test_a_text_is_digested_once_not_per_word(spark):
+    """No digest is taken above the explode, where each word would take its whole text's."""
+    train = spark.createDataFrame(TRAIN, "text_clean string, label double")
+    rows = spark.createDataFrame([(1, "good bad")], "id int, text_clean string")
+    scored = sentiment.score_by_weights(rows, sentiment.fit_weights(train))
+    lines = scored._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if "Generate explode" in line and "feature" in line)
+    digests = [i for i, line in enumerate(lines) if "md5(" in line and "Project" in line]
+    assert digests and min(digests) > at

@@ -114,10 +114,12 @@ class Fixture:
         )
 
     def _repeated(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows plus one in 25 repeated an hour later (real duplicate keys)."""
-        repeats = (df.where(F.col(key) % 25 == 0)
-                   .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 HOUR")))
-        return df.unionByName(repeats)
+        """Rows plus one in 25 repeated an hour later (real duplicate keys); the rows
+        are made once, not once more for those repeated."""
+        created = F.col("created_at")
+        times = F.when(F.col(key) % 25 == 0, F.array(created, created + F.expr("INTERVAL 1 HOUR"))).otherwise(
+            F.array(created))
+        return df.withColumn("created_at", F.explode(times))
 
     def users_dup(self) -> DataFrame:
         """Users plus one in 25 repeated under another name."""

@@ -98,11 +98,11 @@ def load_sentiment_model(path: str) -> PipelineModel:
 def score_sentiment(df: DataFrame, model: PipelineModel | DataFrame) -> DataFrame:
     """N-3: add ``sentiment`` (DOUBLE class) predicted from ``text_clean``.
 
-    ``model`` is a fitted pipeline or a table of weights (see
+    ``model`` is a fitted pipeline, a table of weights or its tiers (see
     :mod:`strata.operators.sentiment`). A missing ``text_clean`` is computed from
     ``content`` first; the model's working columns are dropped again.
     """
-    if isinstance(model, DataFrame):
+    if not isinstance(model, PipelineModel):
         from .sentiment import score_by_weights
         return score_by_weights(df, model)
     if TEXT_CLEAN not in df.columns:
@@ -118,7 +118,11 @@ def score_sentiment(df: DataFrame, model: PipelineModel | DataFrame) -> DataFram
 
 def sentiment_job(posts_kw: DataFrame, comments_kw: DataFrame, model: PipelineModel | DataFrame
                   ) -> tuple[DataFrame, DataFrame]:
-    """N-4: score both tables and project to the silver columns."""
+    """N-4: score both tables and project to the silver columns. A table of weights is
+    made ready once for both (an action)."""
+    if isinstance(model, DataFrame):
+        from .sentiment import tiers
+        model = tiers(model)
     posts = score_sentiment(posts_kw, model).select(*SILVER_POSTS_COLUMNS)
     comments = score_sentiment(comments_kw, model).select(*SILVER_COMMENTS_COLUMNS)
     return posts, comments

@@ -18,6 +18,12 @@ shuffle where a model of fixed size will do.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +35,17 @@ SMOOTHING = 1.0
 PRIOR = ""
 #: Frequent words whose weights are broadcast for scoring (about 10 MB).
 HEAD_WORDS = 1 << 17
+#: The most frequent of them, which every Python worker holds where there are rare words (some MB).
+HOT_WORDS = 1 << 16
+#: Words of texts that are told at a time.
+TOLD_AT_ONCE = 1 << 17
 
 
 def words(text: Column | str) -> Column:
     """The words of a cleaned text, in order."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.coalesce(c, F.lit("")), " "), lambda w: w != F.lit(""))
+    # no lambda: one would keep the words of each text out of the generated code
+    return F.array_remove(F.split(F.coalesce(c, F.lit("")), " "), "")
 
 
 def fit_weights(train: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
@@ -81,11 +92,15 @@ def _step(columns: list[str]) -> Column:
     return F.floor(F.log2(1 + size) * 64)
 
 
-def _first_rare_step(wide: DataFrame, columns: list[str], most: int) -> int | None:
-    """The step below which lie at most ``most`` words; None if all the words are no
-    more. Weights grow with a word's rarity, so those below are the frequent ones."""
-    steps = sorted(wide.where(F.col("feature") != PRIOR).groupBy(_step(columns).alias("step")).agg(
-        F.count(F.lit(1)).alias("n")).collect())
+def _steps(wide: DataFrame, columns: list[str]) -> list[tuple[int, int]]:
+    """The steps and how many words are on each. Weights grow with a word's rarity, so
+    the frequent words come first."""
+    return sorted((r["step"], r["n"]) for r in wide.where(F.col("feature") != PRIOR).groupBy(
+        _step(columns).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def _first_rare_step(steps: list[tuple[int, int]], most: int) -> int | None:
+    """The step below which lie at most ``most`` words; None if all the words are no more."""
     held = 0
     for step, n in steps:
         held += n
@@ -94,48 +109,137 @@ def _first_rare_step(wide: DataFrame, columns: list[str], most: int) -> int | No
     return None
 
 
-def score_by_weights(df: DataFrame, weights: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
+@dataclass(frozen=True)
+class Tiers:
+    """A table of weights made ready for scoring: a row per feature with a weight for
+    each of ``classes``, the first steps of the rare words and of those that are not
+    the most frequent (None: all the words are frequent), and the most frequent."""
+    classes: list[float]
+    wide: DataFrame | None = None
+    rare: int | None = None
+    warm: int | None = None
+    hot: pa.Table | None = None
+
+    @property
+    def columns(self) -> list[str]:
+        return [f"w{i}" for i in range(len(self.classes))]
+
+
+def tiers(weights: DataFrame, head_words: int = HEAD_WORDS, hot_words: int = HOT_WORDS) -> Tiers:
+    """Prepare ``weights`` once for all the tables that are scored under them (an
+    action). The rows per feature, as many as the vocabulary, are written to the shared
+    folder; at most ``hot_words`` of them and the steps come to the driver."""
+    # a handful of classes, so a word meets one row with a weight for each
+    classes = sorted(r[0] for r in weights.where(F.col("feature") == PRIOR).select("class").collect())
+    if not classes:
+        return Tiers([])
+    columns = Tiers(classes).columns
+    wide = weights.groupBy("feature").agg(*[
+        F.sum(F.when(F.col("class") == c, F.col("weight"))).alias(w) for w, c in zip(columns, classes)])
+    spark, path = weights.sparkSession, scratch_path(weights.sparkSession, "sentiment_wide")
+    wide.write.parquet(path)
+    wide = spark.read.schema(wide.schema).parquet(path)
+    steps = _steps(wide, columns)
+    rare = _first_rare_step(steps, head_words)
+    if rare is None:
+        return Tiers(classes, wide)
+    warm = _first_rare_step(steps, min(hot_words, head_words))
+    hot = wide.where((F.col("feature") != PRIOR) & (_step(columns) < warm)).select(
+        F.col("feature").cast("binary").alias("feature"), *[F.coalesce(F.col(w), F.lit(0.0)).alias(w) for w in columns])
+    return Tiers(classes, wide, rare, warm, hot.toArrow())
+
+
+def _tell_hot(hot: pa.Table) -> Callable:
+    """Texts ``key, text`` (binary) to one row of the empty word with the sums of the
+    words in ``hot``, and one row ``key, feature, n`` for each other word of the text."""
+    columns = hot.column_names[1:]
+
+    def run(batches):
+        at = {word: i for i, word in enumerate(hot.column(0).to_pylist())}
+        # the last row but one is that of gaps between spaces, the last that of all other words
+        at[b""] = len(at)
+        weights = np.vstack([np.stack([hot.column(w).to_numpy() for w in columns], axis=1), np.zeros((2, len(columns)))])
+
+        def told(keys, words, starts):
+            place = np.fromiter(map(at.get, words, repeat(-1)), np.int64, len(words))
+            sums = np.add.reduceat(weights[place], np.array(starts), axis=0)
+            other = np.flatnonzero(place < 0)
+            text = np.searchsorted(starts, other, "right") - 1
+            key = pa.array(keys, pa.binary())
+            features = [b""] * len(keys) + [words[i] for i in other.tolist()]
+            zeros = np.zeros(len(other))
+            return pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([key, key.take(pa.array(text))]), pa.array(features, pa.binary()),
+                 pa.array(np.ones(len(features), dtype=np.int64)),
+                 *[pa.array(np.concatenate([sums[:, k], zeros])) for k in range(len(columns))]],
+                names=["key", "feature", "n", *[f"h{k}" for k in range(len(columns))]])
+
+        for batch in batches:
+            keys, words, starts = [], [], []
+            for key, text in zip(batch.column(0), batch.column(1)):
+                keys.append(key.as_py())
+                starts.append(len(words))
+                words += text.as_py().split(b" ")  # one at least, of an empty text a gap
+                if len(words) >= TOLD_AT_ONCE:
+                    yield told(keys, words, starts)
+                    keys, words, starts = [], [], []
+            if keys:
+                yield told(keys, words, starts)
+
+    return run
+
+
+def score_by_weights(df: DataFrame, weights: DataFrame | Tiers, head_words: int = HEAD_WORDS) -> DataFrame:
     """Add ``sentiment`` (DOUBLE class), the class of the largest score of
-    ``text_clean`` under ``weights``; a missing ``text_clean`` is computed from
-    ``content`` first.
+    ``text_clean`` under ``weights`` (a table, or its :func:`tiers`); a missing
+    ``text_clean`` is computed from ``content`` first.
 
-    At most ``head_words`` frequent words are broadcast, so most words meet their
-    weights and are summed per text where the text is read. The rare ones, as many as
-    the vocabulary has, are shuffled to theirs. Both sums together are the score.
+    Where all the words are at most ``head_words``, they are broadcast, met and summed
+    per text where the text is read. Else the most frequent are counted and summed in
+    Python there, so that only the others become rows; of these, the rest of the
+    ``head_words`` frequent ones are broadcast, and the rare ones, as many as the
+    vocabulary has, are shuffled to their weights. All the sums together are the score.
     """
     if TEXT_CLEAN not in df.columns:
         df = clean_text(df, "content")
     df = df.withColumn(TEXT_CLEAN, F.coalesce(F.col(TEXT_CLEAN), F.lit(""))).drop("sentiment")
-    # a handful of classes, so a word meets one row with a weight for each
-    names = sorted(r[0] for r in weights.where(F.col("feature") == PRIOR).select("class").collect())
-    if not names:
+    model = weights if isinstance(weights, Tiers) else tiers(weights, head_words)
+    if not model.classes:
         return df.withColumn("sentiment", F.lit(None).cast("double"))
-    columns = [f"w{i}" for i in range(len(names))]
-    wide = weights.groupBy("feature").agg(*[
-        F.sum(F.when(F.col("class") == c, F.col("weight"))).alias(w) for w, c in zip(columns, names)])
+    wide, columns = model.wide, model.columns
     # the digest stands before the explode: beside it, every word would take the digest of its whole text
-    parts = df.select(F.md5(TEXT_CLEAN).alias("key"), F.concat(words(TEXT_CLEAN), F.array(F.lit(PRIOR))).alias(
-        "words")).select("key", F.explode("words").alias("feature"))
+    digest = F.unhex(F.md5(TEXT_CLEAN))
     # a text that stands k times has every score k times: the largest is the same
-    rare = _first_rare_step(wide, columns, head_words)
-    if rare is None:
+    if model.rare is None:
+        parts = df.select(digest.alias("key"), F.concat(words(TEXT_CLEAN), F.array(F.lit(PRIOR))).alias(
+            "words")).select("key", F.explode("words").alias("feature"))
         summed = parts.join(F.broadcast(wide), "feature")
     else:
-        frequent = (F.col("feature") == PRIOR) | (_step(columns) < rare)
-        head = wide.where(frequent).withColumn("known", F.lit(True))
-        tail = wide.where(~frequent).select(F.col("feature").alias("rest"), *[F.col(w).alias(f"t{w}") for w in columns])
-        # what the head has told is one row per text; its own word, which no tail word equals, spreads such rows
-        own = F.when(F.col("known"), F.concat(F.lit(" "), "key")).otherwise(F.col("feature"))
-        met = parts.join(F.broadcast(head), "feature", "left").groupBy("key", own.alias("rest")).agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(w).alias(w) for w in columns])
+        told = [f"h{i}" for i in range(len(columns))]
+        parts = df.select(digest.alias("key"), F.col(TEXT_CLEAN).cast("binary").alias("text")).mapInArrow(
+            _tell_hot(model.hot), "key binary, feature binary, n long, " + ", ".join(f"{h} double" for h in told)
+        ).withColumn("feature", F.col("feature").cast("string"))
+        step = _step(columns)
+        head = wide.where((F.col("feature") == PRIOR) | ((step >= model.warm) & (step < model.rare))).withColumn(
+            "known", F.lit(True))
+        tail = wide.where((F.col("feature") != PRIOR) & (step >= model.rare)).select(
+            F.col("feature").alias("rest"), *[F.col(w).alias(f"t{w}") for w in columns])
+        # what is told so far is one row per text, without a word ...
+        unknown = F.when(F.col("known").isNull(), F.col("feature"))
+        met = parts.join(F.broadcast(head), "feature", "left").groupBy("key", unknown.alias("rest")).agg(
+            F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(w) + F.col(h)).alias(w) for w, h in zip(columns, told)])
+        # ... till its own one, which no tail word equals, spreads such rows
+        met = met.withColumn("rest", F.coalesce("rest", F.concat(F.lit(" "), F.hex("key"))))
         # merged, for a plan that goes by the files' size expects fewer words than they hold: none is broadcast
         summed = met.join(tail.hint("merge"), "rest", "left").select("key", *[
             F.coalesce(F.col(w), F.col("n") * F.col(f"t{w}")).alias(w) for w in columns])
     scores = summed.groupBy("key").agg(*[F.sum(w).alias(w) for w in columns])
     best = F.array_max(F.array(*[F.struct(F.col(w).alias("score"), F.lit(-c).alias("c"))
-                                 for w, c in zip(columns, names)]))["c"]
-    told = scores.select(F.col("key").alias("__key"), (-best).alias("sentiment"))
-    return df.join(told, F.md5(TEXT_CLEAN) == F.col("__key"), "left").drop("__key")
+                                 for w, c in zip(columns, model.classes)]))["c"]
+    told = scores.select(F.col("key").alias("__told"), (-best).alias("sentiment"))
+    # the digest is a column of the rows, so that a text that is not asked for is not shuffled for it
+    rows = df.withColumn("__key", digest)
+    return told.join(rows, F.col("__told") == F.col("__key"), "right").select(*df.columns, "sentiment")
 
 
 def held_out(key: Column | str, per_mille: int) -> Column:

@@ -202,3 +202,48 @@ def test_a_text_is_digested_once_not_per_word(spark):
     at = next(i for i, line in enumerate(lines) if "Generate explode" in line and "feature" in line)
     digests = [i for i, line in enumerate(lines) if "md5(" in line and "Project" in line]
     assert digests and min(digests) > at
+
+
+@pytest.mark.parametrize("hot_words", [0, 2, 1000])
+def test_frequent_words_are_told_without_a_row_each(spark, hot_words, monkeypatch):
+    """Where there are rare words, no text is exploded; scores are those of all the words."""
+    train = [(f"good common é{k % 2} w{k} v{k % 3}", 1.0) for k in range(20)] + [
+        (f"bad common u{k} v{k % 4}", 0.0) for k in range(15)]
+    weights = sentiment.fit_weights(spark.createDataFrame(train, "text_clean string, label double"))
+    want = brute_weights([(t.split(), c) for t, c in train])
+    texts = ["", None, "unknown", "  good   bad ", "é1 é1 bad", "common", "w1 w1 bad", " ", "u1 " * 500 + "good"]
+    texts += [f"{a} common u{k} w{k + 3} v{k} unknown" for k in range(12) for a in ("good", "bad")]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "id int, text_clean string")
+    monkeypatch.setattr(sentiment, "TOLD_AT_ONCE", 7)
+    model = sentiment.tiers(weights, 12, hot_words)
+    scored = sentiment.score_by_weights(rows, model)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+    def best(text):
+        known = [w for w in (text or "").split() if (w, 0.0) in want]
+        score = {c: want["", c] + sum(want[w, c] for w in known) for c in (0.0, 1.0)}
+        return max((0.0, 1.0), key=lambda c: score[c])
+
+    assert {r.id: r.sentiment for r in scored.collect()} == {i: best(t) for i, t in enumerate(texts * 2)}
+
+
+def test_texts_are_not_shuffled_for_their_digest(spark):
+    """The digest is a column, so the cleaned text, which the silver rows do not hold, stays where it is read."""
+    weights = sentiment.fit_weights(spark.createDataFrame(TRAIN, "text_clean string, label double"))
+    f = Fixture(spark, SF_SMALL)
+    for scored in nlp.sentiment_job(*nlp.keyword_job(f.posts().drop("sentiment"), f.comments().drop("sentiment")), weights):
+        lines = scored._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert not [line for line in lines if "Exchange hashpartitioning(md5(" in line or "Sort [md5(" in line]
+
+
+def test_repeated_rows_are_made_once(spark):
+    """One row in 25 comes again an hour later, from one pass over the rows."""
+    rows = [(None, "2024-01-01 00:00:00"), (25, "2024-01-01 00:00:00"), (25, None), (-50, "2024-01-01 23:30:00"),
+            (0, "2024-01-02 00:00:00"), (7, "2024-01-03 00:00:00"), (7, None)]
+    df = spark.createDataFrame(rows, "k long, t string").selectExpr("k", "to_timestamp(t) AS created_at", "k + 1 AS x")
+    got = Fixture(spark, SF_SMALL)._repeated(df, "k")
+    want = df.unionByName(df.where("k % 25 = 0").selectExpr("k", "created_at + INTERVAL 1 HOUR AS created_at", "x"))
+    assert got.schema == want.schema and got.count() == want.count() == 11
+    assert not got.exceptAll(want).count() and not want.exceptAll(got).count()
+    assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()

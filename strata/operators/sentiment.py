@@ -20,10 +20,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +37,8 @@ PRIOR = ""
 HEAD_WORDS = 1 << 17
 #: The most frequent of them, which every Python worker holds where there are rare words (some MB).
 HOT_WORDS = 1 << 16
-#: Words of texts that are told at a time.
-TOLD_AT_ONCE = 1 << 17
+#: Bytes of texts whose words are told at a time.
+TOLD_AT_ONCE = 1 << 22
 
 
 def words(text: Column | str) -> Column:
@@ -155,36 +155,32 @@ def _tell_hot(hot: pa.Table) -> Callable:
     columns = hot.column_names[1:]
 
     def run(batches):
-        at = {word: i for i, word in enumerate(hot.column(0).to_pylist())}
-        # the last row but one is that of gaps between spaces, the last that of all other words
-        at[b""] = len(at)
+        # the row after the hot words is that of gaps between spaces, the last that of all other words
+        known = pa.array([*hot.column(0).to_pylist(), b""], pa.binary())
         weights = np.vstack([np.stack([hot.column(w).to_numpy() for w in columns], axis=1), np.zeros((2, len(columns)))])
 
-        def told(keys, words, starts):
-            place = np.fromiter(map(at.get, words, repeat(-1)), np.int64, len(words))
-            sums = np.add.reduceat(weights[place], np.array(starts), axis=0)
-            other = np.flatnonzero(place < 0)
-            text = np.searchsorted(starts, other, "right") - 1
-            key = pa.array(keys, pa.binary())
-            features = [b""] * len(keys) + [words[i] for i in other.tolist()]
+        def told(key, text):
+            listed = pc.split_pattern(text, " ")  # one word at least, of an empty text a gap
+            words, starts = listed.flatten(), listed.offsets.to_numpy()[:-1] - listed.offsets[0].as_py()
+            place = pc.index_in(words, value_set=known).fill_null(len(known)).to_numpy()
+            sums = np.add.reduceat(weights[place], starts, axis=0)
+            other = np.flatnonzero(place == len(known))
+            texts = np.searchsorted(starts, other, "right") - 1
+            features = pa.concat_arrays([pa.array([b""] * len(key), pa.binary()), words.take(pa.array(other))])
             zeros = np.zeros(len(other))
             return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([key, key.take(pa.array(text))]), pa.array(features, pa.binary()),
+                [pa.concat_arrays([key, key.take(pa.array(texts))]), features,
                  pa.array(np.ones(len(features), dtype=np.int64)),
                  *[pa.array(np.concatenate([sums[:, k], zeros])) for k in range(len(columns))]],
                 names=["key", "feature", "n", *[f"h{k}" for k in range(len(columns))]])
 
         for batch in batches:
-            keys, words, starts = [], [], []
-            for key, text in zip(batch.column(0), batch.column(1)):
-                keys.append(key.as_py())
-                starts.append(len(words))
-                words += text.as_py().split(b" ")  # one at least, of an empty text a gap
-                if len(words) >= TOLD_AT_ONCE:
-                    yield told(keys, words, starts)
-                    keys, words, starts = [], [], []
-            if keys:
-                yield told(keys, words, starts)
+            key, text = batch.column(0), batch.column(1)
+            part = np.cumsum(pc.binary_length(text).to_numpy().astype(np.int64)) // TOLD_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            for start, end in zip(cuts, cuts[1:]):
+                if start < end:
+                    yield told(key.slice(start, end - start), text.slice(start, end - start))
 
     return run
 
@@ -195,8 +191,8 @@ def score_by_weights(df: DataFrame, weights: DataFrame | Tiers, head_words: int
     ``text_clean`` is computed from ``content`` first.
 
     Where all the words are at most ``head_words``, they are broadcast, met and summed
-    per text where the text is read. Else the most frequent are counted and summed in
-    Python there, so that only the others become rows; of these, the rest of the
+    per text where the text is read. Else the most frequent are looked up and summed with
+    Arrow there, so that only the others become rows; of these, the rest of the
     ``head_words`` frequent ones are broadcast, and the rare ones, as many as the
     vocabulary has, are shuffled to their weights. All the sums together are the score.
     """

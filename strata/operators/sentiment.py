@@ -6,8 +6,8 @@ its smoothed share of the class, and the empty feature holds the logarithms of
 the classes' priors. Fitting is one aggregate over the labelled words; scoring
 explodes a text into its words, joins the weights and sums them per class. So
 model and vocabulary may grow with the data: a bounded number of frequent words
-is looked up in place or broadcast, the others are shuffled, nothing is hashed into a fixed number of
-slots, and every step can be said in SQL.
+is looked up in place or broadcast, the others are shuffled, nothing is hashed
+into a fixed number of slots, and every step can be said in SQL.
 
 Texts are scored by the digest of their cleaned text: copies share one score, and
 rows need no key. Words that no labelled document holds say nothing; an empty

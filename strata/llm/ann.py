@@ -277,6 +277,12 @@ def top(query: np.ndarray, cls: np.ndarray, score: np.ndarray, keep: int) -> tup
     return query[place < keep], cls[place < keep], score[place < keep]
 
 
+def met(asked: DataFrame, held: DataFrame, keys: list[str]) -> DataFrame:
+    """Matrices of queries and of classes with equal ``keys``. Merged, for a plan that
+    goes by the types takes a matrix for a hundred bytes: none is broadcast."""
+    return asked.hint("merge").join(held, keys)
+
+
 def products(pairs: DataFrame, keep: int, kind: str, every: bool = False) -> DataFrame:
     """(query, cls, score): the ``keep`` best of each query in the pairs of
     matrices of a task, up to ``HELD`` rows at a time. Of a pair the rows of common
@@ -351,7 +357,7 @@ def with_every(queries: DataFrame, index: DataFrame, rows: int, keep: int, kind:
     asked = block(queries).toDF("dim", *["q_" + c for c in SIDES]).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     held = block(index).withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int"))
-    return products(asked.join(held, ["dim", "part"]), keep, kind, every=True)
+    return products(met(asked, held, ["dim", "part"]), keep, kind, every=True)
 
 
 def fit(sample: DataFrame, index: DataFrame, rows: int, k: int, kind: str, longest: dict[int, float]) -> dict[int, int]:
@@ -430,7 +436,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: dict[int
     buckets, spread = ["dim", "tab", "bucket"], max(2, n_rows // 200_000)
     held = packs(hashed(index, "cls", longest), buckets, spread)
     wanted = packs(hashed(vectors_asked, "query", dict.fromkeys(longest, 0), probes), buckets, 2)
-    found = products(wanted.toDF(*buckets, *["q_" + c for c in SIDES]).join(held, buckets), keep, kind)
+    found = products(met(wanted.toDF(*buckets, *["q_" + c for c in SIDES]), held, buckets), keep, kind)
     best = C.cut(best_of(found, keep), "ann_best")
 
     # who found less than there is to find asks every class

@@ -56,6 +56,21 @@ def test_equal_vectors_by_smaller_id(spark):
             assert rows == brute(ids, x, query, 20)
 
 
+def test_matrices_are_merged_however_small_a_plan_takes_them(spark, monkeypatch):
+    plans, products = [], ann.products
+
+    def seen(pairs, *args, **more):
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        return products(pairs, *args, **more)
+
+    monkeypatch.setattr(ann, "products", seen)
+    x = np.random.default_rng(5).normal(size=(300, 8))
+    vectors = frame(spark, range(300), x)
+    assert len(found(ann.search(vectors, vectors.where("vec_id % 50 = 0"), 5))) == 6
+    # the fit's and the search's: a matrix has hundreds of rows, the plan expects a hundred bytes
+    assert len(plans) >= 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+
+
 @pytest.mark.parametrize("n", [1, 2, 12, 20, 21])
 def test_small_tables_are_searched_whole(spark, n):
     x = np.random.default_rng(n).normal(size=(n, 5)).astype(np.float32).astype(float)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.session import scratch_path
+from strata.session import SHUFFLE_CLEANUP, scratch_path, set_for
 
 #: Most slots of a key filter, as a power of two: a bitmap of 8 MB.
 FILTER_BITS = 26
@@ -35,7 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: What is to be deleted at the end of each open :func:`temporary`, innermost last.
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 TABLE = "table:"
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
@@ -72,24 +71,12 @@ WRITING = {SHUFFLE_CLEANUP: "true", "spark.sql.execution.arrow.maxRecordsPerBatc
            "spark.sql.maxConcurrentOutputFileWriters": "8"}
 
 
-@contextmanager
-def _writing(spark: SparkSession) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in WRITING}
-    for key, value in WRITING.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def cut(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: later reads cost a
     scan, survive lost executors and see the same rows."""
     spark = df.sparkSession
     path = _owned(scratch_path(spark, name), keep)
-    with _writing(spark):
+    with set_for(spark, WRITING):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -107,7 +94,7 @@ def bucketed(df: DataFrame, name: str, key: str, text_bytes: int, keep: bool = F
     least = df.sparkSession.sparkContext.defaultParallelism
     buckets = min(MAX_BUCKETS, max(least, 1 + text_bytes // BUCKET_BYTES))
     path = _owned(scratch_path(df.sparkSession, name), keep)
-    with _writing(df.sparkSession):
+    with set_for(df.sparkSession, WRITING):
         (df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, key)
          .option("path", path).saveAsTable(table_name))
     _owned(TABLE + table_name, keep)

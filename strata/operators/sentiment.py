@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, write_freed
 from .nlp import TEXT_CLEAN, clean_text, training_set
 
 SMOOTHING = 1.0
@@ -70,7 +70,7 @@ def fit_weights(train: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     counted = each.groupBy("feature").agg(F.sum("df").alias("df"), *[
         F.sum(F.when(F.col("class") == c, F.col("tf")).otherwise(0)).alias(f"tf{i}") for i, (c, _) in enumerate(classes)])
     path = scratch_path(spark, "sentiment_counts")
-    counted.write.parquet(path)
+    write_freed(counted, path)
     counts = spark.read.schema(counted.schema).parquet(path).withColumn(
         "idf", F.log(F.lit(n_docs + 1) / (F.col("df") + 1)))
 
@@ -137,7 +137,7 @@ def tiers(weights: DataFrame, head_words: int = HEAD_WORDS, hot_words: int = HOT
     wide = weights.groupBy("feature").agg(*[
         F.sum(F.when(F.col("class") == c, F.col("weight"))).alias(w) for w, c in zip(columns, classes)])
     spark, path = weights.sparkSession, scratch_path(weights.sparkSession, "sentiment_wide")
-    wide.write.parquet(path)
+    write_freed(wide, path)
     wide = spark.read.schema(wide.schema).parquet(path)
     steps = _steps(wide, columns)
     rare = _first_rare_step(steps, head_words)

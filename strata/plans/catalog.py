@@ -18,7 +18,7 @@ from ..functions.columns import EMAIL_PATTERN
 from ..operators import chunks, gold, incremental, nlp, quality, sentiment, shape
 from ..schemas import (GOLD_DAILY_SUMMARY_COLUMNS, KEYWORDS_FIELD, LIKES, POSTS, SENTIMENT_FIELD,
                        SILVER_COMMENTS_COLUMNS, SILVER_POSTS_COLUMNS)
-from ..session import scratch_path
+from ..session import scratch_path, write_freed
 from ..sources import parquet as pq
 from ..sources import jdbc, sinks
 from . import entities as E
@@ -722,7 +722,7 @@ def sentiment_weights(spark, sf_dir: str):
         f = fx(spark, sf_dir)
         path = scratch_path(spark, "sentiment_weights")
         weights = sentiment.fit_weights(nlp.training_set(f.table("documents"), f.table("labels")))
-        weights.write.parquet(path)
+        write_freed(weights, path)
         _MODELS[key] = spark.read.schema(weights.schema).parquet(path)
     return _MODELS[key]
 

@@ -33,6 +33,8 @@ GOLD_TABLES = {
     "gold_user_snapshot": ("user_id",),
     "gold_daily_content_trends": ("report_date", "topic_or_keyword"),
 }
+# Every layer holds the texts again, some twice: two thirds of what Snappy makes of them.
+COMPRESSION = "zstd"
 # The columns each gold preview shows, its order and row count.
 GOLD_PREVIEWS = {
     "gold_daily_platform_summary": (None, ("report_date",), 5),
@@ -65,7 +67,7 @@ class Layout:
         # de-duplication shuffle, the NLP steps map silver files one to one,
         # and gold rows come out of aggregates and joins, all sized by AQE: a
         # rebalance there would shuffle every post and comment text again.
-        write_sized(df, self.path(layer, table), rebalance=(layer == "bronze"))
+        write_sized(df, self.path(layer, table), rebalance=(layer == "bronze"), compression=COMPRESSION)
 
 
 # -- bronze ------------------------------------------------------------------
@@ -97,7 +99,7 @@ def silver_job(lay: Layout, table: str, entity: E.Entity | None = None) -> None:
     entity = entity or E.ENTITIES[table]
     src = lay.read("bronze", table, BRONZE[table])
     for report, rdf in E.silver_reports(src, entity).items():
-        rdf.write.mode("overwrite").parquet(lay.path("reports", f"{table}_{report}"))
+        write_sized(rdf, lay.path("reports", f"{table}_{report}"), rebalance=False)
     lay.write(E.silver(src, entity), "silver", table)
 
 

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings read when the application starts: no UI server, no _SUCCESS marker
 # files and no write checksums (writer hygiene, S-10).
@@ -77,6 +79,30 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Whether shuffle files go when the write that made them ends, not when the driver's
+#: collector next finds time.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def set_for(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """``conf`` holds inside; then what was set before."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def write_freed(df: DataFrame, path: str) -> None:
+    """Writes ``df``; its shuffle files go with the write."""
+    with set_for(df.sparkSession, {SHUFFLE_CLEANUP: "true"}):
+        df.write.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below :func:`shared_dir` for one write."""
     return f"{shared_dir(spark)}/strata/{name}/{uuid.uuid4().hex}"

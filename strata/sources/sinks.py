@@ -13,25 +13,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..operators.chunks import chunk_folder
+from ..session import SHUFFLE_CLEANUP, set_for
 
 ROWS_PER_FILE = 100_000
 CHUNK_COLUMN = "chunk_start"
 
 
 def write_sized(df: DataFrame, uri: str, mode: str = "overwrite",
-                rows_per_file: int = ROWS_PER_FILE, rebalance: bool = True) -> None:
+                rows_per_file: int = ROWS_PER_FILE, rebalance: bool = True,
+                compression: str | None = None) -> None:
     """Write Parquet with at most ``rows_per_file`` rows per file.
 
     ``rebalance`` adds the ``REBALANCE`` shuffle. Leave it on when the input's
     partitioning is arbitrary (a JDBC or small-file source); turn it off when
     the rows come out of a shuffle that AQE already sized, or from a narrow map
     over files written by this sink: there it would move every row once more.
+    ``compression`` is the session's unless given. The write's shuffle files go with it.
     """
     if rebalance:
         df = df.hint("rebalance")
-    (df.write.mode(mode)
-       .option("maxRecordsPerFile", rows_per_file)
-       .parquet(uri))
+    writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    if compression:
+        writer = writer.option("compression", compression)
+    with set_for(df.sparkSession, {SHUFFLE_CLEANUP: "true"}):
+        writer.parquet(uri)
 
 
 def write_chunked(df: DataFrame, uri: str, origin, n_days: int, ts_col: str = "created_at",

@@ -1,9 +1,15 @@
 """End-to-end pipeline on the smallest fixture."""
 
+import datetime as dt
+import glob
+import time
+
+import pyarrow.parquet as papq
+
 from strata.fixtures import AS_OF, Fixture
 from strata.operators import nlp
-from strata.plans.pipeline import (GOLD_TABLES, Layout, gold_previews, run_pipeline,
-                                   verify_bronze, verify_silver)
+from strata.plans.pipeline import (GOLD_TABLES, Layout, bronze_job, gold_previews, run_pipeline,
+                                   silver_job, verify_bronze, verify_silver)
 from strata.sources.parquet import layer_path
 
 from conftest import SF_SMALL
@@ -50,6 +56,28 @@ def likes_window_rows(f):
                        & (F.col("created_at") <= "2024-01-31")).count()
 
 
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+
+def test_a_step_leaves_no_shuffle_files_and_compressed_layers(spark, tmp_path):
+    rows = [(i % 400, i % 7, f"text {i} " * 20, dt.datetime(2024, 1, 1 + i % 20)) for i in range(500)]
+    posts = spark.createDataFrame(rows, "post_id long, user_id long, content string, created_at timestamp")
+    lay = Layout(spark, str(tmp_path / "lake"), "2024-01-01", "2024-01-31")
+    before = shuffle_files(spark)
+    bronze_job(lay, "posts", posts)
+    silver_job(lay, "posts")
+    until = time.time() + 20  # they are removed beside the next job
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert lay.read("silver", "posts").count() == 400
+    for layer in ("bronze", "silver"):
+        files = glob.glob(f"{lay.path(layer, 'posts')}/*.parquet")
+        assert files and {papq.ParquetFile(f).metadata.row_group(0).column(2).compression for f in files} == {"ZSTD"}
+
+
 def test_cli_steps(spark, tmp_path, capsys):
     from strata.__main__ import main
     f = Fixture(spark, SF_SMALL)
